@@ -17,8 +17,8 @@ def ratio(numerator: Column, denominator: Column, scale: int = 4) -> Column:
     Both sides are narrowed so that the quotient keeps more than ten digits
     beyond ``scale``: rounding happens once.
     """
-    top = numerator.cast("decimal(20,2)")
-    bottom = denominator.cast("decimal(14,2)") if scale < 0 else denominator.cast("decimal(14,0)")
+    top = numerator.cast("decimal(20,4)")
+    bottom = denominator.cast("decimal(14,0)")
     return F.round(F.try_divide(top, F.nullif(bottom, F.lit(0).cast("decimal(14,0)"))), scale).cast(
         f"decimal(20,{scale})"
     )

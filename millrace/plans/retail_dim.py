@@ -13,18 +13,22 @@ def _attributes(values: DataFrame, key: str, *cols: str) -> DataFrame:
     return values.groupBy(key).agg(F.array_sort(F.collect_set(F.struct(*cols))).alias("attrs"))
 
 
-def dim_sku(sku: DataFrame, spu: DataFrame, c3: DataFrame, c2: DataFrame, c1: DataFrame,
-            trademark: DataFrame, attr: DataFrame, sale_attr: DataFrame) -> DataFrame:
-    """Snowflake flattened to one row per sku, attribute lists as arrays."""
+def sku_names(sku: DataFrame, spu: DataFrame, c3: DataFrame, c2: DataFrame, c1: DataFrame,
+              trademark: DataFrame) -> DataFrame:
+    """Snowflake flattened to one row per sku (what the summaries need)."""
     out = lookup(sku, spu, {"spu_id": "id"}, spu_name="spu_name", _c3="category3_id")
     out = out.drop("category3_id").withColumnRenamed("_c3", "category3_id")
     out = lookup(out, c3, {"category3_id": "id"}, category3_name="name", category2_id="category2_id")
     out = lookup(out, c2, {"category2_id": "id"}, category2_name="name", category1_id="category1_id")
     out = lookup(out, c1, {"category1_id": "id"}, category1_name="name")
-    out = lookup(out, trademark, {"tm_id": "id"}, tm_name="tm_name")
+    return lookup(out, trademark, {"tm_id": "id"}, tm_name="tm_name")
+
+
+def dim_sku(names: DataFrame, attr: DataFrame, sale_attr: DataFrame) -> DataFrame:
+    """Full sku dimension: names plus attribute lists as arrays."""
     attrs = _attributes(attr, "sku_id", "attr_id", "value_id", "attr_name", "value_name")
     sale = _attributes(sale_attr, "sku_id", "id", "sale_attr_value_id", "sale_attr_name", "sale_attr_value_name")
-    out = lookup(out, attrs, {"id": "sku_id"}, sku_attr_values="attrs")
+    out = lookup(names, attrs, {"id": "sku_id"}, sku_attr_values="attrs")
     return lookup(out, sale, {"id": "sku_id"}, sku_sale_attr_values="attrs")
 
 

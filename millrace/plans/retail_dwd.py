@@ -29,16 +29,28 @@ def _promoted_lines(detail: DataFrame, activity: DataFrame, coupon: DataFrame) -
     return lookup(out, coupon, {"id": "order_detail_id", "dt": "dt"}, coupon_id="coupon_id")
 
 
+def order_lines(detail: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order lines with buyer and province: the measures of the detail fact without promotion ids."""
+    out = lookup(detail, orders, {"order_id": "id"}, user_id="user_id", province_id="province_id")
+    return out.withColumns({
+        "split_original_amount": (F.col("sku_num") * F.col("order_price")).cast("decimal(16,2)"),
+        "split_activity_amount": or_zero(F.col("split_activity_amount")).cast("decimal(16,2)"),
+        "split_coupon_amount": or_zero(F.col("split_coupon_amount")).cast("decimal(16,2)")})
+
+
+def paid_lines(detail: DataFrame, payment: DataFrame) -> DataFrame:
+    """Lines of paid orders with the paid amount (no promotion ids, no names)."""
+    paid = payment.where(F.col("payment_status") == PAID)
+    return lookup(detail.drop("dt"), paid, {"order_id": "order_id"}, "inner", user_id="user_id", dt="dt").withColumn(
+        "split_payment_amount", F.col("split_total_amount"))
+
+
 def order_detail(detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame) -> DataFrame:
-    lines = _promoted_lines(detail, activity, coupon)
-    out = lookup(lines, orders, {"order_id": "id"}, user_id="user_id", province_id="province_id")
+    out = order_lines(_promoted_lines(detail, activity, coupon), orders)
     return out.select(
         "id", "order_id", "user_id", "sku_id", "province_id", "activity_id", "activity_rule_id", "coupon_id",
-        F.to_date("create_time").alias("date_id"), "create_time", "sku_num",
-        (F.col("sku_num") * F.col("order_price")).cast("decimal(16,2)").alias("split_original_amount"),
-        or_zero(F.col("split_activity_amount")).cast("decimal(16,2)").alias("split_activity_amount"),
-        or_zero(F.col("split_coupon_amount")).cast("decimal(16,2)").alias("split_coupon_amount"),
-        "split_total_amount", "dt")
+        F.to_date("create_time").alias("date_id"), "create_time", "sku_num", "split_original_amount",
+        "split_activity_amount", "split_coupon_amount", "split_total_amount", "dt")
 
 
 def pay_detail_suc(detail: DataFrame, orders: DataFrame, activity: DataFrame, coupon: DataFrame,

@@ -23,8 +23,8 @@ class Layer:
     @property
     def sku(self):
         m = self.m
-        return dim.dim_sku(m["sku_info"], m["spu_info"], m["base_category3"], m["base_category2"],
-                           m["base_category1"], m["base_trademark"], m["sku_attr_value"], m["sku_sale_attr_value"])
+        return dim.sku_names(m["sku_info"], m["spu_info"], m["base_category3"], m["base_category2"],
+                             m["base_category1"], m["base_trademark"])
 
     @property
     def province(self):
@@ -45,6 +45,14 @@ class Layer:
         return dwd.pay_detail_suc(m["order_detail"], m["order_info"], m["order_detail_activity"],
                                   m["order_detail_coupon"], m["payment_info"], m["base_dic"])
 
+    @property
+    def lines(self):
+        return dwd.order_lines(self.m["order_detail"], self.m["order_info"])
+
+    @property
+    def paid_lines(self):
+        return dwd.paid_lines(self.m["order_detail"], self.m["payment_info"])
+
     @property
     def docs(self):
         return logs.decode_clean(logs.to_documents(self.m["page_log"]))
@@ -123,7 +131,8 @@ def _(m):
     def text(col, name, value):
         return F.array_join(F.transform(col, lambda x: F.concat(x[name], F.lit("="), x[value])), ",")
 
-    return (Layer(m).sku.withColumn("attrs", text("sku_attr_values", "attr_name", "value_name"))
+    full = dim.dim_sku(Layer(m).sku, m["sku_attr_value"], m["sku_sale_attr_value"])
+    return (full.withColumn("attrs", text("sku_attr_values", "attr_name", "value_name"))
             .withColumn("sale_attrs", text("sku_sale_attr_values", "sale_attr_name", "sale_attr_value_name")))
 
 
@@ -257,12 +266,12 @@ def _(m):
 
 @query("retail_dws_trade_user_sku_order_1d", f"dt:s user_id:i sku_id:i {SKU_COLS} order_count_1d:i {SUM_COLS}", "SELECT * FROM x_user_sku")
 def _(m):
-    return dws.user_sku_order_1d(Layer(m).detail, Layer(m).sku)
+    return dws.user_sku_order_1d(Layer(m).lines, Layer(m).sku)
 
 
 @query("retail_dws_trade_user_order_1d", f"dt:s user_id:i order_count_1d:i {SUM_COLS}", "SELECT * FROM x_user_order")
 def _(m):
-    return dws.user_order_1d(Layer(m).detail)
+    return dws.user_order_1d(Layer(m).lines)
 
 
 @query("retail_dws_trade_user_cart_add_1d", "dt:s user_id:i cart_add_count_1d:i cart_add_num_1d:i", """
@@ -274,13 +283,13 @@ def _(m):
 @query("retail_dws_trade_user_payment_1d", "dt:s user_id:i payment_count_1d:i payment_num_1d:i payment_amount_1d:d", """
 SELECT dt, user_id, count(DISTINCT order_id) AS payment_count_1d, sum(sku_num) AS payment_num_1d, sum(split_payment_amount) AS payment_amount_1d FROM x_paid GROUP BY 1, 2""")
 def _(m):
-    return dws.user_payment_1d(Layer(m).paid)
+    return dws.user_payment_1d(Layer(m).paid_lines)
 
 
 @query("retail_dws_trade_province_order_1d", "dt:s province_id:i province_name:s area_code:s iso_code:s iso_3166_2:s order_count_1d:i order_original_amount_1d:d activity_reduce_amount_1d:d "
        "coupon_reduce_amount_1d:d order_total_amount_1d:d", "SELECT * FROM x_province")
 def _(m):
-    return dws.province_order_1d(Layer(m).detail, Layer(m).province)
+    return dws.province_order_1d(Layer(m).lines, Layer(m).province)
 
 
 @query("retail_dws_tool_user_coupon_used_1d", "dt:s user_id:i coupon_id:i coupon_name:s coupon_type_code:s used_count_1d:i", """
@@ -322,20 +331,20 @@ def _types(names: list[str]) -> str:
 SELECT user_id, sku_id, sku_name, category1_id, category1_name, category2_id, category2_name, category3_id, category3_name, tm_id, tm_name, {_nd(_ALL)}
 FROM x_user_sku WHERE dt > {T} - 30 AND dt <= {T} GROUP BY ALL""")
 def _(m):
-    return dws.user_sku_order_nd(dws.user_sku_order_1d(Layer(m).detail, Layer(m).sku), TRADE_DAY)
+    return dws.user_sku_order_nd(dws.user_sku_order_1d(Layer(m).lines, Layer(m).sku), TRADE_DAY)
 
 
 @query("retail_dws_trade_province_order_nd", f"province_id:i province_name:s area_code:s iso_code:s iso_3166_2:s {_types(_PROV)}", f"""
 SELECT province_id, province_name, area_code, iso_code, iso_3166_2, {_nd(_PROV)} FROM x_province WHERE dt > {T} - 30 AND dt <= {T} GROUP BY ALL""")
 def _(m):
-    return dws.province_order_nd(dws.province_order_1d(Layer(m).detail, Layer(m).province), TRADE_DAY)
+    return dws.province_order_nd(dws.province_order_1d(Layer(m).lines, Layer(m).province), TRADE_DAY)
 
 
 @query("retail_dws_trade_user_order_td", "user_id:i order_date_first:s order_date_last:s order_count_td:i order_num_td:i order_original_amount_td:d order_total_amount_td:d", """
 SELECT user_id, min(dt) AS order_date_first, max(dt) AS order_date_last, sum(order_count_1d) AS order_count_td, sum(order_num_1d) AS order_num_td,
   sum(order_original_amount_1d) AS order_original_amount_td, sum(order_total_amount_1d) AS order_total_amount_td FROM x_user_order GROUP BY 1""")
 def _(m):
-    return dws.user_order_td(dws.user_order_1d(Layer(m).detail))
+    return dws.user_order_td(dws.user_order_1d(Layer(m).lines))
 
 
 @query("retail_dws_user_user_login_td", "user_id:s login_date_last:s login_date_first:s login_count_td:i", "SELECT * FROM x_login_td")
@@ -413,7 +422,7 @@ FROM (SELECT user_id, min(dt) AS f FROM x_user_order WHERE dt <= DATE '{EARLY_DA
 def _(m):
     from pyspark.sql import functions as F
 
-    known = Layer(m).detail.where(F.col("dt") <= F.lit(EARLY_DAY))
+    known = Layer(m).lines.where(F.col("dt") <= F.lit(EARLY_DAY))
     return ads.new_order_users(dws.user_order_td(dws.user_order_1d(known)), EARLY_DAY)
 
 
@@ -428,20 +437,20 @@ def _(m):
 SELECT {T} AS dt, 30 AS recent_days, tm_id, tm_name, {ratio("count(*) FILTER (WHERE n >= 2)", "count(*) FILTER (WHERE n >= 1)", 2)} AS order_repeat_rate
 FROM (SELECT tm_id, tm_name, user_id, sum(order_count_1d) AS n FROM x_user_sku WHERE dt > {T} - 30 AND dt <= {T} GROUP BY 1, 2, 3) GROUP BY tm_id, tm_name""")
 def _(m):
-    return ads.repeat_purchase(dws.user_sku_order_1d(Layer(m).detail, Layer(m).sku), TRADE_DAY)
+    return ads.repeat_purchase(dws.user_sku_order_1d(Layer(m).lines, Layer(m).sku), TRADE_DAY)
 
 
 @query("retail_ads_order_stats_by_tm", "dt:s recent_days:i tm_id:i tm_name:s order_count:i order_user_count:i", f"""
 SELECT {T} AS dt, n AS recent_days, tm_id, tm_name, sum(order_count_1d) AS order_count, count(DISTINCT user_id) AS order_user_count FROM x_user_sku JOIN x_days ON dt > {T} - n WHERE dt <= {T} GROUP BY n, tm_id, tm_name""")
 def brand_orders(m):
-    return ads.order_stats_by_brand(dws.user_sku_order_1d(Layer(m).detail, Layer(m).sku), TRADE_DAY)
+    return ads.order_stats_by_brand(dws.user_sku_order_1d(Layer(m).lines, Layer(m).sku), TRADE_DAY)
 
 
 @query("retail_ads_order_stats_by_cate", "dt:s recent_days:i category1_id:i category1_name:s category2_id:i category2_name:s category3_id:i category3_name:s order_count:i order_user_count:i", f"""
 SELECT {T} AS dt, n AS recent_days, category1_id, category1_name, category2_id, category2_name, category3_id, category3_name, sum(order_count_1d) AS order_count, count(DISTINCT user_id) AS order_user_count
 FROM x_user_sku JOIN x_days ON dt > {T} - n WHERE dt <= {T} GROUP BY ALL""")
 def _(m):
-    return ads.order_stats_by_category(dws.user_sku_order_1d(Layer(m).detail, Layer(m).sku), TRADE_DAY)
+    return ads.order_stats_by_category(dws.user_sku_order_1d(Layer(m).lines, Layer(m).sku), TRADE_DAY)
 
 
 @query("retail_ads_sku_cart_num_top3_by_cate", "dt:s category1_id:i category2_id:i category3_id:i category3_name:s sku_id:i sku_name:s cart_num:i rk:i", f"""
@@ -468,7 +477,7 @@ def _(m):
 SELECT {T} AS dt, n AS recent_days, province_id, province_name, area_code, iso_code, iso_3166_2, sum(order_count_1d) AS order_count, sum(order_total_amount_1d) AS order_total_amount
 FROM x_province JOIN x_days ON dt > {T} - n WHERE dt <= {T} GROUP BY ALL""")
 def _(m):
-    return ads.order_by_province(dws.province_order_1d(Layer(m).detail, Layer(m).province), TRADE_DAY)
+    return ads.order_by_province(dws.province_order_1d(Layer(m).lines, Layer(m).province), TRADE_DAY)
 
 
 @query("retail_ads_coupon_stats", "dt:s coupon_id:i coupon_name:s used_count:i used_user_count:i", f"""
