@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.functions.numbers import ratio
+
 
 def top_per_group(df: DataFrame, group: list[str], by: list[Column], k: int, out: str = "rk",
                   ties: bool = True) -> DataFrame:
@@ -28,14 +30,17 @@ def top_k(df: DataFrame, by: list[Column], k: int, out: str | None = None) -> Da
     return best.withColumn(out, F.row_number().over(Window.orderBy(*by)))
 
 
-def composite_rank(df: DataFrame, group: list[str], ranked: dict[str, tuple[Column, float]],
+def composite_rank(df: DataFrame, group: list[str], ranked: dict[str, tuple[Column, int]],
                    tie: list[str], score: str) -> DataFrame:
-    """Independent positions per measure and the weighted score ``sum w*(1-rank/n)*100``."""
+    """Independent positions per measure and the score ``sum percent * (n - rank) / n``.
+
+    ``ranked`` maps the rank column to (measure, weight in percent). Group members are rows of
+    a reduced summary.
+    """
     out = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*group)))
-    total = None
-    for name, (measure, weight) in ranked.items():
+    total = F.lit(0)
+    for name, (measure, percent) in ranked.items():
         w = Window.partitionBy(*group).orderBy(measure.desc_nulls_last(), *[F.col(t) for t in tie])
         out = out.withColumn(name, F.row_number().over(w))
-        part = (F.lit(1).cast("decimal(20,12)") - F.col(name).cast("decimal(12,0)") / F.col("_n").cast("decimal(12,0)")) * F.lit(str(weight)).cast("decimal(3,2)")
-        total = part if total is None else total + part
-    return out.withColumn(score, F.round(total * 100, 2)).drop("_n")
+        total = total + F.lit(percent) * (F.col("_n") - F.col(name))
+    return out.withColumn(score, ratio(total, F.col("_n"), 2)).drop("_n")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["retail", "logistics"]
+MODULES = ["retail", "logistics", "workorders"]
 
 
 def load():

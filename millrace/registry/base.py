@@ -103,3 +103,8 @@ def ratio(a: str, b: str, scale: int = 4) -> str:
 def money_ratio(a: str, b: str, scale: int = 2) -> str:
     """Exact quotient where the numerator is non-negative money with two decimals and b an integer."""
     return ratio(f"(({a}) * 100)", f"(({b}) * 100)", scale)
+
+
+def signed_ratio(a: str, b: str, scale: int = 4) -> str:
+    """Exact half-up (away from zero) quotient; the numerator may be negative."""
+    return f"(CASE WHEN ({a}) < 0 THEN -{ratio(f'abs({a})', b, scale)} ELSE {ratio(a, b, scale)} END)"
