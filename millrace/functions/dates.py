@@ -79,7 +79,8 @@ def month_key(col: Column) -> Column:
 
 
 def age_years(birthday: Column, as_of: str | dt.date) -> Column:
-    return F.floor(F.months_between(F.lit(as_date(as_of)), birthday) / 12).cast("int")
+    """Completed years (zero for a birthday less than a year ahead)."""
+    return F.timestamp_diff("YEAR", birthday.cast("timestamp"), F.lit(as_date(as_of)).cast("timestamp")).cast("int")
 
 
 def birth_decade(birthday: Column) -> Column:

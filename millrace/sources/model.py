@@ -129,7 +129,7 @@ SELECT event_id, 'mid_' || CAST(user_id AS STRING) AS mid, CAST(user_id % 25 AS
   CASE WHEN event_type = 'signup' THEN NULL WHEN event_type = 'error' THEN 'search' ELSE 'home' END AS last_page_id,
   CASE WHEN event_type = 'error' THEN 'word ' || CAST({_K} % 20 AS STRING) ELSE CAST({_K} AS STRING) END AS item,
   CASE WHEN event_type = 'error' THEN 'keyword' ELSE 'sku_id' END AS item_type,
-  CAST(ROUND(value * 100) AS BIGINT) * 10 AS during_time, EPOCH_MS(CAST(ts AS TIMESTAMP)) AS ts_ms,
+  CAST(ROUND(value * 100) AS BIGINT) * 10 AS during_time, EPOCH_MS(date_trunc('millisecond', CAST(ts AS TIMESTAMP))) AS ts_ms,
   CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS is_error, {_K} % 3 AS shows, {_K} % 2 AS acts,
   CAST(ts AS TIMESTAMP) AS ts, CAST(ts AS DATE) AS dt
 FROM {{events}}"""
@@ -327,6 +327,19 @@ SELECT DISTINCT lower(split_part(text, ' ', 2)) AS word FROM {benchmark} WHERE l
 RAW["fixes"] = f"""
 SELECT 'car' || CAST(user_id % 40 AS STRING) AS vehicle, CAST(ts AS TIMESTAMP) AS ts, event_id,
   CAST(116.0 + (event_id % 97) * 0.01 AS DOUBLE) AS lon, CAST(39.5 + ({_K} % 50) * 0.01 AS DOUBLE) AS lat, CAST(ts AS DATE) AS dt FROM {{events}}"""
+RAW["lb_category"] = """
+SELECT c3.id AS id, 'word ' || CAST(c3.id % 20 AS STRING) AS b3name,
+  CASE c3.id % 4 WHEN 0 THEN '数码' WHEN 1 THEN '母婴' WHEN 2 THEN '服饰内衣' ELSE '宠物' END AS b1name FROM {base_category3} c3"""
+RAW["lb_word"] = "SELECT b3name, min(b1name) AS b1name FROM {lb_category} GROUP BY b3name"
+RAW["lb_compare"] = """
+SELECT * FROM (VALUES ('数码', '科技与数码'), ('母婴', '家庭与育儿'), ('服饰内衣', '时尚与潮流')) AS t(category_name, search_category)"""
+RAW["lb_sku"] = """
+SELECT id AS skuid, category3_id AS c3id, CASE tm_id % 6 WHEN 0 THEN 'TCL' WHEN 1 THEN '苹果' WHEN 2 THEN '欧莱雅' WHEN 3 THEN '香奈儿' WHEN 4 THEN '小米' ELSE 'other' END AS tname FROM {sku_info}"""
+RAW["lb_user"] = "SELECT CAST(id AS STRING) AS uid, name AS uname, gender, user_level, birthday FROM {user_info}"
+RAW["lb_body"] = "SELECT CAST(c_custkey AS STRING) AS uid, 150 + c_custkey % 45 AS height, 45 + c_custkey % 50 AS weight FROM {customer} WHERE c_custkey % 5 < 4"
+RAW["lb_order"] = """
+SELECT id, user_id, create_time + INTERVAL '1' SECOND * (id * 13 % 7200) AS pay_time, CAST(total_amount * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(16,2)) AS total_amount FROM {order_info}"""
+RAW["lb_detail"] = "SELECT order_id, sku_id, id AS line_id FROM {order_detail}"
 
 
 def references(text: str) -> list[str]:
