@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def latest_image(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
     """Newest row per key by ``version`` (last write wins)."""
     rest = [c for c in rows.columns if c not in keys]
-    top = rows.groupBy(*keys).agg(F.max(F.struct(F.col(version).alias("_v"), *[F.col(c) for c in rest])).alias("b"))
+    ties = [F.col(c) for c in rest if not isinstance(rows.schema[c].dataType, T.MapType)]
+    newest = F.max_by(F.struct(*rest), F.struct(F.col(version).alias("_v"), *ties))
+    top = rows.groupBy(*keys).agg(newest.alias("b"))
     return top.select(*keys, *[F.col("b")[c].alias(c) for c in rest]).select(*rows.columns)
 
 
@@ -27,24 +29,26 @@ def partial_image(rows: DataFrame, keys: list[str], version: str, op: str | None
 class KeyedTable:
     """A keyed target stored as one delta folder per micro-batch and merged on read.
 
-    A replayed batch rewrites its own folder, so the image does not change. Deltas are spread
-    over ``buckets`` by key. With last-write-wins each delta is reduced before it is written;
-    a partial update keeps its rows, because every column carries its own newest version.
+    A replayed batch rewrites its own folder, so the image does not change. With last-write-wins
+    each delta is reduced before it is written; a partial update keeps its rows, because every
+    column carries its own newest version.
     """
 
-    def __init__(self, path: str, keys: list[str], version: str, buckets: int = 16,
-                 merge: Callable[..., DataFrame] = latest_image, **merge_args):
-        self.path, self.keys, self.version = path, keys, version
-        self.buckets, self.merge, self.merge_args = buckets, merge, merge_args
+    def __init__(self, path: str, keys: list[str], version: str,
+                 merge: Callable[..., DataFrame] = latest_image, schema: T.StructType | None = None, **merge_args):
+        self.path, self.keys, self.version, self.schema = path, keys, version, schema
+        self.merge, self.merge_args = merge, merge_args
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` body."""
         rows = latest_image(batch, self.keys, self.version) if self.merge is latest_image else batch
-        spread = rows.withColumn("_b", F.pmod(F.hash(*self.keys), F.lit(self.buckets)))
-        (spread.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("_b").parquet(f"{self.path}/batch={batch_id}"))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .parquet(f"{self.path}/batch={batch_id}"))
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Current image: one shuffle by key."""
-        deltas = spark.read.parquet(self.path).drop("_b", "batch")
+        reader = spark.read
+        if self.schema is not None:
+            reader = reader.schema(T.StructType([*self.schema.fields, T.StructField("batch", T.IntegerType())]))
+        deltas = reader.parquet(self.path).drop("batch")
         return self.merge(deltas, self.keys, self.version, **self.merge_args)
