@@ -8,36 +8,52 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.operators.dedup import first_per_key
+from millrace.operators.dedup import first_per_key, latest_per_key
 from millrace.operators.ordered import running_max
 
 
 def newest_wins(df: DataFrame, keys: list[str], arrival: str, ties: list[str], version: str,
-                grain: str = "hour") -> DataFrame:
-    """Rows whose version exceeds every version seen earlier for the key."""
+                grain: str = "hour", image: DataFrame | None = None) -> DataFrame:
+    """Rows whose version exceeds every version seen earlier for the key.
+
+    ``image`` (keys, version) holds what was seen before this frame.
+    """
     seen = running_max(df, keys, arrival, ties, version, "_seen", grain)
-    return seen.where(F.col("_seen").isNull() | (F.col(version) > F.col("_seen"))).drop("_seen")
+    if image is not None:
+        known = image.select(*keys, F.col(version).alias("_known"))
+        seen = seen.join(known, keys, "left").withColumn("_seen", F.greatest("_seen", "_known")).drop("_known")
+    return seen.where(F.col("_seen").isNull() | (F.col(version) > F.col("_seen"))).select(*df.columns)
 
 
-def retractions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def retractions(df: DataFrame, keys: list[str], order: list[str], image: DataFrame | None = None) -> DataFrame:
     """Change log of a stream with repeated keys: every row once with sign +1, and every row that
     a later one replaces once more with sign -1. ``copies`` counts identical rows.
 
+    ``image`` holds the newest row per key from before this frame; a replaced one gets its -1.
     The newest row per key comes from a partial aggregate; nothing is ordered inside a key.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     ordered = [*order, *rest]
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"), F.lit(0).alias("old"))
+    if image is not None:
+        held = image.select(*df.columns, F.lit(0).cast("bigint").alias("copies"), F.lit(1).alias("old"))
+        held = held.join(df.select(*keys).distinct(), keys, "left_semi")
+        rows = rows.unionByName(held).groupBy(*df.columns).agg(F.sum("copies").alias("copies"), F.max("old").alias("old"))
     newest = rows.groupBy(*keys).agg(F.max(F.struct(*ordered)).alias("_newest"))
     marked = rows.join(newest, keys)
     is_newest = F.struct(*ordered).eqNullSafe(F.col("_newest"))
-    taken_back = F.col("copies") - F.when(is_newest, 1).otherwise(0)
+    taken_back = F.col("copies") + F.col("old") - F.when(is_newest, 1).otherwise(0)
     plus = F.struct(F.lit(1).alias("sign"), F.col("copies").alias("copies"))
     minus = F.struct(F.lit(-1).alias("sign"), taken_back.alias("copies"))
     return (marked.withColumn("c", F.explode(F.array(plus, minus))).where(F.col("c.copies") > 0)
             .select(*df.columns, "c.sign", "c.copies"))
 
 
+def newest_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Newest row per key by the same order as the change log."""
+    return latest_per_key(df, keys, [*order])
+
+
 def first_of_day(df: DataFrame, keys: list[str], time: str, ties: list[str]) -> DataFrame:
     """First row per key and date (the daily-unique flag)."""
     dated = df.withColumn("cur_date", F.to_date(time))
@@ -55,15 +71,19 @@ def login_flags(df: DataFrame, user: str, time: str, gap: int = 8) -> DataFrame:
         "back", F.when(F.datediff("login_date", previous) >= gap, 1).otherwise(0))
 
 
-def repair_new_flag(df: DataFrame, device: str, flag: str, time: str, ties: list[str]) -> DataFrame:
-    """Correct the new-visitor flag: a device keeps the date of its first row (the day before, when
-    that row already says "not new"); a later "new" on another date becomes "not new"."""
+def first_seen(df: DataFrame, device: str, flag: str, time: str, ties: list[str]) -> DataFrame:
+    """Date kept for a device: that of its first row, or the day before when that row says "not new"."""
     first = first_per_key(df.select(device, F.col(time).alias("_t"), F.col(flag).alias("_f"), *ties),
                           [device], ["_t", *ties])
-    known = first.select(F.col(device).alias("_d"), F.when(F.col("_f") == "1", F.to_date("_t")).otherwise(
-        F.date_sub(F.to_date("_t"), 1)).alias("_first_date"))
-    joined = df.join(known, F.col(device) == F.col("_d"))
-    wrong = (F.col(flag) == "1") & (F.to_date(time) != F.col("_first_date"))
+    return first.select(device, F.when(F.col("_f") == "1", F.to_date("_t")).otherwise(
+        F.date_sub(F.to_date("_t"), 1)).alias("first_date"))
+
+
+def repair_new_flag(df: DataFrame, device: str, flag: str, time: str, known: DataFrame) -> DataFrame:
+    """Correct the new-visitor flag: "new" on another date than the kept one becomes "not new"."""
+    kept = known.select(F.col(device).alias("_d"), F.col("first_date").alias("_first"))
+    joined = df.join(kept, F.col(device) == F.col("_d"))
+    wrong = (F.col(flag) == "1") & (F.to_date(time) != F.col("_first"))
     return joined.withColumn("is_new_fixed", F.when(wrong, "0").otherwise(F.col(flag))).select(*df.columns, "is_new_fixed")
 
 

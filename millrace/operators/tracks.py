@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.functions.shipping import by_value
 from millrace.operators.ordered import with_neighbours
 
 # WGS-84 half axis in metres and flattening; mean earth radius.
@@ -21,7 +22,7 @@ def haversine(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
     return 2 * MEAN_RADIUS * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def geodesic(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
     """Ellipsoid metres by Vincenty's inverse formula on whole Arrow batches.
 
@@ -68,3 +69,6 @@ def track_length(fixes: DataFrame, vehicle: str = "vehicle", exact: bool = False
     """Metres and fixes per vehicle and day."""
     return segments(fixes, vehicle, exact=exact).groupBy(vehicle, F.to_date("ts").alias("dt")).agg(
         F.count(F.lit(1)).alias("fixes"), F.sum(F.coalesce("metres", F.lit(0.0))).alias("metres"))
+
+
+by_value(__name__)

@@ -53,16 +53,16 @@ def _(m):
 
 
 # duplicate deliveries: the short line key repeats with changed amounts
-_DUP = """SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS id, l_orderkey AS order_id, l_orderkey % 25 AS province_id, l_partkey AS sku_id, l_suppkey AS supp_id,
+DUPLICATES = """SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS id, l_orderkey AS order_id, l_orderkey % 25 AS province_id, l_partkey AS sku_id, l_suppkey AS supp_id,
   CAST(l_shipdate AS TIMESTAMP) + INTERVAL '1' SECOND * (l_orderkey * 31 % 86400) AS ts, CAST(l_extendedprice AS DECIMAL(16,2)) AS amount FROM {lineitem}"""
-share("dup_lines", _DUP.format(lineitem="lineitem"))
+share("dup_lines", DUPLICATES.format(lineitem="lineitem"))
 share("dup_log", """
 SELECT *, 1 AS sign FROM dup_lines UNION ALL
 SELECT * EXCLUDE (rn), -1 FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts DESC, order_id DESC, province_id DESC, sku_id DESC, supp_id DESC, amount DESC) AS rn FROM dup_lines) WHERE rn > 1""")
 
 
 def duplicate_log(m):
-    return sq.retractions(m.apply(_DUP), ["id"], ["ts"])
+    return sq.retractions(m.apply(DUPLICATES), ["id"], ["ts"])
 
 
 query("retract_on_duplicate", "id:s order_id:i sku_id:i supp_id:i ts:t amount:d sign:i", "SELECT * FROM dup_log")(duplicate_log)
@@ -113,7 +113,7 @@ SELECT p.event_id, p.mid, p.is_new, p.dt, CASE WHEN p.is_new = '1' AND p.dt <> f
 @query("new_visitor_flag_repair", "event_id:i mid:s is_new:s is_new_fixed:s", "SELECT * FROM fix_new")
 def _(m):
     rows = m["page_log"].select("event_id", "mid", "is_new", "ts")
-    return sq.repair_new_flag(rows, "mid", "is_new", "ts", ["event_id"])
+    return sq.repair_new_flag(rows, "mid", "is_new", "ts", sq.first_seen(rows, "mid", "is_new", "ts", ["event_id"]))
 
 
 @query("running_user_profile", "uid:s pv:i ts_ms:i os:s ch:s md:s ba:s search_item:s judge_os:s", """

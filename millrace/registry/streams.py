@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import functions as F
 
 from millrace.operators import moderation, validity as va
-from millrace.operators.joins import lookup
 from millrace.plans import labels
 from millrace.registry import feeds
 from millrace.registry.base import query, share
-from millrace.registry.events import CART_COLS, MOD_SQL, PAY_COLS, VISIT_COLS
+from millrace.registry.events import CART_COLS, DUPLICATES, MOD_SQL, PAY_COLS, VISIT_COLS
 from millrace.sinks.merge import partial_image
 from millrace.sources import cdc
-from millrace.streaming import state, trade, traffic
+from millrace.streaming import images, state, trade, traffic
 from millrace.streaming.runner import run_append, run_upsert
 
 share("f_orders", feeds.ORDERS_SQL)
@@ -39,8 +38,7 @@ def _(m):
 @query("stream_new_visitor_repair", "event_id:i mid:s is_new:s is_new_fixed:s", "SELECT * FROM fix_new")
 def _(m):
     rows = feeds.pages(m).select("event_id", "mid", "is_new", "ts")
-    return run_append(state.stateful(rows, "mid", state.RepairNewFlag("ts", "is_new"),
-                                     "event_id long, mid string, is_new string, ts timestamp, is_new_fixed string"), "new-flag", keyed_state=True)
+    return images.repair_new_flag(rows, "mid", "is_new", "ts", ["event_id"])
 
 
 @query("stream_cart_unique_users", "stt:t edt:t cur_date:s cart_add_uu_ct:i", """
@@ -69,10 +67,11 @@ def _(m):
 SELECT time_bucket(INTERVAL 1 SECOND, t) AS stt, stt + INTERVAL 1 SECOND AS edt, count(*) AS uu_ct, sum(b) AS back_ct FROM (
  SELECT t, CASE WHEN d - lag(d) OVER (PARTITION BY uid ORDER BY d) >= 8 THEN 1 ELSE 0 END AS b FROM (SELECT uid, dt AS d, min(ts) AS t FROM page_log WHERE uid IS NOT NULL AND page_id = 'payment' GROUP BY 1, 2)) GROUP BY 1""")
 def _(m):
-    """Two hops: keyed state flags the logins, windows count the flagged rows."""
+    """Logins are reduced to the first per user and day, keyed state flags them, windows count them."""
     rows = feeds.pages(m).where("uid is not null and page_id = 'payment'").select("uid", "ts")
+    rows = traffic.first_of_day(rows, ["uid"]).select("uid", "ts")
     flags = run_append(state.stateful(rows, "uid", state.LoginFlags("ts", "uid"),
-                                      "uid string, ts timestamp, login_date date, uu long, back long"), "login-flags", keyed_state=True)
+                                      "uid string, ts timestamp, login_date date, uu long, back long"), "login-flags")
     return traffic.edges(traffic.login_windows(flags))
 
 
@@ -92,45 +91,29 @@ def _(m):
     return traffic.edges(run_append(traffic.keyword_counts(feeds.pages(m)), "keywords-closed"))
 
 
-_DUP_STREAM = """SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS id, CAST(l_orderkey AS STRING) AS order_id, l_orderkey % 25 AS province_id, l_partkey AS sku_id,
-  CAST(l_shipdate AS TIMESTAMP) + INTERVAL '1' SECOND * (l_orderkey * 31 % 86400) AS ts, CAST(l_extendedprice AS DOUBLE) AS amount FROM {lineitem}"""
-
-
 def _retracted(m):
-    rows = m.apply(_DUP_STREAM, lineitem=feeds.table(m, "lineitem"))
-    schema = T.StructType([*rows.schema.fields, T.StructField("sign", T.LongType())])
-    return run_append(state.stateful(rows, "id", state.Retract("ts", rows.schema), schema), "retract", keyed_state=True)
+    rows = m.apply(DUPLICATES, lineitem=feeds.table(m, "lineitem"))
+    return images.retractions(rows, ["id"], ["ts"])
 
 
-share("g_net", """
-SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, l_orderkey AS order_id, l_orderkey % 25 AS province_id, l_partkey AS sku_id,
-  CAST(l_shipdate AS TIMESTAMP) + INTERVAL 1 SECOND * (l_orderkey * 31 % 86400) AS ts, CAST(l_extendedprice AS DECIMAL(16,2)) AS amount FROM lineitem""")
+@query("stream_retract_on_duplicate", "id:s order_id:i sku_id:i supp_id:i ts:t amount:d sign:i", "SELECT * FROM dup_log")
+def _(m):
+    return _retracted(m)
 
 
-@query("stream_province_orders", "province_id:i order_amount:f rows_in:i rows_back:i", """
-WITH t AS (SELECT *, max(ts) OVER (PARTITION BY id) AS last_ts FROM g_net), per AS (
-  SELECT province_id, id, count(*) AS n, count(*) FILTER (WHERE ts = last_ts) AS at_last, any_value(amount) FILTER (WHERE ts = last_ts) AS a FROM t GROUP BY 1, 2)
-SELECT province_id, sum(CASE WHEN at_last = 1 THEN a END) AS order_amount, sum(n) AS rows_in, sum(n) - count(*) AS rows_back FROM per GROUP BY 1""")
+@query("stream_province_orders", "province_id:i stt:t edt:t order_amount:d order_count:i", """
+SELECT province_id, time_bucket(INTERVAL 10 SECOND, ts) AS stt, stt + INTERVAL 10 SECOND AS edt, sum(sign * amount) AS order_amount, count(DISTINCT order_id) AS order_count FROM dup_log GROUP BY 1, 2""")
 def _(m):
-    """Totals of the ten-second windows per province; ids whose newest time is shared are left out
-    of the amount on both sides, since arrival order decides among them."""
-    log = _retracted(m)
-    last = log.where("sign = 1").groupBy("id").agg(F.max("ts").alias("last"))
-    ties = log.where("sign = 1").join(last, "id").where("ts = last").groupBy("id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("id")
-    counts = log.groupBy("province_id").agg(F.count(F.when(F.col("sign") == 1, 1)).alias("rows_in"), F.count(F.when(F.col("sign") == -1, 1)).alias("rows_back"))
-    windows = traffic.order_windows(log.join(ties, "id", "left_anti"), "province_id")
-    amounts = windows.groupBy("province_id").agg(F.sum(F.round("order_amount", 2).cast("decimal(20,2)")).alias("order_amount"))
-    return lookup(counts, amounts, {"province_id": "province_id"}, order_amount="order_amount")
-
-
-@query("stream_newest_wins", "n:i newest:i", """
-SELECT count(*) AS n, sum(during_time) AS newest FROM (SELECT p.during_time, max(p.during_time) OVER (PARTITION BY mid ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM page_log p)
-WHERE seen IS NULL OR during_time > seen""")
+    """Two hops: the change log, then net ten-second windows per province."""
+    return traffic.edges(traffic.order_windows(_retracted(m), "province_id"))
+
+
+@query("stream_newest_wins", "event_id:i user_id:i during_time:i", """
+SELECT event_id, user_id, during_time FROM (SELECT e.event_id, e.user_id, p.during_time, max(p.during_time) OVER (PARTITION BY e.user_id ORDER BY e.ts, e.event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen
+ FROM events e JOIN page_log p USING (event_id)) WHERE seen IS NULL OR during_time > seen""")
 def _(m):
-    rows = feeds.pages(m).select("event_id", "mid", "during_time", "ts")
-    out = run_append(state.stateful(rows, "mid", state.NewestWins("ts", "during_time", None),
-                                    "event_id long, mid string, during_time long, ts timestamp"), "newest", keyed_state=True)
-    return out.agg(F.count(F.lit(1)).alias("n"), F.sum("during_time").alias("newest"))
+    rows = m.apply("SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS ts, CAST(ROUND(value * 100) AS BIGINT) * 10 AS during_time FROM {events}", events=feeds.table(m, "events"))
+    return images.newest_wins(rows, ["user_id"], "ts", ["event_id"], "during_time")
 
 
 # ---- change streams -----------------------------------------------------------------------

@@ -17,8 +17,6 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the jobs rely on; safe to call repeatedly."""

@@ -45,10 +45,15 @@ class KeyedTable:
         (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .parquet(f"{self.path}/batch={batch_id}"))
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Current image: one shuffle by key."""
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """Current image, or the image before a batch: one shuffle by key."""
+        if before == 0:
+            return spark.createDataFrame([], self.schema)
         reader = spark.read
         if self.schema is not None:
             reader = reader.schema(T.StructType([*self.schema.fields, T.StructField("batch", T.IntegerType())]))
-        deltas = reader.parquet(self.path).drop("batch")
+        deltas = reader.parquet(self.path)
+        if before is not None:
+            deltas = deltas.where(F.col("batch") < before)
+        deltas = deltas.drop("batch")
         return self.merge(deltas, self.keys, self.version, **self.merge_args)

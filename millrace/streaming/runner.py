@@ -9,9 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from millrace.session import ROCKSDB
 from millrace.sinks.merge import KeyedTable, latest_image
 from millrace.sinks.workspace import scratch
 
@@ -19,10 +18,10 @@ LOCAL_STATE_PARTITIONS = "8"
 
 
 @contextmanager
-def stream_settings(spark: SparkSession, keyed_state: bool = False):
-    """Settings a query captures when it starts: RocksDB for keyed state processors (they need it;
-    other queries keep the state store the session names), few state partitions in local mode."""
-    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB} if keyed_state else {}
+def stream_settings(spark: SparkSession):
+    """In local mode use few state partitions; a query captures the setting when it starts. The state
+    store is the session's choice."""
+    wanted = {}
     if spark.sparkContext.master.startswith("local"):
         wanted["spark.sql.shuffle.partitions"] = LOCAL_STATE_PARTITIONS
     before = {k: spark.conf.get(k, None) for k in wanted}
@@ -35,14 +34,14 @@ def stream_settings(spark: SparkSession, keyed_state: bool = False):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def run_append(df: DataFrame, label: str, partition: str | None = None, keyed_state: bool = False) -> DataFrame:
+def run_append(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
     """Append mode into a file table (exactly once through the sink log)."""
     spark, path = df.sparkSession, scratch(df.sparkSession, label)
     writer = (df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
               .option("checkpointLocation", f"{path}/checkpoint"))
     if partition:
         writer = writer.partitionBy(partition)
-    with stream_settings(spark, keyed_state):
+    with stream_settings(spark):
         writer.start(f"{path}/data").awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{path}/data")
 
@@ -63,3 +62,27 @@ def run_upsert(df: DataFrame, keys: list[str], label: str, version: str | None =
         (df.writeStream.foreachBatch(write).outputMode(mode).trigger(availableNow=True)
          .option("checkpointLocation", f"{path}/checkpoint").start().awaitTermination())
     return table.read(spark).drop("_batch")
+
+
+def run_with_image(df: DataFrame, label: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
+                   keys: list[str], version: str, image: T.StructType, out: T.StructType) -> DataFrame:
+    """Keyed state as a table: ``step(batch, image)`` gives the output rows and the image rows that
+    changed; the image is the newest row per key by ``version``.
+
+    Joins and aggregates replace per-key calls, so a hot key is split like in any batch job. A
+    replayed batch sees the same image (only earlier batches) and rewrites its own folders.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    table = KeyedTable(f"{path}/image", keys, version, schema=image)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        rows, changed = step(batch, table.read(spark, before=batch_id))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/data/batch={batch_id}")
+        table.upsert(changed, batch_id)
+        batch.unpersist()
+
+    with stream_settings(spark):
+        (df.writeStream.foreachBatch(write).trigger(availableNow=True)
+         .option("checkpointLocation", f"{path}/checkpoint").start().awaitTermination())
+    return spark.read.schema(T.StructType([*out.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{path}/data").drop("batch")

@@ -1,7 +1,8 @@
-"""Keyed state processors.
+"""Keyed state rules on Arrow batches.
 
-Rows of a key arrive as Arrow batches and are handled batch by batch with vectorised code; a
-key's rows are never gathered. State holds one value per key.
+Only for inputs that hold few rows per key (reduce them first): a rule sees a key's rows in one
+task. Rules with many rows per key use ``runner.run_with_image`` instead. Each rule keeps one
+small tuple per key, which travels with the batch.
 """
 
 from __future__ import annotations
@@ -10,122 +11,67 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from millrace.functions.shipping import by_value
 
-class _ValueProcessor(StatefulProcessor):
-    """One state value per key, optional time to live."""
 
-    state_schema = "value string"
+class Rule:
+    """``step(rows, last)`` gives the output rows and the next state tuple."""
+
+    state = "value string"
 
     def __init__(self, time: str, ttl_ms: int | None = None):
         self.time, self.ttl_ms = time, ttl_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("kept", self.state_schema, ttlDurationMs=self.ttl_ms)
-
-    def get(self):
-        return self.state.get()[0] if self.state.exists() else None
-
-    def put(self, value) -> None:
-        self.state.update((value,))
+    def step(self, rows: pd.DataFrame, last: tuple | None) -> tuple[pd.DataFrame, tuple]:
+        raise NotImplementedError
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            # most keys have one row per batch
-            if len(batch) > 1:
-                batch = batch.sort_values(self.time, kind="stable").reset_index(drop=True)
-            out = self.step(batch)
+    def __call__(self, key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last = tuple(state.get) if state.exists else None
+        for rows in batches:
+            if len(rows) > 1:  # most keys have one row per batch
+                rows = rows.sort_values(self.time, kind="stable").reset_index(drop=True)
+            out, last = self.step(rows, last)
             if len(out):
                 yield out
-
-    def step(self, rows: pd.DataFrame) -> pd.DataFrame:
-        raise NotImplementedError
-
-    def close(self) -> None:
-        pass
-
-
-class NewestWins(_ValueProcessor):
-    """Pass a row only if its version exceeds all versions seen for the key."""
-
-    state_schema = "value bigint"
-
-    def __init__(self, time: str, version: str, ttl_ms: int | None = 3_600_000):
-        super().__init__(time, ttl_ms)
-        self.version = version
-
-    def step(self, rows: pd.DataFrame) -> pd.DataFrame:
-        seen, version = self.get(), rows[self.version]
-        floor = -1 if seen is None else seen
-        before = version.cummax().shift(fill_value=floor).clip(lower=floor)
-        self.put(int(max(floor, version.max())))
-        return rows[version > before] if seen is not None else rows[(version > before) | (rows.index == 0)]
-
-
-class Retract(_ValueProcessor):
-    """Emit the replaced row with sign -1, then the new one with sign +1."""
-
-    def __init__(self, time: str, schema: T.StructType, ttl_ms: int | None = None):
-        super().__init__(time, ttl_ms)
-        self.state_schema = T.StructType([f for f in schema.fields if f.name != "sign"])
-
-    def get(self):
-        return tuple(self.state.get()) if self.state.exists() else None
-
-    def put(self, value) -> None:
-        self.state.update(tuple(value))
-
-    def step(self, rows: pd.DataFrame) -> pd.DataFrame:
-        names = [f.name for f in self.state_schema.fields]
-        last, new = self.get(), list(zip(*(rows[n] for n in names), strict=True))
-        replaced = new[:-1] if last is None else [last, *new[:-1]]
-        self.put(new[-1])
-        return pd.DataFrame([(*r, -1) for r in replaced] + [(*r, 1) for r in new], columns=[*names, "sign"])
+        if last is not None:
+            state.update(last)
+            if self.ttl_ms:
+                state.setTimeoutDuration(self.ttl_ms)
 
 
-class LoginFlags(_ValueProcessor):
+class LoginFlags(Rule):
     """One row per new login date: ``uu`` = 1, ``back`` = 1 after ``gap`` days without login."""
 
     def __init__(self, time: str, user: str, gap: int = 8):
         super().__init__(time)
         self.user, self.gap = user, gap
 
-    def step(self, rows: pd.DataFrame) -> pd.DataFrame:
-        last = self.get()
+    def step(self, rows, last):
         day = rows[self.time].dt.normalize()
         first = rows[~day.duplicated()].assign(login_date=day)
-        if last is not None:
-            first = first[first["login_date"] > pd.Timestamp(last)]
+        known = None if last is None else pd.Timestamp(last[0])
+        if known is not None:
+            first = first[first["login_date"] > known]
         if not len(first):
-            return first
-        previous = first["login_date"].shift(fill_value=pd.NaT if last is None else pd.Timestamp(last))
+            return first, last
+        previous = first["login_date"].shift()
+        if known is not None:
+            previous = previous.fillna(known)
         back = ((first["login_date"] - previous).dt.days >= self.gap).astype("int64")
-        self.put(str(first["login_date"].iloc[-1].date()))
-        return pd.DataFrame({self.user: first[self.user], self.time: first[self.time],
-                             "login_date": first["login_date"].dt.date, "uu": 1, "back": back})
+        out = pd.DataFrame({self.user: first[self.user], self.time: first[self.time],
+                            "login_date": first["login_date"].dt.date, "uu": 1, "back": back})
+        return out, (str(first["login_date"].iloc[-1].date()),)
 
 
-class RepairNewFlag(_ValueProcessor):
-    """Correct the new-visitor flag against the first date kept for the device."""
+def stateful(df: DataFrame, key: str, rule: Rule, schema: T.StructType | str) -> DataFrame:
+    """Append-mode keyed state over a stream; with a time to live, idle keys are forgotten."""
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if rule.ttl_ms else GroupStateTimeout.NoTimeout
+    return df.groupBy(key).applyInPandasWithState(rule, schema, rule.state, "append", timeout)
 
-    def __init__(self, time: str, flag: str, ttl_ms: int | None = None):
-        super().__init__(time, ttl_ms)
-        self.flag = flag
 
-    def step(self, rows: pd.DataFrame) -> pd.DataFrame:
-        known = self.get()
-        day = rows[self.time].dt.normalize()
-        if known is None:
-            start = day.iloc[0] - pd.Timedelta(days=0 if rows[self.flag].iloc[0] == "1" else 1)
-            known = str(start.date())
-            self.put(known)
-        wrong = (rows[self.flag] == "1") & (day != pd.Timestamp(known))
-        return rows.assign(is_new_fixed=rows[self.flag].mask(wrong, "0"))
-
-
-def stateful(df: DataFrame, key: str, processor: StatefulProcessor, schema: T.StructType | str) -> DataFrame:
-    """Append-mode keyed state over a stream."""
-    return df.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="ProcessingTime"
-        if getattr(processor, "ttl_ms", None) else "None")
+by_value(__name__)

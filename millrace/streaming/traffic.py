@@ -71,10 +71,10 @@ def login_windows(flags: DataFrame, length: str = "1 second") -> DataFrame:
 
 
 def order_windows(changes: DataFrame, key: str, length: str = "10 seconds") -> DataFrame:
-    """Net amount and distinct orders per key over a retraction log."""
-    signed = F.col("sign") * F.col("amount")
-    return changes.withWatermark("ts", "0 seconds").groupBy(_window("ts", length), key).agg(
-        F.sum(signed).alias("order_amount"), F.size(F.collect_set("order_id")).alias("order_count"))
+    """Net amount and distinct orders per key over a change log (reduced per order first)."""
+    per_order = changes.groupBy(_window("ts", length), key, "order_id").agg(
+        F.sum(F.col("sign") * F.col("copies") * F.col("amount")).alias("a"))
+    return per_order.groupBy("w", key).agg(F.sum("a").alias("order_amount"), F.count("order_id").alias("order_count"))
 
 
 def profiles(events: DataFrame) -> DataFrame:
