@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["retail", "logistics", "workorders", "events", "streams"]
+MODULES = ["retail", "logistics", "workorders", "events", "streams", "storage"]
 
 
 def load():

@@ -102,7 +102,7 @@ def cart_text(m: Model) -> DataFrame:
     return envelopes(df, "cart_info", op, _map(**base, sku_num=n), _map(**base, sku_num=after), F.col("ts_ms"))
 
 
-LINES = """SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) AS id, CAST(l_orderkey AS STRING) AS order_id,
+LINES = """SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(CAST(l_shipdate AS DATE) AS STRING) AS id, CAST(l_orderkey AS STRING) AS order_id,
   CAST(l_partkey AS STRING) AS sku_id, CAST(o_custkey AS STRING) AS user_id, CAST(o_custkey % 25 AS STRING) AS province_id, CAST(l_extendedprice AS DECIMAL(16,2)) AS split_total_amount, l_discount, l_returnflag, l_suppkey,
   EPOCH_MS(CAST(o_orderdate AS TIMESTAMP) + INTERVAL '1' SECOND * (o_orderkey * 7919 % 86400 - 7 + CAST(l_linenumber AS BIGINT))) AS ts_ms FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey"""
 LINES_SQL = LINES.replace("EPOCH_MS(", "epoch_ms(").format(lineitem="lineitem", orders="orders")

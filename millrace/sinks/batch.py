@@ -10,8 +10,12 @@ from millrace.functions.dates import as_date
 
 
 def write_partitions(df: DataFrame, path: str, partition: str = "dt", fmt: str = "parquet") -> None:
-    """Replace exactly the partitions present in ``df``; a re-run gives the same table."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace exactly the partitions present in ``df``; a re-run gives the same table.
+
+    Rows are rebalanced by partition value before the write: few files per partition, and a
+    partition with a large share of the rows is split over several tasks.
+    """
+    (df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).format(fmt).save(path))
 
 
@@ -83,21 +87,22 @@ EXPORT_TYPES = {
 def export_frame(df: DataFrame, overrides: dict[str, str] | None = None) -> DataFrame:
     """Typed export: the first of columns that differ only by case wins, types follow the map,
     nested values become JSON text."""
+    unique = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
     seen: set[str] = set()
     cols = []
-    for field in df.schema.fields:
-        low = field.name.lower()
+    for i, field in enumerate(df.schema.fields):
+        low, col = field.name.lower(), F.col(f"_c{i}")
         if low in seen:
             continue
         seen.add(low)
         kind = field.dataType.simpleString()
         target = (overrides or {}).get(low)
         if target is None and kind.startswith(("array", "map", "struct")):
-            cols.append(F.to_json(F.col(f"`{field.name}`")).alias(low))
+            cols.append(F.to_json(col).alias(low))
             continue
         target = target or (kind if kind.startswith("decimal") else EXPORT_TYPES.get(kind, "string"))
-        cols.append(F.col(f"`{field.name}`").cast(target).alias(low))
-    return df.select(*cols)
+        cols.append(col.cast(target).alias(low))
+    return unique.select(*cols)
 
 
 def export_table(df: DataFrame, target: str, fmt: str = "parquet", overrides: dict[str, str] | None = None,

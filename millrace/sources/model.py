@@ -15,7 +15,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 _LINE_ID = ("CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || "
-            "CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING)")
+            "CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(CAST(l_shipdate AS DATE) AS STRING)")
 _PRICE = "CAST(l_extendedprice AS DECIMAL(16,2))"
 _K = "CAST(split_part(split_part(props, ': ', 2), '}}', 1) AS BIGINT)"
 _MONEY = "CAST(value AS DECIMAL(16,2))"
