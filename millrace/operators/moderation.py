@@ -29,11 +29,12 @@ def bounded_words(words: DataFrame, limit: int = LITERAL_WORDS) -> list[str] | N
 
 def moderate_literal(comments: DataFrame, words: list[str], text: str = "msg") -> DataFrame:
     """Narrow form for a small list: no shuffle, also usable on streams."""
-    body = F.lower(F.col(text))
-    last = F.trim(last_token(body))
     listed = F.array(*[F.lit(w) for w in words]) if words else F.expr("cast(array() as array<string>)")
-    hits = F.filter(listed, lambda w: F.contains(body, w))
-    return _graded(comments, last, F.array_contains(listed, last), hits)
+    # one-element explodes: the lowered text and the match list are each computed once per row
+    rows = comments.withColumn("_body", F.explode(F.array(F.lower(F.col(text)))))
+    rows = rows.withColumn("_hits", F.explode(F.array(F.filter(listed, lambda w: F.contains(F.col("_body"), w)))))
+    last = F.trim(last_token(F.col("_body")))
+    return _graded(rows, last, F.array_contains(listed, last), F.col("_hits")).drop("_body", "_hits")
 
 
 def moderate_join(comments: DataFrame, words: DataFrame, key: str, text: str = "msg") -> DataFrame:
@@ -46,10 +47,12 @@ def moderate_join(comments: DataFrame, words: DataFrame, key: str, text: str = "
     listed = words.select(F.lower("word").alias("word")).where(F.length("word") > 0).distinct()
     listed = listed.withColumn("gram", F.substring("word", 1, 3)).withColumn("n", F.length("gram"))
     body = comments.select(F.col(key), F.lower(F.col(text)).alias("body"))
-    spots = F.sequence(F.lit(1), F.greatest(F.length("body"), F.lit(1)))
-    grams = F.flatten(F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: F.transform(
-        spots, lambda i: F.substring(F.col("body"), i, n))))
-    exploded = body.select(key, F.explode(F.array_distinct(grams)).alias("gram"))
+    # every character run of up to three, at any position, through three shifted regular matches
+    runs = [F.regexp_extract_all(F.substr("body", F.lit(k)), F.lit("(?s)(.{1,3})"), F.lit(1)) for k in (1, 2, 3)]
+    grams = F.array_distinct(F.flatten(F.array(*runs)))
+    shorter = F.array_distinct(F.flatten(F.transform(grams, lambda g: F.array(
+        g, F.substring(g, 1, 2), F.substring(g, 2, 2), F.substring(g, 1, 1), F.substring(g, 2, 1), F.substring(g, 3, 1)))))
+    exploded = body.select(key, F.explode(shorter).alias("gram"))
     candidates = exploded.join(listed, "gram").select(key, "word")
     hits = (candidates.join(body, key).where(F.contains("body", F.col("word")))
             .groupBy(key).agg(F.array_sort(F.collect_set("word")).alias("_hits")))

@@ -28,9 +28,13 @@ def fact_traffic(log: DataFrame, product: DataFrame) -> DataFrame:
     return _named(latest_per_key(log, ["log_id"], ["visit_time"]), product)
 
 
-def fact_price(history: DataFrame, product: DataFrame) -> DataFrame:
+def valid_prices(history: DataFrame) -> DataFrame:
     valid = history.where((F.col("old_price") > 0) & (F.col("new_price") > 0))
-    return _named(latest_per_key(valid, ["product_id", "change_time"], ["new_price"]), product)
+    return latest_per_key(valid, ["product_id", "change_time"], ["new_price"])
+
+
+def fact_price(history: DataFrame, product: DataFrame) -> DataFrame:
+    return _named(valid_prices(history), product)
 
 
 def fact_review(review: DataFrame, product: DataFrame) -> DataFrame:
@@ -68,11 +72,16 @@ def sku_day(orders: DataFrame) -> DataFrame:
 
 
 def price_day(prices: DataFrame) -> DataFrame:
-    return prices.groupBy("dt", "product_id", *PRODUCT).agg(
+    """Prices per product and day; join names afterwards where a report shows them."""
+    return prices.groupBy("dt", "product_id").agg(
         ratio(F.sum("new_price"), F.count("new_price"), 2).alias("avg_price"),
         F.min("new_price").alias("min_price"), F.max("new_price").alias("max_price"))
 
 
+def named_price_day(prices: DataFrame, product: DataFrame) -> DataFrame:
+    return _named(price_day(prices), product)
+
+
 def channel_day(traffic: DataFrame, orders: DataFrame) -> DataFrame:
     """Visitors and views per channel; conversion is the share of visitors who ordered that day."""
     per_user = traffic.groupBy("dt", "product_id", "user_id", *PRODUCT, "channel").agg(F.count(F.lit(1)).alias("n"))

@@ -36,8 +36,9 @@ def envelopes(df: DataFrame, name: str, op: Column, before: Column, after: Colum
     gone = op == "d"
     fresh = op.isin("r", "c")
     src = _map(db=F.lit("trade"), table=F.lit(name), snapshot=F.when(op == "r", "true").otherwise("false"))
-    return df.select(F.to_json(F.struct(op.alias("op"), F.when(~fresh, before).alias("before"), F.when(~gone, after).alias("after"),
-                                        src.alias("source"), ts_ms.alias("ts_ms"))).alias("value"))
+    text = F.to_json(F.struct(op.alias("op"), F.when(~fresh, before).alias("before"), F.when(~gone, after).alias("after"),
+                              src.alias("source"), ts_ms.alias("ts_ms")))
+    return df.select(F.explode(F.array(text)).alias("value"))
 
 
 ORDERS = """SELECT o_orderkey AS id, o_custkey AS user_id, o_orderstatus AS s, CAST(o_totalprice AS DECIMAL(16,2)) AS total_amount,

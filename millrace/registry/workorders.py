@@ -207,6 +207,7 @@ class View:
         self.order = p360.fact_order(m["event_order"], p)
         self.traffic = p360.fact_traffic(m["traffic_log"], p)
         self.price = p360.fact_price(m["price_history"], p)
+        self.prices = p360.valid_prices(m["price_history"])
         self.review = p360.fact_review(m["review"], p)
         self.user = p360.dim_user(m["user_profile"])
 
@@ -221,7 +222,7 @@ query("product360_dwd_dim_product", "product_id:i product_name:s category_id:i c
 _DC = f"dt:s product_id:i {_NC} sales_qty:i gmv:d uv:i pv:i conversion_rate:d"
 query("product360_dws_product_day", _DC, "SELECT * FROM v_day")(lambda m: p360.product_day(View(m).order, View(m).traffic))
 query("product360_dws_sku_attr", "dt:s product_id:i sku_id:i sales_qty:i gmv:d", "SELECT * FROM v_sku_day")(lambda m: p360.sku_day(View(m).line_order))
-query("product360_dws_price", f"dt:s product_id:i {_NC} avg_price:d min_price:d max_price:d", "SELECT * FROM v_price_day")(lambda m: p360.price_day(View(m).price))
+query("product360_dws_price", f"dt:s product_id:i {_NC} avg_price:d min_price:d max_price:d", "SELECT * FROM v_price_day")(lambda m: p360.named_price_day(View(m).prices, m["product_info"]))
 query("product360_dws_channel", f"dt:s product_id:i {_NC} channel:s uv:i pv:i channel_conv_rate:d", "SELECT * FROM v_channel_day")(lambda m: p360.channel_day(View(m).traffic, View(m).order))
 _RC = "total_reviews:i positive_reviews:i negative_reviews:i avg_rating:d positive_rate:d"
 query("product360_dws_review", f"dt:s product_id:i product_name:s {_RC}", "SELECT * FROM v_review_day")(lambda m: p360.review_day(View(m).review))
@@ -233,7 +234,7 @@ query("product360_ads_price_trend", "dt:s product_id:i avg_price:d min_price:d m
 SELECT a.dt, a.product_id, a.avg_price, a.min_price, a.max_price, {signed_ratio('CAST(round(a.avg_price * 100) AS BIGINT) - CAST(round(b.avg_price * 100) AS BIGINT)', 'CAST(round(b.avg_price * 100) AS BIGINT)', 4)} AS yoy_change,
   {signed_ratio('CAST(round(a.avg_price * 100) AS BIGINT) - CAST(round(c.avg_price * 100) AS BIGINT)', 'CAST(round(c.avg_price * 100) AS BIGINT)', 4)} AS mom_change
 FROM v_price_day a LEFT JOIN v_price_day b ON a.product_id = b.product_id AND a.dt - 365 = b.dt LEFT JOIN v_price_day c ON a.product_id = c.product_id AND a.dt - 1 = c.dt""")(
-    lambda m: p360.price_trend(p360.price_day(View(m).price)))
+    lambda m: p360.price_trend(p360.price_day(View(m).prices)))
 _W = ", ".join(f"coalesce(c.{n}_uv, 0) AS {n}_uv, coalesce(c.{n}_conv_rate, 0) AS {n}_conv_rate" for n in p360.CHANNELS)
 _WP = ", ".join(f"max(CASE WHEN channel = '{v}' THEN uv ELSE 0 END) AS {k}_uv, max(CASE WHEN channel = '{v}' THEN channel_conv_rate ELSE 0 END) AS {k}_conv_rate" for k, v in p360.CHANNELS.items())
 
@@ -243,7 +244,7 @@ SELECT d.*, p.avg_price, p.min_price, p.max_price, {_W}, r.total_reviews, r.posi
 LEFT JOIN (SELECT dt, product_id, {_WP} FROM v_channel_day GROUP BY 1, 2) c USING (dt, product_id) LEFT JOIN v_review_day r USING (dt, product_id)""")
 def _(m):
     v = View(m)
-    return p360.wide_360(p360.product_day(v.order, v.traffic), p360.price_day(v.price),
+    return p360.wide_360(p360.product_day(v.order, v.traffic), p360.price_day(v.prices),
                          p360.channel_day(v.traffic, v.order), p360.review_day(v.review))
 
 

@@ -10,7 +10,8 @@ ENVELOPE = ("op string, before map<string,string>, after map<string,string>, "
 
 def decode(df: DataFrame, column: str = "value") -> DataFrame:
     """Envelope rows with the event time ``et``; unparsable rows are dropped."""
-    doc = df.select(F.from_json(F.col(column), ENVELOPE).alias("e")).where(F.col("e.op").isNotNull())
+    # the one-element explode keeps later filters above the parser: one parse per text
+    doc = df.select(F.explode(F.array(F.from_json(F.col(column), ENVELOPE))).alias("e")).where(F.col("e.op").isNotNull())
     return doc.select("e.*").withColumn("et", F.timestamp_millis("ts_ms"))
 
 

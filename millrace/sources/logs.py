@@ -32,8 +32,12 @@ def _parsed(text: Column) -> Column:
 
 
 def decode(df: DataFrame, column: str = "log") -> DataFrame:
-    """Parse once; ``doc`` is the document, ``dirty`` marks text that is not a JSON object."""
-    doc = df.withColumn("doc", _parsed(F.col(column)))
+    """Parse once; ``doc`` is the document, ``dirty`` marks text that is not a JSON object.
+
+    The one-element explode keeps later filters and field picks above the parser, so each text is
+    parsed a single time instead of once per filter and field.
+    """
+    doc = df.withColumn("doc", F.explode(F.array(_parsed(F.col(column)))))
     return doc.withColumn("dirty", F.col("doc").isNull() | F.col("doc._corrupt").isNotNull())
 
 
@@ -74,7 +78,9 @@ def to_documents(flat: DataFrame, errors: bool = False) -> DataFrame:
         parts.append(F.when(F.col("acts") > 0, F.array(F.struct(
             F.lit("cart_add").alias("action_id"), F.col("item").alias("item"),
             F.lit("sku_id").alias("item_type"), F.col("ts_ms").alias("ts")))).alias("actions"))
-    return flat.select(F.to_json(F.struct(*parts, F.col("ts_ms").alias("ts"))).alias("log"))
+    text = F.to_json(F.struct(*parts, F.col("ts_ms").alias("ts")))
+    # one-element explode: filters on the text do not build it again
+    return flat.select(F.explode(F.array(text)).alias("log"))
 
 
 def route(docs: DataFrame) -> DataFrame:
