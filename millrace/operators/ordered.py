@@ -1,7 +1,7 @@
 """Ordered neighbours and ranks that survive a hot key.
 
 A plain window puts all rows of a key into one task. Here the key is cut into time chunks
-(an hour by default): windows run per (key, chunk), a small per-chunk summary carries the
+(a minute by default): windows run per (key, chunk), a small per-chunk summary carries the
 boundary values, and both are joined on (key, chunk). The heaviest task holds one chunk.
 """
 
@@ -13,7 +13,7 @@ from millrace.sinks.workspace import cut
 
 
 def with_neighbours(df: DataFrame, keys: list[str], time: str, ties: list[str], value: list[str],
-                    grain: str = "hour", nulls: bool = True) -> DataFrame:
+                    grain: str = "minute", nulls: bool = True) -> DataFrame:
     """Add ``row_no`` (1-based), ``prev`` and ``next`` (structs of ``value``) per key in time order."""
     chunked = df.withColumn("_chunk", F.date_trunc(grain, F.col(time)))
     order = [F.col(time), *[F.col(t) for t in ties]]
@@ -45,7 +45,7 @@ def with_neighbours(df: DataFrame, keys: list[str], time: str, ties: list[str],
 
 
 def running_max(df: DataFrame, keys: list[str], time: str, ties: list[str], value: str, out: str,
-                grain: str = "hour") -> DataFrame:
+                grain: str = "minute") -> DataFrame:
     """Maximum of ``value`` over the strictly earlier rows of the key (in time, then tie order)."""
     chunked = df.withColumn("_chunk", F.date_trunc(grain, F.col(time)))
     local = (Window.partitionBy(*keys, "_chunk").orderBy(F.col(time), *[F.col(t) for t in ties])

@@ -13,7 +13,7 @@ from millrace.operators.ordered import running_max
 
 
 def newest_wins(df: DataFrame, keys: list[str], arrival: str, ties: list[str], version: str,
-                grain: str = "hour", image: DataFrame | None = None) -> DataFrame:
+                grain: str = "minute", image: DataFrame | None = None) -> DataFrame:
     """Rows whose version exceeds every version seen earlier for the key.
 
     ``image`` (keys, version) holds what was seen before this frame.

@@ -40,30 +40,29 @@ def _user_day_product(visits: DataFrame, favs: DataFrame, carts: DataFrame, orde
                       refunds: DataFrame) -> DataFrame:
     """One row per (day, user, product) with the measures of all six event tables.
 
-    Each table is reduced to that grain, the results are stacked and reduced once more: no join
-    between event tables, so measures cannot multiply, and one shuffle. Rows without a visit
-    that day are left out.
+    The tables are stacked as measure rows and reduced by one aggregate (partial sums before the
+    single shuffle): no join between event tables, so measures cannot multiply. Rows without a
+    visit that day are left out.
     """
     def side(df: DataFrame, time: str, **measures: Column) -> DataFrame:
-        return df.groupBy(F.to_date(time).alias("summary_date"), "user_id", "product_id").agg(
-            *[m.alias(n) for n, m in measures.items()])
+        return df.select(F.to_date(time).alias("summary_date"), "user_id", "product_id",
+                         *[m.cast("decimal(16,2)" if n in money else "bigint").alias(n) for n, m in measures.items()])
 
-    one = F.count(F.lit(1))
-    juhua = F.col("activity_type") == "JUHUASUAN"
+    money = {"order_amount", "pay_amount", "juhua", "refund_amount"}
+    one = F.lit(1)
     sides = [
-        side(visits, "visit_time", pv=one, stay=F.sum("stay_seconds"),
-             bounce=F.count(F.when(F.col("stay_seconds") <= 3, 1)),
-             micro=F.max(F.when(F.col("is_micro_detail") == 1, 1))),
+        side(visits, "visit_time", pv=one, stay=F.col("stay_seconds"), bounce=F.when(F.col("stay_seconds") <= 3, 1).otherwise(0),
+             micro=F.when(F.col("is_micro_detail") == 1, 1)),
         side(favs, "fav_time", fav=one),
-        side(carts, "cart_time", cart=one, cart_qty=F.sum("quantity")),
-        side(orders, "order_time", orders=one, order_qty=F.sum("quantity"), order_amount=F.sum("order_amount")),
-        side(pays, "pay_time", pays=one, pay_qty=F.count(F.when(F.col("pay_amount") > 0, 1)),
-             pay_amount=F.sum("pay_amount"), juhua=F.sum(F.when(juhua, F.col("pay_amount")))),
-        side(refunds, "refund_time", refund_amount=F.sum("refund_amount")),
+        side(carts, "cart_time", cart=one, cart_qty=F.col("quantity")),
+        side(orders, "order_time", orders=one, order_qty=F.col("quantity"), order_amount=F.col("order_amount")),
+        side(pays, "pay_time", pays=one, pay_qty=F.when(F.col("pay_amount") > 0, 1).otherwise(0), pay_amount=F.col("pay_amount"),
+             juhua=F.when(F.col("activity_type") == "JUHUASUAN", F.col("pay_amount"))),
+        side(refunds, "refund_time", refund_amount=F.col("refund_amount")),
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
     keys = ["summary_date", "user_id", "product_id"]
-    merged = stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in keys])
+    merged = stacked.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in stacked.columns if c not in keys])
     return merged.where(F.col("pv") > 0)
 
 

@@ -180,16 +180,16 @@ FROM (SELECT o.user_id, o.pay_time, o.total_amount, d.sku_id, row_number() OVER
 LEFT JOIN lb_sku s ON s.skuid = o.sku_id LEFT JOIN lb_category c ON c.id = s.c3id WHERE rn = 1""")
 
 
-def _in(model: str) -> str:
+def in_list(model: str) -> str:
     return ", ".join(f"'{k}'" for k in keys(model))
 
 
 share("lab_scores", f"""
 SELECT f.uid, w.band, w.band_no, sum(w.score) AS score FROM (
- SELECT uid, 'device' AS model, judge_os AS k FROM lab_dev UNION ALL SELECT uid, 'search', CASE WHEN search_category IN ({_in('search')}) THEN search_category ELSE 'default' END FROM lab_dev
+ SELECT uid, 'device' AS model, judge_os AS k FROM lab_dev UNION ALL SELECT uid, 'search', CASE WHEN search_category IN ({in_list('search')}) THEN search_category ELSE 'default' END FROM lab_dev
  UNION ALL SELECT uid, 'pay_time', pay_time_slot FROM lab_ord UNION ALL SELECT uid, 'amount', spending_pow FROM lab_ord
- UNION ALL SELECT uid, 'brand', CASE WHEN tname IN ({_in('brand')}) THEN tname ELSE 'default' END FROM lab_ord
- UNION ALL SELECT uid, 'category', CASE WHEN b1_name IN ({_in('category')}) THEN b1_name ELSE 'default' END FROM lab_ord) f
+ UNION ALL SELECT uid, 'brand', CASE WHEN tname IN ({in_list('brand')}) THEN tname ELSE 'default' END FROM lab_ord
+ UNION ALL SELECT uid, 'category', CASE WHEN b1_name IN ({in_list('category')}) THEN b1_name ELSE 'default' END FROM lab_ord) f
 JOIN lab_w w ON w.model = f.model AND w.k = f.k SEMI JOIN lab_dev ON lab_dev.uid = f.uid SEMI JOIN lab_ord ON lab_ord.uid = f.uid GROUP BY 1, 2, 3""")
 share("lab_base", f"""
 SELECT u.uid, u.uname, coalesce(u.gender, 'home') AS gender, u.user_level, DATE '1970-01-01' + CAST(u.birthday AS INT) AS birthday, b.height, b.weight FROM lb_user u LEFT JOIN lb_body b USING (uid)""")

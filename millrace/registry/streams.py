@@ -8,11 +8,11 @@ from millrace.operators import moderation, validity as va
 from millrace.plans import labels
 from millrace.registry import feeds
 from millrace.registry.base import query, share
-from millrace.registry.events import CART_COLS, DUPLICATES, MOD_SQL, PAY_COLS, VISIT_COLS
+from millrace.registry.events import CART_COLS, DUPLICATES, MOD_SQL, PAY_COLS, VISIT_COLS, in_list
 from millrace.sinks.merge import partial_image
 from millrace.sources import cdc
 from millrace.streaming import images, state, trade, traffic
-from millrace.streaming.runner import run_append, run_upsert
+from millrace.streaming.runner import run_append, run_batches, run_upsert
 
 share("f_orders", feeds.ORDERS_SQL)
 share("f_carts", feeds.CARTS_SQL)
@@ -232,8 +232,9 @@ def _(m):
     """Every comment is delivered twice; repeats are removed exactly."""
     once = m.over("comments", conversations=feeds.table(m, "conversations")).withColumn("et", F.timestamp_seconds(F.col("id") + 86400))
     twice = once.unionByName(m.over("comments", conversations=feeds.table(m, "conversations")).withColumn("et", F.timestamp_seconds(F.col("id") + 86400)))
-    words = moderation.bounded_words(m["words"], 100_000)
-    return run_append(trade.moderated(twice, words), "moderation")
+    once = trade.delivered_once(twice)
+    out = moderation.moderate(twice.sparkSession.createDataFrame([], twice.schema), m["words"], "id")
+    return run_batches(once, "moderation", lambda batch: moderation.moderate(batch, m["words"], "id"), out.schema)
 
 
 @query("stream_dim_router", "sink_table:s row_key:s user_id:i order_status:s ts_ms:i", """
@@ -266,6 +267,21 @@ def _(m):
     return run_upsert(traffic.profiles(labels.page_events(once)), ["uid"], "profiles")
 
 
+@query("stream_order_scores", "user_id:i band:s score:d", f"""
+WITH f AS (SELECT o.user_id, l.id AS line_id, o.total_amount, make_timestamp(o.ts_ms * 1000) AS et, s.tname, c.b1name FROM f_orders o JOIN f_lines l ON l.order_id = CAST(o.id AS VARCHAR) AND abs(l.ts_ms - o.ts_ms) <= 120000
+  LEFT JOIN lb_sku s ON s.skuid = CAST(l.sku_id AS BIGINT) LEFT JOIN lb_category c ON c.id = s.c3id),
+k AS (SELECT user_id, line_id, 'pay_time' AS model, CASE WHEN hour(et) < 6 THEN '凌晨' WHEN hour(et) < 9 THEN '早晨' WHEN hour(et) < 12 THEN '上午' WHEN hour(et) < 14 THEN '中午' WHEN hour(et) < 18 THEN '下午' WHEN hour(et) < 22 THEN '晚上' ELSE '夜间' END AS k FROM f
+  UNION ALL SELECT user_id, line_id, 'amount', CASE WHEN total_amount < 1000 THEN 'low' WHEN total_amount <= 4000 THEN 'mid' ELSE 'high' END FROM f
+  UNION ALL SELECT user_id, line_id, 'brand', CASE WHEN tname IN ({in_list('brand')}) THEN tname ELSE 'default' END FROM f
+  UNION ALL SELECT user_id, line_id, 'category', CASE WHEN b1name IN ({in_list('category')}) THEN b1name ELSE 'default' END FROM f)
+SELECT k.user_id, w.band, sum(w.score) AS score FROM k JOIN lab_w w ON w.model = k.model AND w.k = k.k GROUP BY 1, 2""")
+def _(m):
+    orders = feeds.orders(m).withColumn("et", F.timestamp_millis("ts_ms")).select("id", "user_id", "total_amount", "et")
+    orders = orders.withColumn("id", F.col("id").cast("string"))
+    scores = run_append(trade.order_scores(orders, feeds.lines(m).select("id", "order_id", "sku_id", "et"), m["lb_sku"], m["lb_category"]), "order-scores")
+    return scores.groupBy("user_id", "band").agg(F.sum("score").alias("score"))
+
+
 @query("stream_profile_body", "uid:s height:i weight:i birthday:s", """
 SELECT uid, height, weight, DATE '1970-01-01' + CAST(birthday AS INT) AS birthday FROM lb_user JOIN lb_body USING (uid) WHERE CAST(uid AS BIGINT) % 7 <= 5""")
 def _(m):

@@ -86,3 +86,16 @@ def run_with_image(df: DataFrame, label: str, step: Callable[[DataFrame, DataFra
         (df.writeStream.foreachBatch(write).trigger(availableNow=True)
          .option("checkpointLocation", f"{path}/checkpoint").start().awaitTermination())
     return spark.read.schema(T.StructType([*out.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{path}/data").drop("batch")
+
+
+def run_batches(df: DataFrame, label: str, transform: Callable[[DataFrame], DataFrame], out: T.StructType) -> DataFrame:
+    """Apply a batch function to every micro-batch (for steps with joins or aggregates of their own)."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        transform(batch).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/data/batch={batch_id}")
+
+    with stream_settings(spark):
+        (df.writeStream.foreachBatch(write).trigger(availableNow=True)
+         .option("checkpointLocation", f"{path}/checkpoint").start().awaitTermination())
+    return spark.read.schema(T.StructType([*out.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{path}/data").drop("batch")

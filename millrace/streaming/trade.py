@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.moderation import moderate_literal
+from millrace.functions.bands import day_slot, spending_power
+from millrace.plans.labels import line_scores
 from millrace.sources import cdc
 
 
@@ -134,10 +135,22 @@ def comments_enriched(changes: DataFrame, dic: DataFrame) -> DataFrame:
                          *[F.col(f"r_{c}").alias(f"info_{c}") for c in ("id", "user_id", "province_id", "order_status")])
 
 
-def moderated(comments: DataFrame, words: list[str]) -> DataFrame:
-    """Repeat deliveries (same order and time) are removed exactly, then graded."""
-    once = comments.withWatermark("et", "1 hour").dropDuplicatesWithinWatermark(["order_id", "ts_ms"])
-    return moderate_literal(once, words)
+def delivered_once(comments: DataFrame) -> DataFrame:
+    """Repeat deliveries (same order and time) are removed exactly."""
+    return comments.withWatermark("et", "1 hour").dropDuplicatesWithinWatermark(["order_id", "ts_ms"])
+
+
+def order_scores(orders: DataFrame, lines: DataFrame, sku: DataFrame, categories: DataFrame) -> DataFrame:
+    """Order and line within two minutes, brand and category looked up, scored per age band.
+
+    Static sides and the fixed weights are joined per micro-batch; no state beyond the interval join.
+    """
+    joined = within(orders, lines, {"id": "order_id"}, "-2 MINUTES", "2 MINUTES")
+    joined = joined.select("user_id", F.col("r_id").alias("line_id"), "total_amount", "et", F.col("r_sku_id").cast("bigint").alias("sku_id"))
+    rows = joined.join(sku.withColumnRenamed("skuid", "sku_id"), "sku_id", "left")
+    rows = rows.join(categories.select(F.col("id").alias("c3id"), F.col("b1name").alias("b1_name")), "c3id", "left")
+    rows = rows.withColumn("pay_time_slot", day_slot(F.col("et"))).withColumn("spending_pow", spending_power(F.col("total_amount")))
+    return line_scores(rows, ["user_id", "line_id"], ["pay_time", "amount", "brand", "category"])
 
 
 def route_dimensions(changes: DataFrame, config: DataFrame) -> DataFrame:

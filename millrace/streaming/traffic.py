@@ -78,11 +78,12 @@ def order_windows(changes: DataFrame, key: str, length: str = "10 seconds") -> D
 
 
 def profiles(events: DataFrame) -> DataFrame:
-    """Running profile per user (update mode): page views and distinct device values."""
+    """Running profile per user (update mode): page views, distinct device values, newest search."""
     known = events.where(F.col("uid") != "-1")
     return known.groupBy("uid").agg(
         F.count(F.lit(1)).alias("pv"), F.max("ts_ms").alias("ts_ms"),
-        *[F.array_join(F.array_sort(F.collect_set(c)), ",").alias(c) for c in ("os", "ch", "md", "ba", "search_item")])
+        F.max_by("search_item", F.when(F.col("search_item").isNotNull(), F.col("ts_ms"))).alias("search_item"),
+        *[F.array_join(F.array_sort(F.collect_set(c)), ",").alias(c) for c in ("os", "ch", "md", "ba")])
 
 
 def distinct_events(df: DataFrame, columns: list[str], time: str = "ts", keep: str = "1 hour") -> DataFrame:
