@@ -149,9 +149,10 @@ def test_empty_stream_gives_empty_result(spark, feed):
 
 def test_late_rows_are_dropped_after_the_watermark(spark, rows):
     path = scratch(spark, "late")
-    for i, stamps in enumerate((["2024-01-01 00:00:01", "2024-01-01 01:00:00"], ["2024-01-01 00:00:02"], ["2024-01-01 01:00:05"])):
+    # a batch filters late rows by the watermark of the batch before, so the late row comes third
+    for i, stamps in enumerate((["2024-01-01 00:00:01", "2024-01-01 01:00:00"], ["2024-01-01 01:00:05"], ["2024-01-01 00:00:02"])):
         spark.createDataFrame([(at(s),) for s in stamps], "ts timestamp").coalesce(1).write.parquet(f"{path}/f{i}")
     src = spark.readStream.schema("ts timestamp").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
     agg = src.withWatermark("ts", "3 seconds").groupBy(F.window("ts", "10 seconds").alias("w")).agg(F.count(F.lit(1)).alias("n"))
     got = traffic.edges(run_append(agg, "t-late"))
-    assert rows(got, "n")[0][0] in (1, 2) and got.count() >= 1
+    assert rows(got, "n") == [(1,)]  # the late row is gone, the last window is still open
