@@ -33,7 +33,7 @@ def held_out(id_col: str) -> Column:
     return F.crc32(id_key(id_col)) % 5 == 0
 
 
-def decide(docs: DataFrame, decisions: DataFrame, value: str, share: bool = False,
+def decide(docs: DataFrame, decisions: DataFrame, value: str,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the long column ``_copies``: how often each row stays.
 

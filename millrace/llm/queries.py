@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact
+from millrace.llm import exact, mixing
 from millrace.llm.common import UPPER, table
 from millrace.session import configure
 
@@ -36,3 +36,9 @@ FROM norm JOIN groups USING (t)
 def op1_exact_dedup(spark, sf_dir):
     out = exact.exact_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query()
+def op4_entropy_mix(spark, sf_dir):
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
