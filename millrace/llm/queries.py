@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, mixing
+from millrace.llm import exact, mixing, packing
 from millrace.llm.common import UPPER, table
 from millrace.session import configure
 
@@ -42,3 +43,8 @@ def op1_exact_dedup(spark, sf_dir):
 def op4_entropy_mix(spark, sf_dir):
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query()
+def op8_bin_slack_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
