@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, mixing, packing
+from millrace.llm import exact, langid, mixing, packing
 from millrace.llm.common import UPPER, table
 from millrace.session import configure
 
@@ -48,3 +48,9 @@ def op4_entropy_mix(spark, sf_dir):
 @query()
 def op8_bin_slack_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
