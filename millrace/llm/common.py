@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from millrace.sinks.workspace import cut
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-__all__ = ["table", "cut", "ascii_lower", "id_key", "held_out", "decide", "text_bytes", "gather", "slices"]
+__all__ = ["table", "cut", "ascii_lower", "id_key", "held_out", "decide", "text_bytes", "gather", "slices", "per_process"]
+
+
+def per_process(name: str, make: Callable[[], object]) -> object:
+    """``make()``, kept for later tasks of a worker; functions that travel by value bring no state of their own."""
+    kept = vars(sys).setdefault("_llm_kept", {})
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

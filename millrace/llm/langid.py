@@ -23,31 +23,28 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import held_out, id_key, slices
+from millrace.llm.common import held_out, id_key, per_process, slices
 
 ORDER, BITS, PER_LANG = 5, 12, 1500
 SYMBOLS = 64.0
 PART = 1 << 20
 UNKNOWN = "und"
-_FOLD: list[np.ndarray] = []
 
 
 def _fold() -> np.ndarray:
     """Code of each character of the basic plane: 0 for what is not a letter."""
-    if not _FOLD:
-        codes = np.zeros(0x10000, np.int64)
-        for cp in range(0x10000):
-            if chr(cp).isalpha():
-                codes[cp] = ord(chr(cp).lower()[0]) % ((1 << BITS) - 1) + 1
-        _FOLD.append(codes)
-    return _FOLD[0]
+    codes = np.zeros(0x10000, np.int64)
+    for cp in range(0x10000):
+        if chr(cp).isalpha():
+            codes[cp] = ord(chr(cp).lower()[0]) % ((1 << BITS) - 1) + 1
+    return codes
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of the n-grams that end at each character, the first place of each text, and whether it has letters."""
     pad = "\0" * (ORDER - 1)
     points = np.frombuffer(("\1".join(pad + t for t in texts) + "\1").encode("utf-32-le", "surrogatepass"), np.uint32)
-    chars = _fold()[np.minimum(points, 0xFFFF)]
+    chars = per_process("fold", _fold)[np.minimum(points, 0xFFFF)]
     ends = points == 1
     letters = chars > 0
     stay = letters | ends | (points == 0)
@@ -179,11 +176,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def calibrate(models: LanguageModels, aside: DataFrame) -> None:
     """Temperature and rejection limit from labelled documents that the counts have not seen."""
-    shared = aside.sparkSession.sparkContext.broadcast(models)
-
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, has = shared.value.entropies(_texts(batch.column(1)))
+            values, has = models.entropies(_texts(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).filter(pa.array(has)), pa.array(list(values[has]), pa.list_(pa.float64()))], ["lang", "h"])
 
@@ -206,10 +201,8 @@ def _soft(h: np.ndarray, temperature: float) -> np.ndarray:
 
 def identify(docs: DataFrame, models: LanguageModels, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: language, score, cross-entropy, and whether the text is as likely as known ones."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by the training sample
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = models  # bounded by the training sample
         for batch in batches:
             ids, held, texts = batch.column(0), batch.column(1), _texts(batch.column(2))
             lang, chance, entropy = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts)), np.full(len(texts), np.nan)

@@ -22,12 +22,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from millrace.llm.common import cut
+from millrace.llm.common import cut, per_process
 
 CAPACITY, END_ID = 1024, 2
 BUCKET = 4096
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_ENCODERS: dict[str, object] = {}
 
 
 class _Encoder:
@@ -58,9 +57,7 @@ class _Encoder:
 
 
 def encoder(path: str) -> _Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = _Encoder(path)
-    return _ENCODERS[path]
+    return per_process(f"encoder {path}", lambda: _Encoder(path))
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, langid, mixing, packing
+from millrace.llm import exact, langid, mixing, packing, toxicity
 from millrace.llm.common import UPPER, table
 from millrace.session import configure
 
@@ -54,3 +54,8 @@ def op8_bin_slack_packing(spark, sf_dir):
 def op7_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train(docs))
+
+
+@query()
+def op2_toxicity_grammar(spark, sf_dir):
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
