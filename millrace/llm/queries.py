@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, langid, mixing, packing, toxicity
+from millrace.llm import exact, langid, mixing, packing, pii, toxicity
 from millrace.llm.common import UPPER, table
 from millrace.session import configure
 
@@ -59,3 +59,8 @@ def op7_language_id(spark, sf_dir):
 @query()
 def op2_toxicity_grammar(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op5_personal_data(spark, sf_dir):
+    return pii.personal_data(table(spark, sf_dir, "documents")).drop("base")
