@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, langid, mixing, packing, pii, toxicity
+from millrace.llm import exact, jaccard, langid, mixing, packing, pii, toxicity
 from millrace.llm.common import UPPER, table
 from millrace.session import configure
 
@@ -64,3 +64,8 @@ def op2_toxicity_grammar(spark, sf_dir):
 @query()
 def op5_personal_data(spark, sf_dir):
     return pii.personal_data(table(spark, sf_dir, "documents")).drop("base")
+
+
+@query()
+def op9_ngram_jaccard(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
