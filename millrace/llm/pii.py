@@ -22,12 +22,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.llm.common import slices
+
 KINDS = ("email", "ip", "card", "phone")
 #: Outside, then beginning and inside of each kind.
 N_LABELS = 1 + 2 * len(KINDS)
 DIMENSIONS = 1 << 13
 #: Cells (windows times pieces) of one Viterbi batch.
 CELLS = 1 << 16
+#: Characters whose stretches are decoded together.
+PART = 1 << 20
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -323,7 +327,9 @@ def personal_data(docs: DataFrame, field: Field | None = None, id_col: str = "do
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = find([t or "" for t in batch.column(1).to_pylist()], model)
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            ends = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
+            found = [x for a, b in slices(ends, PART) for x in find(texts[a:b], model)]
             counts = [pa.array([sum(s[0] == k for s in base) for base, _ in found], pa.int64()) for k in range(len(KINDS))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *counts, pa.array([_listed(base) for base, _ in found], pa.string()),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, jaccard, langid, mixing, packing, pii, toxicity
+from millrace.llm import exact, jaccard, langid, mixing, packing, pii, suffix, toxicity
 from millrace.llm.common import UPPER, table
 from millrace.session import configure
 
@@ -69,3 +69,8 @@ def op5_personal_data(spark, sf_dir):
 @query()
 def op9_ngram_jaccard(spark, sf_dir):
     return jaccard.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query()
+def op3_suffix_dedup(spark, sf_dir):
+    return suffix.repeated_strings(table(spark, sf_dir, "documents")).drop("span_edges")
