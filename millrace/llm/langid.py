@@ -23,11 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import held_out, id_key, per_process, slices
+from millrace.llm.common import held_out, id_key, per_process
 
 ORDER, BITS, PER_LANG = 5, 12, 1500
 SYMBOLS = 64.0
-PART = 1 << 20
+#: Characters that are coded at a time.
+PART = 1 << 19
+DRAWS = 1 << 20
 UNKNOWN = "und"
 
 
@@ -91,19 +93,32 @@ class LanguageModels:
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per character of each text in every language, and whether it has a letter."""
-        grams, starts, has = _codes(texts)
-        ends = np.append(starts[1:] - ORDER, len(grams))
-        sums = np.zeros((len(texts), len(self.langs)))
-        lengths = np.maximum(ends - starts, 1)
-        bounds = np.append(starts, len(grams))
-        for a, b in slices(bounds, PART):
-            for lo in range(bounds[a], bounds[b], PART):  # a text longer than a part is summed in parts
-                hi = min(lo + PART, bounds[b])
-                logs = self.characters(grams[lo:hi])
-                running = np.concatenate((np.zeros((1, len(self.langs))), np.cumsum(logs, axis=0, dtype=np.float64)))
-                first, last = np.clip(starts[a:b], lo, hi) - lo, np.clip(ends[a:b], lo, hi) - lo
-                sums[a:b] += running[np.maximum(last, first)] - running[first]
-        return -sums / lengths[:, None], has
+        sums, lengths, has = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), np.int64), np.zeros(len(texts), bool)
+        for rows, parts in _parts(texts):
+            grams, starts, letters = _codes(parts)
+            ends = np.append(starts[1:] - ORDER, len(grams))
+            running = np.concatenate((np.zeros((1, len(self.langs))), np.cumsum(self.characters(grams), axis=0, dtype=np.float64)))
+            np.add.at(sums, rows, running[ends] - running[starts])
+            np.add.at(lengths, rows, ends - starts)
+            has[rows[letters]] = True
+        return -sums / np.maximum(lengths, 1)[:, None], has
+
+
+def _parts(texts: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
+    """Rows and texts of about PART characters together; a longer text is read in several parts."""
+    rows: list[int] = []
+    parts: list[str] = []
+    size = 0
+    for row, text in enumerate(texts):
+        for at in range(0, max(len(text), 1), PART):
+            rows.append(row)
+            parts.append(text[at:at + PART])
+            size += len(parts[-1])
+            if size >= PART:
+                yield np.array(rows), parts
+                rows, parts, size = [], [], 0
+    if rows:
+        yield np.array(rows), parts
 
 
 def _smoothed(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> LanguageModels:
@@ -144,7 +159,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Models of all languages among the documents that may be learned from."""
     known = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-        (F.pmod(F.xxhash64(id_key(id_col)), F.lit(1 << 20)) / (1 << 20)).alias("draw"),
+        (F.pmod(F.xxhash64(id_key(id_col)), F.lit(DRAWS)) / DRAWS).alias("draw"),
         (F.crc32(id_key(id_col)) % 5 == 1).alias("aside"))
     per = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row per language
     if not per:
@@ -155,8 +170,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, texts = batch.column(0).to_pylist(), _texts(batch.column(1))
-            for lang in sorted(set(langs)):
-                grams, starts, _ = _codes([t for t, x in zip(texts, langs) if x == lang])
+            for lang, (_, parts) in ((x, p) for x in sorted(set(langs)) for p in _parts([t for t, y in zip(texts, langs) if y == x])):
+                grams, starts, _ = _codes(parts)
                 inside = np.ones(len(grams), bool)
                 for k in range(1, ORDER + 1):  # n-grams that reach over the end of a text
                     inside[np.maximum(starts[1:] - k, 0)] = False
