@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, jaccard, langid, mixing, packing, pii, suffix, toxicity
+from millrace.llm import caps, exact, jaccard, langid, mixing, packing, pii, suffix, toxicity
 from millrace.llm.common import UPPER, table
 from millrace.session import configure
 
@@ -74,3 +74,21 @@ def op9_ngram_jaccard(spark, sf_dir):
 @query()
 def op3_suffix_dedup(spark, sf_dir):
     return suffix.repeated_strings(table(spark, sf_dir, "documents")).drop("span_edges")
+
+
+@query("""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degrees AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN roots USING (vec_id) LEFT JOIN degrees USING (vec_id)
+""")
+def op6_cap_filters(spark, sf_dir):
+    return caps.near_vectors(table(spark, sf_dir, "embeddings"))
