@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import caps, exact, jaccard, langid, mixing, packing, pii, suffix, toxicity
+from millrace.llm import caps, exact, jaccard, langid, mixing, packing, pii, quotes, suffix, toxicity
 from millrace.llm.common import UPPER, table
 from millrace.session import configure
 
@@ -92,3 +92,8 @@ FROM embeddings JOIN roots USING (vec_id) LEFT JOIN degrees USING (vec_id)
 """)
 def op6_cap_filters(spark, sf_dir):
     return caps.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op10_quotation_threads(spark, sf_dir):
+    return quotes.reply_order(table(spark, sf_dir, "conversations"))
