@@ -12,20 +12,49 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import public_tokenizers  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from millrace.llm import exact  # noqa: E402
+from millrace.llm import exact, jaccard, mixing, packing, toxicity  # noqa: E402
 from millrace.llm.common import cut, table  # noqa: E402
 from millrace.session import configure  # noqa: E402
 
 
-def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the clause grammar, learned from the labels, doesn't reject."""
+    return toxicity.drop_toxic(docs, table(configure(spark), sf_dir, "labels"))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    configure(spark)
     return exact.drop_copies(docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links of five-word shingles connect."""
+    configure(spark)
+    return jaccard.keep_one(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target weight asks for."""
+    configure(spark)
+    return mixing.resample(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences."""
+    configure(spark)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("exact_dedup", exact_copies),
+    ("toxicity", without_toxic),
+    ("exact_dedup", without_copies),
+    ("ngram_jaccard", without_near_copies),
+    ("mixing", mixed),
+    ("packing", packed),
 ]
 
 #: Trained models, similarity joins and tokenising have no SQL form; tests hold the stages against brute force.
