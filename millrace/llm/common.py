@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from millrace.sinks.workspace import cut
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-__all__ = ["table", "cut", "ascii_lower", "id_key", "held_out", "decide", "text_bytes", "gather", "slices", "per_process"]
+__all__ = ["table", "cut", "ascii_lower", "id_key", "held_out", "decide", "text_bytes", "fresh", "slices", "per_process"]
 
 
 def per_process(name: str, make: Callable[[], object]) -> object:
@@ -42,32 +42,32 @@ def held_out(id_col: str) -> Column:
     return F.crc32(id_key(id_col)) % 5 == 0
 
 
-def decide(docs: DataFrame, decisions: DataFrame, value: str,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the long column ``_copies``: how often each row stays.
+def decide(docs: DataFrame, decisions: DataFrame, value: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one more column, the last: how often each row stays.
 
     ``decisions`` has one row per document with its id, ``text_hash`` (xxhash64 of the text) and ``value``
     (how often that document stays). Rows that repeat an id and a text share the sum of their decisions, the
     first ones getting the larger parts; with the decision "one of them stays" exactly one does. Docs move once.
     """
-    names = set(docs.columns)
-    key, part, total, rank = (_free(names, n) for n in ("_key", "_part", "_total", "_rank"))
+    key, part, total, rank, rows, copies = fresh(docs, "key", "part", "total", "rank", "rows", "copies")
     per_key = decisions.groupBy(id_key(id_col).alias(key), F.col("text_hash").alias(part)).agg(
         F.sum(F.col(value).cast("long")).alias(total))
     keyed = docs.withColumns({key: id_key(id_col), part: F.xxhash64(F.col(text_col))})
     same = Window.partitionBy(key, part)
-    joined = keyed.join(per_key, [key, part])
-    ranked = joined.withColumns({rank: F.row_number().over(same.orderBy(F.lit(0))),
-                                 "_rows": F.count(F.lit(1)).over(same)})
-    k, m, t = F.col(rank), F.col("_rows"), F.col(total)
-    copies = F.floor((t * k + m - 1) / m) - F.floor((t * (k - 1) + m - 1) / m)
-    return ranked.withColumn("_copies", copies).select(*docs.columns, "_copies")
+    ranked = keyed.join(per_key, [key, part]).withColumns({
+        rank: F.row_number().over(same.orderBy(F.lit(0))), rows: F.count(F.lit(1)).over(same)})
+    k, m, t = F.col(rank), F.col(rows), F.col(total)
+    share = F.floor((t * k + m - 1) / m) - F.floor((t * (k - 1) + m - 1) / m)
+    return ranked.select(*docs.columns, share.alias(copies))
 
 
-def _free(names: set[str], name: str) -> str:
-    while name in names:
-        name += "_"
-    return name
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, marked so that no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    mark = "_"
+    while any(mark + n in taken for n in names):
+        mark += "_"
+    return [mark + n for n in names]
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -79,20 +79,6 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def gather(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Table]:
-    """Small batches joined until they hold about ``most_bytes``."""
-    kept: list[pa.RecordBatch] = []
-    size = 0
-    for batch in batches:
-        kept.append(batch)
-        size += batch.nbytes
-        if size >= most_bytes:
-            yield pa.Table.from_batches(kept)
-            kept, size = [], 0
-    if kept:
-        yield pa.Table.from_batches(kept)
-
-
 def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes each, or of one row."""
     at, n = 0, len(offsets) - 1

@@ -64,4 +64,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts."""
     found = exact_dedup(docs, id_col, text_col).withColumnRenamed("doc_id", id_col)
-    return decide(docs, found, "kept", id_col=id_col, text_col=text_col).filter("_copies > 0").drop("_copies")
+    decided = decide(docs, found, "kept", id_col, text_col)
+    return decided.filter(F.col(decided.columns[-1]) > 0).select(*docs.columns)

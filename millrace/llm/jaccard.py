@@ -247,4 +247,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each near-duplicate group."""
     found = near_duplicates(docs, id_col, text_col).withColumnRenamed("doc_id", id_col)
-    return decide(docs, found, "kept", id_col=id_col, text_col=text_col).filter("_copies > 0").drop("_copies")
+    decided = decide(docs, found, "kept", id_col, text_col)
+    return decided.filter(F.col(decided.columns[-1]) > 0).select(*docs.columns)

@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.llm.common import cut, decide
+from millrace.llm.common import cut, decide, fresh
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
@@ -137,6 +137,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``docs`` with each row as often as the mix takes it."""
     found = mix(docs, id_col, text_col, source_col).withColumnRenamed("doc_id", id_col)
-    times = decide(docs, found, "copies", id_col=id_col, text_col=text_col)
-    copies = times.filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return copies.select(*docs.columns)
+    times = decide(docs, found, "copies", id_col, text_col)
+    n = times.columns[-1]
+    each = F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))
+    return times.filter(F.col(n) > 0).withColumn(fresh(times, "copy")[0], each).select(*docs.columns)

@@ -162,8 +162,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     if n > most:
         known = known.filter(F.pmod(F.xxhash64(F.col("_id").cast("string")), F.lit(1 << 20)) < int(most / n * (1 << 20)))
     # at most about ``most`` rows of two numbers
-    chosen = docs.join(F.broadcast(known), F.col(id_col) == F.col("_id"))
-    return cut(chosen.select(F.col(text_col).alias("text"), "toxic"), "labelled")
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    return cut(texts.join(F.broadcast(known), "_id").select("text", "toxic"), "labelled")
 
 
 def _features(text: str) -> set[str]:
