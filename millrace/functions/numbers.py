@@ -44,12 +44,3 @@ def floor_zero(col: Column) -> Column:
 
 def within_or(col: Column, low: int, high: int, default: int) -> Column:
     return F.when(col.between(low, high), col).otherwise(F.lit(default))
-
-
-def count_if(cond: Column) -> Column:
-    """Conditional count: zero, not null, when nothing matches."""
-    return F.count(F.when(cond, F.lit(1)))
-
-
-def sum_if(cond: Column, value: Column) -> Column:
-    return F.sum(F.when(cond, value))

@@ -43,7 +43,8 @@ def discount_rule(kind: Column, codes: tuple[str, str, str], third: Column,
 
 
 def last_token(col: Column, sep: str = ",") -> Column:
-    return F.element_at(F.split(col, sep), -1)
+    """Last token; empty tokens at the end do not count."""
+    return F.element_at(F.split(F.regexp_replace(col, f"{sep}+$", ""), sep), -1)
 
 
 def hash_bucket(col: Column, buckets: int = 128, pinned: dict[str, int] | None = None) -> Column:
@@ -60,13 +61,5 @@ def hash_bucket(col: Column, buckets: int = 128, pinned: dict[str, int] | None =
     return out
 
 
-def percent_text(numerator: Column, denominator: Column) -> Column:
-    """``12.34%`` style text; zero denominator gives ``0.00%``."""
-    from millrace.functions.numbers import ratio
-
-    pct = F.coalesce(ratio(numerator * 100, denominator, 2), F.lit(0).cast("decimal(20,2)"))
-    return F.concat(pct.cast("string"), F.lit("%"))
-
-
 def percent_value(col: Column) -> Column:
     return F.regexp_replace(col, "%", "").cast("decimal(20,2)")

@@ -23,6 +23,14 @@ def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], how: str = "left
     return joined.select(*kept, *[F.col(f"_v_{n}").alias(n) for n in columns])
 
 
+def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on same-named keys where null meets null; the keys stay as on the left."""
+    named = right.select(*[F.col(k).alias(f"_j_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys])
+    joined = left.join(named, cond, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_j_{k}" for k in keys])
+
+
 def role_names(fact: DataFrame, dic: DataFrame, roles: dict[str, str], code: str = "id",
                name: str = "name", how: str = "left") -> DataFrame:
     """One dictionary in several roles: ``{code column: name column}``."""

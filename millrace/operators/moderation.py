@@ -1,69 +1,43 @@
 """Comment moderation against a block list.
 
-P0: the last comma-separated token is a listed word. P1: any listed word occurs in the text
-(all matches, sorted, joined by ``', '``). Otherwise the comment is clean.
+P0: the last comma-separated token, as it is written, is a listed word; trailing empty tokens do not count, and
+only a P0 row is a violation. P1: any listed word occurs in the text, both in lower case (all
+matches, sorted, joined by ``', '``). Otherwise the comment is clean. Null and empty words are not
+listed. There is one plan for any length of the list, on stored frames and on micro-batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.text import last_token
 
-# Up to this many words the list travels as a literal with the plan; beyond, a trigram join is used.
-LITERAL_WORDS = 500
 
+def moderate(comments: DataFrame, words: DataFrame, text: str = "msg") -> DataFrame:
+    """``comments`` with ``violation_grade``, ``violation_msg`` and ``is_violation``.
 
-def _graded(df: DataFrame, last: Column, is_p0: Column, hits: Column) -> DataFrame:
-    p1 = F.size(hits) > 0
-    return (df.withColumn("violation_grade", F.when(is_p0, "P0").when(p1, "P1").otherwise(""))
-            .withColumn("violation_msg", F.when(is_p0, last).when(p1, F.array_join(hits, ", ")).otherwise(""))
-            .withColumn("is_violation", F.when(is_p0 | p1, 1).otherwise(0)))
-
-
-def bounded_words(words: DataFrame, limit: int = LITERAL_WORDS) -> list[str] | None:
-    """The distinct words if there are at most ``limit`` of them, else None."""
-    rows = words.select("word").where(F.col("word").isNotNull()).distinct().limit(limit + 1).collect()
-    return sorted(r.word for r in rows) if len(rows) <= limit else None
-
-
-def moderate_literal(comments: DataFrame, words: list[str], text: str = "msg") -> DataFrame:
-    """Narrow form for a small list: no shuffle, also usable on streams."""
-    listed = F.array(*[F.lit(w) for w in words]) if words else F.expr("cast(array() as array<string>)")
-    # one-element explodes: the lowered text and the match list are each computed once per row
-    rows = comments.withColumn("_body", F.explode(F.array(F.lower(F.col(text)))))
-    rows = rows.withColumn("_hits", F.explode(F.array(F.filter(listed, lambda w: F.contains(F.col("_body"), w)))))
-    last = F.trim(last_token(F.col("_body")))
-    return _graded(rows, last, F.array_contains(listed, last), F.col("_hits")).drop("_body", "_hits")
-
-
-def moderate_join(comments: DataFrame, words: DataFrame, key: str, text: str = "msg") -> DataFrame:
-    """Form for a long list: candidates by an equi join on three-character grams.
-
-    Every listed word of three characters or more starts with its own gram, so a text that holds
-    the word holds the gram; shorter words are matched on their own length. Candidates carry only
-    the key and the word and are checked against the whole text.
+    Candidates come from an equi join on grams: every listed word of three characters or more starts with its own
+    gram, so a text that holds the word holds the gram; shorter words are matched on their own length. A
+    text is searched once however many comments repeat it; candidates carry only its digest and the
+    word, and are checked against the whole text.
     """
-    listed = words.select(F.lower("word").alias("word")).where(F.length("word") > 0).distinct()
-    listed = listed.withColumn("gram", F.substring("word", 1, 3)).withColumn("n", F.length("gram"))
-    body = comments.select(F.col(key), F.lower(F.col(text)).alias("body"))
+    listed = words.select("word").where(F.col("word") != "").distinct()
+    low = listed.select(F.lower("word").alias("word")).distinct()
+    low = low.withColumn("gram", F.substring("word", 1, 3))
+    body = comments.select(F.lower(F.col(text)).alias("body")).where("body is not null").distinct().withColumn("_text", F.md5("body"))
     # every character run of up to three, at any position, through three shifted regular matches
     runs = [F.regexp_extract_all(F.substr("body", F.lit(k)), F.lit("(?s)(.{1,3})"), F.lit(1)) for k in (1, 2, 3)]
     grams = F.array_distinct(F.flatten(F.array(*runs)))
     shorter = F.array_distinct(F.flatten(F.transform(grams, lambda g: F.array(
         g, F.substring(g, 1, 2), F.substring(g, 2, 2), F.substring(g, 1, 1), F.substring(g, 2, 1), F.substring(g, 3, 1)))))
-    exploded = body.select(key, F.explode(shorter).alias("gram"))
-    candidates = exploded.join(listed, "gram").select(key, "word")
-    hits = (candidates.join(body, key).where(F.contains("body", F.col("word")))
-            .groupBy(key).agg(F.array_sort(F.collect_set("word")).alias("_hits")))
-    last = F.trim(last_token(F.lower(F.col(text))))
+    exploded = body.select("_text", F.explode(shorter).alias("gram"))
+    candidates = exploded.join(low, "gram").select("_text", "word")
+    hits = (candidates.join(body, "_text").where(F.contains("body", F.col("word")))
+            .groupBy("_text").agg(F.array_sort(F.collect_set("word")).alias("_hits")))
     p0 = listed.select(F.col("word").alias("_p0"))
-    out = comments.withColumn("_last", last).join(p0, F.col("_last") == F.col("_p0"), "left").join(hits, key, "left")
-    empty = F.expr("cast(array() as array<string>)")
-    graded = _graded(out, F.col("_last"), F.col("_p0").isNotNull(), F.coalesce("_hits", empty))
-    return graded.drop("_last", "_p0", "_hits")
-
-
-def moderate(comments: DataFrame, words: DataFrame, key: str, text: str = "msg") -> DataFrame:
-    small = bounded_words(words)
-    return moderate_literal(comments, small, text) if small is not None else moderate_join(comments, words, key, text)
+    out = comments.withColumn("_last", last_token(F.col(text))).withColumn("_text", F.md5(F.lower(F.col(text))))
+    out = out.join(p0, F.col("_last") == F.col("_p0"), "left").join(hits, "_text", "left")
+    is_p0, is_p1 = F.col("_p0").isNotNull(), F.col("_hits").isNotNull()
+    return (out.withColumn("violation_grade", F.when(is_p0, "P0").when(is_p1, "P1").otherwise(""))
+            .withColumn("violation_msg", F.when(is_p0, F.col("_last")).when(is_p1, F.array_join("_hits", ", ")).otherwise(""))
+            .withColumn("is_violation", F.when(is_p0, 1).otherwise(0)).drop("_last", "_text", "_p0", "_hits"))

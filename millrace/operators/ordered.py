@@ -2,18 +2,20 @@
 
 A plain window puts all rows of a key into one task. Here the key is cut into time chunks
 (a minute by default): windows run per (key, chunk), a small per-chunk summary carries the
-boundary values, and both are joined on (key, chunk). The heaviest task holds one chunk.
+boundary values, and both are joined on (key, chunk). The heaviest task holds one chunk. Rows with a
+null key are a key of their own; rows with a null time come before all others.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from millrace.operators.joins import null_safe
 from millrace.sinks.workspace import cut
 
 
 def with_neighbours(df: DataFrame, keys: list[str], time: str, ties: list[str], value: list[str],
-                    grain: str = "minute", nulls: bool = True) -> DataFrame:
+                    grain: str = "minute") -> DataFrame:
     """Add ``row_no`` (1-based), ``prev`` and ``next`` (structs of ``value``) per key in time order."""
     chunked = df.withColumn("_chunk", F.date_trunc(grain, F.col(time)))
     order = [F.col(time), *[F.col(t) for t in ties]]
@@ -31,15 +33,8 @@ def with_neighbours(df: DataFrame, keys: list[str], time: str, ties: list[str],
     chunks = chunks.select(*keys, "_chunk", F.coalesce(before, F.lit(0)).alias("_before"),
                            F.lead("_first").over(across).alias("_after_first"),
                            F.lag("_last").over(across).alias("_before_last"))
-    left = inner.alias("l")
-    right = chunks.alias("r")
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys] + [F.col("l._chunk") == F.col("r._chunk")]
-    cond = same[0]
-    for s in same[1:]:
-        cond = cond & s
-    return left.join(right, cond).select(
-        *[F.col(f"l.{c}").alias(c) for c in df.columns],
-        (F.col("_rn") + F.col("_before")).alias("row_no"),
+    return null_safe(inner, chunks, [*keys, "_chunk"]).select(
+        *df.columns, (F.col("_rn") + F.col("_before")).alias("row_no"),
         F.coalesce("_prev", "_before_last").alias("prev"),
         F.coalesce("_next", "_after_first").alias("next"))
 
@@ -54,7 +49,7 @@ def running_max(df: DataFrame, keys: list[str], time: str, ties: list[str], valu
     chunks = chunked.groupBy(*keys, "_chunk").agg(F.max(value).alias("_m"))
     across = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     chunks = chunks.select(*keys, "_chunk", F.max("_m").over(across).alias("_prior"))
-    joined = inner.join(chunks, [*keys, "_chunk"])
+    joined = null_safe(inner, chunks, [*keys, "_chunk"])
     return joined.select(*df.columns, F.greatest("_in", "_prior").alias(out))
 
 

@@ -43,11 +43,6 @@ def wide_days(df: DataFrame, keys: list[str], sums: dict[str, str], as_of: str |
     return scope.groupBy(*keys).agg(*cols)
 
 
-def fan_out_days(df: DataFrame, days: tuple[int, ...] = DAYS) -> DataFrame:
-    """Explode each row to one label per N (only for already small results)."""
-    return df.withColumn("recent_days", F.explode(F.array(*[F.lit(n) for n in days])))
-
-
 def counts_by_last_seen(df: DataFrame, keys: list[str], as_of: str | dt.date, last: str,
                         metrics: dict[str, Column | None], days: tuple[int, ...] = DAYS) -> DataFrame:
     """Per N: number of rows whose ``last`` date falls into the last N days.

@@ -1,7 +1,8 @@
 """Batch forms of the keyed, order-dependent rules.
 
 Each is written as aggregates per key plus an equi join, or over bounded partitions, so that a
-key with a large share of the rows does not end up in one task.
+key with a large share of the rows does not end up in one task. A null key is a key of its own, and
+rows with a null time come first: no rule drops a row for a null.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.operators.dedup import first_per_key, latest_per_key
+from millrace.operators.joins import null_safe
 from millrace.operators.ordered import running_max
 
 
@@ -21,7 +23,7 @@ def newest_wins(df: DataFrame, keys: list[str], arrival: str, ties: list[str], v
     seen = running_max(df, keys, arrival, ties, version, "_seen", grain)
     if image is not None:
         known = image.select(*keys, F.col(version).alias("_known"))
-        seen = seen.join(known, keys, "left").withColumn("_seen", F.greatest("_seen", "_known")).drop("_known")
+        seen = null_safe(seen, known, keys, "left").withColumn("_seen", F.greatest("_seen", "_known")).drop("_known")
     return seen.where(F.col("_seen").isNull() | (F.col(version) > F.col("_seen"))).select(*df.columns)
 
 
@@ -37,10 +39,10 @@ def retractions(df: DataFrame, keys: list[str], order: list[str], image: DataFra
     rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"), F.lit(0).alias("old"))
     if image is not None:
         held = image.select(*df.columns, F.lit(0).cast("bigint").alias("copies"), F.lit(1).alias("old"))
-        held = held.join(df.select(*keys).distinct(), keys, "left_semi")
+        held = null_safe(held, df.select(*keys).distinct(), keys, "left_semi")
         rows = rows.unionByName(held).groupBy(*df.columns).agg(F.sum("copies").alias("copies"), F.max("old").alias("old"))
     newest = rows.groupBy(*keys).agg(F.max(F.struct(*ordered)).alias("_newest"))
-    marked = rows.join(newest, keys)
+    marked = null_safe(rows, newest, keys)
     is_newest = F.struct(*ordered).eqNullSafe(F.col("_newest"))
     taken_back = F.col("copies") + F.col("old") - F.when(is_newest, 1).otherwise(0)
     plus = F.struct(F.lit(1).alias("sign"), F.col("copies").alias("copies"))
@@ -82,7 +84,7 @@ def first_seen(df: DataFrame, device: str, flag: str, time: str, ties: list[str]
 def repair_new_flag(df: DataFrame, device: str, flag: str, time: str, known: DataFrame) -> DataFrame:
     """Correct the new-visitor flag: "new" on another date than the kept one becomes "not new"."""
     kept = known.select(F.col(device).alias("_d"), F.col("first_date").alias("_first"))
-    joined = df.join(kept, F.col(device) == F.col("_d"))
+    joined = df.join(kept, F.col(device).eqNullSafe(F.col("_d")))
     wrong = (F.col(flag) == "1") & (F.to_date(time) != F.col("_first"))
     return joined.withColumn("is_new_fixed", F.when(wrong, "0").otherwise(F.col(flag))).select(*df.columns, "is_new_fixed")
 

@@ -11,11 +11,6 @@ from millrace.functions.text import masked_email, masked_phone
 from millrace.operators.joins import lookup, parent_of, role_names
 
 
-def alive(df: DataFrame) -> DataFrame:
-    """Rows that are not soft-deleted."""
-    return df.where(F.col("is_deleted") == "0")
-
-
 def dim_complex(complexes: DataFrame, region: DataFrame, couriers: DataFrame) -> DataFrame:
     """Complex with province and city (both must exist) and its couriers as a sorted id array."""
     out = lookup(complexes, region, {"province_id": "id"}, "inner", province_name="name")
@@ -73,7 +68,3 @@ def dim_user_address_zip(address: DataFrame) -> DataFrame:
     return address.select(
         "id", "user_id", masked_phone(F.col("phone")).alias("phone"), "province_id", "city_id", "is_default",
         repair_iso_text(F.col("create_time")).alias("start_date"), F.lit(OPEN_DATE).alias("end_date"))
-
-
-def organ_parents(organ: DataFrame) -> DataFrame:
-    return parent_of(organ, "org_parent_id", "id", org_parent_name="org_name")

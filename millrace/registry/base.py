@@ -72,7 +72,7 @@ def share(name: str, text: str) -> None:
 def _plain(name: str) -> str:
     """SQL of a raw-layer table or a shared block, with plain table names."""
     if name in RAW:
-        text = RAW[name].replace("EPOCH_MS(", "epoch_ms(")
+        text = RAW[name].replace("EPOCH_MS(", "epoch_ms(").replace("EACH_TOKEN(", "unnest(string_split(")
         return text.format(**{t: t for t in (*TABLES, *RAW)})
     return SHARED[name]
 

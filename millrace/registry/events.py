@@ -125,17 +125,21 @@ def _(m):
 
 
 # ---- moderation, keywords -----------------------------------------------------------------
-share("md_last", "SELECT *, trim(list_extract(string_split(lower(msg), ','), -1)) AS last_token FROM comments")
+share("md_last", "SELECT *, regexp_extract(regexp_replace(msg, ',+$', ''), '[^,]*$') AS last_token FROM comments")
 share("md_hits", """
-SELECT c.id, string_agg(w.word, ', ' ORDER BY w.word) AS hits FROM comments c JOIN words w ON contains(lower(c.msg), w.word) GROUP BY 1""")
+SELECT c.id, string_agg(w.word, ', ' ORDER BY w.word) AS hits FROM comments c
+JOIN (SELECT DISTINCT lower(word) AS word FROM words WHERE word <> '') w ON contains(lower(c.msg), w.word) GROUP BY 1""")
 _MOD = "id:i order_id:i user_id:i consignee:s msg:s is_violation:i violation_grade:s violation_msg:s"
 MOD_SQL = """
-SELECT l.*, CASE WHEN w.word IS NOT NULL OR h.hits IS NOT NULL THEN 1 ELSE 0 END AS is_violation, CASE WHEN w.word IS NOT NULL THEN 'P0' WHEN h.hits IS NOT NULL THEN 'P1' ELSE '' END AS violation_grade,
+SELECT l.*, CASE WHEN w.word IS NOT NULL THEN 1 ELSE 0 END AS is_violation, CASE WHEN w.word IS NOT NULL THEN 'P0' WHEN h.hits IS NOT NULL THEN 'P1' ELSE '' END AS violation_grade,
   CASE WHEN w.word IS NOT NULL THEN l.last_token WHEN h.hits IS NOT NULL THEN h.hits ELSE '' END AS violation_msg
-FROM md_last l LEFT JOIN words w ON l.last_token = w.word LEFT JOIN md_hits h USING (id)"""
-query("comment_moderation", _MOD, MOD_SQL)(lambda m: moderation.moderate(m["comments"], m["words"], "id"))
-query("comment_moderation_long_list", _MOD, MOD_SQL)(lambda m: moderation.moderate_join(m["comments"], m["words"], "id"))
-
+FROM md_last l LEFT JOIN (SELECT DISTINCT word FROM words WHERE word <> '') w ON l.last_token = w.word LEFT JOIN md_hits h USING (id)"""
+query("comment_moderation", _MOD, MOD_SQL)(lambda m: moderation.moderate(m["comments"], m["words"]))
+share("md_long_hits", """
+SELECT c.id, string_agg(w.word, ', ' ORDER BY w.word) AS hits FROM comments c
+JOIN (SELECT DISTINCT lower(word) AS word FROM long_words WHERE word <> '') w ON contains(lower(c.msg), w.word) GROUP BY 1""")
+query("comment_moderation_long_list", _MOD, MOD_SQL.replace("FROM words", "FROM long_words").replace("md_hits", "md_long_hits"))(
+    lambda m: moderation.moderate(m["comments"], m["long_words"]))
 _WORDS = r"unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'))"
 query("keyword_counts_documents", "lang:s keyword:s keyword_count:i", f"""
 SELECT lang, keyword, count(*) AS keyword_count FROM (SELECT lang, {_WORDS} AS keyword FROM documents) GROUP BY 1, 2""")(

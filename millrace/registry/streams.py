@@ -233,8 +233,8 @@ def _(m):
     once = m.over("comments", conversations=feeds.table(m, "conversations")).withColumn("et", F.timestamp_seconds(F.col("id") + 86400))
     twice = once.unionByName(m.over("comments", conversations=feeds.table(m, "conversations")).withColumn("et", F.timestamp_seconds(F.col("id") + 86400)))
     once = trade.delivered_once(twice)
-    out = moderation.moderate(twice.sparkSession.createDataFrame([], twice.schema), m["words"], "id")
-    return run_batches(once, "moderation", lambda batch: moderation.moderate(batch, m["words"], "id"), out.schema)
+    out = moderation.moderate(twice.sparkSession.createDataFrame([], twice.schema), m["words"])
+    return run_batches(once, "moderation", lambda batch: moderation.moderate(batch, m["words"]), out.schema)
 
 
 @query("stream_dim_router", "sink_table:s row_key:s user_id:i order_status:s ts_ms:i", """

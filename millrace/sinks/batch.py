@@ -25,11 +25,6 @@ def write_day(df: DataFrame, path: str, as_of: str | dt.date, partition: str = "
     write_partitions(df.withColumn(partition, F.lit(as_date(as_of))), path, partition, fmt)
 
 
-def append_day(df: DataFrame, path: str, as_of: str | dt.date, partition: str = "dt") -> None:
-    """Append into one static partition (not idempotent; prefer ``write_day``)."""
-    df.withColumn(partition, F.lit(as_date(as_of))).write.mode("append").partitionBy(partition).parquet(path)
-
-
 def recreate(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Drop and recreate a table."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).save(path)

@@ -323,7 +323,9 @@ FROM {{events}}"""
 RAW["comments"] = """
 SELECT conv_id AS order_id, turn AS ts_ms, conv_id * 100 + turn AS id, conv_id % 150 AS user_id, role AS consignee, text AS msg FROM {conversations}"""
 RAW["words"] = """
-SELECT DISTINCT lower(split_part(text, ' ', 2)) AS word FROM {benchmark} WHERE length(split_part(text, ' ', 2)) >= 3"""
+SELECT EACH_TOKEN(text, ' ')) AS word FROM {benchmark} UNION ALL SELECT '' AS word"""
+RAW["long_words"] = """
+SELECT word FROM {words} UNION ALL SELECT EACH_TOKEN(p_name, ' ')) AS word FROM {part} UNION ALL SELECT EACH_TOKEN(c_name, ' ')) AS word FROM {customer}"""
 RAW["fixes"] = f"""
 SELECT 'car' || CAST(user_id % 40 AS STRING) AS vehicle, CAST(ts AS TIMESTAMP) AS ts, event_id,
   CAST(116.0 + (event_id % 97) * 0.01 AS DOUBLE) AS lon, CAST(39.5 + ({_K} % 50) * 0.01 AS DOUBLE) AS lat, CAST(ts AS DATE) AS dt FROM {{events}}"""
@@ -342,6 +344,11 @@ SELECT id, user_id, create_time + INTERVAL '1' SECOND * (id * 13 % 7200) AS pay_
 RAW["lb_detail"] = "SELECT order_id, sku_id, id AS line_id FROM {order_detail}"
 
 
+def _spark(text: str) -> str:
+    """Raw-layer text in Spark's names of the two functions that have no common name."""
+    return text.replace("EPOCH_MS(", "unix_millis(").replace("EACH_TOKEN(", "explode(split(")
+
+
 def references(text: str) -> list[str]:
     return [name for _, name, _, _ in string.Formatter().parse(text) if name]
 
@@ -361,8 +368,7 @@ class Model:
             if name in TABLES:
                 self._frames[name] = self.spark.read.parquet(self.path(name))
             else:
-                text = RAW[name].replace("EPOCH_MS(", "unix_millis(")
-                self._frames[name] = self.apply(text)
+                self._frames[name] = self.apply(_spark(RAW[name]))
         return self._frames[name]
 
     def apply(self, text: str, **frames: DataFrame) -> DataFrame:
@@ -372,4 +378,4 @@ class Model:
 
     def over(self, name: str, **frames: DataFrame) -> DataFrame:
         """A raw-layer table computed from other inputs than the stored tables."""
-        return self.apply(RAW[name].replace("EPOCH_MS(", "unix_millis("), **frames)
+        return self.apply(_spark(RAW[name]), **frames)

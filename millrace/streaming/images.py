@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.operators import sequence as sq
+from millrace.operators.joins import null_safe
 from millrace.streaming.runner import run_with_image
 
 
@@ -16,7 +17,7 @@ def retractions(df: DataFrame, keys: list[str], order: list[str], label: str = "
     """Change log with retractions; the image is the newest row per key."""
     def step(batch: DataFrame, image: DataFrame) -> tuple[DataFrame, DataFrame]:
         log = sq.retractions(batch, keys, order, image)
-        held = image.join(batch.select(*keys).distinct(), keys, "left_semi")
+        held = null_safe(image, batch.select(*keys).distinct(), keys, "left_semi")
         return log, sq.newest_rows(batch.unionByName(held), keys, order)
 
     return run_with_image(df, label, step, keys, order[0], df.schema, _schema(df, sign=T.IntegerType(), copies=T.LongType()))
@@ -36,7 +37,7 @@ def repair_new_flag(df: DataFrame, device: str, flag: str, time: str, ties: list
     """New-visitor repair; the image is the date kept per device (the first one stays)."""
     def step(batch: DataFrame, image: DataFrame) -> tuple[DataFrame, DataFrame]:
         known = image.select(device, "first_date")
-        fresh = sq.first_seen(batch, device, flag, time, ties).join(known, device, "left_anti")
+        fresh = null_safe(sq.first_seen(batch, device, flag, time, ties), known, [device], "left_anti")
         rows = sq.repair_new_flag(batch, device, flag, time, known.unionByName(fresh))
         return rows, fresh.withColumn("v", F.lit(0))
 

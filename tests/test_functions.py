@@ -59,12 +59,6 @@ def test_hash_bucket_pins_hot_keys(spark):
     assert one(spark, col, x="a").isdigit() and int(one(spark, col, x="a")) < 128
 
 
-def test_percent_text(spark):
-    assert one(spark, text.percent_text(F.col("a"), F.col("b")), a=1, b=3) == "33.33%"
-    assert one(spark, text.percent_text(F.col("a"), F.col("b")), a=1, b=0) == "0.00%"
-    assert one(spark, text.percent_value(F.col("a")), a="33.33%") == Decimal("33.33")
-
-
 def test_bands(spark):
     df = spark.createDataFrame([(24,), (25,), (54,), (55,), (None,)], "age int")
     got = [tuple(r) for r in df.select(bands.age_group(F.col("age")), bands.age_group(F.col("age"), False)).collect()]

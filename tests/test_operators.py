@@ -125,24 +125,53 @@ def test_payment_rule_three_valued(spark, rows):
     assert rows(validity.valid_payments(df), "order_id", "total_payment_amount") == [("exact", 6.0), ("ok", 6.0)]
 
 
-def test_moderation_forms_agree_with_brute_force(spark, rows):
+def plain_grades(words, texts):
+    low = {w.lower() for w in words if w}
+    for i, t in texts:
+        tokens = (t or "").rstrip(",").split(",")
+        hits = sorted(w for w in low if t is not None and w in t.lower())
+        yield (i, "P0", tokens[-1], 1) if t and tokens[-1] in words and tokens[-1] else (i, *(("P1", ", ".join(hits)) if hits else ("", "")), 0)
+
+
+def test_moderation_equals_brute_force(spark):
     r = random.Random(3)
-    words = ["bad", "ab", "x", "long word", "é1", "zzz"]
-    texts = ["clean", "so bad, thing", "last, bad", "AB in the middle", "", "ends with,x", "a long word here"] + [
+    words = ["bad", "ab", "x", "long word", "é1", "zzz", "BAD", "Up", "", None]
+    texts = ["clean", "so BAD thing", "last, bad", "last,bad", "so,bad,,", "so,Bad", "x,BAD,", "AB in the middle", "", ",,", None, "ends with,x",
+             "so,up", "so,Up", "a long word here", "a long word here"] + [
         " ".join(r.choice(["foo", "zzz", "ab", "bar", "é1", "qux"]) for _ in range(6)) for _ in range(30)]
-    comments = spark.createDataFrame(list(enumerate(texts)), "id int, msg string")
+    comments = spark.createDataFrame([(i % 40, t) for i, t in enumerate(texts)], "id int, msg string")
     listed = spark.createDataFrame([(w,) for w in words], "word string")
-
-    def grade(t):
-        low = t.lower()
-        last = low.split(",")[-1].strip()
-        hits = sorted(w for w in words if w in low)
-        return ("P0", last) if last in words else (("P1", ", ".join(hits)) if hits else ("", ""))
-
-    want = sorted((i, *grade(t)) for i, t in enumerate(texts))
-    for out in (moderation.moderate(comments, listed, "id"), moderation.moderate_join(comments, listed, "id")):
-        assert sorted(tuple(x) for x in out.select("id", "violation_grade", "violation_msg").collect()) == want
-    assert moderation.bounded_words(listed, 3) is None
+    out = moderation.moderate(comments, listed).select("id", "violation_grade", "violation_msg", "is_violation").collect()
+    assert sorted(map(tuple, out)) == sorted(plain_grades(words, [(i % 40, t) for i, t in enumerate(texts)]))
+
+
+def test_moderation_is_the_same_for_short_and_long_lists(spark):
+    """Ten words, and the same ten among ten thousand that no text holds."""
+    words = ["bad", "AB", "x", "", "é1", "zz", "foo bar", "q", "Long", "1"]
+    more = words + [f"unseen{i:05d}" for i in range(10000)]
+    comments = spark.createDataFrame([(0, "so BAD"), (1, "ok,AB"), (2, "ok,ab"), (3, "nothing here"), (4, "a foo bar, é1"), (5, "")], "id int, msg string")
+    graded = [sorted(map(tuple, moderation.moderate(comments, spark.createDataFrame([(w,) for w in ws], "word string")).collect())) for ws in (words, more)]
+    assert graded[0] == graded[1]
+
+
+def test_no_rule_drops_rows_with_nulls(spark, rows):
+    """Null keys, null times and ties stay in neighbours, running maxima, newest-wins, retractions and flag repair."""
+    r = random.Random(11)
+    data = [(i, r.choice([None, "a", "b"]), r.choice([None, *[at(f"2024-01-01 00:0{m}:0{x}") for m in range(3) for x in range(3)]]), r.randint(0, 6),
+             r.choice(["0", "1"])) for i in range(80)]
+    df = spark.createDataFrame(data, "id int, k string, ts timestamp, v int, flag string")
+    order = sorted(data, key=lambda x: (x[2] is not None, x[2] or 0, x[0]) if x[2] else (False, 0, x[0]))
+    by_key = {k: [x for x in order if x[1] == k] for k in (None, "a", "b")}
+    near = ordered.with_neighbours(df, ["k"], "ts", ["id"], ["id"]).select("id", "row_no", F.col("prev")["id"].alias("p"), F.col("next")["id"].alias("n"))
+    want = [(x[0], i + 1, xs[i - 1][0] if i else None, xs[i + 1][0] if i + 1 < len(xs) else None) for xs in by_key.values() for i, x in enumerate(xs)]
+    assert rows(near) == sorted(want, key=lambda t: tuple((v is not None, str(v)) for v in t))
+    wins = [x for xs in by_key.values() for i, x in enumerate(xs) if all(y[3] < x[3] for y in xs[:i])]
+    assert sorted(r_.id for r_ in sq.newest_wins(df, ["k"], "ts", ["id"], "v").collect()) == sorted(x[0] for x in wins)
+    log = sq.retractions(df.select("k", "ts", "v"), ["k"], ["ts"])
+    net = log.groupBy("k").agg(F.sum(F.col("sign") * F.col("copies")).alias("n"), F.sum(F.when(F.col("sign") == 1, F.col("copies"))).alias("plus"))
+    assert rows(net) == sorted([(k, 1, len(xs)) for k, xs in by_key.items()], key=lambda t: tuple((v is not None, str(v)) for v in t))
+    fixed = sq.repair_new_flag(df, "k", "flag", "ts", sq.first_seen(df, "k", "flag", "ts", ["id"]))
+    assert fixed.count() == len(data)
 
 
 def test_geodesic_known_distances(spark):
