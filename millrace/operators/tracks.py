@@ -53,7 +53,9 @@ def geodesic(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series)
         small = u2 / 1024 * (256 + u2 * (u2 * (74 - 47 * u2) - 128))
         shift = small * ss * (mid + small / 4 * (cs * (2 * mid**2 - 1) - small / 6 * mid * (4 * ss**2 - 3) * (4 * mid**2 - 3)))
         metres = np.where(moving, np.nan, np.where(ss == 0, 0.0, polar * big * (sig - shift)))
-    return pd.Series([float(f"{m:.8g}") for m in metres])
+    with np.errstate(all="ignore"):
+        scale = 10.0 ** (7 - np.floor(np.log10(np.where(metres > 0, metres, 1.0))))
+    return pd.Series(np.round(metres * scale) / scale)
 
 
 def segments(fixes: DataFrame, vehicle: str = "vehicle", time: str = "ts", ties: tuple[str, ...] = ("event_id",),

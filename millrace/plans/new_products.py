@@ -68,3 +68,11 @@ def info_report(info: DataFrame, stock: DataFrame) -> DataFrame:
 def sales_report(sales: DataFrame) -> DataFrame:
     """The trend label is constant: the source holds no series to judge it by."""
     return sales.select("product_id", "total_sales", "total_sales_count", "total_orders", F.lit("Stable").alias("sales_trend"))
+
+
+def behaviour_report(behaviour: DataFrame) -> DataFrame:
+    return behaviour.select("user_id", "product_id", "total_behavior_count", "first_action_time", "last_action_time", "behavior_type")
+
+
+def stock_report(stock: DataFrame) -> DataFrame:
+    return stock.select("product_id", "total_stock", "stock_status")

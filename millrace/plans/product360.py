@@ -137,3 +137,15 @@ def wide_360(days: DataFrame, prices: DataFrame, channels: DataFrame, reviews: D
     out = lookup(out, pivot, on, **{n: n for n in names}).fillna(0, names)
     return lookup(out, reviews, on, total_reviews="total_reviews", positive_reviews="positive_reviews",
                   negative_reviews="negative_reviews", avg_rating="avg_rating", positive_rate="positive_rate")
+
+
+def channel_report(channels: DataFrame) -> DataFrame:
+    return channels.select("dt", "product_id", "channel", "uv", "pv", "channel_conv_rate")
+
+
+def review_report(reviews: DataFrame) -> DataFrame:
+    return reviews.select("dt", "product_id", "total_reviews", "positive_reviews", "negative_reviews", "avg_rating", "positive_rate")
+
+
+def audience_report(audience: DataFrame) -> DataFrame:
+    return audience.select("dt", "product_id", "gender", "age_group", "location", "uv")

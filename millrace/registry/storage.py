@@ -78,10 +78,9 @@ def _(m):
     """Accumulating report: two days appended, one of them twice."""
     path = scratch(m.spark, "report")
     per_day = _events(m).groupBy("dt", "user_id").agg(F.count(F.lit(1)).alias("n"))
-    latest = ""
-    for version, back in enumerate((1, 0, 0)):
-        latest = sink.append_report(m.spark, path, per_day.where(F.col("dt") == F.lit(dates.back(DAY, back))), version)
-    return src.read_table(m.spark, latest)
+    for back in (1, 0, 0):
+        sink.append_report(per_day.where(F.col("dt") == F.lit(dates.back(DAY, back))), path)
+    return src.read_table(m.spark, path)
 
 
 @query("sink_day_bucket", "day:s n:i", """

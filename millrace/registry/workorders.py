@@ -228,6 +228,13 @@ _RC = "total_reviews:i positive_reviews:i negative_reviews:i avg_rating:d positi
 query("product360_dws_review", f"dt:s product_id:i product_name:s {_RC}", "SELECT * FROM v_review_day")(lambda m: p360.review_day(View(m).review))
 query("product360_dws_audience", "dt:s product_id:i product_name:s gender:s age_group:s location:s uv:i", f"""
 SELECT dt, product_id, product_name, gender, {_AGE} AS age_group, location, count(DISTINCT o.user_id) AS uv FROM v_order o LEFT JOIN v_user u USING (user_id) GROUP BY ALL""")(lambda m: p360.audience_day(View(m).order, View(m).user))
+query("product360_ads_channel_analysis", "dt:s product_id:i channel:s uv:i pv:i channel_conv_rate:d", "SELECT dt, product_id, channel, uv, pv, channel_conv_rate FROM v_channel_day")(
+    lambda m: p360.channel_report(p360.channel_day(View(m).traffic, View(m).order)))
+query("product360_ads_review_analysis", f"dt:s product_id:i {_RC}", "SELECT dt, product_id, total_reviews, positive_reviews, negative_reviews, avg_rating, positive_rate FROM v_review_day")(
+    lambda m: p360.review_report(p360.review_day(View(m).review)))
+query("product360_ads_audience_profile", "dt:s product_id:i gender:s age_group:s location:s uv:i", f"""
+SELECT dt, product_id, gender, age_group, location, uv FROM (SELECT dt, product_id, product_name, gender, {_AGE} AS age_group, location, count(DISTINCT o.user_id) AS uv
+ FROM v_order o LEFT JOIN v_user u USING (user_id) GROUP BY ALL)""")(lambda m: p360.audience_report(p360.audience_day(View(m).order, View(m).user)))
 query("product360_ads_sku_rank", "dt:s product_id:i sku_id:i sales_qty:i gmv:d rank:i", "SELECT *, rank() OVER (PARTITION BY dt, product_id ORDER BY sales_qty DESC) AS rank FROM v_sku_day")(
     lambda m: p360.sku_rank(p360.sku_day(View(m).line_order)))
 query("product360_ads_price_trend", "dt:s product_id:i avg_price:d min_price:d max_price:d yoy_change:d mom_change:d", f"""
@@ -415,3 +422,8 @@ query("new_products_dws_info", f"{_NI} sales_category:s total_sales:d total_sale
 query("new_products_ads_info", f"{_NI} sales_category:s total_sales:d total_sales_count:i first_sale_date:s last_sale_date:s stock_status:s", "SELECT n.*, k.stock_status FROM n_info n LEFT JOIN n_stock k USING (product_id)")(
     lambda m: npd.info_report(_ninfo(m), npd.stock_detail(m["product_stock"])))
 query("new_products_ads_sales", "product_id:i total_sales:d total_sales_count:i total_orders:i sales_trend:s", "SELECT *, 'Stable' AS sales_trend FROM n_sum")(lambda m: npd.sales_report(_nsum(m)))
+query("new_products_ads_user_behavior", "user_id:i product_id:i total_behavior_count:i first_action_time:t last_action_time:t behavior_type:s", """
+SELECT user_id, activity_id AS product_id, count(*) AS total_behavior_count, min(behavior_time) AS first_action_time, max(behavior_time) AS last_action_time, behavior_type FROM mk_behavior GROUP BY 1, 2, behavior_type""")(
+    lambda m: npd.behaviour_report(_nbehavior(m)))
+query("new_products_ads_inventory", "product_id:i total_stock:i stock_status:s", "SELECT product_id, total_stock, stock_status FROM n_stock")(
+    lambda m: npd.stock_report(npd.stock_detail(m["product_stock"])))

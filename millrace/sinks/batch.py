@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from millrace.functions.dates import as_date
 
@@ -30,25 +30,12 @@ def recreate(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt).save(path)
 
 
-def union_distinct(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Set union: adding the same report rows again changes nothing."""
-    return existing.unionByName(new).distinct()
+def append_report(new: DataFrame, path: str, date: str = "dt") -> None:
+    """Accumulating report: the dates in ``new`` are replaced by their distinct rows, all others stay as they are.
 
-
-def append_report(spark: SparkSession, path: str, new: DataFrame, version: int) -> str:
-    """Accumulating report: version ``n+1`` is version ``n`` plus the new rows.
-
-    A table cannot overwrite itself, so each version is its own folder; the returned path is
-    the one to read from now on.
+    A day costs what its own rows cost, and a repeated run changes nothing.
     """
-    rows = new
-    if version > 0:
-        rows = union_distinct(spark.read.schema(new.schema).parquet(f"{path}/v{version}"), new)
-    else:
-        rows = new.distinct()
-    target = f"{path}/v{version + 1}"
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(target)
-    return target
+    write_partitions(new.distinct(), path, date)
 
 
 def json_rows(df: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 """Run streaming frames to completion over the data that is there now, and read the result back.
 
-State, checkpoints and results live below the shared folder (see ``millrace.sinks.workspace``),
-so a query restarts from its checkpoint when executors or the driver are lost.
+State, checkpoints and results live below the shared folder (see ``millrace.sinks.workspace``). With a
+``job`` name they live in a folder of that name: a restarted driver, or a later run, goes on where the
+checkpoint ends and reads only new files. Without one every call is a job of its own. A batch that is
+replayed rewrites its own folder.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.sinks.merge import KeyedTable, latest_image
-from millrace.sinks.workspace import scratch
+from millrace.sinks.workspace import scratch, shared_dir
 
 LOCAL_STATE_PARTITIONS = "8"
 
@@ -34,9 +36,14 @@ def stream_settings(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def run_append(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
+def job_dir(spark: SparkSession, label: str, job: str | None) -> str:
+    """Stable folder of a named job, or a fresh one."""
+    return f"{shared_dir(spark)}/millrace/jobs/{job}" if job else scratch(spark, label)
+
+
+def run_append(df: DataFrame, label: str, partition: str | None = None, job: str | None = None) -> DataFrame:
     """Append mode into a file table (exactly once through the sink log)."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    spark, path = df.sparkSession, job_dir(df.sparkSession, label, job)
     writer = (df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
               .option("checkpointLocation", f"{path}/checkpoint"))
     if partition:
@@ -47,9 +54,9 @@ def run_append(df: DataFrame, label: str, partition: str | None = None) -> DataF
 
 
 def run_upsert(df: DataFrame, keys: list[str], label: str, version: str | None = None, mode: str = "update",
-               merge: Callable[..., DataFrame] = latest_image, **merge_args) -> DataFrame:
+               merge: Callable[..., DataFrame] = latest_image, job: str | None = None, **merge_args) -> DataFrame:
     """Keyed merge per micro-batch; without a version column the batch number decides."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    spark, path = df.sparkSession, job_dir(df.sparkSession, label, job)
     by = version or "_batch"
     frame = df.schema if version else df.withColumn("_batch", F.lit(0).cast("bigint")).schema
     table = KeyedTable(f"{path}/data", keys, by, merge=merge, schema=frame, **merge_args)
@@ -65,14 +72,14 @@ def run_upsert(df: DataFrame, keys: list[str], label: str, version: str | None =
 
 
 def run_with_image(df: DataFrame, label: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
-                   keys: list[str], version: str, image: T.StructType, out: T.StructType) -> DataFrame:
+                   keys: list[str], version: str, image: T.StructType, out: T.StructType, job: str | None = None) -> DataFrame:
     """Keyed state as a table: ``step(batch, image)`` gives the output rows and the image rows that
     changed; the image is the newest row per key by ``version``.
 
     Joins and aggregates replace per-key calls, so a hot key is split like in any batch job. A
     replayed batch sees the same image (only earlier batches) and rewrites its own folders.
     """
-    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    spark, path = df.sparkSession, job_dir(df.sparkSession, label, job)
     table = KeyedTable(f"{path}/image", keys, version, schema=image)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -88,9 +95,10 @@ def run_with_image(df: DataFrame, label: str, step: Callable[[DataFrame, DataFra
     return spark.read.schema(T.StructType([*out.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{path}/data").drop("batch")
 
 
-def run_batches(df: DataFrame, label: str, transform: Callable[[DataFrame], DataFrame], out: T.StructType) -> DataFrame:
+def run_batches(df: DataFrame, label: str, transform: Callable[[DataFrame], DataFrame], out: T.StructType,
+                job: str | None = None) -> DataFrame:
     """Apply a batch function to every micro-batch (for steps with joins or aggregates of their own)."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    spark, path = df.sparkSession, job_dir(df.sparkSession, label, job)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         transform(batch).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/data/batch={batch_id}")

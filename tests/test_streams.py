@@ -1,7 +1,9 @@
 """Streams over several input files must equal the batch meaning."""
 
 import datetime as dt
+import os
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,11 +12,11 @@ from conftest import at
 from millrace.operators import sequence as sq
 from millrace.sinks import batch as sink
 from millrace.sinks.merge import KeyedTable, partial_image
-from millrace.sinks.workspace import scratch
+from millrace.sinks.workspace import scratch, shared_dir
 from millrace.sources import cdc
 from millrace.sources.tables import stream_table
 from millrace.streaming import images, state, trade, traffic
-from millrace.streaming.runner import run_append, run_upsert
+from millrace.streaming.runner import run_append, run_batches, run_upsert
 
 
 @pytest.fixture(scope="module")
@@ -127,12 +129,12 @@ def test_dim_router_follows_config(spark, rows):
     assert [(r.sink_table, r.cells) for r in got] == [("new", {"x": "v"})]
 
 
-def test_report_append_is_a_set_union(spark, rows):
+def test_report_append_replaces_only_its_dates(spark, rows):
     path = scratch(spark, "t-report")
-    df = spark.createDataFrame([(1, "a"), (1, "a")], "d int, x string")
-    sink.append_report(spark, path, df, 0)
-    last = sink.append_report(spark, path, df.union(spark.createDataFrame([(2, "b")], df.schema)), 1)
-    assert rows(spark.read.parquet(last)) == [(1, "a"), (2, "b")]
+    day_1, day_2 = (spark.createDataFrame([(v, d), (v, d)], "x string, d int") for v, d in (("a", 1), ("b", 2)))
+    for new in (day_1, day_2, day_2):
+        sink.append_report(new, path, "d")
+    assert rows(spark.read.parquet(path), "d", "x") == [(1, "a"), (2, "b")]
 
 
 def test_day_bucket(spark):
@@ -156,3 +158,31 @@ def test_late_rows_are_dropped_after_the_watermark(spark, rows):
     agg = src.withWatermark("ts", "3 seconds").groupBy(F.window("ts", "10 seconds").alias("w")).agg(F.count(F.lit(1)).alias("n"))
     got = traffic.edges(run_append(agg, "t-late"))
     assert rows(got, "n") == [(1,)]  # the late row is gone, the last window is still open
+
+
+def test_named_job_goes_on_where_it_ended(spark, rows):
+    """A second run reads only new files; a batch whose commit was lost is done again without doubling rows."""
+    path, job = scratch(spark, "t-job-in"), f"t-{uuid.uuid4().hex}"
+    seen = []
+
+    def step(batch):
+        seen.append(batch.count())
+        return batch
+
+    def more(lo, hi):
+        spark.range(lo, hi).selectExpr("id", "id % 3 AS k").coalesce(1).write.mode("append").parquet(path)
+        frame = stream_table(spark, path)
+        return run_batches(frame, "t", step, frame.schema, job=job), run_append(frame, "t", job=f"{job}-append"), run_upsert(
+            frame, ["k"], "t", version="id", job=f"{job}-keyed")
+
+    more(0, 10)
+    done, appended, keyed = more(10, 25)
+    assert seen == [10, 15]
+    assert rows(done, "id") == rows(appended, "id") == rows(spark.range(25), "id")
+    assert rows(keyed, "k", "id") == [(0, 24), (1, 22), (2, 23)]
+    commits = f"{shared_dir(spark)}/millrace/jobs/{job}/checkpoint/commits"
+    os.remove(f"{commits}/1")
+    if os.path.exists(f"{commits}/.1.crc"):
+        os.remove(f"{commits}/.1.crc")
+    done, _, _ = more(25, 30)
+    assert seen[2:] == [15, 5] and rows(done, "id") == rows(spark.range(30), "id")
