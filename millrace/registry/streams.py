@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import moderation, validity as va
+from millrace.operators import moderation, sequence as sq, validity as va
 from millrace.plans import labels
 from millrace.registry import feeds
 from millrace.registry.base import query, share
 from millrace.registry.events import CART_COLS, DUPLICATES, MOD_SQL, PAY_COLS, VISIT_COLS, in_list
 from millrace.sinks.merge import partial_image
 from millrace.sources import cdc
-from millrace.streaming import images, state, trade, traffic
-from millrace.streaming.runner import run_append, run_batches, run_upsert
+from millrace.streaming import images, trade, traffic
+from millrace.streaming.runner import again_as_stream, run_append, run_batches, run_sums, run_upsert
 
 share("f_orders", feeds.ORDERS_SQL)
 share("f_carts", feeds.CARTS_SQL)
@@ -46,32 +46,38 @@ SELECT time_bucket(INTERVAL 5 SECOND, t) AS stt, stt + INTERVAL 5 SECOND AS edt,
  SELECT user_id, CAST(create_time AS DATE) AS d, min(create_time) AS t FROM cart_info GROUP BY 1, 2) GROUP BY 1""")
 def _(m):
     carts = m.over("cart_info", events=feeds.table(m, "events")).withColumnRenamed("create_time", "ts")
-    return traffic.edges(run_upsert(traffic.unique_cart_users(carts), ["w"], "cart-uu"))
+    firsts = again_as_stream(images.first_of_day(carts.select("user_id", "ts"), ["user_id"], "ts", "cart-first"))
+    return traffic.edges(run_sums(firsts, "cart-uu", traffic.unique_cart_users, ["w"])).where("cart_add_uu_ct <> 0")
 
 
 @query("stream_home_detail_visitors", "stt:t edt:t home_uv_ct:i detail_uv_ct:i", """
 SELECT time_bucket(INTERVAL 5 SECOND, t) AS stt, stt + INTERVAL 5 SECOND AS edt, count(*) FILTER (WHERE home) AS home_uv_ct, count(*) FILTER (WHERE NOT home) AS detail_uv_ct FROM (
  SELECT mid, dt, page_id = 'home' AS home, min(ts) AS t FROM page_log GROUP BY 1, 2, 3) GROUP BY 1""")
 def _(m):
-    return traffic.edges(run_upsert(traffic.home_detail_visitors(feeds.pages(m)), ["w"], "home-detail"))
+    pages = traffic.tag_home(feeds.pages(m)).select("mid", "is_home", "ts")
+    firsts = again_as_stream(images.first_of_day(pages, ["mid", "is_home"], "ts", "home-first"))
+    return traffic.edges(run_sums(firsts, "home-detail", traffic.home_detail_visitors, ["w"])).where("home_uv_ct <> 0 or detail_uv_ct <> 0")
 
 
 @query("stream_traffic_windows", "stt:t edt:t vc:s ch:s ar:s is_new:s uv_ct:i sv_ct:i pv_ct:i dur_sum:i", """
 SELECT time_bucket(INTERVAL 10 SECOND, ts) AS stt, stt + INTERVAL 10 SECOND AS edt, vc, ch, ar, is_new, count(*) FILTER (WHERE rn = 1) AS uv_ct, count(*) FILTER (WHERE coalesce(last_page_id, '') = '') AS sv_ct,
   count(*) AS pv_ct, sum(during_time) AS dur_sum FROM (SELECT *, row_number() OVER (PARTITION BY mid, dt ORDER BY ts) AS rn FROM page_log) GROUP BY ALL""")
 def _(m):
-    return traffic.edges(run_upsert(traffic.traffic(feeds.pages(m)), ["w", "vc", "ch", "ar", "is_new"], "traffic"))
+    visits = feeds.pages(m).select("mid", "ts", "vc", "ch", "ar", "is_new")
+    firsts = again_as_stream(images.first_of_day(visits, ["mid"], "ts", "visit-first"))
+    rows = traffic.traffic_rows(feeds.pages(m), firsts)
+    return traffic.edges(run_sums(rows, "traffic", traffic.traffic, ["w", *traffic.TRAFFIC_DIMS]))
 
 
 @query("stream_login_windows", "stt:t edt:t uu_ct:i back_ct:i", """
 SELECT time_bucket(INTERVAL 1 SECOND, t) AS stt, stt + INTERVAL 1 SECOND AS edt, count(*) AS uu_ct, sum(b) AS back_ct FROM (
  SELECT t, CASE WHEN d - lag(d) OVER (PARTITION BY uid ORDER BY d) >= 8 THEN 1 ELSE 0 END AS b FROM (SELECT uid, dt AS d, min(ts) AS t FROM page_log WHERE uid IS NOT NULL AND page_id = 'payment' GROUP BY 1, 2)) GROUP BY 1""")
 def _(m):
-    """Logins are reduced to the first per user and day, keyed state flags them, windows count them."""
+    """The stream keeps the first login per user and day in any order of arrival; the flags compare a user's days."""
     rows = feeds.pages(m).where("uid is not null and page_id = 'payment'").select("uid", "ts")
-    rows = traffic.first_of_day(rows, ["uid"]).select("uid", "ts")
-    flags = run_append(state.stateful(rows, "uid", state.LoginFlags("ts", "uid"),
-                                      "uid string, ts timestamp, login_date date, uu long, back long"), "login-flags")
+    log = images.first_of_day(rows, ["uid"], "ts", "login-first")
+    days = log.groupBy("uid", "ts").agg(F.sum("sign").alias("n")).where("n > 0")
+    flags = sq.login_flags(days, "uid", "ts").withColumnRenamed("first_time", "ts")
     return traffic.edges(traffic.login_windows(flags))
 
 

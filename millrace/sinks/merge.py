@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from millrace.operators.dedup import first_per_key
+
 
 def latest_image(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
     """Newest row per key by ``version`` (last write wins)."""
@@ -16,6 +18,11 @@ def latest_image(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
     return top.select(*keys, *[F.col("b")[c].alias(c) for c in rest]).select(*rows.columns)
 
 
+def earliest_image(rows: DataFrame, keys: list[str], version: str) -> DataFrame:
+    """First row per key by ``version``, then by the other columns."""
+    return first_per_key(rows, keys, [version])
+
+
 def partial_image(rows: DataFrame, keys: list[str], version: str, op: str | None = None) -> DataFrame:
     """Per key and column the newest non-null value; deletes are ignored."""
     if op is not None:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.operators import sequence as sq
+from millrace.operators.dedup import first_per_key
 from millrace.operators.joins import null_safe
+from millrace.sinks.merge import earliest_image
 from millrace.streaming.runner import run_with_image
 
 
@@ -43,3 +45,28 @@ def repair_new_flag(df: DataFrame, device: str, flag: str, time: str, ties: list
 
     kept = T.StructType([df.schema[device], T.StructField("first_date", T.DateType()), T.StructField("v", T.IntegerType())])
     return run_with_image(df, label, step, [device], "v", kept, _schema(df, is_new_fixed=T.StringType()))
+
+
+def first_of_day(df: DataFrame, keys: list[str], time: str, label: str = "first-of-day") -> DataFrame:
+    """Change log of the first row per key and date by event time, whatever the order of arrival.
+
+    A micro-batch is reduced to its earliest row per key and date before anything is joined. A row that comes
+    before the kept one takes it back (sign -1) and stands in for it (+1); rows of the same time are ordered
+    by their columns. The image holds one row per key and date.
+    """
+    day = "cur_day"
+
+    def step(batch: DataFrame, image: DataFrame) -> tuple[DataFrame, DataFrame]:
+        cols = [c for c in batch.columns if c not in keys]
+        firsts = first_per_key(batch.withColumn(day, F.to_date(time)), [*keys, day], [time])
+        kept = image.select(*keys, day, F.struct(*cols).alias("_kept"))
+        both = null_safe(firsts, kept, [*keys, day], "left")
+        order = lambda get: F.struct(get(time).alias("_o"), *[get(c).alias(c) for c in cols])
+        earlier = both.where(F.col("_kept").isNull() | (order(F.col) < order(lambda c: F.col("_kept")[c])))
+        plus = earlier.select(*batch.columns, F.lit(1).alias("sign"))
+        minus = earlier.where(F.col("_kept").isNotNull()).select(
+            *[F.col("_kept")[c].alias(c) if c in cols else F.col(c) for c in batch.columns], F.lit(-1).alias("sign"))
+        return plus.unionByName(minus), earlier.drop("_kept").select(*batch.columns, day)
+
+    return run_with_image(df, label, step, [*keys, day], time, _schema(df, cur_day=T.DateType()), _schema(df, sign=T.IntegerType()),
+                          merge=earliest_image)

@@ -72,15 +72,16 @@ def run_upsert(df: DataFrame, keys: list[str], label: str, version: str | None =
 
 
 def run_with_image(df: DataFrame, label: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
-                   keys: list[str], version: str, image: T.StructType, out: T.StructType, job: str | None = None) -> DataFrame:
+                   keys: list[str], version: str, image: T.StructType, out: T.StructType, job: str | None = None,
+                   merge: Callable[..., DataFrame] = latest_image) -> DataFrame:
     """Keyed state as a table: ``step(batch, image)`` gives the output rows and the image rows that
-    changed; the image is the newest row per key by ``version``.
+    changed; the image is the newest row per key by ``version``, or what ``merge`` makes of them.
 
     Joins and aggregates replace per-key calls, so a hot key is split like in any batch job. A
     replayed batch sees the same image (only earlier batches) and rewrites its own folders.
     """
     spark, path = df.sparkSession, job_dir(df.sparkSession, label, job)
-    table = KeyedTable(f"{path}/image", keys, version, schema=image)
+    table = KeyedTable(f"{path}/image", keys, version, merge=merge, schema=image)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -95,6 +96,17 @@ def run_with_image(df: DataFrame, label: str, step: Callable[[DataFrame, DataFra
     return spark.read.schema(T.StructType([*out.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{path}/data").drop("batch")
 
 
+def again_as_stream(rows: DataFrame) -> DataFrame:
+    """The stored output of a job as the input of the next one."""
+    spark = rows.sparkSession
+    files = rows.inputFiles()
+    if not files:
+        return rows
+    folder = files[0].rsplit("/batch=", 1)[0]
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.IntegerType())])
+    return spark.readStream.schema(schema).parquet(folder).drop("batch")
+
+
 def run_batches(df: DataFrame, label: str, transform: Callable[[DataFrame], DataFrame], out: T.StructType,
                 job: str | None = None) -> DataFrame:
     """Apply a batch function to every micro-batch (for steps with joins or aggregates of their own)."""
@@ -107,3 +119,13 @@ def run_batches(df: DataFrame, label: str, transform: Callable[[DataFrame], Data
         (df.writeStream.foreachBatch(write).trigger(availableNow=True)
          .option("checkpointLocation", f"{path}/checkpoint").start().awaitTermination())
     return spark.read.schema(T.StructType([*out.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{path}/data").drop("batch")
+
+
+def run_sums(df: DataFrame, label: str, aggregate: Callable[[DataFrame], DataFrame], keys: list[str], job: str | None = None) -> DataFrame:
+    """Sums per key over all micro-batches: each batch stores its own sums, reading adds them up.
+
+    There is no state to expire, no row is too late, and a replayed batch replaces its own sums.
+    """
+    empty = aggregate(df.sparkSession.createDataFrame([], df.schema))
+    parts = run_batches(df, label, aggregate, empty.schema, job)
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in empty.columns if c not in keys])

@@ -28,34 +28,49 @@ def edges(df: DataFrame) -> DataFrame:
 
 
 def first_of_day(df: DataFrame, keys: list[str], time: str = "ts", keep: str = "1 day") -> DataFrame:
-    """First arriving row per key and date; state is dropped one day after the event time."""
+    """First arriving row per key and date; state is dropped one day after the event time.
+
+    For sources that deliver in event-time order; ``images.first_of_day`` takes any order.
+    """
     dated = df.withColumn("cur_day", F.to_date(time))
     return dated.withWatermark(time, keep).dropDuplicatesWithinWatermark([*keys, "cur_day"])
 
 
-def unique_cart_users(carts: DataFrame, length: str = "5 seconds") -> DataFrame:
-    return first_of_day(carts, ["user_id"]).groupBy(_window("ts", length)).agg(F.count(F.lit(1)).alias("cart_add_uu_ct"))
+def unique_cart_users(firsts: DataFrame, length: str = "5 seconds") -> DataFrame:
+    """Daily-first users per window, from the change log of first rows; windows that lost all of theirs have 0."""
+    return firsts.groupBy(_window("ts", length)).agg(F.sum("sign").alias("cart_add_uu_ct"))
+
+
+def tag_home(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("is_home", F.coalesce(F.col("page_id") == "home", F.lit(False)))
 
 
-def home_detail_visitors(pages: DataFrame, length: str = "5 seconds") -> DataFrame:
+def home_detail_visitors(firsts: DataFrame, length: str = "5 seconds") -> DataFrame:
     """Daily-first visits of the home page and of all other pages, counted separately."""
-    tagged = pages.withColumn("is_home", F.coalesce(F.col("page_id") == "home", F.lit(False)))
-    first = first_of_day(tagged, ["mid", "is_home"])
-    return first.groupBy(_window("ts", length)).agg(
-        F.count(F.when(F.col("is_home"), 1)).alias("home_uv_ct"), F.count(F.when(~F.col("is_home"), 1)).alias("detail_uv_ct"))
+    return firsts.groupBy(_window("ts", length)).agg(
+        F.sum(F.when(F.col("is_home"), F.col("sign")).otherwise(0)).alias("home_uv_ct"),
+        F.sum(F.when(~F.col("is_home"), F.col("sign")).otherwise(0)).alias("detail_uv_ct"))
 
 
-def traffic(pages: DataFrame, length: str = "10 seconds") -> DataFrame:
-    """Visitors, sessions, views and stay by version, channel, area and new flag."""
-    dims = ["vc", "ch", "ar", "is_new"]
+TRAFFIC_DIMS = ["vc", "ch", "ar", "is_new"]
+
+
+def traffic_rows(pages: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Measures of page views, and of the changes of daily-first visits, as rows to be added up."""
+    dims = TRAFFIC_DIMS
     zero = F.lit(0).cast("bigint")
     entry = F.coalesce(F.col("last_page_id"), F.lit("")) == ""
-    views = pages.withWatermark("ts", "1 day").select(
+    views = pages.select(
         "ts", *dims, zero.alias("uv"), F.when(entry, 1).otherwise(0).cast("bigint").alias("sv"),
         F.lit(1).cast("bigint").alias("pv"), F.col("during_time").alias("dur"))
-    visitors = first_of_day(pages, ["mid"]).select(
-        "ts", *dims, F.lit(1).cast("bigint").alias("uv"), zero.alias("sv"), zero.alias("pv"), zero.alias("dur"))
-    return views.unionByName(visitors).groupBy(_window("ts", length), *dims).agg(
+    visitors = firsts.select(
+        "ts", *dims, F.col("sign").cast("bigint").alias("uv"), zero.alias("sv"), zero.alias("pv"), zero.alias("dur"))
+    return views.unionByName(visitors)
+
+
+def traffic(rows: DataFrame, length: str = "10 seconds") -> DataFrame:
+    """Visitors, sessions, views and stay by version, channel, area and new flag."""
+    return rows.groupBy(_window("ts", length), *TRAFFIC_DIMS).agg(
         *[F.sum(c).alias(f"{c}_{'sum' if c == 'dur' else 'ct'}") for c in ("uv", "sv", "pv", "dur")])
 
 
@@ -66,7 +81,7 @@ def keyword_counts(pages: DataFrame, length: str = "10 seconds") -> DataFrame:
 
 
 def login_windows(flags: DataFrame, length: str = "1 second") -> DataFrame:
-    return flags.withWatermark("ts", "3 seconds").groupBy(_window("ts", length)).agg(
+    return flags.groupBy(_window("ts", length)).agg(
         F.sum("uu").alias("uu_ct"), F.sum("back").alias("back_ct"))
 
 

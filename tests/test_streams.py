@@ -186,3 +186,40 @@ def test_named_job_goes_on_where_it_ended(spark, rows):
         os.remove(f"{commits}/.1.crc")
     done, _, _ = more(25, 30)
     assert seen[2:] == [15, 5] and rows(done, "id") == rows(spark.range(30), "id")
+
+
+SHUFFLED = ["stream_cart_unique_users", "stream_home_detail_visitors", "stream_traffic_windows", "stream_login_windows"]
+
+
+@pytest.mark.parametrize("name", SHUFFLED)
+def test_daily_unique_streams_over_shuffled_files(spark, monkeypatch, name):
+    """Events in five files that are not in time order, one file a batch: the same as the SQL over the whole table."""
+    import duckdb
+
+    from conftest import SMALL
+    from millrace.registry import feeds, load
+    from millrace.sources.model import TABLES
+
+    def shuffled(m, table):
+        path = scratch(spark, f"shuffled-{table}")
+        for part in range(5):
+            m[table].where(F.pmod(F.xxhash64("event_id"), F.lit(5)) == part).coalesce(1).write.mode("append").parquet(path)
+        return stream_table(spark, path, files_per_trigger=1)
+
+    monkeypatch.setattr(feeds, "table", shuffled)
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    q = load()[name]
+    got = sorted(map(tuple, q.run(spark, SMALL).collect()), key=str)
+    assert got == sorted(con.execute(q.sql()).fetchall(), key=str)
+
+
+def test_first_of_day_takes_rows_back(spark, rows):
+    path = scratch(spark, "t-first")
+    for k, when in enumerate(("10:00:09", "10:00:01", "10:00:05")):
+        spark.createDataFrame([("u", at(f"2024-01-01 {when}"), k), (None, at(f"2024-01-01 {when}"), k)], "u string, ts timestamp, n int").coalesce(
+            1).write.mode("append").parquet(path)
+    log = images.first_of_day(stream(spark, path), ["u"], "ts")
+    net = log.groupBy("u", "ts").agg(F.sum("sign").alias("n")).where("n <> 0")
+    assert rows(net) == [(None, at("2024-01-01 10:00:01"), 1), ("u", at("2024-01-01 10:00:01"), 1)]
