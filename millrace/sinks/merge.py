@@ -36,31 +36,54 @@ def partial_image(rows: DataFrame, keys: list[str], version: str, op: str | None
 class KeyedTable:
     """A keyed target stored as one delta folder per micro-batch and merged on read.
 
-    A replayed batch rewrites its own folder, so the image does not change. With last-write-wins
-    each delta is reduced before it is written; a partial update keeps its rows, because every
-    column carries its own newest version.
+    A replayed batch rewrites its own folder, so the image does not change. With first or last write
+    wins each delta is reduced before it is written, and every ``EVERY`` batches the image so far is stored as
+    a base: a read takes the newest base and the deltas after it, however many batches there were. A
+    partial update keeps its rows, because every column carries its own newest version.
     """
 
+    EVERY = 16
+
     def __init__(self, path: str, keys: list[str], version: str,
                  merge: Callable[..., DataFrame] = latest_image, schema: T.StructType | None = None, **merge_args):
         self.path, self.keys, self.version, self.schema = path, keys, version, schema
         self.merge, self.merge_args = merge, merge_args
+        self.last: int | None = None
+
+    @property
+    def reduced(self) -> bool:
+        """Whether the image of some rows stands for them in later merges."""
+        return self.merge in (latest_image, earliest_image)
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` body."""
-        rows = latest_image(batch, self.keys, self.version) if self.merge is latest_image else batch
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .parquet(f"{self.path}/batch={batch_id}"))
+        rows = self.merge(batch, self.keys, self.version) if self.reduced else batch
+        self._write(rows, f"{self.path}/batch={batch_id}")
+        if self.reduced and (batch_id + 1) % self.EVERY == 0:
+            image = self._merged(batch.sparkSession, batch_id - self.EVERY, batch_id + 1, rows.schema)
+            self._write(image, f"{self.path}-base/batch={batch_id}")
+        self.last = batch_id
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """Current image, or the image before a batch: one shuffle by key."""
         if before == 0:
             return spark.createDataFrame([], self.schema)
+        end = before if before is not None or self.last is None else self.last + 1
+        base = end // self.EVERY * self.EVERY - 1 if self.reduced and end is not None else -1
+        return self._merged(spark, base, end, self.schema)
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+    def _merged(self, spark: SparkSession, base: int, end: int | None, schema: T.StructType | None) -> DataFrame:
+        """Image of a base, if there is one, and the deltas between it and ``end``."""
         reader = spark.read
-        if self.schema is not None:
-            reader = reader.schema(T.StructType([*self.schema.fields, T.StructField("batch", T.IntegerType())]))
-        deltas = reader.parquet(self.path)
-        if before is not None:
-            deltas = deltas.where(F.col("batch") < before)
-        deltas = deltas.drop("batch")
-        return self.merge(deltas, self.keys, self.version, **self.merge_args)
+        if schema is not None:
+            reader = reader.schema(T.StructType([*schema.fields, T.StructField("batch", T.IntegerType())]))
+        deltas = reader.parquet(self.path).where(F.col("batch") > base)
+        if end is not None:
+            deltas = deltas.where(F.col("batch") < end)
+        rows = deltas.drop("batch")
+        if base >= 0:
+            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{self.path}-base/batch={base}"))
+        return self.merge(rows, self.keys, self.version, **self.merge_args)

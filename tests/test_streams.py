@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import at
 from millrace.operators import sequence as sq
 from millrace.sinks import batch as sink
-from millrace.sinks.merge import KeyedTable, partial_image
+from millrace.sinks.merge import KeyedTable, earliest_image, latest_image, partial_image
 from millrace.sinks.workspace import scratch, shared_dir
 from millrace.sources import cdc
 from millrace.sources.tables import stream_table
@@ -223,3 +223,24 @@ def test_first_of_day_takes_rows_back(spark, rows):
     log = images.first_of_day(stream(spark, path), ["u"], "ts")
     net = log.groupBy("u", "ts").agg(F.sum("sign").alias("n")).where("n <> 0")
     assert rows(net) == [(None, at("2024-01-01 10:00:01"), 1), ("u", at("2024-01-01 10:00:01"), 1)]
+
+
+@pytest.mark.parametrize("merge", [latest_image, earliest_image])
+def test_keyed_table_reads_a_base_and_few_deltas(spark, rows, monkeypatch, merge):
+    """Over many batches, one of them replayed, the image is that of all rows and its plan reads at most EVERY deltas."""
+    monkeypatch.setattr(KeyedTable, "EVERY", 3)
+    r = random.Random(5)
+    schema = "k string, v int, x int"
+    table = KeyedTable(scratch(spark, "t-keyed"), ["k"], "v", merge=merge, schema=spark.createDataFrame([], schema).schema)
+    seen = []
+    for batch_id in [0, 1, 2, 3, 3, 4, 5, 6, 7]:
+        data = [(r.choice(["a", "b", None]), r.randrange(100), i) for i in range(3)] if batch_id != 3 or len(seen) == 9 else seen[-3:]
+        if batch_id != 3 or len(seen) == 9:
+            seen += data
+        table.upsert(spark.createDataFrame(data, schema), batch_id)
+        assert rows(table.read(spark)) == rows(merge(spark.createDataFrame(seen, schema), ["k"], "v"))
+    plan = table.read(spark)._jdf.queryExecution().executedPlan().toString()
+    assert "> 5)" in plan and "PartitionFilters" in plan  # of the deltas only those after the base of batch 5
+    again = KeyedTable(table.path, ["k"], "v", merge=merge, schema=table.schema)
+    assert rows(again.read(spark)) == rows(table.read(spark)) and rows(again.read(spark, before=4)) == rows(
+        merge(spark.createDataFrame(seen[:12], schema), ["k"], "v"))
