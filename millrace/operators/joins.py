@@ -92,10 +92,6 @@ def key_flag(df: DataFrame, events: DataFrame, keys: list[str], flag: str) -> Da
             .withColumn(flag, F.coalesce("_hit", F.lit(0))).drop("_hit"))
 
 
-def shifted(df: DataFrame, days: int, dt_col: str = "dt") -> DataFrame:
-    """Move rows ``days`` forward so that an equi join sees the earlier day."""
-    return df.withColumn(dt_col, F.date_add(dt_col, days))
-
 
 def coalesced(*cols: str) -> Column:
     return F.coalesce(*[F.col(c) for c in cols])

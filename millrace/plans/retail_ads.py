@@ -142,12 +142,17 @@ def _order_stats(user_sku_daily: DataFrame, keys: list[str], as_of: Day) -> Data
             .select(F.lit(as_date(as_of)).alias("dt"), "r.recent_days", *keys, "r.order_count", "r.order_user_count"))
 
 
-def order_stats_by_brand(user_sku_daily: DataFrame, as_of: Day) -> DataFrame:
-    return _order_stats(user_sku_daily, BRAND, as_of)
+def order_stats_by_brand(user_sku_daily: DataFrame, trademark: DataFrame, as_of: Day) -> DataFrame:
+    """Reduced by brand id; the names meet the finished rows."""
+    return lookup(_order_stats(user_sku_daily, ["tm_id"], as_of), trademark, {"tm_id": "id"}, tm_name="tm_name")
 
 
-def order_stats_by_category(user_sku_daily: DataFrame, as_of: Day) -> DataFrame:
-    return _order_stats(user_sku_daily, CATEGORY, as_of)
+def order_stats_by_category(user_sku_daily: DataFrame, c3: DataFrame, c2: DataFrame, c1: DataFrame, as_of: Day) -> DataFrame:
+    """Reduced by the lowest category; the levels above and all names meet the finished rows."""
+    out = _order_stats(user_sku_daily, ["category3_id"], as_of)
+    out = lookup(out, c3, {"category3_id": "id"}, category3_name="name", category2_id="category2_id")
+    out = lookup(out, c2, {"category2_id": "id"}, category2_name="name", category1_id="category1_id")
+    return lookup(out, c1, {"category1_id": "id"}, category1_name="name")
 
 
 def cart_top3_by_category(cart_full: DataFrame, sku: DataFrame, as_of: Day, k: int = 3) -> DataFrame:

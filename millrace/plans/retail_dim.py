@@ -24,6 +24,11 @@ def sku_names(sku: DataFrame, spu: DataFrame, c3: DataFrame, c2: DataFrame, c1:
     return lookup(out, trademark, {"tm_id": "id"}, tm_name="tm_name")
 
 
+def sku_category(sku: DataFrame, spu: DataFrame) -> DataFrame:
+    """Lowest category of each sku."""
+    return lookup(sku.select("id", "spu_id"), spu, {"spu_id": "id"}, category3_id="category3_id")
+
+
 def dim_sku(names: DataFrame, attr: DataFrame, sale_attr: DataFrame) -> DataFrame:
     """Full sku dimension: names plus attribute lists as arrays."""
     attrs = _attributes(attr, "sku_id", "attr_id", "value_id", "attr_name", "value_name")

@@ -29,6 +29,12 @@ def user_sku_order_1d(detail: DataFrame, sku: DataFrame) -> DataFrame:
     return lookup(agg, sku, {"sku_id": "id"}, **{c: c for c in SKU})
 
 
+def user_sku_count_1d(detail: DataFrame, sku: DataFrame, *columns: str) -> DataFrame:
+    """Orders per user, sku and day with only the sku columns that a report groups by."""
+    agg = detail.groupBy("dt", "user_id", "sku_id").agg(F.count("id").alias("order_count_1d"))
+    return lookup(agg, sku, {"sku_id": "id"}, **{c: c for c in columns})
+
+
 def user_order_1d(detail: DataFrame) -> DataFrame:
     return detail.groupBy("dt", "user_id").agg(F.count("order_id").alias("order_count_1d"), *_sums(ORDER_SUMS, "_1d"))
 

@@ -443,14 +443,15 @@ def _(m):
 @query("retail_ads_order_stats_by_tm", "dt:s recent_days:i tm_id:i tm_name:s order_count:i order_user_count:i", f"""
 SELECT {T} AS dt, n AS recent_days, tm_id, tm_name, sum(order_count_1d) AS order_count, count(DISTINCT user_id) AS order_user_count FROM x_user_sku JOIN x_days ON dt > {T} - n WHERE dt <= {T} GROUP BY n, tm_id, tm_name""")
 def brand_orders(m):
-    return ads.order_stats_by_brand(dws.user_sku_order_1d(Layer(m).lines, Layer(m).sku), TRADE_DAY)
+    return ads.order_stats_by_brand(dws.user_sku_count_1d(Layer(m).lines, m["sku_info"], "tm_id"), m["base_trademark"], TRADE_DAY)
 
 
 @query("retail_ads_order_stats_by_cate", "dt:s recent_days:i category1_id:i category1_name:s category2_id:i category2_name:s category3_id:i category3_name:s order_count:i order_user_count:i", f"""
 SELECT {T} AS dt, n AS recent_days, category1_id, category1_name, category2_id, category2_name, category3_id, category3_name, sum(order_count_1d) AS order_count, count(DISTINCT user_id) AS order_user_count
 FROM x_user_sku JOIN x_days ON dt > {T} - n WHERE dt <= {T} GROUP BY ALL""")
 def _(m):
-    return ads.order_stats_by_category(dws.user_sku_order_1d(Layer(m).lines, Layer(m).sku), TRADE_DAY)
+    daily = dws.user_sku_count_1d(Layer(m).lines, dim.sku_category(m["sku_info"], m["spu_info"]), "category3_id")
+    return ads.order_stats_by_category(daily, m["base_category3"], m["base_category2"], m["base_category1"], TRADE_DAY)
 
 
 @query("retail_ads_sku_cart_num_top3_by_cate", "dt:s category1_id:i category2_id:i category3_id:i category3_name:s sku_id:i sku_name:s cart_num:i rk:i", f"""

@@ -58,6 +58,16 @@ def test_date_filter_reaches_the_scan(spark):
     assert "l_extendedprice" not in plan.split("== Physical Plan ==")[1]
 
 
+def test_brand_report_reads_part_for_brands_and_names_only(spark):
+    plan = load()["retail_ads_order_stats_by_tm"].run(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 4 and plan.count("p_brand") > 0 and "p_size" not in plan  # lines, orders, brands, names
+
+
+def test_price_trend_summarises_once(spark):
+    plan = load()["product360_ads_price_trend"].run(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("FileScan parquet") == 1
+
+
 def test_top_n_cuts_before_the_shuffle(spark):
     plan = load()["board_top50_cart"].run(spark, SMALL)._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan

@@ -23,7 +23,8 @@ def test_repeat_rate_counts_per_user(spark):
 
 def test_brand_orders_distinct_users_per_window(spark):
     df = user_sku(spark, [(day("2024-01-30"), 1, 1, 9, 2), (day("2024-01-30"), 1, 2, 9, 1), (day("2024-01-25"), 2, 1, 9, 1), (day("2024-01-02"), 3, 1, 9, 1)])
-    got = {r.recent_days: (r.order_count, r.order_user_count) for r in retail_ads.order_stats_by_brand(df, "2024-01-30").collect()}
+    names = spark.createDataFrame([(9, "tm9")], "id int, tm_name string")
+    got = {r.recent_days: (r.order_count, r.order_user_count) for r in retail_ads.order_stats_by_brand(df, names, "2024-01-30").collect()}
     assert got == {1: (3, 1), 7: (4, 2), 30: (5, 3)}
 
 
