@@ -146,6 +146,23 @@ SELECT lang, keyword, count(*) AS keyword_count FROM (SELECT lang, {_WORDS} AS k
     lambda m: kw.keyword_counts(m["documents"], "text", F.col("lang")))
 
 
+share("kd_words", "SELECT DISTINCT lower(word) AS word FROM part_words WHERE length(word) % 4 <> 1")
+share("kd_walk", """
+WITH RECURSIVE walk AS (SELECT DISTINCT run, 1 AS pos, CAST(NULL AS BIGINT) AS begins, CAST(NULL AS BIGINT) AS n FROM part_runs
+ UNION ALL SELECT run, CAST(pos + coalesce(m, 1) AS INTEGER), pos, m FROM (SELECT w.run, w.pos, (SELECT max(length(d.word)) FROM kd_words d WHERE starts_with(substr(w.run, w.pos), d.word)) AS m
+  FROM walk w WHERE w.pos <= length(w.run)))
+SELECT run, pos, begins, sum(CASE WHEN n IS NOT NULL OR n_before IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY run ORDER BY begins) AS piece
+FROM (SELECT *, lag(n) OVER (PARTITION BY run ORDER BY begins) AS n_before FROM walk WHERE begins IS NOT NULL)""")
+
+
+@query("keyword_dictionary_parts", "keyword:s keyword_count:i", """
+SELECT keyword, count(*) AS keyword_count FROM part_runs JOIN (SELECT run, string_agg(substr(run, begins, pos - begins), '' ORDER BY begins) AS keyword FROM kd_walk GROUP BY run, piece) USING (run) GROUP BY 1""")
+def _(m):
+    """Names written without spaces, cut by a dictionary that lacks some of their words."""
+    listed = m["part_words"].where("length(word) % 4 <> 1")
+    return kw.longest_matches(m["part_runs"], "run", listed).groupBy("keyword").agg(F.count(F.lit(1)).alias("keyword_count"))
+
+
 @query("search_keyword_windows", "stt:t edt:t cur_date:s keyword:s keyword_count:i", r"""
 SELECT time_bucket(INTERVAL 10 SECOND, ts) AS stt, stt + INTERVAL 10 SECOND AS edt, strftime(stt, '%Y%m%d') AS cur_date, keyword, count(*) AS keyword_count FROM (
  SELECT ts, unnest(regexp_extract_all(lower(item), '[\p{L}\p{N}]+')) AS keyword FROM page_log WHERE last_page_id = 'search' AND item_type = 'keyword' AND item IS NOT NULL) GROUP BY 1, 4""")

@@ -326,6 +326,10 @@ RAW["words"] = """
 SELECT EACH_TOKEN(text, ' ')) AS word FROM {benchmark} UNION ALL SELECT '' AS word"""
 RAW["long_words"] = """
 SELECT word FROM {words} UNION ALL SELECT EACH_TOKEN(p_name, ' ')) AS word FROM {part} UNION ALL SELECT EACH_TOKEN(c_name, ' ')) AS word FROM {customer}"""
+RAW["part_words"] = """
+SELECT DISTINCT EACH_TOKEN(p_name, ' ')) AS word FROM {part}"""
+RAW["part_runs"] = """
+SELECT p_partkey AS part_id, lower(replace(p_name, ' ', '')) || CAST(p_partkey % 40 AS STRING) AS run FROM {part}"""
 RAW["fixes"] = f"""
 SELECT 'car' || CAST(user_id % 40 AS STRING) AS vehicle, CAST(ts AS TIMESTAMP) AS ts, event_id,
   CAST(116.0 + (event_id % 97) * 0.01 AS DOUBLE) AS lon, CAST(39.5 + ({_K} % 50) * 0.01 AS DOUBLE) AS lat, CAST(ts AS DATE) AS dt FROM {{events}}"""

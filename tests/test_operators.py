@@ -5,7 +5,7 @@ from decimal import Decimal
 from pyspark.sql import Window, functions as F
 
 from conftest import at, day
-from millrace.operators import dedup, joins, moderation, ordered, rolling, scd, sequence as sq, topk, tracks, validity
+from millrace.operators import dedup, joins, keywords, moderation, ordered, rolling, scd, sequence as sq, topk, tracks, validity
 
 
 def brute_neighbours(df):
@@ -191,3 +191,15 @@ def test_composite_rank_scores(spark, rows):
     df = spark.createDataFrame([("d", 1, Decimal("0.5"), 10), ("d", 2, Decimal("0.4"), None)], "g string, id int, a decimal(4,2), b int")
     out = topk.composite_rank(df, ["g"], {"ra": (F.col("a"), 60), "rb": (F.col("b"), 40)}, ["id"], "s")
     assert [(r.id, r.ra, r.rb, float(r.s)) for r in out.orderBy("id").collect()] == [(1, 1, 1, 50.0), (2, 2, 2, 0.0)]
+
+
+def test_longest_matches(spark):
+    listed = spark.createDataFrame([(w,) for w in ("数据", "数据仓库", "仓库", "red", "redder", "", None)], "word string")
+    df = spark.createDataFrame([(1, "数据仓库很大"), (2, "大数据 redderred"), (3, "xxREDyy"), (4, "unlisted"), (5, ""), (6, None)], "id int, t string")
+    got = {}
+    for r in keywords.longest_matches(df, "t", listed).collect():
+        got.setdefault(r.id, []).append(r.keyword)
+    want = {1: ["数据仓库", "很大"], 2: ["大", "数据", "redder", "red"], 3: ["xx", "red", "yy"], 4: ["unlisted"]}
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    none = keywords.longest_matches(df, "t", listed.limit(0)).where("id = 1").collect()
+    assert [r.keyword for r in none] == ["数据仓库很大"]
