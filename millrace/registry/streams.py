@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import moderation, sequence as sq, validity as va
+from millrace.operators.joins import lookup
 from millrace.plans import labels
 from millrace.registry import feeds
 from millrace.registry.base import query, share
 from millrace.registry.events import CART_COLS, DUPLICATES, MOD_SQL, PAY_COLS, VISIT_COLS, in_list
+from millrace.registry.retail import Layer
 from millrace.sinks.merge import partial_image
 from millrace.sources import cdc
 from millrace.streaming import images, trade, traffic
@@ -110,8 +112,21 @@ def _(m):
 @query("stream_province_orders", "province_id:i stt:t edt:t order_amount:d order_count:i", """
 SELECT province_id, time_bucket(INTERVAL 10 SECOND, ts) AS stt, stt + INTERVAL 10 SECOND AS edt, sum(sign * amount) AS order_amount, count(DISTINCT order_id) AS order_count FROM dup_log GROUP BY 1, 2""")
 def _(m):
-    """Two hops: the change log, then net ten-second windows per province."""
-    return traffic.edges(traffic.order_windows(_retracted(m), "province_id"))
+    return traffic.edges(_order_windows(m, "province_id"))
+
+
+def _order_windows(m, key):
+    """Two streams: the change log, and from it net sums per window, key and order that add up over batches."""
+    log = again_as_stream(_retracted(m))
+    return traffic.order_windows(run_sums(log, f"orders-{key}", lambda rows: traffic.order_cells(rows, key), ["w", key, "order_id"]), key)
+
+
+@query("stream_sku_orders", "sku_id:i sku_name:s tm_name:s category3_name:s stt:t order_amount:d order_count:i", """
+SELECT l.sku_id, k.sku_name, k.tm_name, k.category3_name, time_bucket(INTERVAL 10 SECOND, ts) AS stt, sum(sign * amount) AS order_amount, count(DISTINCT order_id) AS order_count
+FROM dup_log l LEFT JOIN x_sku k ON k.id = l.sku_id GROUP BY ALL""")
+def _(m):
+    out = traffic.edges(_order_windows(m, "sku_id"))
+    return lookup(out, Layer(m).sku, {"sku_id": "id"}, sku_name="sku_name", tm_name="tm_name", category3_name="category3_name")
 
 
 @query("stream_newest_wins", "event_id:i user_id:i during_time:i", """

@@ -85,11 +85,15 @@ def login_windows(flags: DataFrame, length: str = "1 second") -> DataFrame:
         F.sum("uu").alias("uu_ct"), F.sum("back").alias("back_ct"))
 
 
-def order_windows(changes: DataFrame, key: str, length: str = "10 seconds") -> DataFrame:
-    """Net amount and distinct orders per key over a change log (reduced per order first)."""
-    per_order = changes.groupBy(_window("ts", length), key, "order_id").agg(
-        F.sum(F.col("sign") * F.col("copies") * F.col("amount")).alias("a"))
-    return per_order.groupBy("w", key).agg(F.sum("a").alias("order_amount"), F.count("order_id").alias("order_count"))
+def order_cells(changes: DataFrame, key: str, length: str = "10 seconds") -> DataFrame:
+    """Net amount per window, key and order over a change log: sums that micro-batches can add up."""
+    return changes.groupBy(_window("ts", length), key, "order_id").agg(
+        F.sum(F.col("sign") * F.col("copies") * F.col("amount")).alias("amount"))
+
+
+def order_windows(cells: DataFrame, key: str) -> DataFrame:
+    """Net amount and distinct orders per window and key."""
+    return cells.groupBy("w", key).agg(F.sum("amount").alias("order_amount"), F.count("order_id").alias("order_count"))
 
 
 def profiles(events: DataFrame) -> DataFrame:
