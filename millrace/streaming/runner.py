@@ -17,15 +17,19 @@ from millrace.sinks.merge import KeyedTable, latest_image
 from millrace.sinks.workspace import scratch, shared_dir
 
 LOCAL_STATE_PARTITIONS = "8"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @contextmanager
 def stream_settings(spark: SparkSession):
-    """In local mode use few state partitions; a query captures the setting when it starts. The state
-    store is the session's choice."""
+    """On a cluster keep state on disk, unless the session names another store; in local mode use few state
+    partitions. A query captures the settings when it starts."""
     wanted = {}
     if spark.sparkContext.master.startswith("local"):
         wanted["spark.sql.shuffle.partitions"] = LOCAL_STATE_PARTITIONS
+    elif "HDFSBacked" in spark.conf.get(STATE_STORE, "HDFSBacked"):
+        wanted[STATE_STORE] = ROCKS_DB
     before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
         spark.conf.set(k, v)
