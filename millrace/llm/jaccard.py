@@ -109,7 +109,10 @@ def in_blocks(rows: DataFrame, group: str, size: str, block: int) -> DataFrame:
 
 
 def candidate_links(reps: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect all classes whose pairs survive in some bucket."""
+    """Edges (a, b) that connect all classes whose pairs survive in some bucket.
+
+    Members come in the order of their numbers, so that the buckets of a group lead to the same few first members.
+    """
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
     banded = reps.select("row", "sig", band.alias("band")).select(
         "row", F.xxhash64("band", F.substring(F.col("sig"), F.col("band") * 4 * ROWS + 1, F.lit(4 * ROWS))).alias("bucket"))
@@ -145,7 +148,7 @@ def candidate_links(reps: DataFrame) -> DataFrame:
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
-    return dealt.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q").mapInArrow(link, "a long, b long")
+    return dealt.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "row").mapInArrow(link, "a long, b long")
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -201,7 +204,7 @@ def verified_links(clusters: DataFrame, words: int = WORDS, threshold: float = T
                     [pa.array(row[part][some]), pa.array((linked[some] @ n_docs[part]).astype(np.int64)),
                      pa.array(row[part][block_roots(linked)[some]])], ["row", "links", "towards"])
 
-    return dealt.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q").mapInArrow(
+    return dealt.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q", "row").mapInArrow(
         verify, "row long, links long, towards long")
 
 
