@@ -36,8 +36,9 @@ from millrace.llm.common import text_bytes
 from millrace.llm.shingles import BASE, STEP, inverse, mixed, powers
 
 LENGTH, GRAM = 50, 20
-#: Bytes of text in a batch, behind an anchor bucket, and behind a shard's bucket; bytes of stretches in a suffix array.
-BATCH, ANCHORS, STRETCHES, SHARD = 8 << 20, 64 << 20, 16 << 20, 4 << 20
+#: Bytes of text in a batch, behind an anchor bucket, and behind a shard's bucket; bytes of stretches in a suffix array;
+#: bytes of text below which neither batch nor bucket is made smaller.
+BATCH, ANCHORS, STRETCHES, SHARD, LEAST = 8 << 20, 64 << 20, 8 << 20, 2 << 20, 1 << 20
 #: Bytes of a batch that are hashed at a time; positions in such a part fit PLACE bits.
 PART, PLACE = 2 << 20, 24
 LAST = np.iinfo(np.int64).max
@@ -47,10 +48,20 @@ SHARED, STRINGS, PLACES, ANSWERS = range(4)
 
 
 def _message(target: int, batch: int, kind: int, *arrays: np.ndarray) -> tuple:
-    blobs = [np.ascontiguousarray(a).tobytes() for a in arrays]
+    """Arrays go as planes of their first, second, ... bytes: numbers far below their type's range shuffle as few bytes."""
+    blobs = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() if len(a) else b"" for a in arrays]
     return (target, batch, kind, *blobs, *[b""] * (6 - len(blobs)))
 
 
+def _arrays(table: pa.Table, name: str, kind: type) -> list[np.ndarray]:
+    width = np.dtype(kind).itemsize
+    return [np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(width, -1).T).view(kind).ravel() for x in table.column(name).to_pylist()]
+
+
+def _array(table: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.concatenate(_arrays(table, name, kind))
+
+
 def _rows(messages: list[tuple]) -> pa.Table:
     columns = list(zip(*messages)) if messages else [[]] * len(NAMES)
     kinds = [pa.int32()] * 3 + [pa.binary()] * 6
@@ -151,8 +162,8 @@ def _screened(anchors: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarr
 def _repeated_anchors(table: pa.Table) -> pa.Table:
     """Pass 1, a bucket: for each batch those of its anchors that several documents hold."""
     bucket, batches = table.column("target")[0].as_py(), table.column("batch").to_pylist()
-    values = [np.frombuffer(x, np.uint32) for x in table.column("a").to_pylist()]
-    several = np.concatenate([np.frombuffer(x, bool) for x in table.column("b").to_pylist()])
+    values = _arrays(table, "a", np.uint32)
+    several = _array(table, "b", bool)
     joined = np.concatenate(values)
     order = np.argsort(joined, kind="stable")
     ordered = joined[order]
@@ -180,8 +191,8 @@ def _cut_out(docs: pa.Table, shared: pa.Table, n_screens: int, n_buckets: int) -
     _, ids, data, offsets = _batch(docs)
     runs = Stretches(data, offsets)
     bucket, rest = _screened(runs.anchor, n_screens)
-    wanted = np.sort(np.concatenate([np.frombuffer(x, np.uint32).astype(np.uint64) | np.uint64(b << 32)
-                                     for b, x in zip(shared.column("target").to_pylist(), shared.column("a").to_pylist())]))
+    wanted = np.sort(np.concatenate([x.astype(np.uint64) | np.uint64(b << 32) for b, x in zip(
+        shared.column("target").to_pylist(), _arrays(shared, "a", np.uint32))]))
     key = bucket << np.uint64(32) | rest.astype(np.uint64)
     at = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
     some = np.flatnonzero(wanted[at] == key)
@@ -204,7 +215,7 @@ def _cut_out(docs: pa.Table, shared: pa.Table, n_screens: int, n_buckets: int) -
         if hi > lo:
             x = by_target[lo:hi]
             out.append(_message(b, batch, STRINGS, data[_ranges(runs.start[one[x]], lengths[x])], lengths[x].astype(np.uint16),
-                                x.astype(np.uint32), runs.anchor[one[x]], low[x], high[x]))
+                                x.astype(np.uint32), (runs.anchor[one[x]] >> np.uint64(32)).astype(np.uint32), low[x], high[x] - low[x]))
     out.append(_message(-1 - batch, batch, PLACES, name.astype(np.uint32), runs.doc[order].astype(np.uint32),
                         runs.start[order] - offsets[runs.doc[order]]))
     return _rows(out)
@@ -315,10 +326,9 @@ def _search(table: pa.Table) -> pa.Table:
     if table.column("kind")[0].as_py() == PLACES:
         return table.select(NAMES)
     batches = np.repeat(table.column("batch").to_numpy(), [len(x) // 2 for x in table.column("b").to_pylist()])
-    read = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    text, lengths, names, anchors, low, high = (read(c, t) for c, t in zip(
-        "abcdef", (np.uint8, np.uint16, np.uint32, np.uint64, np.int64, np.int64)))
-    lengths = lengths.astype(np.int64)
+    text, lengths, names, anchors, low, high = (_array(table, c, t) for c, t in zip(
+        "abcdef", (np.uint8, np.uint16, np.uint32, np.uint32, np.int64, np.int64)))
+    lengths, high = lengths.astype(np.int64), low + high
     starts = np.cumsum(lengths) - lengths
     # equal stretches of several batches are one string of the shard
     whole = text.tobytes()
@@ -398,9 +408,8 @@ def _cut_away(docs: pa.Table, messages: pa.Table) -> pa.Table:
     answers = messages.filter(pa.array(kinds == ANSWERS))
     places = messages.filter(pa.array(kinds == PLACES))
     if len(answers) and len(places):
-        read = lambda t, name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
-        name, doc, at = (read(places, c, t) for c, t in zip("abc", (np.uint32, np.uint32, np.int64)))
-        of, start, stop, least = (read(answers, c, t) for c, t in zip("abcd", (np.uint32, np.uint16, np.uint16, np.int64)))
+        name, doc, at = (_array(places, c, t) for c, t in zip("abc", (np.uint32, np.uint32, np.int64)))
+        of, start, stop, least = (_array(answers, c, t) for c, t in zip("abcd", (np.uint32, np.uint16, np.uint16, np.int64)))
         begin = np.searchsorted(name, of)  # places are sorted by name
         count = np.searchsorted(name, of, "right") - begin
         where, answer = _ranges(begin, count), np.repeat(np.arange(len(of)), count)
@@ -431,11 +440,10 @@ def _cut_away(docs: pa.Table, messages: pa.Table) -> pa.Table:
 def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: bytes, bytes that go, spans they form, digest of what stays, starts and ends of the spans."""
     spark = docs.sparkSession
-    size = docs.agg(F.sum(F.octet_length(text_col)), F.count(F.lit(1))).first()
-    n_bytes, n_docs = size[0] or 0, size[1]
-    least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_batches = max(-(-n_bytes // BATCH), min(least, -(-n_docs // 64)), 1)
-    n_screens, n_buckets = max(-(-n_bytes // ANCHORS), least), max(-(-n_bytes // STRETCHES), least)
+    n_bytes = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    # as many batches and buckets as keep all tasks busy, but none for less than LEAST bytes: messages are a row per both
+    busy = max(1, min(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), n_bytes // LEAST))
+    n_batches, n_screens, n_buckets = (max(-(-n_bytes // most), busy) for most in (BATCH, ANCHORS, STRETCHES))
     read = docs.select(F.pmod(F.xxhash64(F.col(id_col), F.lit("batch")), F.lit(n_batches)).cast("int").alias("batch"),
                        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     by_batch = read.groupBy("batch")
