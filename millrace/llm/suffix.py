@@ -5,16 +5,18 @@ passes over batches of documents, which are shuffled once:
 
 1. Each ``LENGTH``-byte window is stood for by its anchor, the ``GRAM``-byte string in it with the smallest hash. Equal
    windows have equal anchors, so a window can repeat only if its anchor does. Batches send their distinct
-   anchors, as 32-bit remainders, to buckets, which answer with those seen in more than one document. (Remainders that
-   collide only cost work.)
+   anchors, as 32-bit remainders, to buckets, which answer with those seen in more than one document, and with the number
+   of parts of those whose distinct stretches are more than a shard. (Remainders that collide only cost work.)
 2. Batches cut out the stretches of windows with such an anchor, each distinct one once with its smallest and
    largest document, and send them to buckets by anchor: the shards. A shard sorts the suffixes of its stretches
    by Larsson-Sadakane refinement, finds common prefixes with neighbours by Kasai's rule, and so the smallest
-   document of each window. An anchor with more stretches than a shard holds is spread over several, which are merged
-   by binary search among their sorted windows. Batches get back the smallest document for runs of windows.
+   document of each window. (Anchors that collide may fill several shards, which are merged by binary search among their
+   sorted windows.) Of an anchor in parts the distinct windows themselves are sent, each to the part its hash names, so
+   equal ones meet and no task has all surroundings of a template. Batches get back the smallest document for runs of
+   windows.
 3. Batches apply the answers to their documents and cut out what goes.
 
-A shard's input has one row per batch and distinct stretch, so a passage that a third of all documents hold
+A shard's input has one row per batch and distinct stretch or window, so a passage that a third of all documents hold
 weighs as much as there are batches.
 
 Defined cases: a null text is empty; null ids are larger than any other and not smaller than one another, like
@@ -36,15 +38,19 @@ from millrace.llm.common import text_bytes
 from millrace.llm.shingles import BASE, STEP, inverse, mixed, powers
 
 LENGTH, GRAM = 50, 20
+#: Windows with one anchor at one place, and the bytes of their stretch, at most.
+RUN, WIDEST = LENGTH - GRAM + 1, 2 * LENGTH - GRAM
 #: Bytes of text in a batch, behind an anchor bucket, and behind a shard's bucket; bytes of stretches in a suffix array;
 #: bytes of text below which neither batch nor bucket is made smaller.
 BATCH, ANCHORS, STRETCHES, SHARD, LEAST = 8 << 20, 64 << 20, 8 << 20, 2 << 20, 1 << 20
 #: Bytes of a batch that are hashed at a time; positions in such a part fit PLACE bits.
 PART, PLACE = 2 << 20, 24
 LAST = np.iinfo(np.int64).max
+#: Numbers that parts of anchors are dealt to, above the shards' buckets.
+SPACE = 1 << 30
 MESSAGE = "target int, batch int, kind int, a binary, b binary, c binary, d binary, e binary, f binary"
 NAMES = ["target", "batch", "kind", *"abcdef"]
-SHARED, STRINGS, PLACES, ANSWERS = range(4)
+SHARED, STRINGS, PLACES, ANSWERS, WINDOWS, WINDOW_PLACES, WINDOW_ANSWERS = range(7)
 
 
 def _message(target: int, batch: int, kind: int, *arrays: np.ndarray) -> tuple:
@@ -136,7 +142,7 @@ def _batch(table: pa.Table) -> tuple[pa.ChunkedArray, np.ndarray, np.ndarray, np
 
 
 def _distinct_anchors(table: pa.Table, n_buckets: int) -> pa.Table:
-    """Pass 1, a batch: its anchors by bucket, and which of them are in several of its documents."""
+    """Pass 1, a batch: its anchors by bucket, which of them are in several of its documents, and their distinct stretches."""
     batch = table.column("batch")[0].as_py()
     _, ids, data, offsets = _batch(table)
     runs = Stretches(data, offsets)
@@ -146,24 +152,39 @@ def _distinct_anchors(table: pa.Table, n_buckets: int) -> pa.Table:
         return _rows([])
     starts = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1])))
     several = np.minimum.reduceat(docs, starts) != np.maximum.reduceat(docs, starts)
+    distinct = _distinct(runs.mark[order], starts)
     anchors = anchors[starts]
     bucket, rest = _screened(anchors, n_buckets)
     order = np.lexsort((rest, bucket))
-    bucket, rest, several = bucket[order], rest[order], several[order]
+    bucket, rest, several, distinct = bucket[order], rest[order], several[order], distinct[order]
     edges = np.searchsorted(bucket, np.arange(n_buckets + 1))
-    return _rows([_message(b, batch, SHARED, rest[lo:hi], several[lo:hi])
+    return _rows([_message(b, batch, SHARED, rest[lo:hi], several[lo:hi], distinct[lo:hi])
                   for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if hi > lo])
 
 
+def _distinct(marks: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Different marks in each of the runs that begin at ``starts``."""
+    counts = np.diff(np.append(starts, len(marks)))
+    many = np.flatnonzero(counts > 1)
+    out = np.ones(len(starts), np.uint32)
+    run, values = np.repeat(many, counts[many]), marks[_ranges(starts[many], counts[many])]
+    order = np.lexsort((values, run))
+    values = values[order]  # runs stay where they are
+    new = np.ones(len(run), bool)
+    new[1:] = (run[1:] != run[:-1]) | (values[1:] != values[:-1])
+    out[many] = np.bincount(run[new], minlength=len(starts))[many]
+    return out
+
+
 def _screened(anchors: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return (anchors >> np.uint64(32)) % np.uint64(n_buckets), anchors.astype(np.uint32)
 
 
 def _repeated_anchors(table: pa.Table) -> pa.Table:
-    """Pass 1, a bucket: for each batch those of its anchors that several documents hold."""
+    """Pass 1, a bucket: for each batch those of its anchors that several documents hold, and their parts, 0 if a shard holds them."""
     bucket, batches = table.column("target")[0].as_py(), table.column("batch").to_pylist()
     values = _arrays(table, "a", np.uint32)
-    several = _array(table, "b", bool)
+    several, distinct = _array(table, "b", bool), _array(table, "c", np.uint32)
     joined = np.concatenate(values)
     order = np.argsort(joined, kind="stable")
     ordered = joined[order]
@@ -171,8 +192,11 @@ def _repeated_anchors(table: pa.Table) -> pa.Table:
     counts = np.diff(np.append(starts, len(ordered)))
     shared = np.empty(len(joined), bool)
     shared[order] = np.repeat((counts > 1) | np.logical_or.reduceat(several[order], starts), counts)
+    stretches = np.add.reduceat(distinct[order].astype(np.int64), starts)
+    parts = np.empty(len(joined), np.uint32)
+    parts[order] = np.repeat(np.where(stretches * WIDEST > SHARD, -(-stretches * RUN * LENGTH // STRETCHES), 0), counts)
     edges = np.cumsum([0, *map(len, values)])
-    return _rows([_message(bucket, b, SHARED, v[shared[lo:hi]])
+    return _rows([_message(bucket, b, SHARED, v[shared[lo:hi]], parts[lo:hi][shared[lo:hi]])
                   for b, v, lo, hi in zip(batches, values, edges, edges[1:]) if shared[lo:hi].any()])
 
 
@@ -184,15 +208,17 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _cut_out(docs: pa.Table, shared: pa.Table, n_screens: int, n_buckets: int) -> pa.Table:
-    """Pass 2, a batch: its distinct stretches that may repeat, by bucket, and where they are."""
+    """Pass 2, a batch: its distinct stretches that may repeat, by bucket, and where they are; windows of anchors in parts."""
     if not len(docs) or not len(shared):
         return _rows([])
     batch = docs.column("batch")[0].as_py()
     _, ids, data, offsets = _batch(docs)
     runs = Stretches(data, offsets)
     bucket, rest = _screened(runs.anchor, n_screens)
-    wanted = np.sort(np.concatenate([x.astype(np.uint64) | np.uint64(b << 32) for b, x in zip(
-        shared.column("target").to_pylist(), _arrays(shared, "a", np.uint32))]))
+    wanted = np.concatenate([x.astype(np.uint64) | np.uint64(b << 32) for b, x in zip(
+        shared.column("target").to_pylist(), _arrays(shared, "a", np.uint32))])
+    order = np.argsort(wanted)
+    wanted, parts = wanted[order], _array(shared, "b", np.uint32)[order]
     key = bucket << np.uint64(32) | rest.astype(np.uint64)
     at = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
     some = np.flatnonzero(wanted[at] == key)
@@ -208,9 +234,12 @@ def _cut_out(docs: pa.Table, shared: pa.Table, n_screens: int, n_buckets: int) -
     low, high = ids[runs.doc[one]], ids[runs.doc[order[np.append(firsts[1:], len(order)) - 1]]]
     lengths = runs.count[one] + LENGTH - 1
     target = (mixed(runs.anchor[one]) % np.uint64(n_buckets)).astype(np.int64)
-    by_target = np.argsort(target, kind="stable")
+    parts = parts[at[one]]
+    whole, cut = np.flatnonzero(parts == 0), np.flatnonzero(parts)
+    by_target = whole[np.argsort(target[whole], kind="stable")]
     edges = np.searchsorted(target[by_target], np.arange(n_buckets + 1))
-    out = []
+    out = _cut_up(data, batch, n_buckets, cut, runs.start[one[cut]], runs.count[one[cut]], runs.anchor[one[cut]], parts[cut],
+                  low[cut], high[cut]) if len(cut) else []
     for b, (lo, hi) in enumerate(zip(edges, edges[1:])):
         if hi > lo:
             x = by_target[lo:hi]
@@ -221,6 +250,30 @@ def _cut_out(docs: pa.Table, shared: pa.Table, n_screens: int, n_buckets: int) -
     return _rows(out)
 
 
+def _cut_up(data: np.ndarray, batch: int, n_buckets: int, names: np.ndarray, first: np.ndarray, count: np.ndarray,
+            anchors: np.ndarray, parts: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[tuple]:
+    """Messages of stretches whose anchors are in parts: each distinct window once, by part, and the stretches it is in."""
+    size = count + LENGTH - 1
+    text = data[_ranges(first, size)]
+    of, place = np.repeat(np.arange(len(first)), count), _ranges(np.zeros(len(first), np.int64), count)
+    at = (np.cumsum(size) - size)[of] + place
+    mark, check = (mixed((sums[at + LENGTH] - sums[at]) * back[at]) for sums, back in (_prefix(text, BASE), _prefix(text, STEP)))
+    target = (mixed(anchors[of] + mark % parts[of].astype(np.uint64)) % np.uint64(SPACE)).astype(np.int64) + n_buckets
+    order = np.lexsort((check, mark, target))
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for column in (target, mark, check):
+        new[1:] |= column[order[1:]] != column[order[:-1]]
+    firsts = np.flatnonzero(new)
+    at, target = at[order[firsts]], target[order[firsts]]
+    low, high = np.minimum.reduceat(low[of[order]], firsts), np.maximum.reduceat(high[of[order]], firsts)
+    edges = np.flatnonzero(np.concatenate(([True], target[1:] != target[:-1], [True])))
+    out = [_message(int(target[lo]), batch, WINDOWS, text[_ranges(at[lo:hi], np.full(hi - lo, LENGTH))],
+                    np.arange(lo, hi, dtype=np.uint32), low[lo:hi], high[lo:hi] - low[lo:hi]) for lo, hi in zip(edges, edges[1:])]
+    return [*out, _message(-1 - batch, batch, WINDOW_PLACES, (np.cumsum(new) - 1).astype(np.uint32), names[of[order]].astype(np.uint32),
+                           place[order].astype(np.uint16))]
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Starts of the suffixes in their order; one that ends comes before those that go on."""
     n = len(text)
@@ -323,8 +376,10 @@ def _merged(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]])
 
 def _search(table: pa.Table) -> pa.Table:
     """Pass 2, a bucket: suffix arrays of its shards; runs of windows with their smallest document, for each batch."""
-    if table.column("kind")[0].as_py() == PLACES:
+    if table.column("target")[0].as_py() < 0:  # places
         return table.select(NAMES)
+    if table.column("kind")[0].as_py() == WINDOWS:
+        return _equal_windows(table)
     batches = np.repeat(table.column("batch").to_numpy(), [len(x) // 2 for x in table.column("b").to_pylist()])
     text, lengths, names, anchors, low, high = (_array(table, c, t) for c, t in zip(
         "abcdef", (np.uint8, np.uint16, np.uint32, np.uint32, np.int64, np.int64)))
@@ -377,6 +432,23 @@ def _search(table: pa.Table) -> pa.Table:
                            stop[at[lo:hi]].astype(np.uint16), least[at[lo:hi]]) for b, lo, hi in zip(ids, edges, edges[1:])])
 
 
+def _equal_windows(table: pa.Table) -> pa.Table:
+    """Pass 2, a part of an anchor: the smallest document of each window, for each batch that has it in a larger one."""
+    text, names, low, high = (_array(table, c, t) for c, t in zip("abcd", (np.uint8, np.uint32, np.int64, np.int64)))
+    high = low + high
+    values = text.view(f"S{LENGTH}")
+    order = np.argsort(values)
+    ordered = values[order]
+    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    least = np.empty(len(order), np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(low[order], starts), np.diff(np.append(starts, len(order))))
+    counts = [len(x) // LENGTH for x in table.column("a").to_pylist()]
+    edges = np.cumsum([0, *counts])
+    keep = least < high
+    return _rows([_message(-1 - b, b, WINDOW_ANSWERS, names[lo:hi][keep[lo:hi]], least[lo:hi][keep[lo:hi]])
+                  for b, lo, hi in zip(table.column("batch").to_pylist(), edges, edges[1:]) if keep[lo:hi].any()])
+
+
 def _shards(size: np.ndarray, anchors: np.ndarray) -> Iterator[list[tuple[int, int]]]:
     """Ranges of strings of about SHARD bytes, whole anchors each; an anchor beyond that is a list of ranges."""
     n, lo = len(size), 0
@@ -399,17 +471,37 @@ def _shards(size: np.ndarray, anchors: np.ndarray) -> Iterator[list[tuple[int, i
         lo = hi
 
 
+def _answered(messages: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
+    """(stretch, first window, last window, smallest document) of a batch's answers."""
+    kinds = messages.column("kind").to_numpy()
+    answers, found, places = (messages.filter(pa.array(kinds == k)) for k in (ANSWERS, WINDOW_ANSWERS, WINDOW_PLACES))
+    if len(answers):
+        yield tuple(_array(answers, c, t).astype(np.int64) for c, t in zip("abcd", (np.uint32, np.uint16, np.uint16, np.int64)))
+    if len(found):
+        window, least = _array(found, "a", np.uint32), _array(found, "b", np.int64)
+        number, of, place = (_array(places, c, t) for c, t in zip("abc", (np.uint32, np.uint32, np.uint16)))
+        begin = np.searchsorted(number, window)  # places are sorted by window
+        count = np.searchsorted(number, window, "right") - begin
+        where, least = _ranges(begin, count), np.repeat(least, count)
+        of, place = of[where].astype(np.int64), place[where].astype(np.int64)
+        order = np.lexsort((place, of))
+        of, place, least = of[order], place[order], least[order]
+        new = np.ones(len(of), bool)
+        new[1:] = (of[1:] != of[:-1]) | (place[1:] != place[:-1] + 1) | (least[1:] != least[:-1])
+        first = np.flatnonzero(new)
+        yield of[first], place[first], place[np.append(first[1:], len(of)) - 1], least[first]
+
+
 def _cut_away(docs: pa.Table, messages: pa.Table) -> pa.Table:
     """Pass 3, a batch: what goes of each document."""
     given, ids, data, offsets = _batch(docs)
     n = len(ids)
     change = np.zeros(len(data) + 1, np.int32)
-    kinds = messages.column("kind").to_numpy()
-    answers = messages.filter(pa.array(kinds == ANSWERS))
-    places = messages.filter(pa.array(kinds == PLACES))
-    if len(answers) and len(places):
+    answers = list(_answered(messages))
+    places = messages.filter(pc.equal(messages.column("kind"), PLACES))
+    if answers and len(places):
         name, doc, at = (_array(places, c, t) for c, t in zip("abc", (np.uint32, np.uint32, np.int64)))
-        of, start, stop, least = (_array(answers, c, t) for c, t in zip("abcd", (np.uint32, np.uint16, np.uint16, np.int64)))
+        of, start, stop, least = (np.concatenate(c) for c in zip(*answers))
         begin = np.searchsorted(name, of)  # places are sorted by name
         count = np.searchsorted(name, of, "right") - begin
         where, answer = _ranges(begin, count), np.repeat(np.arange(len(of)), count)

@@ -9,6 +9,8 @@ import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -187,6 +189,39 @@ def test_repeats_over_small_shards(spark, monkeypatch):
     assert found_repeats(spark.createDataFrame(rows, "doc_id long, text string")) == plain_repeats(rows)
 
 
+def passes(rows, n_batches, n_buckets, seen):
+    """The passes of ``repeated_strings`` one after the other; ``seen`` gets the bytes of text behind each bucket of pass 2."""
+    def grouped(tables, name):
+        whole = pa.concat_tables(tables)
+        return {k: whole.filter(pc.equal(whole.column(name), k)) for k in sorted(set(whole.column(name).to_pylist()))}
+
+    batches = {b: pa.table({"batch": pa.array([b] * len(part), pa.int32()), "doc_id": pa.array([i for i, _ in part], pa.int64()),
+                            "text": pa.array([t for _, t in part])}) for b in range(n_batches) if (part := rows[b::n_batches])}
+    shared = grouped([suffix._repeated_anchors(t) for t in grouped(
+        [suffix._distinct_anchors(t, 3) for t in batches.values()], "target").values()], "batch")
+    none = suffix._rows([])
+    strings = grouped([suffix._cut_out(t, shared.get(b, none), 3, n_buckets) for b, t in batches.items()], "target")
+    seen += [sum(map(len, t.column("a").to_pylist())) for target, t in strings.items() if target >= 0]
+    answers = grouped([suffix._search(t) for t in strings.values()], "batch")
+    out = pa.concat_tables([suffix._cut_away(t, answers.get(b, none)) for b, t in batches.items()]).to_pylist()
+    return sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in out)
+
+
+@pytest.mark.parametrize("template", ['<td class="price right">', "All rights reserved; this page was made on "])
+def test_repeats_of_template_with_differing_surroundings(monkeypatch, template):
+    """No bucket gets all surroundings of a template that every document holds, whatever its length; equal windows still meet."""
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    around = [(word(40), word(40)) for _ in range(400)]
+    picks = [(around[int(a)][0], around[int(b)][1]) for a, b in rng.integers(0, 400, (200, 2))] + around
+    rows = [(int(i), a + template + b) for i, (a, b) in zip(rng.permutation(len(picks)), picks)] + [(None, picks[0][0] + template)]
+    monkeypatch.setattr(suffix, "SHARD", 2000)
+    monkeypatch.setattr(suffix, "STRETCHES", 20000)
+    seen = []
+    assert passes(rows, 4, 5, seen) == plain_repeats(rows)
+    assert max(seen) < 2 * 20000 and sum(seen) > 8 * 20000
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.binary(min_size=1, max_size=120).map(lambda b: bytes(x % 3 for x in b)))
 def test_suffix_array_and_prefixes(text):
