@@ -1,7 +1,7 @@
 """Conversations in reply order, linked by what their messages quote.
 
 Lines that begin with ``>`` marks are quoted, the number of marks is the level; neighbouring lines of a level are a
-passage. Passages and their lines are normalised (lower case, single spaces), hashed and joined to the messages
+passage, blank ones part it into paragraphs. Passages, their paragraphs and lines are normalised (lower case, single spaces), hashed and joined to the messages
 that hold the same text unquoted, as whole body, paragraph or line: the latest earlier message of the conversation. The
 source of the outermost level that accounts for most characters is the message replied to. Quotes and the
 "... wrote:" lines above them go from the body; messages get their depth, their path of turns from the thread's root and their
@@ -44,9 +44,10 @@ def normal(text: Column) -> Column:
 
 
 def passages(text: str) -> list[tuple[int, str]]:
-    """(level, text) of each quoted passage, and of each line of those with several."""
+    """(level, text) of each quoted passage, of each paragraph of those with several, and of each line of those with several."""
     out: list[tuple[int, str]] = []
     run: list[str] = []
+    starts = {0}  # of paragraphs in the run
     last = 0
     for line in [*text.split("\n"), ""]:
         marks = _MARKS.match(line)
@@ -54,10 +55,15 @@ def passages(text: str) -> list[tuple[int, str]]:
         if level != last and run:
             out.append((last, " ".join(run)))
             if len(run) > 1:
+                edges = [*sorted(starts - {len(run)}), len(run)]
+                if len(edges) > 2:  # a paragraph of one line is among the lines
+                    out += [(last, " ".join(run[a:b])) for a, b in zip(edges, edges[1:]) if b - a > 1]
                 out += [(last, one) for one in run]
-            run = []
+            run, starts = [], {0}
         if marks and line[marks.end():].strip():
             run.append(line[marks.end():])
+        elif marks:
+            starts.add(len(run))
         last = level
     return out
 

@@ -28,6 +28,17 @@ def test_nested_quotes_link_and_order(spark):
     assert out[(1, 5)]["quoted_units"] == 1 and out[(1, 5)]["linked_units"] == 0
 
 
+def test_rewrapped_paragraphs_of_a_longer_message(spark):
+    rows = [
+        (1, 0, "user", "The first paragraph runs\nover two lines.\n\nThe second one is\nlong as well.\n\nThe third is left out."),
+        (1, 1, "user", "Something else."),
+        (1, 2, "user", "> The first paragraph\n> runs over two\n> lines.\n>\n> The second one\n> is long as well.\nAgreed."),
+    ]
+    out = by_turn(reply_order(spark.createDataFrame(rows, SCHEMA)))
+    assert (out[(1, 2)]["reply_to"], out[(1, 2)]["depth"], out[(1, 2)]["linked_units"]) == (0, 1, 2)
+    assert passages("> a\n>\n> \n> b\n> c\n>") == [(1, "a b c"), (1, "b c"), (1, "a"), (1, "b"), (1, "c")]
+
+
 def test_odd_rows(spark):
     rows = [(None, None, None, None), (1, None, "user", "hello there"), (1, 3, "user", "> hello there\nyes"), (1, 3, "user", "> hello there\nyes"),
             (1, 3, "user", ""), (1, 5000, "user", "> hello there\n> yes\n" + "x" * 100000)]
