@@ -4,8 +4,8 @@ Lines that begin with ``>`` marks are quoted, the number of marks is the level;
 passage, blank ones part it into paragraphs. Passages, their paragraphs and lines are normalised (lower case, single spaces), hashed and joined to the messages
 that hold the same text unquoted, as whole body, paragraph or line: the latest earlier message of the conversation. The
 source of the outermost level that accounts for most characters is the message replied to. Quotes and the
-"... wrote:" lines above them go from the body; messages get their depth, their path of turns from the thread's root and their
-position, each thread in the order of replies.
+"... wrote:" lines above them go from the body; messages get their depth, their thread's root and their position, each
+thread in the order of replies.
 
 The search for the latest earlier holder runs in chunks of turns, so that a line which a hot conversation repeats
 meets neither all its holders nor all its quoters; the position is a distributed sort with offsets.
@@ -18,12 +18,13 @@ without a found quotation begins a thread; an empty table gives no rows; other c
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.llm.common import cut, id_key
+from millrace.operators.joins import null_safe
 from millrace.operators.ordered import global_rank
 
 CHUNK = 1024
@@ -125,26 +126,62 @@ def replies(messages: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("source").isNotNull(), F.col("units")).otherwise(0)).alias("found"), best["source"].alias("parent")), "replies")
 
 
-def paths(links: DataFrame) -> DataFrame:
-    """(conv, at, path): turns from a thread's root to each turn that replies; each round doubles the length resolved."""
-    state = cut(links.filter("parent IS NOT NULL").groupBy("conv", "at").agg(F.max("parent").alias("up")).select(
-        "conv", "at", "up", F.array("at").alias("tail")), "paths")
-    while state.filter("up IS NOT NULL").limit(1).count():
-        above = state.select("conv", F.col("at").alias("up"), F.col("up").alias("further"), F.col("tail").alias("more"))
-        joined = state.filter("up IS NOT NULL").join(above, ["conv", "up"], "left")
-        grown = joined.select("conv", "at", F.col("further").alias("up"),
-                              F.concat(F.coalesce("more", F.array("up")), "tail").alias("tail"))
-        state = cut(grown.unionByName(state.filter("up IS NULL").select("conv", "at", "up", "tail")), "paths")
-    return state.select("conv", "at", F.col("tail").alias("path"))
+def _rounds(state: DataFrame, step: Callable[[DataFrame], DataFrame], label: str) -> DataFrame:
+    """``state`` after as many steps as it takes until no ``jump`` is left; each doubles the way up that a jump goes."""
+    state = cut(state, label)
+    while state.filter("jump IS NOT NULL").limit(1).count():
+        state = cut(step(state), label)
+    return state
+
+
+def _sized(state: DataFrame) -> DataFrame:
+    """Subtrees of twice the depth: a turn's own and those of the turns that jump to it."""
+    more = state.filter("jump IS NOT NULL").groupBy("conv", F.col("jump").alias("at")).agg(F.sum("size").alias("more"))
+    grown = state.join(more, ["conv", "at"], "left").withColumn("size", F.col("size") + F.coalesce("more", F.lit(0))).drop("more")
+    above = state.select("conv", F.col("at").alias("jump"), F.col("jump").alias("further"))
+    going = grown.filter("jump IS NOT NULL").join(above, ["conv", "jump"], "left")
+    return going.select("conv", "at", "up", F.col("further").alias("jump"), "size").unionByName(grown.filter("jump IS NULL"))
+
+
+def _summed(state: DataFrame) -> DataFrame:
+    """Root, depth and start over twice the way up."""
+    above = state.select("conv", F.col("at").alias("jump"), F.col("jump").alias("further"), F.col("root").alias("top"),
+                         F.col("depth").alias("higher"), F.col("start").alias("before"))
+    going = state.filter("jump IS NOT NULL").join(above, ["conv", "jump"])
+    return going.select("conv", "at", F.col("further").alias("jump"), F.col("top").alias("root"),
+                        (F.col("depth") + F.col("higher")).alias("depth"), (F.col("start") + F.col("before")).alias("start")).unionByName(
+        state.filter("jump IS NULL"))
+
+
+def threads(turns: DataFrame) -> DataFrame:
+    """(conv, at, root, depth, start) of turns (conv, at, up): ``start`` is the turn's place in the replies' order.
+
+    A turn starts after the one it replies to and the whole subtrees of earlier replies to that one; rows hold numbers
+    only, whatever the length of a chain. Sums over a turn's siblings run in chunks of a sorted order.
+    """
+    sized = _rounds(turns.select("conv", "at", "up", F.col("up").alias("jump"), F.lit(1).cast("long").alias("size")), _sized, "sizes")
+    ranked = cut(global_rank(sized.select("conv", "at", "up", "size"), [F.col("conv"), F.col("up"), F.col("at")], "rank").withColumn(
+        "chunk", F.floor(F.col("rank") / CHUNK)), "siblings")
+    inside = Window.partitionBy("chunk").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per CHUNK turns
+    chunks = ranked.groupBy("chunk").agg(F.sum("size").alias("sum")).withColumn("far", F.coalesce(F.sum("sum").over(
+        Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("sum")
+    sums = cut(ranked.withColumn("near", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(chunks, "chunk").select(
+        "conv", "at", "up", (F.col("near") + F.col("far")).alias("upto")), "upto")
+    firsts = sums.groupBy("conv", "up").agg(F.min("upto").alias("first"))
+    own = null_safe(sums, firsts, ["conv", "up"])
+    replies_too = F.col("up").isNotNull().cast("long")
+    return _rounds(own.select("conv", "at", F.col("up").alias("jump"), F.coalesce("up", "at").alias("root"), replies_too.alias("depth"),
+                              (F.col("upto") - F.col("first") + replies_too).alias("start")), _summed, "threads").drop("jump")
 
 
 def reply_order(conversations: DataFrame, template: str = "<|{role}|>\n{body}\n") -> DataFrame:
     """One row per message: body, formatted body, what it replies to, depth, root and position in its conversation."""
     messages = _messages(conversations)
     links = replies(messages)
-    placed = messages.select("conv", "at", "mark").distinct().join(links, ["conv", "at", "mark"], "left").join(
-        paths(links), ["conv", "at"], "left").withColumn("path", F.coalesce("path", F.array("at")))
-    ranked = cut(global_rank(placed, [F.col("conv"), F.col("path"), F.col("mark")], "rank"), "ranked")
+    found = cut(messages.select("conv", "at", "mark").distinct().join(links, ["conv", "at", "mark"], "left"), "found")
+    placed = found.join(threads(found.groupBy("conv", "at").agg(F.max("parent").alias("up"))), ["conv", "at"])
+    ranked = cut(global_rank(placed, [F.col("conv"), F.col("start"), F.col("mark")], "rank"), "ranked")
     first = ranked.groupBy("conv").agg(F.min("rank").alias("first"))
     known = ranked.join(first, "conv").withColumn("position", F.col("rank") - F.col("first")).drop("rank", "first")
     real = lambda c: F.when(c != NO_TURN, c)
@@ -153,7 +190,7 @@ def reply_order(conversations: DataFrame, template: str = "<|{role}|>\n{body}\n"
     before, rest = template.split("{role}", 1)
     middle, after = rest.split("{body}", 1)
     return whole.select(
-        "conv_id", "turn", "role", "position", real(F.col("parent")).alias("reply_to"), real(F.col("path")[0]).alias("root_turn"),
-        (F.size("path") - 1).alias("depth"), F.coalesce("levels", F.lit(0)).alias("quote_levels"),
+        "conv_id", "turn", "role", "position", real(F.col("parent")).alias("reply_to"), real(F.col("root")).alias("root_turn"),
+        F.col("depth").cast("int").alias("depth"), F.coalesce("levels", F.lit(0)).alias("quote_levels"),
         F.coalesce("units", F.lit(0)).cast("long").alias("quoted_units"), F.coalesce("found", F.lit(0)).cast("long").alias("linked_units"),
         "body", F.concat(F.lit(before), F.coalesce("role", F.lit("")), F.lit(middle), "body", F.lit(after)).alias("formatted"))

@@ -1,5 +1,10 @@
 """Quotation linking on small threads, and against a plain reading of them."""
 
+import random
+
+from pyspark.sql import types as T
+
+from millrace.llm import quotes
 from millrace.llm.quotes import passages, reply_order
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -39,6 +44,30 @@ def test_rewrapped_paragraphs_of_a_longer_message(spark):
     assert passages("> a\n>\n> \n> b\n> c\n>") == [(1, "a b c"), (1, "b c"), (1, "a"), (1, "b"), (1, "c")]
 
 
+def test_long_chain_keeps_no_paths(spark, monkeypatch):
+    written, cut = [], quotes.cut
+    monkeypatch.setattr(quotes, "cut", lambda df, *label: written.append(df.schema) or cut(df, *label))
+    rows = [(1, t, "user", f"> line {t - 1}\nline {t}" if t else "line 0") for t in range(40)]
+    out = by_turn(reply_order(spark.createDataFrame(rows, SCHEMA)))
+    assert all((r["reply_to"], r["root_turn"], r["depth"], r["position"]) == (t - 1 if t else None, 0, t, t) for (_, t), r in out.items())
+    assert written and not any(isinstance(f.dataType, T.ArrayType) for schema in written for f in schema)
+
+
+def test_threads_in_order_of_replies(spark, monkeypatch):
+    monkeypatch.setattr(quotes, "CHUNK", 7)
+    pick, turns, path = random.Random(4), [], {}
+    for conv in ("a", "b"):
+        for at in [quotes.NO_TURN, *sorted(pick.sample(range(-500, 500), 59))]:
+            earlier = [t for c, t, _ in turns if c == conv]
+            up = pick.choice(earlier[-9:]) if earlier and pick.random() < 0.9 else None
+            path[conv, at] = [*(path[conv, up] if up is not None else []), at]
+            turns.append((conv, at, up))
+    pick.shuffle(turns)
+    out = quotes.threads(spark.createDataFrame(turns, "conv string, at long, up long")).orderBy("conv", "start").collect()
+    assert [(r["conv"], r["at"]) for r in out] == sorted(path, key=lambda k: (k[0], path[k]))
+    assert all((r["root"], r["depth"]) == (path[r["conv"], r["at"]][0], len(path[r["conv"], r["at"]]) - 1) for r in out)
+
+
 def test_odd_rows(spark):
     rows = [(None, None, None, None), (1, None, "user", "hello there"), (1, 3, "user", "> hello there\nyes"), (1, 3, "user", "> hello there\nyes"),
             (1, 3, "user", ""), (1, 5000, "user", "> hello there\n> yes\n" + "x" * 100000)]
