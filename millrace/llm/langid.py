@@ -34,9 +34,9 @@ UNKNOWN = "und"
 
 
 def _fold() -> np.ndarray:
-    """Code of each character of the basic plane: 0 for what is not a letter."""
-    codes = np.zeros(0x10000, np.int64)
-    for cp in range(0x10000):
+    """Code of each character of all planes: 0 for what is not a letter."""
+    codes = np.zeros(0x110000, np.int64)
+    for cp in range(0x110000):
         if chr(cp).isalpha():
             codes[cp] = ord(chr(cp).lower()[0]) % ((1 << BITS) - 1) + 1
     return codes
@@ -46,7 +46,7 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of the n-grams that end at each character, the first place of each text, and whether it has letters."""
     pad = "\0" * (ORDER - 1)
     points = np.frombuffer(("\1".join(pad + t for t in texts) + "\1").encode("utf-32-le", "surrogatepass"), np.uint32)
-    chars = per_process("fold", _fold)[np.minimum(points, 0xFFFF)]
+    chars = per_process("fold", _fold)[points]
     ends = points == 1
     letters = chars > 0
     stay = letters | ends | (points == 0)

@@ -347,6 +347,14 @@ def test_language_models_are_distributions():
     assert (sums > 0.8).all() and (sums <= 1 + 1e-6).all()
 
 
+def test_language_letters_of_all_planes():
+    texts = ["\U00010330\U00010331 \U00010332", "\U0001E900\U0001E922", "\U00020000", "\U0001F600 \U0001F601", "\uffff"]  # Gothic, Adlam, Han, none
+    assert list(langid._codes(texts)[2]) == [True, True, True, False, False]
+    counts = {x: np.unique(langid._codes([t] * 5)[0], return_counts=True) for x, t in (("got", texts[0]), ("zh", texts[2]))}
+    h, has = langid._smoothed(counts).entropies([texts[0], texts[2]])
+    assert has.all() and list(h.argmin(axis=1)) == [0, 1]
+
+
 def test_language_odd_rows(odd_docs, no_docs):
     models = langid.train(odd_docs)
     out = langid.identify(odd_docs, models).collect()
