@@ -6,7 +6,7 @@ dropped once the posterior probability (uniform prior) that its similarity reach
 ``TOLERANCE``. What survives of a bucket leaves it as a spanning forest, so a group of n near copies gives n rows, not n
 squared. The connected clusters are then verified: pairs that survive the same comparison are checked exactly on
 their shingles, block against block, and each class gets the number of its links and one link towards its
-group's first class. Bands miss a pair at the threshold with a probability of about 3e-6.
+group's first class. Bands are as wide as miss a pair at the threshold with a probability of at most ``MISS``.
 
 Defined cases: a null text is empty; a text without words links with nothing; one of fewer than five words has one
 shingle, of all its words; a null id is the smallest; rows that repeat an id and a text are copies of each other; an
@@ -16,7 +16,7 @@ empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import lgamma
+from math import ceil, lgamma, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +27,8 @@ from millrace.llm.linking import block_roots, components, sorted_groups
 from millrace.llm.shingles import MIX_1, mixed, shingle_sets
 
 WORDS, THRESHOLD = 5, 0.8
-BANDS, ROWS, HASHES = 24, 4, 128
-STEP, TOLERANCE = 16, 1e-6
+HASHES, STEP = 128, 16
+MISS, TOLERANCE = 4e-6, 1e-6
 #: Members of a bucket, and of a cluster, that one task compares with as many others.
 BUCKET_BLOCK, CLUSTER_BLOCK = 768, 384
 LEAST_ID = -(2 ** 63)
@@ -67,6 +67,16 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     return cut(read.mapInArrow(sketch, SKETCH).withColumn("row", F.monotonically_increasing_id()), "sketches")
 
 
+def bands_and_rows(threshold: float = THRESHOLD) -> tuple[int, int]:
+    """The most rows a band can have, and the bands it then takes to miss a pair at the threshold with ``MISS`` at most."""
+    for rows in range(HASHES, 0, -1):
+        agree = threshold ** rows
+        bands = ceil(log(MISS) / log1p(-agree)) if 0 < agree < 1 else int(agree >= 1) or HASHES + 1
+        if bands * rows <= HASHES:
+            return bands, rows
+    raise ValueError(f"{HASHES} hashes cannot find pairs at {threshold} with a miss of {MISS}")
+
+
 def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[int]:
     """After 16, 32, ... hashes: the fewest matches with which a pair still has a chance above the tolerance."""
     grid = (np.arange(4000) + 0.5) / 4000
@@ -108,21 +118,22 @@ def in_blocks(rows: DataFrame, group: str, size: str, block: int) -> DataFrame:
     return dealt.withColumns({"p": F.least("at", "other"), "q": F.greatest("at", "other")}).drop("other", size)
 
 
-def candidate_links(reps: DataFrame) -> DataFrame:
+def candidate_links(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Edges (a, b) that connect all classes whose pairs survive in some bucket.
 
     Members come in the order of their numbers, so that the buckets of a group lead to the same few first members.
     """
-    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))
+    bands, rows = bands_and_rows(threshold)
+    band = F.explode(F.sequence(F.lit(0), F.lit(bands - 1)))
     banded = reps.select("row", "sig", band.alias("band")).select(
-        "row", F.xxhash64("band", F.substring(F.col("sig"), F.col("band") * 4 * ROWS + 1, F.lit(4 * ROWS))).alias("bucket"))
+        "row", F.xxhash64("band", F.substring(F.col("sig"), F.col("band") * 4 * rows + 1, F.lit(4 * rows))).alias("bucket"))
     # of buckets with the same members one is enough
     members = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("first"),
                                            F.sum(F.xxhash64("row").cast("decimal(20,0)")).alias("sum")).filter("size > 1")
     buckets = members.groupBy("size", "first", "sum").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
     met = banded.join(buckets, "bucket").join(reps.select("row", "sig"), "row")
     dealt = in_blocks(met, "bucket", "size", BUCKET_BLOCK).select("bucket", "p", "q", "at", "row", "sig")
-    least = least_matches()
+    least = least_matches(threshold)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, edges in sorted_groups(batches, 3):
@@ -222,7 +233,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min_by("row", number).alias("rep"), F.min(number).alias("class_id"), F.count(F.lit(1)).alias("n_docs")), "classes")
     reps = cut(with_words.select("row", "text_hash", "doc_id", "sig").join(
         classes.select(F.col("rep").alias("row"), "class_id", "n_docs"), "row"), "representatives")
-    clusters = components(candidate_links(reps))
+    clusters = components(candidate_links(reps, threshold))
     sized = cut(clusters.join(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "root").select(
         F.col("node").alias("row"), F.col("root").alias("cluster"), "size"), "clusters")
     members = reps.join(sized, "row").withColumn("id_key", id_key("doc_id"))

@@ -364,6 +364,26 @@ def test_language_odd_rows(odd_docs, no_docs):
     assert {r["lang_pred"] for r in langid.identify(odd_docs, langid.train(no_docs)).collect()} == {"und"}
 
 
+def test_bands_follow_the_threshold():
+    assert jaccard.bands_and_rows() == (24, 4)
+    for threshold in (0.1, 0.3, 0.5, 0.62, 0.8, 0.95, 1.0):
+        bands, rows = jaccard.bands_and_rows(threshold)
+        assert bands * rows <= jaccard.HASHES and (1 - threshold ** rows) ** bands <= jaccard.MISS
+    with pytest.raises(ValueError):
+        jaccard.bands_and_rows(0.01)
+
+
+def test_pairs_at_a_lower_threshold(spark):
+    """Pairs that share 27 of 45 shingles link at 0.5 and not at 0.8."""
+    rows = []
+    for k in range(40):
+        common, left, right = ([f"{x}{k}w{i}" for i in range(n)] for x, n in (("c", 31), ("l", 9), ("r", 9)))
+        rows += [(2 * k, " ".join(common + left)), (2 * k + 1, " ".join(common + right))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["n_links"] for r in jaccard.near_duplicates(docs, threshold=0.5).collect()} == {1}
+    assert {r["n_links"] for r in jaccard.near_duplicates(docs).collect()} == {0}
+
+
 # packing
 
 def test_fullest_is_optimal():
