@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import caps, exact, jaccard, langid, mixing, packing, pii, quotes, suffix, toxicity
+from millrace.llm import caps, collocations, exact, jaccard, langid, licenses, mixing, packing, pii, quotes, suffix, toxicity, whitening
 from millrace.llm.common import UPPER, table
 from millrace.session import configure
 
@@ -97,3 +97,45 @@ def op6_cap_filters(spark, sf_dir):
 @query()
 def op10_quotation_threads(spark, sf_dir):
     return quotes.reply_order(table(spark, sf_dir, "conversations"))
+
+
+@query(f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM words, (VALUES (1), (2), (3)) AS sizes(k), LATERAL (SELECT unnest(generate_series(1, len(w) - k + 1)) AS i)),
+counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+frequent AS (SELECT *, string_split(phrase, ' ') AS p FROM counts WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, j, x.f AS l, y.f AS r,
+         CAST(1000000 AS HUGEINT) * c.f * c.f // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM frequent c, LATERAL (SELECT unnest(generate_series(1, c.k - 1)) AS j)
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.p[1:j], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.p[j + 1:c.k], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+within AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, array_to_string(p[1:2], ' ') AS phrase, f FROM frequent WHERE k = 3
+    UNION ALL SELECT lang, array_to_string(p[2:3], ' '), f FROM frequent WHERE k = 3) GROUP BY ALL),
+kept AS (
+  SELECT w.* FROM weakest w LEFT JOIN within USING (lang, phrase) WHERE within.f IS NULL OR 100 * within.f < 50 * w.a),
+ranks AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranks JOIN totals USING (lang) WHERE rank <= 2000
+""")
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_license_scan(spark, sf_dir):
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
