@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.operators.dedup import first_per_key, latest_per_key
 from millrace.operators.joins import null_safe
-from millrace.operators.ordered import running_max
+from millrace.operators.ordered import running_max, with_neighbours
 
 
 def newest_wins(df: DataFrame, keys: list[str], arrival: str, ties: list[str], version: str,
@@ -51,6 +51,28 @@ def retractions(df: DataFrame, keys: list[str], order: list[str], image: DataFra
             .select(*df.columns, "c.sign", "c.copies"))
 
 
+def retractions_within(df: DataFrame, keys: list[str], order: list[str], ttl: int, image: DataFrame | None = None,
+                       grain: str = "minute") -> DataFrame:
+    """Like ``retractions``, but a row is taken back only by one of its key that follows it in less than ``ttl`` seconds.
+
+    A key that comes back later than that starts anew. Neighbours in time are found in (key, ``grain``) chunks, so a hot
+    key is cut. ``image`` holds the newest row per key from before this frame.
+    """
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"), F.lit(0).alias("old"))
+    if image is not None:
+        held = image.select(*df.columns, F.lit(0).cast("bigint").alias("copies"), F.lit(1).alias("old"))
+        held = null_safe(held, df.select(*keys).distinct(), keys, "left_semi")
+        rows = rows.unionByName(held).groupBy(*df.columns).agg(F.sum("copies").alias("copies"), F.max("old").alias("old"))
+    marked = with_neighbours(rows, keys, order[0], [*order[1:], *rest], [order[0]], grain)
+    soon = F.col("next")[order[0]] < F.col(order[0]) + F.make_interval(secs=F.lit(ttl))
+    taken_back = F.col("copies") + F.col("old") - F.when(F.coalesce(soon, F.lit(False)), 0).otherwise(1)
+    plus = F.struct(F.lit(1).alias("sign"), F.col("copies").alias("copies"))
+    minus = F.struct(F.lit(-1).alias("sign"), taken_back.alias("copies"))
+    return (marked.withColumn("c", F.explode(F.array(plus, minus))).where(F.col("c.copies") > 0)
+            .select(*df.columns, "c.sign", "c.copies"))
+
+
 def newest_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Newest row per key by the same order as the change log."""
     return latest_per_key(df, keys, [*order])

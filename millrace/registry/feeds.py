@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.sinks.workspace import scratch
 from millrace.sources import cdc, logs
 from millrace.sources.model import Model
 from millrace.sources.tables import stream_table
@@ -13,6 +18,44 @@ def table(m: Model, name: str) -> DataFrame:
     return stream_table(m.spark, m.path(name))
 
 
+Result = TypeVar("Result")
+
+
+def in_turn(m: Model, rows: DataFrame, arrival: Column, slices: int, run: Callable[[DataFrame, str], Result]) -> Result:
+    """Deliver rows in slices; after each one ``run(stream, job)`` goes on with the new files at the job's checkpoint."""
+    path, job, out = scratch(m.spark, "arrivals"), f"registry-{uuid.uuid4().hex}", None
+    for k in range(slices):
+        rows.where(arrival == k).write.mode("append").parquet(path)
+        out = run(stream_table(m.spark, path, schema=rows.schema), job)
+    return out
+
+
+#: Ends of the slices that orders are delivered in, as days since 1970: four of about the same length.
+SLICES = (8766, 9496, 10227)
+
+
+def slice_of(ms: Column) -> Column:
+    """Number of the slice a time in milliseconds falls into."""
+    return sum((ms >= day * 86_400_000).cast("int") for day in SLICES)
+
+
+SLICE_SQL = " + ".join(f"CAST({{0}} >= {day * 86_400_000} AS INT)" for day in SLICES)
+
+
+def repeated_orders(m: Model, offsets: tuple[int, ...]) -> DataFrame:
+    """Orders delivered up to three times, ``offsets`` milliseconds after each other's first; the amount grows by one each time."""
+    df = orders(m, stream=False).withColumn("copy", F.explode(F.sequence(F.lit(0), (F.col("id") % 3).cast("int"))))
+    later = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("copy") + 1)
+    return df.select("id", "user_id", "copy", (F.col("total_amount") + F.col("copy")).alias("amount"),
+                     F.timestamp_millis(F.col("ts_ms") + later).alias("ts"))
+
+
+def repeated_sql(offsets: tuple[int, ...]) -> str:
+    """The same rows, with their time in milliseconds, as SQL."""
+    return (f"SELECT o.id, o.user_id, c.copy, o.total_amount + c.copy AS amount, o.ts_ms + c.later AS ms FROM f_orders o, "
+            f"(VALUES {', '.join(f'({k}, {v})' for k, v in enumerate(offsets))}) c(copy, later) WHERE c.copy <= o.id % 3")
+
+
 def pages(m: Model) -> DataFrame:
     return m.over("page_log", events=table(m, "events"))
 

@@ -13,8 +13,8 @@ from millrace.registry.events import CART_COLS, DUPLICATES, MOD_SQL, PAY_COLS, V
 from millrace.registry.retail import Layer
 from millrace.sinks.merge import partial_image
 from millrace.sources import cdc
-from millrace.streaming import images, trade, traffic
-from millrace.streaming.runner import again_as_stream, run_append, run_batches, run_sums, run_upsert
+from millrace.streaming import images, keyed, trade, traffic
+from millrace.streaming.runner import appended_as_stream, run_append, run_batches, run_sums, run_upsert, split_late
 
 share("f_orders", feeds.ORDERS_SQL)
 share("f_carts", feeds.CARTS_SQL)
@@ -48,7 +48,7 @@ SELECT time_bucket(INTERVAL 5 SECOND, t) AS stt, stt + INTERVAL 5 SECOND AS edt,
  SELECT user_id, CAST(create_time AS DATE) AS d, min(create_time) AS t FROM cart_info GROUP BY 1, 2) GROUP BY 1""")
 def _(m):
     carts = m.over("cart_info", events=feeds.table(m, "events")).withColumnRenamed("create_time", "ts")
-    firsts = again_as_stream(images.first_of_day(carts.select("user_id", "ts"), ["user_id"], "ts", "cart-first"))
+    firsts = images.first_of_day_log(carts.select("user_id", "ts"), ["user_id"], "ts", "cart-first")
     return traffic.edges(run_sums(firsts, "cart-uu", traffic.unique_cart_users, ["w"])).where("cart_add_uu_ct <> 0")
 
 
@@ -57,7 +57,7 @@ SELECT time_bucket(INTERVAL 5 SECOND, t) AS stt, stt + INTERVAL 5 SECOND AS edt,
  SELECT mid, dt, page_id = 'home' AS home, min(ts) AS t FROM page_log GROUP BY 1, 2, 3) GROUP BY 1""")
 def _(m):
     pages = traffic.tag_home(feeds.pages(m)).select("mid", "is_home", "ts")
-    firsts = again_as_stream(images.first_of_day(pages, ["mid", "is_home"], "ts", "home-first"))
+    firsts = images.first_of_day_log(pages, ["mid", "is_home"], "ts", "home-first")
     return traffic.edges(run_sums(firsts, "home-detail", traffic.home_detail_visitors, ["w"])).where("home_uv_ct <> 0 or detail_uv_ct <> 0")
 
 
@@ -66,21 +66,22 @@ SELECT time_bucket(INTERVAL 10 SECOND, ts) AS stt, stt + INTERVAL 10 SECOND AS e
   count(*) AS pv_ct, sum(during_time) AS dur_sum FROM (SELECT *, row_number() OVER (PARTITION BY mid, dt ORDER BY ts) AS rn FROM page_log) GROUP BY ALL""")
 def _(m):
     visits = feeds.pages(m).select("mid", "ts", "vc", "ch", "ar", "is_new")
-    firsts = again_as_stream(images.first_of_day(visits, ["mid"], "ts", "visit-first"))
-    rows = traffic.traffic_rows(feeds.pages(m), firsts)
-    return traffic.edges(run_sums(rows, "traffic", traffic.traffic, ["w", *traffic.TRAFFIC_DIMS]))
+    firsts = images.first_of_day_log(visits, ["mid"], "ts", "visit-first")
+    keys = ["w", *traffic.TRAFFIC_DIMS]
+    views = run_sums(traffic.view_rows(feeds.pages(m)), "traffic-views", traffic.traffic, keys)
+    visitors = run_sums(firsts, "traffic-visitors", lambda rows: traffic.traffic(traffic.visitor_rows(rows)), keys)
+    sums = [F.sum(c).alias(c) for c in views.columns if c not in keys]
+    return traffic.edges(views.unionByName(visitors).groupBy(*keys).agg(*sums))
 
 
 @query("stream_login_windows", "stt:t edt:t uu_ct:i back_ct:i", """
 SELECT time_bucket(INTERVAL 1 SECOND, t) AS stt, stt + INTERVAL 1 SECOND AS edt, count(*) AS uu_ct, sum(b) AS back_ct FROM (
  SELECT t, CASE WHEN d - lag(d) OVER (PARTITION BY uid ORDER BY d) >= 8 THEN 1 ELSE 0 END AS b FROM (SELECT uid, dt AS d, min(ts) AS t FROM page_log WHERE uid IS NOT NULL AND page_id = 'payment' GROUP BY 1, 2)) GROUP BY 1""")
 def _(m):
-    """The stream keeps the first login per user and day in any order of arrival; the flags compare a user's days."""
+    """Two streams: keyed state turns logins in any order into a log of flagged days, whose windows add up per batch."""
     rows = feeds.pages(m).where("uid is not null and page_id = 'payment'").select("uid", "ts")
-    log = images.first_of_day(rows, ["uid"], "ts", "login-first")
-    days = log.groupBy("uid", "ts").agg(F.sum("sign").alias("n")).where("n > 0")
-    flags = sq.login_flags(days, "uid", "ts").withColumnRenamed("first_time", "ts")
-    return traffic.edges(traffic.login_windows(flags))
+    log = appended_as_stream(keyed.login_log(rows, "uid", "ts"), "login-days", keyed=True)
+    return traffic.edges(run_sums(log, "login-windows", traffic.login_windows, ["w"])).where("uu_ct <> 0 or back_ct <> 0")
 
 
 @query("stream_keyword_windows", "stt:t edt:t cur_date:s keyword:s keyword_count:i", r"""
@@ -101,12 +102,12 @@ def _(m):
 
 def _retracted(m):
     rows = m.apply(DUPLICATES, lineitem=feeds.table(m, "lineitem"))
-    return images.retractions(rows, ["id"], ["ts"])
+    return images.retraction_log(rows, ["id"], ["ts"])
 
 
 @query("stream_retract_on_duplicate", "id:s order_id:i sku_id:i supp_id:i ts:t amount:d sign:i", "SELECT * FROM dup_log")
 def _(m):
-    return _retracted(m)
+    return _retracted(m).read()
 
 
 @query("stream_province_orders", "province_id:i stt:t edt:t order_amount:d order_count:i", """
@@ -117,8 +118,7 @@ def _(m):
 
 def _order_windows(m, key):
     """Two streams: the change log, and from it net sums per window, key and order that add up over batches."""
-    log = again_as_stream(_retracted(m))
-    return traffic.order_windows(run_sums(log, f"orders-{key}", lambda rows: traffic.order_cells(rows, key), ["w", key, "order_id"]), key)
+    return traffic.order_windows(run_sums(_retracted(m), f"orders-{key}", lambda rows: traffic.order_cells(rows, key), ["w", key, "order_id"]), key)
 
 
 @query("stream_sku_orders", "sku_id:i sku_name:s tm_name:s category3_name:s stt:t order_amount:d order_count:i", """
@@ -137,6 +137,89 @@ def _(m):
     return images.newest_wins(rows, ["user_id"], "ts", ["event_id"], "during_time")
 
 
+# ---- order rules with a memory that ends ---------------------------------------------------
+share("f_held", feeds.repeated_sql((0, 3000, 7000)))
+share("f_spaced", feeds.repeated_sql((0, 6000, 20000)))
+
+
+@query("stream_newest_after_delay", "id:i user_id:i copy:i amount:d ts:t", """
+WITH holds AS (SELECT *, CASE WHEN copy < 2 THEN 0 ELSE 1 END AS hold FROM f_held),
+ends AS (SELECT max(ms) - 60000 AS mark FROM f_held)
+SELECT id, user_id, copy, amount, make_timestamp(ms * 1000) AS ts FROM (
+ SELECT *, row_number() OVER (PARTITION BY id, hold ORDER BY copy DESC) AS rn, min(ms) OVER (PARTITION BY id, hold) AS start FROM holds), ends
+WHERE rn = 1 AND start + 5000 <= mark""")
+def _(m):
+    """Five-second holds by timers; orders arrive up to 40 seconds late, in four slices."""
+    rows = feeds.repeated_orders(m, (0, 3000, 7000))
+    arrival = feeds.slice_of(F.unix_millis("ts") + F.col("id") % 5 * 10_000)
+    return feeds.in_turn(m, rows, arrival, 4, lambda stream, job: run_append(
+        keyed.newest_after_hold(stream, ["id"], "ts", 5000, "60 seconds"), "held", job=job, keyed=True))
+
+
+@query("stream_retract_expiring", "id:i copy:i amount:d ts:t sign:i", """
+WITH spaced AS (SELECT *, lead(ms) OVER (PARTITION BY id ORDER BY ms) - ms AS gap FROM f_spaced)
+SELECT id, copy, amount, make_timestamp(ms * 1000) AS ts, 1 AS sign FROM spaced
+UNION ALL SELECT id, copy, amount, make_timestamp(ms * 1000), -1 FROM spaced WHERE gap < 10000""")
+def _(m):
+    """A delivery is taken back by one that follows it within ten seconds; each round of deliveries comes in a slice of its own."""
+    rows = feeds.repeated_orders(m, (0, 6000, 20000)).select("id", "copy", "amount", "ts")
+    return feeds.in_turn(m, rows, F.col("copy"), 3, lambda stream, job: images.retractions(stream, ["id"], ["ts"], job=job, ttl=10))
+
+
+@query("stream_newest_wins_expiring", "id:i user_id:i cents:i ts:t", """
+WITH RECURSIVE numbered AS (SELECT id, user_id, CAST(total_amount * 100 AS BIGINT) AS cents, ts_ms,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts_ms, CAST(total_amount * 100 AS BIGINT), id) AS n FROM f_orders),
+walk AS (
+  SELECT id, user_id, cents, ts_ms, n, cents AS top, ts_ms AS since, true AS shown FROM numbered WHERE n = 1
+  UNION ALL SELECT x.id, x.user_id, x.cents, x.ts_ms, x.n, CASE WHEN x.cents > w.top OR x.ts_ms - w.since >= 15552000000 THEN x.cents ELSE w.top END,
+    CASE WHEN x.cents > w.top OR x.ts_ms - w.since >= 15552000000 THEN x.ts_ms ELSE w.since END, x.cents > w.top OR x.ts_ms - w.since >= 15552000000
+  FROM walk w JOIN numbered x ON x.user_id = w.user_id AND x.n = w.n + 1)
+SELECT id, user_id, cents, make_timestamp(ts_ms * 1000) AS ts FROM walk WHERE shown""")
+def _(m):
+    """Orders larger than the last one let through, which is remembered for half a year."""
+    rows = feeds.orders(m, stream=False).select("id", "user_id", (F.col("total_amount") * 100).cast("bigint").alias("cents"),
+                                                F.timestamp_millis("ts_ms").alias("ts"))
+    return feeds.in_turn(m, rows, feeds.slice_of(F.unix_millis("ts")), 4, lambda stream, job: run_append(
+        keyed.newest_wins_until(stream, ["user_id"], "ts", "cents", 180 * 86_400_000), "newest-until", job=job, keyed=True))
+
+
+share("f_late", f"""
+SELECT r.*, coalesce((ms // 10000 + 1) * 10000 <= mark, false) AS late FROM (
+ SELECT id, user_id % 25 AS province_id, total_amount AS amount, ts_ms AS ms,
+  {feeds.SLICE_SQL.format("(ts_ms + CASE WHEN id % 7 = 0 THEN 34560000000 ELSE 0 END)")} AS slice FROM f_orders) r
+LEFT JOIN (SELECT slice, max(top) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM (
+ SELECT {feeds.SLICE_SQL.format("(ts_ms + CASE WHEN id % 7 = 0 THEN 34560000000 ELSE 0 END)")} AS slice, max(ts_ms) AS top FROM f_orders GROUP BY 1)) USING (slice)""")
+
+
+def _by_arrival(m, run):
+    """Orders in four slices; every seventh arrives 400 days after its time."""
+    rows = feeds.orders(m, stream=False).select("id", (F.col("user_id") % 25).alias("province_id"), F.col("total_amount").alias("amount"),
+                                                F.timestamp_millis("ts_ms").alias("ts"))
+    arrival = feeds.slice_of(F.unix_millis("ts") + F.when(F.col("id") % 7 == 0, 34_560_000_000).otherwise(0))
+    return feeds.in_turn(m, rows, arrival, 4, run)
+
+
+@query("stream_monotonous_windows", "province_id:i stt:t edt:t order_amount:d line_count:i", """
+WITH ends AS (SELECT max(ms) AS mark FROM f_late WHERE NOT late)
+SELECT province_id, make_timestamp(ms // 10000 * 10000000) AS stt, stt + INTERVAL 10 SECOND AS edt, sum(amount) AS order_amount, count(*) AS line_count
+FROM f_late, ends WHERE NOT late AND (ms // 10000 + 1) * 10000 <= mark GROUP BY 1, 2""")
+def _(m):
+    """Ten-second windows in append mode by a watermark without delay; rows whose window is over are no part of them."""
+    def run(stream, job):
+        tagged = split_late(stream, "ts", 10, "monotonous", job)
+        return run_append(traffic.closed_windows(tagged.stream().where("not late"), "province_id"), "closed", job=f"{job}-windows")
+
+    return traffic.edges(_by_arrival(m, run))
+
+
+@query("stream_monotonous_late", "id:i province_id:i amount:d ts:t n_late:i", """
+SELECT id, province_id, amount, make_timestamp(ms * 1000) AS ts, count(*) OVER () AS n_late FROM f_late WHERE late""")
+def _(m):
+    """The side output: rows that came after their window was over, each with their number."""
+    late = _by_arrival(m, lambda stream, job: split_late(stream, "ts", 10, "monotonous", job)).read().where("late")
+    return late.withColumn("n_late", F.lit(late.count()))
+
+
 # ---- change streams -----------------------------------------------------------------------
 
 

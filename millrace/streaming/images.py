@@ -8,34 +8,47 @@ from millrace.operators import sequence as sq
 from millrace.operators.dedup import first_per_key
 from millrace.operators.joins import null_safe
 from millrace.sinks.merge import earliest_image
-from millrace.streaming.runner import run_with_image
+from millrace.streaming.runner import Log, image_log
 
 
 def _schema(df: DataFrame, **extra: T.DataType) -> T.StructType:
     return T.StructType([*df.schema.fields, *[T.StructField(n, t) for n, t in extra.items()]])
 
 
-def retractions(df: DataFrame, keys: list[str], order: list[str], label: str = "retract") -> DataFrame:
-    """Change log with retractions; the image is the newest row per key."""
+def retraction_log(df: DataFrame, keys: list[str], order: list[str], label: str = "retract", job: str | None = None,
+                   ttl: int | None = None) -> Log:
+    """Change log with retractions; the image is the newest row per key.
+
+    With ``ttl`` (seconds, of the first order column) a row is only taken back by one that follows it sooner than that;
+    then the image forgets whole stretches of time that no later row can reach.
+    """
     def step(batch: DataFrame, image: DataFrame) -> tuple[DataFrame, DataFrame]:
-        log = sq.retractions(batch, keys, order, image)
+        log = sq.retractions(batch, keys, order, image) if ttl is None else sq.retractions_within(batch, keys, order, ttl, image)
         held = null_safe(image, batch.select(*keys).distinct(), keys, "left_semi")
         return log, sq.newest_rows(batch.unionByName(held), keys, order)
 
-    return run_with_image(df, label, step, keys, order[0], df.schema, _schema(df, sign=T.IntegerType(), copies=T.LongType()))
+    return image_log(df, label, step, keys, order[0], df.schema, _schema(df, sign=T.IntegerType(), copies=T.LongType()), job,
+                     expire=None if ttl is None else (order[0], ttl))
+
 
+def retractions(*args, **kwargs) -> DataFrame:
+    """The rows of ``retraction_log``."""
+    return retraction_log(*args, **kwargs).read()
 
-def newest_wins(df: DataFrame, keys: list[str], arrival: str, ties: list[str], version: str, label: str = "newest") -> DataFrame:
+
+def newest_wins(df: DataFrame, keys: list[str], arrival: str, ties: list[str], version: str, label: str = "newest",
+                job: str | None = None) -> DataFrame:
     """Rows newer than all before; the image is the highest version per key."""
     def step(batch: DataFrame, image: DataFrame) -> tuple[DataFrame, DataFrame]:
         top = batch.groupBy(*keys).agg(F.max(version).alias(version))
         return sq.newest_wins(batch, keys, arrival, ties, version, image=image), top
 
     kept = T.StructType([f for f in df.schema.fields if f.name in keys or f.name == version])
-    return run_with_image(df, label, step, keys, version, kept, df.schema)
+    return image_log(df, label, step, keys, version, kept, df.schema, job).read()
 
 
-def repair_new_flag(df: DataFrame, device: str, flag: str, time: str, ties: list[str], label: str = "new-flag") -> DataFrame:
+def repair_new_flag(df: DataFrame, device: str, flag: str, time: str, ties: list[str], label: str = "new-flag",
+                    job: str | None = None) -> DataFrame:
     """New-visitor repair; the image is the date kept per device (the first one stays)."""
     def step(batch: DataFrame, image: DataFrame) -> tuple[DataFrame, DataFrame]:
         known = image.select(device, "first_date")
@@ -44,10 +57,10 @@ def repair_new_flag(df: DataFrame, device: str, flag: str, time: str, ties: list
         return rows, fresh.withColumn("v", F.lit(0))
 
     kept = T.StructType([df.schema[device], T.StructField("first_date", T.DateType()), T.StructField("v", T.IntegerType())])
-    return run_with_image(df, label, step, [device], "v", kept, _schema(df, is_new_fixed=T.StringType()))
+    return image_log(df, label, step, [device], "v", kept, _schema(df, is_new_fixed=T.StringType()), job).read()
 
 
-def first_of_day(df: DataFrame, keys: list[str], time: str, label: str = "first-of-day") -> DataFrame:
+def first_of_day_log(df: DataFrame, keys: list[str], time: str, label: str = "first-of-day", job: str | None = None) -> Log:
     """Change log of the first row per key and date by event time, whatever the order of arrival.
 
     A micro-batch is reduced to its earliest row per key and date before anything is joined. A row that comes
@@ -68,5 +81,10 @@ def first_of_day(df: DataFrame, keys: list[str], time: str, label: str = "first-
             *[F.col("_kept")[c].alias(c) if c in cols else F.col(c) for c in batch.columns], F.lit(-1).alias("sign"))
         return plus.unionByName(minus), earlier.drop("_kept").select(*batch.columns, day)
 
-    return run_with_image(df, label, step, [*keys, day], time, _schema(df, cur_day=T.DateType()), _schema(df, sign=T.IntegerType()),
-                          merge=earliest_image)
+    return image_log(df, label, step, [*keys, day], time, _schema(df, cur_day=T.DateType()), _schema(df, sign=T.IntegerType()), job,
+                     merge=earliest_image)
+
+
+def first_of_day(*args, **kwargs) -> DataFrame:
+    """The rows of ``first_of_day_log``."""
+    return first_of_day_log(*args, **kwargs).read()

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -22,13 +23,15 @@ ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 @contextmanager
-def stream_settings(spark: SparkSession):
+def stream_settings(spark: SparkSession, keyed: bool = False):
     """On a cluster keep state on disk, unless the session names another store; in local mode use few state
-    partitions. A query captures the settings when it starts."""
+    partitions, and the store on disk only for ``keyed`` state with timers, which needs it. A query captures the
+    settings when it starts."""
     wanted = {}
-    if spark.sparkContext.master.startswith("local"):
+    local = spark.sparkContext.master.startswith("local")
+    if local:
         wanted["spark.sql.shuffle.partitions"] = LOCAL_STATE_PARTITIONS
-    elif "HDFSBacked" in spark.conf.get(STATE_STORE, "HDFSBacked"):
+    if (keyed or not local) and "HDFSBacked" in spark.conf.get(STATE_STORE, "HDFSBacked"):
         wanted[STATE_STORE] = ROCKS_DB
     before = {k: spark.conf.get(k, None) for k in wanted}
     for k, v in wanted.items():
@@ -40,23 +43,91 @@ def stream_settings(spark: SparkSession):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+@dataclass(frozen=True)
+class Log:
+    """Stored rows of a job, a folder per micro-batch, and the manifest of its committed batches.
+
+    The manifest is how a job hands over to the next one: a batch is listed once its commit is certain, which is when the
+    next batch begins or the run ends, and its rows do not change after that. A batch that was written but not committed
+    when a driver died is not listed, so the next job never reads rows that are about to be written again.
+    """
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+
+    def read(self, batches: list[int] | None = None) -> DataFrame:
+        """All stored rows, or those of some batches."""
+        if batches is not None:
+            paths = [f"{self.path}/data/batch={b}" for b in sorted(set(batches))]
+            return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+        stored = T.StructType([*self.schema.fields, T.StructField("batch", T.IntegerType())])
+        return self.spark.read.schema(stored).parquet(f"{self.path}/data").drop("batch")
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        self.publish(batch_id - 1)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/data/batch={batch_id}")
+
+    def publish(self, last: int | None) -> None:
+        """List all batches up to ``last`` that are not listed yet; the first entry only opens the list."""
+        self.spark.createDataFrame([], "n long").write.mode("ignore").json(f"{self.path}/committed/opened")
+        if last is None or last < 0:
+            return
+        listed = self.spark.read.schema("n long").json(f"{self.path}/committed/*").agg(F.max("n")).first()[0]
+        first = -1 if listed is None else listed
+        if last > first:
+            rows = [(n,) for n in range(first + 1, last + 1)]
+            self.spark.createDataFrame(rows, "n long").coalesce(1).write.mode("append").json(f"{self.path}/committed/listed")
+
+    def commits(self) -> DataFrame:
+        """The manifest as a stream."""
+        return self.spark.readStream.schema("n long").json(f"{self.path}/committed/*")
+
+    def stream(self) -> DataFrame:
+        """The rows themselves as a stream, for plans with Spark's own stateful operators; for a job that has ended its run."""
+        stored = T.StructType([*self.schema.fields, T.StructField("batch", T.IntegerType())])
+        return self.spark.readStream.schema(stored).parquet(f"{self.path}/data").drop("batch")
+
+
 def job_dir(spark: SparkSession, label: str, job: str | None) -> str:
     """Stable folder of a named job, or a fresh one."""
     return f"{shared_dir(spark)}/millrace/jobs/{job}" if job else scratch(spark, label)
 
 
-def run_append(df: DataFrame, label: str, partition: str | None = None, job: str | None = None) -> DataFrame:
+def run_append(df: DataFrame, label: str, partition: str | None = None, job: str | None = None, keyed: bool = False) -> DataFrame:
     """Append mode into a file table (exactly once through the sink log)."""
     spark, path = df.sparkSession, job_dir(df.sparkSession, label, job)
     writer = (df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
               .option("checkpointLocation", f"{path}/checkpoint"))
     if partition:
         writer = writer.partitionBy(partition)
-    with stream_settings(spark):
+    with stream_settings(spark, keyed):
         writer.start(f"{path}/data").awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{path}/data")
 
 
+def appended_as_stream(df: DataFrame, label: str, job: str | None = None, keyed: bool = False) -> DataFrame:
+    """Run a job in append mode; its output as the input of the next one. The sink's own log lists the committed files."""
+    path = job_dir(df.sparkSession, label, job)
+    with stream_settings(df.sparkSession, keyed):
+        (df.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
+         .option("checkpointLocation", f"{path}/checkpoint").start(f"{path}/data").awaitTermination())
+    return df.sparkSession.readStream.schema(df.schema).parquet(f"{path}/data")
+
+
+def _each_batch(df: DataFrame, path: str, write: Callable[[DataFrame, int], None], mode: str = "append") -> int | None:
+    """Run a stream through ``write``; the number of its last batch, if this run had any."""
+    last: list[int] = []
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        last[:] = [batch_id]
+
+    with stream_settings(df.sparkSession):
+        (df.writeStream.foreachBatch(counted).outputMode(mode).trigger(availableNow=True)
+         .option("checkpointLocation", f"{path}/checkpoint").start().awaitTermination())
+    return last[0] if last else None
+
+
 def run_upsert(df: DataFrame, keys: list[str], label: str, version: str | None = None, mode: str = "update",
                merge: Callable[..., DataFrame] = latest_image, job: str | None = None, **merge_args) -> DataFrame:
     """Keyed merge per micro-batch; without a version column the batch number decides."""
@@ -69,67 +140,93 @@ def run_upsert(df: DataFrame, keys: list[str], label: str, version: str | None =
         rows = batch if version else batch.withColumn("_batch", F.lit(batch_id).cast("bigint"))
         table.upsert(rows, batch_id)
 
-    with stream_settings(spark):
-        (df.writeStream.foreachBatch(write).outputMode(mode).trigger(availableNow=True)
-         .option("checkpointLocation", f"{path}/checkpoint").start().awaitTermination())
+    _each_batch(df, path, write, mode)
     return table.read(spark).drop("_batch")
 
 
-def run_with_image(df: DataFrame, label: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
-                   keys: list[str], version: str, image: T.StructType, out: T.StructType, job: str | None = None,
-                   merge: Callable[..., DataFrame] = latest_image) -> DataFrame:
+def image_log(df: DataFrame, label: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
+              keys: list[str], version: str, image: T.StructType, out: T.StructType, job: str | None = None,
+              merge: Callable[..., DataFrame] = latest_image, expire: tuple[str, int] | None = None) -> Log:
     """Keyed state as a table: ``step(batch, image)`` gives the output rows and the image rows that
     changed; the image is the newest row per key by ``version``, or what ``merge`` makes of them.
 
     Joins and aggregates replace per-key calls, so a hot key is split like in any batch job. A
-    replayed batch sees the same image (only earlier batches) and rewrites its own folders.
+    replayed batch sees the same image (only earlier batches) and rewrites its own folders. With ``expire`` (time
+    column, seconds) the image forgets rows, see ``KeyedTable``.
     """
     spark, path = df.sparkSession, job_dir(df.sparkSession, label, job)
-    table = KeyedTable(f"{path}/image", keys, version, merge=merge, schema=image)
+    table = KeyedTable(f"{path}/image", keys, version, merge=merge, schema=image, expire=expire)
+    log = Log(spark, path, out)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        rows, changed = step(batch, table.read(spark, before=batch_id))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/data/batch={batch_id}")
+        rows, changed = step(batch, table.read(spark, before=batch_id, batch=batch))
+        log.write(rows, batch_id)
         table.upsert(changed, batch_id)
         batch.unpersist()
 
-    with stream_settings(spark):
-        (df.writeStream.foreachBatch(write).trigger(availableNow=True)
-         .option("checkpointLocation", f"{path}/checkpoint").start().awaitTermination())
-    return spark.read.schema(T.StructType([*out.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{path}/data").drop("batch")
+    log.publish(_each_batch(df, path, write))
+    return log
 
 
-def again_as_stream(rows: DataFrame) -> DataFrame:
-    """The stored output of a job as the input of the next one."""
-    spark = rows.sparkSession
-    files = rows.inputFiles()
-    if not files:
-        return rows
-    folder = files[0].rsplit("/batch=", 1)[0]
-    schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.IntegerType())])
-    return spark.readStream.schema(schema).parquet(folder).drop("batch")
+def run_with_image(*args, **kwargs) -> DataFrame:
+    """The rows of ``image_log``."""
+    return image_log(*args, **kwargs).read()
 
 
-def run_batches(df: DataFrame, label: str, transform: Callable[[DataFrame], DataFrame], out: T.StructType,
-                job: str | None = None) -> DataFrame:
-    """Apply a batch function to every micro-batch (for steps with joins or aggregates of their own)."""
-    spark, path = df.sparkSession, job_dir(df.sparkSession, label, job)
+def batch_log(df: DataFrame | Log, label: str, transform: Callable[[DataFrame], DataFrame], out: T.StructType,
+              job: str | None = None) -> Log:
+    """Apply a batch function to every micro-batch of a stream, or to the batches another job has committed."""
+    spark = df.spark if isinstance(df, Log) else df.sparkSession
+    path = job_dir(spark, label, job)
+    log = Log(spark, path, out)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/data/batch={batch_id}")
+        rows = df.read([r["n"] for r in batch.collect()]) if isinstance(df, Log) else batch  # a number per batch
+        log.write(transform(rows), batch_id)
 
-    with stream_settings(spark):
-        (df.writeStream.foreachBatch(write).trigger(availableNow=True)
-         .option("checkpointLocation", f"{path}/checkpoint").start().awaitTermination())
-    return spark.read.schema(T.StructType([*out.fields, T.StructField("batch", T.IntegerType())])).parquet(f"{path}/data").drop("batch")
+    log.publish(_each_batch(df.commits() if isinstance(df, Log) else df, path, write))
+    return log
+
+
+def run_batches(df: DataFrame | Log, label: str, transform: Callable[[DataFrame], DataFrame], out: T.StructType,
+                job: str | None = None) -> DataFrame:
+    """The rows of ``batch_log``."""
+    return batch_log(df, label, transform, out, job).read()
 
 
-def run_sums(df: DataFrame, label: str, aggregate: Callable[[DataFrame], DataFrame], keys: list[str], job: str | None = None) -> DataFrame:
+def run_sums(df: DataFrame | Log, label: str, aggregate: Callable[[DataFrame], DataFrame], keys: list[str], job: str | None = None) -> DataFrame:
     """Sums per key over all micro-batches: each batch stores its own sums, reading adds them up.
 
     There is no state to expire, no row is too late, and a replayed batch replaces its own sums.
     """
-    empty = aggregate(df.sparkSession.createDataFrame([], df.schema))
+    spark = df.spark if isinstance(df, Log) else df.sparkSession
+    empty = aggregate(spark.createDataFrame([], df.schema))
     parts = run_batches(df, label, aggregate, empty.schema, job)
     return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in empty.columns if c not in keys])
+
+
+def split_late(df: DataFrame, time: str, seconds: int, label: str, job: str | None = None) -> Log:
+    """Every row with ``late``: whether its window of so many seconds had ended when it came, by a watermark without any delay.
+
+    The watermark of a micro-batch is the latest time of the batches before it, so it never goes back; rows of one batch
+    do not make each other late. A row without a time is late.
+    """
+    spark, path = df.sparkSession, job_dir(df.sparkSession, label, job)
+    log = Log(spark, path, T.StructType([*df.schema.fields, T.StructField("late", T.BooleanType())]))
+    marks = T.StructType([T.StructField("mark", T.TimestampType()), T.StructField("batch", T.IntegerType())])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        mark = None
+        if batch_id:
+            mark = spark.read.schema(marks).parquet(f"{path}/marks").where(F.col("batch") < batch_id).agg(F.max("mark")).first()[0]
+        batch.persist()
+        ends = F.timestamp_seconds((F.floor(F.unix_seconds(F.col(time).cast("timestamp")) / seconds) + 1) * seconds)
+        over = F.lit(False) if mark is None else ends <= F.lit(mark)
+        log.write(batch.withColumn("late", F.col(time).isNull() | over), batch_id)
+        batch.agg(F.max(F.col(time)).cast("timestamp").alias("mark")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(f"{path}/marks/batch={batch_id}")
+        batch.unpersist()
+
+    log.publish(_each_batch(df, path, write))
+    return log

@@ -55,17 +55,23 @@ def home_detail_visitors(firsts: DataFrame, length: str = "5 seconds") -> DataFr
 TRAFFIC_DIMS = ["vc", "ch", "ar", "is_new"]
 
 
-def traffic_rows(pages: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Measures of page views, and of the changes of daily-first visits, as rows to be added up."""
-    dims = TRAFFIC_DIMS
-    zero = F.lit(0).cast("bigint")
+_MEASURES = ("uv", "sv", "pv", "dur")
+
+
+def _measured(rows: DataFrame, **measures: Column) -> DataFrame:
+    """Window time, dimensions and measures; those not given are 0."""
+    return rows.select("ts", *TRAFFIC_DIMS, *[measures.get(c, F.lit(0)).cast("bigint").alias(c) for c in _MEASURES])
+
+
+def view_rows(pages: DataFrame) -> DataFrame:
+    """Sessions, views and stay of page views, as rows to be added up."""
     entry = F.coalesce(F.col("last_page_id"), F.lit("")) == ""
-    views = pages.select(
-        "ts", *dims, zero.alias("uv"), F.when(entry, 1).otherwise(0).cast("bigint").alias("sv"),
-        F.lit(1).cast("bigint").alias("pv"), F.col("during_time").alias("dur"))
-    visitors = firsts.select(
-        "ts", *dims, F.col("sign").cast("bigint").alias("uv"), zero.alias("sv"), zero.alias("pv"), zero.alias("dur"))
-    return views.unionByName(visitors)
+    return _measured(pages, sv=F.when(entry, 1).otherwise(0), pv=F.lit(1), dur=F.col("during_time"))
+
+
+def visitor_rows(firsts: DataFrame) -> DataFrame:
+    """Changes of daily-first visits as rows to be added up."""
+    return _measured(firsts, uv=F.col("sign"))
 
 
 def traffic(rows: DataFrame, length: str = "10 seconds") -> DataFrame:
@@ -81,8 +87,15 @@ def keyword_counts(pages: DataFrame, length: str = "10 seconds") -> DataFrame:
 
 
 def login_windows(flags: DataFrame, length: str = "1 second") -> DataFrame:
+    """Unique and win-back logins per window, from the change log of flagged days."""
     return flags.groupBy(_window("ts", length)).agg(
-        F.sum("uu").alias("uu_ct"), F.sum("back").alias("back_ct"))
+        F.sum(F.col("uu") * F.col("sign")).alias("uu_ct"), F.sum(F.col("back") * F.col("sign")).alias("back_ct"))
+
+
+def closed_windows(rows: DataFrame, key: str, time: str = "ts", length: str = "10 seconds") -> DataFrame:
+    """Amount and lines per window and key in append mode, by a watermark without delay: a window comes once, when it is over."""
+    return rows.withWatermark(time, "0 seconds").groupBy(_window(time, length), key).agg(
+        F.sum("amount").alias("order_amount"), F.count(F.lit(1)).alias("line_count"))
 
 
 def order_cells(changes: DataFrame, key: str, length: str = "10 seconds") -> DataFrame:
