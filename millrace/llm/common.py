@@ -9,10 +9,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from millrace.session import configure
 from millrace.sinks.workspace import cut
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-__all__ = ["table", "cut", "ascii_lower", "id_key", "held_out", "decide", "text_bytes", "fresh", "slices", "per_process"]
+#: A small table between two steps, of which there are many here, is one file and one task and not one of each per core.
+SMALL_PART = ("spark.sql.adaptive.coalescePartitions.minPartitionSize", "8m")
+__all__ = ["settled", "table", "cut", "ascii_lower", "id_key", "held_out", "decide", "text_bytes", "fresh", "slices", "per_process"]
+
+
+def settled(spark: SparkSession) -> SparkSession:
+    """The session with the settings that the operators of this package rely on."""
+    configure(spark).conf.set(*SMALL_PART)
+    return spark
 
 
 def per_process(name: str, make: Callable[[], object]) -> object:

@@ -8,8 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import caps, collocations, exact, jaccard, langid, licenses, mixing, packing, pii, quotes, suffix, toxicity, whitening
-from millrace.llm.common import UPPER, table
-from millrace.session import configure
+from millrace.llm.common import UPPER, settled, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -19,7 +18,7 @@ def query(sql: str | None = None):
     """Register a function of (session, folder) under its name."""
     def keep(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configure(spark), sf_dir)
+            return fn(settled(spark), sf_dir)
 
         QUERIES[fn.__name__] = run
         if sql:

@@ -10,7 +10,7 @@ thread in the order of replies.
 The search for the latest earlier holder runs in chunks of turns, so that a line which a hot conversation repeats
 meets neither all its holders nor all its quoters; the position is a distributed sort with offsets.
 
-Defined cases: a null text is empty; a null turn comes before all others; a null conversation is one of its own; rows that
+Defined cases: a null text is empty; texts are read whole, in time that grows with their length; a null turn comes before all others; a null conversation is one of its own; rows that
 repeat conversation, turn, role and text are one message; several messages of a turn share its thread; a message
 without a found quotation begins a thread; an empty table gives no rows; other columns are not read.
 """
@@ -31,13 +31,15 @@ CHUNK = 1024
 NO_TURN = -(2 ** 63)
 #: Ends of lines that announce a quotation.
 ANNOUNCES = r"(?:wrote|writes|said|schrieb|a écrit|escribió)\s*:"
+#: What a body is trimmed of at its ends, by a set and not by a pattern: long blank stretches take no time.
+BLANKS = " \t\n\x0b\f\r"
 _MARKS = re.compile(r"^((?:[ \t]*>)+)[ \t]?")
 
 
 def body(text: Column) -> Column:
     """A message without quoted lines and the lines that announce them."""
     unannounced = F.regexp_replace(text, rf"(?m)^[^>\n][^\n]*{ANNOUNCES}[ \t]*\n+(?=[ \t]*>)", "")
-    return F.regexp_replace(F.regexp_replace(unannounced, r"(?m)^[ \t]*>[^\n]*(?:\n|\z)", ""), r"^\s+|\s+$", "")
+    return F.btrim(F.regexp_replace(unannounced, r"(?m)^[ \t]*>[^\n]*(?:\n|\z)", ""), F.lit(BLANKS))
 
 
 def normal(text: Column) -> Column:
@@ -163,9 +165,14 @@ def threads(turns: DataFrame) -> DataFrame:
     ranked = cut(global_rank(sized.select("conv", "at", "up", "size"), [F.col("conv"), F.col("up"), F.col("at")], "rank").withColumn(
         "chunk", F.floor(F.col("rank") / CHUNK)), "siblings")
     inside = Window.partitionBy("chunk").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per CHUNK turns
-    chunks = ranked.groupBy("chunk").agg(F.sum("size").alias("sum")).withColumn("far", F.coalesce(F.sum("sum").over(
-        Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("sum")
+    # sums over the chunks before, in two levels: the window without a partition has a row per CHUNK * CHUNK turns
+    earlier = lambda *by: (Window.partitionBy(*by) if by else Window).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    block = F.floor(F.col("chunk") / CHUNK)
+    chunks = ranked.groupBy("chunk").agg(F.sum("size").alias("sum")).withColumn("block", block)
+    blocks = chunks.groupBy(F.col("block").alias("chunk")).agg(F.sum("sum").alias("sum")).select(
+        F.col("chunk").alias("block"), F.coalesce(F.sum("sum").over(earlier()), F.lit(0)).alias("before"))
+    chunks = chunks.withColumn("far", F.coalesce(F.sum("sum").over(earlier("block")), F.lit(0))).join(blocks, "block").select(
+        "chunk", (F.col("far") + F.col("before")).alias("far"))
     sums = cut(ranked.withColumn("near", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(chunks, "chunk").select(
         "conv", "at", "up", (F.col("near") + F.col("far")).alias("upto")), "upto")
     firsts = sums.groupBy("conv", "up").agg(F.min("upto").alias("first"))

@@ -2,7 +2,7 @@
 
 import random
 
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from millrace.llm import quotes
 from millrace.llm.quotes import passages, reply_order
@@ -104,3 +104,18 @@ def test_against_plain_reading(spark):
         expected = max(scores, key=lambda t: (scores[t], t)) if scores else None
         assert out[(conv, turn)]["reply_to"] == expected
         assert out[(conv, turn)]["depth"] == (0 if expected is None else out[(conv, expected)]["depth"] + 1)
+
+
+def test_blank_messages_of_any_length(spark):
+    """Trimming goes by a set of characters: the time does not square with a blank stretch."""
+    import time
+
+    blanks = {n: "a" + " " * n + "b\n" + "\n \t" * (n // 3) + "> q\n" + " " * n for n in (10, 1_000_000)}
+    for n in (10, 1_000_000):
+        df = spark.createDataFrame([(1, 0, "user", blanks[n])], SCHEMA).cache()
+        df.count()
+        start = time.perf_counter()
+        assert df.select(quotes.body(F.col("text")).alias("b")).first()["b"] == "a" + " " * n + "b"
+        assert time.perf_counter() - start < 5
+    out = by_turn(reply_order(spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "user", blanks[1_000_000])], SCHEMA)))
+    assert out[(1, 1)]["reply_to"] == 0
