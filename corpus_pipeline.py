@@ -16,36 +16,35 @@ import public_tokenizers  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from millrace.llm import exact, jaccard, mixing, packing, toxicity  # noqa: E402
-from millrace.llm.common import cut, table  # noqa: E402
-from millrace.session import configure  # noqa: E402
+from millrace.llm.common import cut, settled, table  # noqa: E402
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the clause grammar, learned from the labels, doesn't reject."""
-    return toxicity.drop_toxic(docs, table(configure(spark), sf_dir, "labels"))
+    return toxicity.drop_toxic(docs, table(settled(spark), sf_dir, "labels"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    configure(spark)
+    settled(spark)
     return exact.drop_copies(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of five-word shingles connect."""
-    configure(spark)
+    settled(spark)
     return jaccard.keep_one(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target weight asks for."""
-    configure(spark)
+    settled(spark)
     return mixing.resample(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences."""
-    configure(spark)
+    settled(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -62,7 +61,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(configure(spark), sf_dir, "documents")
+    docs = table(settled(spark), sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
