@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from millrace.operators.automaton import with_parts
+
 # Fixed value: a word is a run of letters, digits or Han characters.
 WORD = r"[\p{L}\p{N}]+"
 
@@ -30,24 +32,8 @@ def longest_matches(df: DataFrame, text: str, dictionary: DataFrame, out: str =
     """One row per word by longest match against a dictionary (column ``word``), left to right.
 
     Each run of letters and digits is cut into the longest listed words; what lies between two of them stays one
-    word. Distinct runs are cut once: their substrings up to the longest listed word meet the dictionary in an
-    equi join, and a fold over the run's places takes the matches in order.
+    word. A run is read once by the dictionary's automaton, whatever its length.
     """
-    rows = df.withColumn("_run", F.explode(words(F.col(text))))
-    listed = dictionary.select(F.lower("word").alias("_word")).where("_word <> ''").distinct()
-    longest = listed.agg(F.max(F.length("_word"))).first()[0] or 1
-    runs = rows.select("_run").distinct().withColumn("_len", F.length("_run"))
-    parts = runs.withColumn("_at", F.explode(F.expr("sequence(1, _len)"))).withColumn(
-        "_n", F.explode(F.expr(f"sequence(1, least({longest}, _len - _at + 1))"))).withColumn("_word", F.expr("substr(_run, _at, _n)"))
-    best = parts.join(listed, "_word").groupBy("_run", "_at").agg(F.max("_n").alias("_n"))
-    found = best.groupBy("_run").agg(F.map_from_entries(F.collect_list(F.struct("_at", "_n"))).alias("_found"))
-    cut = runs.join(found, "_run", "left").withColumn("_found", F.coalesce("_found", F.expr("map()").cast("map<int,int>")))
-    # state: where the next word begins, where an unlisted stretch began (0: none), words so far
-    walk = """aggregate(sequence(1, _len + 1), struct(1 AS next, 0 AS open, cast(array() AS array<string>) AS words), (s, at) -> CASE
-      WHEN at < s.next THEN s
-      WHEN at <= _len AND NOT map_contains_key(_found, at) THEN struct(at + 1 AS next, if(s.open = 0, at, s.open) AS open, s.words AS words)
-      ELSE struct(at + if(at <= _len, _found[at], 1) AS next, 0 AS open, concat(s.words,
-        if(s.open = 0, cast(array() AS array<string>), array(substr(_run, s.open, at - s.open))),
-        if(at <= _len, array(substr(_run, at, _found[at])), cast(array() AS array<string>))) AS words) END, s -> s.words)"""
-    per_run = cut.select("_run", F.expr(walk).alias("_words"))
-    return rows.join(per_run, "_run").withColumn(out, F.explode("_words")).select(*df.columns, out)
+    listed = dictionary.select(F.lower("word").alias("_word"))
+    rows = with_parts(df.withColumn("_run", F.explode(words(F.col(text)))), "_run", listed, "_word", "_parts")
+    return rows.withColumn(out, F.explode("_parts")).select(*df.columns, out)

@@ -11,33 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.text import last_token
+from millrace.operators.automaton import with_words
 
 
 def moderate(comments: DataFrame, words: DataFrame, text: str = "msg") -> DataFrame:
     """``comments`` with ``violation_grade``, ``violation_msg`` and ``is_violation``.
 
-    Candidates come from an equi join on grams: every listed word of three characters or more starts with its own
-    gram, so a text that holds the word holds the gram; shorter words are matched on their own length. A
-    text is searched once however many comments repeat it; candidates carry only its digest and the
-    word, and are checked against the whole text.
+    The list's automaton finds all words of a comment in one pass over its text; comments are not shuffled for it.
     """
     listed = words.select("word").where(F.col("word") != "").distinct()
-    low = listed.select(F.lower("word").alias("word")).distinct()
-    low = low.withColumn("gram", F.substring("word", 1, 3))
-    body = comments.select(F.lower(F.col(text)).alias("body")).where("body is not null").distinct().withColumn("_text", F.md5("body"))
-    # every character run of up to three, at any position, through three shifted regular matches
-    runs = [F.regexp_extract_all(F.substr("body", F.lit(k)), F.lit("(?s)(.{1,3})"), F.lit(1)) for k in (1, 2, 3)]
-    grams = F.array_distinct(F.flatten(F.array(*runs)))
-    shorter = F.array_distinct(F.flatten(F.transform(grams, lambda g: F.array(
-        g, F.substring(g, 1, 2), F.substring(g, 2, 2), F.substring(g, 1, 1), F.substring(g, 2, 1), F.substring(g, 3, 1)))))
-    exploded = body.select("_text", F.explode(shorter).alias("gram"))
-    candidates = exploded.join(low, "gram").select("_text", "word")
-    hits = (candidates.join(body, "_text").where(F.contains("body", F.col("word")))
-            .groupBy("_text").agg(F.array_sort(F.collect_set("word")).alias("_hits")))
-    p0 = listed.select(F.col("word").alias("_p0"))
-    out = comments.withColumn("_last", last_token(F.col(text))).withColumn("_text", F.md5(F.lower(F.col(text))))
-    out = out.join(p0, F.col("_last") == F.col("_p0"), "left").join(hits, "_text", "left")
-    is_p0, is_p1 = F.col("_p0").isNotNull(), F.col("_hits").isNotNull()
+    low = listed.select(F.lower("word").alias("word"))
+    out = comments.withColumn("_last", last_token(F.col(text))).withColumn("_body", F.lower(F.col(text)))
+    out = with_words(out, "_body", low, out="_hits").join(listed.select(F.col("word").alias("_p0")), F.col("_last") == F.col("_p0"), "left")
+    is_p0, is_p1 = F.col("_p0").isNotNull(), F.size("_hits") > 0
     return (out.withColumn("violation_grade", F.when(is_p0, "P0").when(is_p1, "P1").otherwise(""))
             .withColumn("violation_msg", F.when(is_p0, F.col("_last")).when(is_p1, F.array_join("_hits", ", ")).otherwise(""))
-            .withColumn("is_violation", F.when(is_p0, 1).otherwise(0)).drop("_last", "_text", "_p0", "_hits"))
+            .withColumn("is_violation", F.when(is_p0, 1).otherwise(0)).drop("_last", "_body", "_p0", "_hits"))

@@ -32,22 +32,26 @@ def geodesic(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series)
     x1, y1, x2, y2 = (np.radians(s.to_numpy(float)) for s in (lon1, lat1, lon2, lat2))
     r1, r2 = (np.arctan((1 - FLATTENING) * np.tan(y)) for y in (y1, y2))
     s1, c1, s2, c2 = np.sin(r1), np.cos(r1), np.sin(r2), np.cos(r2)
+    def arc(lam: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Sine, cosine and length of the arc on the auxiliary sphere, and its direction and middle, for a difference of longitudes."""
+        sl, cl = np.sin(lam), np.cos(lam)
+        ss = np.hypot(c2 * sl, c1 * s2 - s1 * c2 * cl)
+        cs = s1 * s2 + c1 * c2 * cl
+        sa = np.where(ss == 0, 0.0, c1 * c2 * sl / ss)
+        ca2 = 1 - sa**2
+        return ss, cs, np.arctan2(ss, cs), sa, ca2, np.where(ca2 == 0, 0.0, cs - 2 * s1 * s2 / ca2)
+
     lam, moving = x2 - x1, np.ones(len(x1), bool)
     with np.errstate(all="ignore"):
         for _ in range(100):
-            sl, cl = np.sin(lam), np.cos(lam)
-            ss = np.hypot(c2 * sl, c1 * s2 - s1 * c2 * cl)
-            cs = s1 * s2 + c1 * c2 * cl
-            sig = np.arctan2(ss, cs)
-            sa = np.where(ss == 0, 0.0, c1 * c2 * sl / ss)
-            ca2 = 1 - sa**2
-            mid = np.where(ca2 == 0, 0.0, cs - 2 * s1 * s2 / ca2)
+            ss, cs, sig, sa, ca2, mid = arc(lam)
             k = FLATTENING / 16 * ca2 * (4 + FLATTENING * (4 - 3 * ca2))
             new = (x2 - x1) + (1 - k) * FLATTENING * sa * (sig + k * ss * (mid + k * cs * (2 * mid**2 - 1)))
             moving = np.abs(new - lam) > 1e-12
             lam = new
             if not moving.any():
                 break
+        ss, cs, sig, sa, ca2, mid = arc(lam)
         u2 = ca2 * (HALF_AXIS**2 - polar**2) / polar**2
         big = 1 + u2 / 16384 * (4096 + u2 * (u2 * (320 - 175 * u2) - 768))
         small = u2 / 1024 * (256 + u2 * (u2 * (74 - 47 * u2) - 128))

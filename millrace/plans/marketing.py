@@ -140,7 +140,7 @@ def activity_ranking(effects: DataFrame, activity: DataFrame, channels: DataFram
     out = lookup(out, roi, {"activity_type": "activity_type", "channel": "channel", "stat_date": "stat_date"}, roi="roi")
     return composite_rank(out, ["stat_date"], {
         "conversion_rate_rank": (F.col("conversion_rate"), 40), "roi_rank": (F.col("roi"), 30),
-        "total_amount_rank": (F.col("total_amount"), 30)}, ["activity_id"], "comprehensive_score")
+        "total_amount_rank": (F.col("total_amount"), 30)}, "activity_id", "comprehensive_score")
 
 
 def segment_value(users: DataFrame, behaviour: DataFrame, effect: DataFrame, as_of: Day) -> DataFrame:

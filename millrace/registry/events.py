@@ -184,7 +184,31 @@ def _(m):
     return tracks.track_length(m["fixes"]).withColumn("km", F.round(F.col("metres") / 1000, 3))
 
 
-query("vehicle_track_length_geodesic", "vehicle:s dt:s fixes:i metres:f")(lambda m: tracks.track_length(m["fixes"], exact=True))
+_F, _A = tracks.FLATTENING, tracks.HALF_AXIS
+_P = _A * (1 - _F)
+share("geo_pairs", f"""
+SELECT event_id, vehicle, dt, x2 - x1 AS dx, sin(r1) AS s1, cos(r1) AS c1, sin(r2) AS s2, cos(r2) AS c2 FROM (
+ SELECT event_id, vehicle, dt, radians(plon) AS x1, radians(lon) AS x2, atan((1 - {_F!r}) * tan(radians(plat))) AS r1, atan((1 - {_F!r}) * tan(radians(lat))) AS r2 FROM (
+  SELECT *, lag(lon) OVER w AS plon, lag(lat) OVER w AS plat FROM fixes WINDOW w AS (PARTITION BY vehicle ORDER BY ts, event_id)) WHERE plat IS NOT NULL)""")
+# the inverse formula as an iteration: the difference of longitudes on the auxiliary sphere until it stands still
+share("geo_walk", f"""
+WITH RECURSIVE walk AS (
+ SELECT event_id, dx, s1, c1, s2, c2, dx AS lam, 0 AS step, true AS moving FROM geo_pairs
+ UNION ALL SELECT event_id, dx, s1, c1, s2, c2, new AS lam, step + 1, abs(new - lam) > 1e-12 FROM (
+  SELECT *, dx + (1 - k) * {_F!r} * sa * (sig + k * ss * (mid + k * cs * (2 * mid * mid - 1))) AS new FROM (
+   SELECT *, {_F!r} / 16 * (1 - sa * sa) * (4 + {_F!r} * (4 - 3 * (1 - sa * sa))) AS k, CASE WHEN 1 - sa * sa = 0 THEN 0.0 ELSE cs - 2 * s1 * s2 / (1 - sa * sa) END AS mid FROM (
+    SELECT *, atan2(ss, cs) AS sig, CASE WHEN ss = 0 THEN 0.0 ELSE c1 * c2 * sin(lam) / ss END AS sa FROM (
+     SELECT *, sqrt(pow(c2 * sin(lam), 2) + pow(c1 * s2 - s1 * c2 * cos(lam), 2)) AS ss, s1 * s2 + c1 * c2 * cos(lam) AS cs FROM walk WHERE moving AND step < 100))))),
+ends AS (SELECT event_id, arg_max(lam, step) AS lam, arg_max(moving, step) AS moving, any_value(s1) AS s1, any_value(c1) AS c1, any_value(s2) AS s2, any_value(c2) AS c2 FROM walk GROUP BY 1),
+arcs AS (SELECT *, sqrt(pow(c2 * sin(lam), 2) + pow(c1 * s2 - s1 * c2 * cos(lam), 2)) AS ss, s1 * s2 + c1 * c2 * cos(lam) AS cs FROM ends),
+bends AS (SELECT *, atan2(ss, cs) AS sig, CASE WHEN ss = 0 THEN 0.0 ELSE c1 * c2 * sin(lam) / ss END AS sa FROM arcs),
+squares AS (SELECT *, CASE WHEN 1 - sa * sa = 0 THEN 0.0 ELSE cs - 2 * s1 * s2 / (1 - sa * sa) END AS mid, (1 - sa * sa) * {(_A ** 2 - _P ** 2) / _P ** 2!r} AS u2 FROM bends),
+series AS (SELECT *, 1 + u2 / 16384 * (4096 + u2 * (u2 * (320 - 175 * u2) - 768)) AS big, u2 / 1024 * (256 + u2 * (u2 * (74 - 47 * u2) - 128)) AS small FROM squares)
+SELECT event_id, CASE WHEN moving THEN 'NaN'::DOUBLE WHEN ss = 0 THEN 0.0 ELSE {_P!r} * big * (sig - small * ss * (mid + small / 4 * (cs * (2 * mid * mid - 1) - small / 6 * mid * (4 * ss * ss - 3) * (4 * mid * mid - 3)))) END AS metres FROM series""")
+query("vehicle_track_length_geodesic", "vehicle:s dt:s fixes:i metres:f", """
+SELECT vehicle, dt, count(*) AS fixes, sum(coalesce(round(metres * scale) / scale, 0)) AS metres FROM (
+ SELECT f.vehicle, f.dt, g.metres, pow(10.0, 7 - floor(log10(CASE WHEN g.metres > 0 THEN g.metres ELSE 1 END))) AS scale FROM fixes f LEFT JOIN geo_walk g USING (event_id)) GROUP BY 1, 2""")(
+    lambda m: tracks.track_length(m["fixes"], exact=True))
 
 # ---- labels -------------------------------------------------------------------------------
 _VALUES = ", ".join(f"('{m}', '{k}', '{b}', {i}, CAST(round({w} * {c}, 3) AS DECIMAL(6,3)))" for m, k, b, i, w, c in weight_rows())

@@ -2,10 +2,12 @@ import datetime as dt
 import random
 from decimal import Decimal
 
+import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from conftest import at, day
-from millrace.operators import dedup, joins, keywords, moderation, ordered, rolling, scd, sequence as sq, topk, tracks, validity
+from millrace.operators import automaton, dedup, joins, keywords, moderation, ordered, rolling, scd, sequence as sq, topk, tracks, validity
 
 
 def brute_neighbours(df):
@@ -189,7 +191,7 @@ def test_track_length_sums_segments(spark, rows):
 
 def test_composite_rank_scores(spark, rows):
     df = spark.createDataFrame([("d", 1, Decimal("0.5"), 10), ("d", 2, Decimal("0.4"), None)], "g string, id int, a decimal(4,2), b int")
-    out = topk.composite_rank(df, ["g"], {"ra": (F.col("a"), 60), "rb": (F.col("b"), 40)}, ["id"], "s")
+    out = topk.composite_rank(df, ["g"], {"ra": (F.col("a"), 60), "rb": (F.col("b"), 40)}, "id", "s")
     assert [(r.id, r.ra, r.rb, float(r.s)) for r in out.orderBy("id").collect()] == [(1, 1, 1, 50.0), (2, 2, 2, 0.0)]
 
 
@@ -203,3 +205,58 @@ def test_longest_matches(spark):
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
     none = keywords.longest_matches(df, "t", listed.limit(0)).where("id = 1").collect()
     assert [r.keyword for r in none] == ["数据仓库很大"]
+
+
+@pytest.mark.parametrize("pieces", [2, 5, 32])
+def test_positions_in_large_groups(spark, pieces):
+    """Ranges give the positions that a window by group alone would, with ties, nulls and a value that most rows share."""
+    r = random.Random(pieces)
+    data = [(r.choice(["big", "big", "big", "small", None]), r.choice([None, 0, 0, 0, 0, r.randrange(50)]), r.choice([None, r.random()]), i) for i in range(600)]
+    df = spark.createDataFrame(data, "g string, a int, b double, id long")
+    got = topk.group_positions(df, ["g"], {"ra": F.col("a"), "rb": -F.col("b")}, "id", pieces).collect()
+    for row in got:
+        mine = [d for d in data if d[0] == row["g"]]
+        key = lambda v, i: (v is None, 0 if v is None else -v, i)
+        assert row["_n"] == len(mine)
+        assert row["ra"] == 1 + sum(key(d[1], d[3]) < key(row["a"], row["id"]) for d in mine)
+        assert row["rb"] == 1 + sum(key(None if d[2] is None else -d[2], d[3]) < key(None if row["b"] is None else -row["b"], row["id"]) for d in mine)
+
+
+WORDS = st.lists(st.text("abcé", min_size=1, max_size=4), max_size=8)
+
+
+@settings(max_examples=300, deadline=None)
+@given(WORDS, st.text("abcéd", max_size=30))
+def test_automaton_equals_plain_search(words, text):
+    machine = automaton.build(words)
+    assert sorted(automaton.words_in(machine, text)) == sorted({w for w in words if w in text})
+    out, at, free = [], 0, ""
+    while at < len(text):
+        n = max((len(w) for w in words if text.startswith(w, at)), default=0)
+        if n:
+            out += [free] * bool(free) + [text[at:at + n]]
+            at, free = at + n, ""
+        else:
+            free += text[at]
+            at += 1
+    assert automaton.parts(text, automaton.longest_at(machine, text)) == out + [free] * bool(free)
+
+
+@pytest.mark.parametrize("shard", [automaton.SHARD, 3])
+def test_long_word_lists_are_dealt_to_automata(spark, monkeypatch, shard):
+    monkeypatch.setattr(automaton, "SHARD", shard)
+    words = spark.createDataFrame([(w,) for w in ["ab", "abc", "b", "cd", "", None, "ab", "éa", "zz", "bcda"]], "word string")
+    df = spark.createDataFrame([(1, "xabcdéa"), (2, ""), (3, None), (4, "qq"), (5, "abcda"), (6, "abcda")], "id int, t string")
+    got = {r["id"]: r["found"] for r in automaton.with_words(df, "t", words).collect()}
+    assert got == {1: ["ab", "abc", "b", "cd", "éa"], 2: [], 3: [], 4: [], 5: ["ab", "abc", "b", "bcda", "cd"], 6: ["ab", "abc", "b", "bcda", "cd"]}
+    cut = {r["id"]: r["parts"] for r in automaton.with_parts(df, "t", words).collect()}
+    assert cut == {1: ["x", "abc", "d", "éa"], 2: [], 3: [], 4: ["qq"], 5: ["abc", "da"], 6: ["abc", "da"]}
+
+
+def test_automaton_reads_long_texts_once():
+    import time
+
+    machine = automaton.build(["ab" * k for k in range(1, 30)] + ["x"])
+    start = time.perf_counter()
+    assert len(automaton.parts("ab" * 100_000, automaton.longest_at(machine, "ab" * 100_000))) == -(-200_000 // 58)
+    assert time.perf_counter() - start < 10
