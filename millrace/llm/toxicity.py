@@ -1,15 +1,17 @@
 """Toxicity scores by a weighted finite-state grammar over clauses.
 
-Words are mapped to symbols: insult, threat, target, negation, reporting verb, quotation mark. Small transducers
-read a clause's symbols and pass on a factor for each insult or threat: a target near it strengthens it, a negation
-just before it and reported or quoted speech weaken it. Their composition scores a clause; a text is scored by its
-strongest clause and the sum over clauses, through a logistic function.
+Words are mapped to symbols: insult, threat, target, negation, reporting verb, quotation mark, any other word. Five
+transducers read a clause's symbols: that of insults and that of threats choose one insult or threat of the clause and
+mark it, those of targets, negations and reported speech give the marked one a weight: a target near it strengthens it, a
+negation just before it and reported or quoted speech weaken it. They are composed to one machine, whose paths through
+a clause are its matches. A clause scores by its best path and by the sum over its paths; a text by its strongest match
+and the sum over clauses, through a logistic function.
 
 The lexicon's insults are learned: words, and stems of words, that labelled toxic texts hold far more often than
 others. Fitting reads at most about ``LABELLED`` labelled documents, chosen by a hash of the id; every text is
 scored whole, and neither label, language, source nor id takes part in a score.
 
-Defined cases: a null or empty text holds no clause and gets the score of one; without labels of both kinds the
+Defined cases: a null id is not learned from, and is scored like any other; a null or empty text holds no clause and gets the score of one; without labels of both kinds the
 built-in words and weights stand; several labels of a document count as toxic if one does; repeated rows are
 scored each; other columns are not read.
 """
@@ -21,6 +23,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -46,50 +49,198 @@ NEGATIONS = "not no never isn't aren't don't nicht kein keine nie ne pas jamais
 REPORTS = """said says called wrote reported according claims sagte sagt nannte schrieb laut
     dit disait appelé écrit selon dijo dice llamó escribió según""".split()
 
-INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE = range(6)
+INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, WORD = range(7)
+#: The marked insult or threat of a path.
+HIT_INSULT, HIT_THREAT = 7, 8
+HITS = (HIT_INSULT, HIT_THREAT)
+ALPHABET = (INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, WORD, *HITS)
+#: Patterns whose factors a task keeps.
+PATTERNS = 1 << 14
 _WORD = re.compile(r"[^\W_]+(?:'[^\W_]+)?")
 _TOKEN = re.compile(r"([^\W_]+(?:'[^\W_]+)?)|([\"“”«»„])|([.!?;:\n])")
 
 Symbol = tuple[int, float, int]  # kind, weight, place in the clause
 
 
-class Near:
-    """Factor for an insult or threat that has a symbol of ``kind`` within ``reach`` words before it, or after it too."""
-
-    def __init__(self, kind: int, reach: int, factor: float, both: bool = False, otherwise: dict[int, float] | None = None):
-        self.kind, self.reach, self.factor, self.both, self.otherwise = kind, reach, factor, both, otherwise or {}
-
-    def run(self, clause: list[Symbol]) -> list[float]:
-        ahead = self._pass(clause, 1)
-        behind = self._pass(clause[::-1], -1)[::-1] if self.both else [False] * len(clause)
-        return [self.factor if a or b else self.otherwise.get(s[0], 1.0) for s, a, b in zip(clause, ahead, behind)]
-
-    def _pass(self, clause: list[Symbol], way: int) -> list[bool]:
-        seen, out = None, []
-        for kind, _, place in clause:  # the state is the place of the last such symbol
-            out.append(seen is not None and (place - seen) * way <= self.reach)
-            if kind == self.kind:
-                seen = place
+@dataclass
+class Transducer:
+    """Weighted finite-state machine that reads and writes a symbol per arc: arcs[state, read] = [(written, weight, next state)]."""
+    start: object
+    finals: set
+    arcs: dict[tuple[object, int], list[tuple[int, float, object]]]
+
+    def paths(self, symbols: list[int]) -> dict[tuple[int, ...], float]:
+        """What the machine writes for a clause, with the sum of its paths' weights."""
+        live: dict[tuple[object, tuple[int, ...]], float] = {(self.start, ()): 1.0}
+        for x in symbols:
+            then: dict[tuple[object, tuple[int, ...]], float] = {}
+            for (state, written), weight in live.items():
+                for y, w, to in self.arcs.get((state, x), ()):
+                    then[to, (*written, y)] = then.get((to, (*written, y)), 0.0) + weight * w
+            live = then
+        out: dict[tuple[int, ...], float] = {}
+        for (state, written), weight in live.items():
+            if state in self.finals:
+                out[written] = out.get(written, 0.0) + weight
         return out
 
 
-class Inside:
-    """Factor after a reporting verb or between quotation marks of a clause."""
-
-    def __init__(self, factor: float):
-        self.factor = factor
-
-    def run(self, clause: list[Symbol]) -> list[float]:
-        told = quoted = False
-        out = []
-        for kind, _, _ in clause:
-            told, quoted = told or kind == REPORT, quoted ^ (kind == QUOTE)
-            out.append(self.factor if told or quoted else 1.0)
-        return out
-
+def transducer(start: object, arcs: Callable, final: Callable[[object], bool], alphabet: tuple[int, ...] = ALPHABET) -> Transducer:
+    """The machine of the states that ``arcs(state, symbol)`` (a list of (written, weight, next)) reaches from ``start``."""
+    out, todo = Transducer(start, set(), {}), [start]
+    seen = {start}
+    while todo:
+        state = todo.pop()
+        if final(state):
+            out.finals.add(state)
+        for x in alphabet:
+            found = arcs(state, x)
+            if found:
+                out.arcs[state, x] = found
+            for _, _, to in found:
+                if to not in seen:
+                    seen.add(to)
+                    todo.append(to)
+    return out
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """The machine that reads like ``first`` and writes what ``second`` makes of what that writes; weights multiply."""
+    def arcs(state, x):
+        a, b = state
+        return [(z, w * v, (a2, b2)) for y, w, a2 in first.arcs.get((a, x), ()) for z, v, b2 in second.arcs.get((b, y), ())]
+
+    return transducer((first.start, second.start), arcs, lambda s: s[0] in first.finals and s[1] in second.finals)
+
+
+def marks(kind: int, hit: int, last: bool) -> Transducer:
+    """Marks at most one symbol of a kind, none if another machine has marked one; the ``last`` such machine wants a mark."""
+    def arcs(done, x):
+        if x in HITS:
+            return [] if done else [(x, 1.0, True)]
+        return [(x, 1.0, done)] + ([(hit, 1.0, True)] if x == kind and not done else [])
+
+    return transducer(False, arcs, lambda done: done or not last)
+
+
+def near(kind: int, reach: int, factor: float, after: bool = False, otherwise: dict[int, float] | None = None) -> Transducer:
+    """``factor`` for a mark that has a symbol of ``kind`` within ``reach`` symbols before it, or behind it too; else ``otherwise``.
+
+    What stands behind is guessed at the mark: one branch needs such a symbol in time, the other must not meet one.
+    """
+    alone = otherwise or {}
+
+    def arcs(state, x):
+        phase, n = state  # n: how far the next symbol is from the last one of the kind, or from the mark
+        further = min(n + 1, reach + 1)
+        if phase == "before":
+            if x in HITS and n <= reach:
+                return [(x, factor, ("done", 0))]
+            if x in HITS:
+                no = (x, alone.get(x, 1.0), ("without", 1) if after else ("done", 0))
+                return [no, (x, factor, ("needs", 1))] if after else [no]
+            return [(x, 1.0, ("before", 1 if x == kind else further))]
+        if phase == "done" or n > reach:
+            return [(x, 1.0, ("done", 0))]
+        if x == kind:
+            return [(x, 1.0, ("done", 0))] if phase == "needs" else []
+        if further > reach:
+            return [] if phase == "needs" else [(x, 1.0, ("done", 0))]
+        return [(x, 1.0, (phase, further))]
+
+    return transducer(("before", reach + 1), arcs, lambda s: s[0] != "needs")
+
+
+def reported(factor: float) -> Transducer:
+    """``factor`` for a mark after a reporting verb or between quotation marks of the clause."""
+    def arcs(state, x):
+        told, quoted = state
+        if x in HITS:
+            return [(x, factor if told or quoted else 1.0, state)]
+        return [(x, 1.0, (told or x == REPORT, quoted ^ (x == QUOTE)))]
+
+    return transducer((False, False), arcs, lambda s: True)
+
+
+def grammar_parts() -> list[Transducer]:
+    """The grammar's machines in the order of their composition."""
+    return [marks(INSULT, HIT_INSULT, last=False), marks(THREAT, HIT_THREAT, last=True),
+            near(TARGET, 4, 1.25, after=True, otherwise={HIT_THREAT: 0.2}), near(NEGATION, 3, 0.4), reported(0.6)]
+
+
+#: Other words in a row after which a further one changes nothing: one more than the farthest reach.
+SETTLED = 5
+
+
+class Grammar:
+    """The composed machine with numbered states, and the factors of the patterns it has met."""
+
+    def __init__(self):
+        machine = reduce(compose, grammar_parts())
+        numbers = {machine.start: 0}
+        for (state, _), found in machine.arcs.items():
+            for s in (state, *[to for _, _, to in found]):
+                numbers.setdefault(s, len(numbers))
+        self.arcs = [[[] for _ in range(WORD + 1)] for _ in numbers]
+        for (state, x), found in machine.arcs.items():
+            if x <= WORD:
+                self.arcs[numbers[state]][x] = [(y in HITS, w, numbers[to]) for y, w, to in found]
+        self.finals = {numbers[s] for s in machine.finals}
+        # states from which every way on has the weight 1 and ends well: a marked path that reaches one is done
+        self.certain = set(self.finals)
+        while True:
+            left = {s for s in self.certain if all(len(found) and all(not hit and w == 1 and to in self.certain for hit, w, to in found)
+                                                   for found in self.arcs[s])}
+            if left == self.certain:
+                break
+            self.certain = left
+        self.known: dict[tuple[int, ...], tuple[float, ...]] = {}
+
+    def factors(self, symbols: tuple[int, ...]) -> tuple[float, ...]:
+        """For each insult or threat of a clause, in order: the weight of the paths that mark it."""
+        found = self.known.get(symbols)
+        if found is None:
+            found = self._weights(symbols)
+            if len(symbols) <= 64 and len(self.known) < PATTERNS:
+                self.known[symbols] = found
+        return found
 
-#: The grammar is the composition of these; their factors multiply.
-GRAMMAR = (Near(TARGET, 4, 1.25, both=True, otherwise={THREAT: 0.2}), Near(NEGATION, 3, 0.4), Inside(0.6))
+    def _weights(self, symbols: tuple[int, ...]) -> tuple[float, ...]:
+        """All marks in one pass: paths without a mark yet, and marked ones that are not certain, which are few at any time."""
+        out: list[float] = []
+        bare, marked = {0: 1.0}, []
+        for x in symbols:
+            going = [(k, to, weight * w) for k, state, weight in marked for _, w, to in self.arcs[state][x]]
+            then: dict[int, float] = {}
+            if x <= THREAT:
+                out.append(0.0)
+            for state, weight in bare.items():
+                for hit, w, to in self.arcs[state][x]:
+                    if hit:
+                        going.append((len(out) - 1, to, weight * w))
+                    else:
+                        then[to] = then.get(to, 0.0) + weight * w
+            bare, marked = then, []
+            for k, state, weight in going:
+                if state in self.certain:
+                    out[k] += weight
+                else:
+                    marked.append((k, state, weight))
+        for k, state, weight in marked:
+            if state in self.finals:
+                out[k] += weight
+        return tuple(out)
+
+
+def pattern(clause: list[Symbol]) -> tuple[int, ...]:
+    """Symbols of a clause with the other words between them, of a long row of which ``SETTLED`` stand for all."""
+    out: list[int] = []
+    last = clause[0][2] - 1 if clause else 0
+    for kind, _, place in clause:
+        out += [WORD] * min(place - last - 1, SETTLED)
+        out.append(kind)
+        last = place
+    return tuple(out)
 
 
 @dataclass
@@ -100,6 +251,7 @@ class Lexicon:
 
     def __post_init__(self):
         self._lengths = sorted({len(s) for s in self.stems}, reverse=True)
+        self._grammar = Grammar()
 
     def symbol(self, word: str) -> tuple[int, float] | None:
         found = self.words.get(word)
@@ -133,12 +285,11 @@ class Lexicon:
             yield clause
 
     def measure(self, text: str | None) -> tuple[float, float, float]:
-        """Weight of the strongest clause; logarithms of one plus the sum over clauses, and of one plus that per hundred words."""
+        """Weight of the best path of any clause; logarithms of one plus the sum over clauses, and of one plus that per hundred words."""
         best = total = 0.0
         for clause in self.clauses(text or ""):
-            factors = np.prod([t.run(clause) for t in GRAMMAR], axis=0)
-            score = float(sum(s[1] * f for s, f in zip(clause, factors) if s[0] <= THREAT))
-            best, total = max(best, score), total + max(score, 0.0)
+            scores = [s[1] * f for s, f in zip([s for s in clause if s[0] <= THREAT], self._grammar.factors(pattern(clause)))]
+            best, total = max(best, *scores), total + max(sum(scores), 0.0)
         if not total:
             return 0.0, 0.0, 0.0
         return best, math.log1p(total), math.log1p(100 * total / (50 + text.count(" ")))

@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from functools import reduce
 
 import duckdb
 import numpy as np
@@ -93,6 +94,58 @@ def test_grammar_weighs_clauses():
     assert score("i will kill you") > score("to kill time") and score(None) == score("") == score("a calm day")
 
 
+SYMBOLS = st.lists(st.integers(0, toxicity.WORD), max_size=9)
+
+
+@settings(max_examples=150, deadline=None)
+@given(SYMBOLS)
+def test_composed_grammar_equals_its_parts_in_turn(symbols):
+    """What a machine writes is read by the next; the composition gives every output the same weight."""
+    outputs = {tuple(symbols): 1.0}
+    for part in toxicity.grammar_parts():
+        then = {}
+        for written, weight in outputs.items():
+            for further, w in part.paths(list(written)).items():
+                then[further] = then.get(further, 0.0) + weight * w
+        outputs = then
+    whole = COMPOSED.paths(symbols)
+    assert whole.keys() == outputs.keys() and all(abs(whole[k] - outputs[k]) < 1e-12 for k in whole)
+    # one output for each insult or threat: that one marked
+    marked = {next(i for i, y in enumerate(k) if y in toxicity.HITS): w for k, w in whole.items()}
+    hits = [i for i, x in enumerate(symbols) if x <= toxicity.THREAT]
+    assert sorted(marked) == hits
+    assert GRAMMAR.factors(tuple(symbols)) == pytest.approx([marked[i] for i in hits])
+
+
+COMPOSED = reduce(toxicity.compose, toxicity.grammar_parts())
+GRAMMAR = toxicity.Grammar()
+
+
+def plain_factor(symbols, i):
+    """The grammar's rules read one by one, for the insult or threat at place ``i``."""
+    at = lambda kind: [j for j, x in enumerate(symbols) if x == kind]
+    aimed = any(abs(j - i) <= 4 for j in at(toxicity.TARGET))
+    out = 1.25 if aimed else 0.2 if symbols[i] == toxicity.THREAT else 1.0
+    out *= 0.4 if any(0 < i - j <= 3 for j in at(toxicity.NEGATION)) else 1
+    told = any(j < i for j in at(toxicity.REPORT)) or sum(j < i for j in at(toxicity.QUOTE)) % 2
+    return out * (0.6 if told else 1)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, toxicity.WORD), max_size=30))
+def test_grammar_equals_plain_rules(symbols):
+    found = GRAMMAR.factors(tuple(symbols))
+    assert found == pytest.approx([plain_factor(symbols, i) for i, x in enumerate(symbols) if x <= toxicity.THREAT])
+
+
+def test_long_clauses_take_linear_time():
+    import time
+
+    text = "you idiot not kill said \" " * 20000
+    start = time.perf_counter()
+    assert toxicity.built_in().measure(text)[0] > 0 and time.perf_counter() - start < 10
+
+
 def test_toxicity_learns_words_and_stems(spark):
     rng = np.random.default_rng(5)
     syllables = "la be ti on re sa mu ko".split()
