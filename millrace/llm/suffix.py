@@ -10,10 +10,10 @@ passes over batches of documents, which are shuffled once:
 2. Batches cut out the stretches of windows with such an anchor, each distinct one once with its smallest and
    largest document, and send them to buckets by anchor: the shards. A shard sorts the suffixes of its stretches
    by Larsson-Sadakane refinement, finds common prefixes with neighbours by Kasai's rule, and so the smallest
-   document of each window. (Anchors that collide may fill several shards, which are merged by binary search among their
-   sorted windows.) Of an anchor in parts the distinct windows themselves are sent, each to the part its hash names, so
-   equal ones meet and no task has all surroundings of a template. Batches get back the smallest document for runs of
-   windows.
+   document of each window. Where an anchor's stretches are more than a shard holds, each batch is a shard of its own: its
+   suffix array puts its distinct windows in order, and each part, which a hash of the window names, merges the sorted
+   windows of all batches by binary search; so equal ones meet, and no task has all surroundings of a template.
+   Batches get back the smallest document for runs of windows.
 3. Batches apply the answers to their documents and cut out what goes.
 
 A shard's input has one row per batch and distinct stretch or window, so a passage that a third of all documents hold
@@ -252,26 +252,48 @@ def _cut_out(docs: pa.Table, shared: pa.Table, n_screens: int, n_buckets: int) -
 
 def _cut_up(data: np.ndarray, batch: int, n_buckets: int, names: np.ndarray, first: np.ndarray, count: np.ndarray,
             anchors: np.ndarray, parts: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[tuple]:
-    """Messages of stretches whose anchors are in parts: each distinct window once, by part, and the stretches it is in."""
+    """Messages of stretches whose anchors are in parts: this batch's shard of them, its distinct windows in order by part,
+    and the stretches they are in. Shards are of bounded size; a batch with more such text has several."""
     size = count + LENGTH - 1
-    text = data[_ranges(first, size)]
-    of, place = np.repeat(np.arange(len(first)), count), _ranges(np.zeros(len(first), np.int64), count)
-    at = (np.cumsum(size) - size)[of] + place
-    mark, check = (mixed((sums[at + LENGTH] - sums[at]) * back[at]) for sums, back in (_prefix(text, BASE), _prefix(text, STEP)))
-    target = (mixed(anchors[of] + mark % parts[of].astype(np.uint64)) % np.uint64(SPACE)).astype(np.int64) + n_buckets
-    order = np.lexsort((check, mark, target))
-    new = np.ones(len(order), bool)
-    new[1:] = False
-    for column in (target, mark, check):
-        new[1:] |= column[order[1:]] != column[order[:-1]]
-    firsts = np.flatnonzero(new)
-    at, target = at[order[firsts]], target[order[firsts]]
-    low, high = np.minimum.reduceat(low[of[order]], firsts), np.maximum.reduceat(high[of[order]], firsts)
-    edges = np.flatnonzero(np.concatenate(([True], target[1:] != target[:-1], [True])))
-    out = [_message(int(target[lo]), batch, WINDOWS, text[_ranges(at[lo:hi], np.full(hi - lo, LENGTH))],
-                    np.arange(lo, hi, dtype=np.uint32), low[lo:hi], high[lo:hi] - low[lo:hi]) for lo, hi in zip(edges, edges[1:])]
-    return [*out, _message(-1 - batch, batch, WINDOW_PLACES, (np.cumsum(new) - 1).astype(np.uint32), names[of[order]].astype(np.uint32),
-                           place[order].astype(np.uint16))]
+    shard = (np.cumsum(size) - 1) // SHARD
+    out, done = [], 0
+    places: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for s in range(int(shard[-1]) + 1):
+        some = np.flatnonzero(shard == s)
+        if not len(some):
+            continue
+        n = size[some]
+        text = data[_ranges(first[some], n)]
+        starts = np.cumsum(n) - n
+        order = suffix_array(text)
+        shared = common_prefixes(text, order, starts, n)
+        string = np.repeat(np.arange(len(some)), n)
+        place = np.arange(len(text)) - starts[string]
+        whole = place <= n[string] - LENGTH
+        # windows in the order of the array; a run of equal ones is one window
+        new = np.ones(len(text), bool)
+        new[1:] = shared[order[1:]] < LENGTH
+        run = np.cumsum(new) - 1
+        keep = whole[order]
+        at, run = order[keep], run[keep]
+        firsts = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1]))) if len(run) else np.empty(0, np.int64)
+        of = some[string[at]]
+        least, most = np.minimum.reduceat(low[of], firsts), np.maximum.reduceat(high[of], firsts)
+        head = at[firsts]
+        sums, back = _prefix(text, BASE)
+        mark = mixed((sums[head + LENGTH] - sums[head]) * back[head])
+        target = (mixed(anchors[of[firsts]] + mark % parts[of[firsts]].astype(np.uint64)) % np.uint64(SPACE)).astype(np.int64) + n_buckets
+        by_target = np.argsort(target, kind="stable")  # the order within a part stays that of the array
+        edges = np.flatnonzero(np.concatenate(([True], np.diff(target[by_target]) != 0, [True])))
+        for lo, hi in zip(edges, edges[1:]):
+            x = by_target[lo:hi]
+            out.append(_message(int(target[x[0]]), batch, WINDOWS, text[_ranges(head[x], np.full(len(x), LENGTH))],
+                                (done + x).astype(np.uint32), least[x], most[x] - least[x]))
+        window = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, len(at))))
+        places.append((done + window, names[of], place[at]))
+        done += len(firsts)
+    number, name, place = (np.concatenate(c) for c in zip(*places))
+    return [*out, _message(-1 - batch, batch, WINDOW_PLACES, number.astype(np.uint32), name.astype(np.uint32), place.astype(np.uint16))]
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -352,26 +374,24 @@ def smallest_documents(text: np.ndarray, lengths: np.ndarray, low: np.ndarray) -
     return windows, least[windows], order[whole[order]]
 
 
-def _merged(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
-    """Smallest documents of the windows of shards (text, windows, least, order) with what the other shards know of them."""
-    sorted_windows = []
-    for text, windows, least, order in shards:
-        rows = np.lib.stride_tricks.sliding_window_view(text, LENGTH)[order]
-        values = np.ascontiguousarray(rows).view(f"S{LENGTH}").ravel()
-        by_window = least[np.searchsorted(windows, order)]
-        sorted_windows.append((values, by_window))
-    out = []
-    for i, (text, windows, least, order) in enumerate(shards):
-        values, known = sorted_windows[i]
-        known = known.copy()
-        for j, (others, theirs) in enumerate(sorted_windows):
-            if j != i and len(others):
-                at = np.minimum(np.searchsorted(others, values), len(others) - 1)
-                known = np.where(others[at] == values, np.minimum(known, theirs[at]), known)
-        merged = np.empty_like(least)
-        merged[np.searchsorted(windows, order)] = known
-        out.append(merged)
-    return out
+def _merged(shards: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """For the sorted, distinct windows of shards with their smallest documents: the smallest of all shards.
+
+    Two shards at a time become one: the windows of the smaller are found in the larger by binary search.
+    """
+    held = [(values, least) for values, least in shards if len(values)]
+    while len(held) > 1:
+        held.sort(key=lambda h: len(h[0]))
+        paired = []
+        for i in range(0, len(held) - 1, 2):
+            (few, theirs), (many, least) = held[i], held[i + 1]
+            at = np.searchsorted(many, few)
+            there = many[np.minimum(at, len(many) - 1)] == few
+            least = least.copy()
+            least[at[there]] = np.minimum(least[at[there]], theirs[there])
+            paired.append((np.insert(many, at[~there], few[~there]), np.insert(least, at[~there], theirs[~there])))
+        held = paired + held[len(held) - len(held) % 2:]
+    return [held[0][1][np.searchsorted(held[0][0], values)] if len(values) else least for values, least in shards]
 
 
 def _search(table: pa.Table) -> pa.Table:
@@ -379,7 +399,7 @@ def _search(table: pa.Table) -> pa.Table:
     if table.column("target")[0].as_py() < 0:  # places
         return table.select(NAMES)
     if table.column("kind")[0].as_py() == WINDOWS:
-        return _equal_windows(table)
+        return _merge_windows(table)
     batches = np.repeat(table.column("batch").to_numpy(), [len(x) // 2 for x in table.column("b").to_pylist()])
     text, lengths, names, anchors, low, high = (_array(table, c, t) for c, t in zip(
         "abcdef", (np.uint8, np.uint16, np.uint32, np.uint32, np.int64, np.int64)))
@@ -398,12 +418,26 @@ def _search(table: pa.Table) -> pa.Table:
     size = np.cumsum(lengths[first[by_anchor]])
     runs = []
     for group in _shards(size, anchors[first[by_anchor]]):
-        done = []
+        done, windows_of = [], []
         for lo, hi in group:
             strings = by_anchor[lo:hi]
             part = text[_ranges(starts[first[strings]], lengths[first[strings]])]
-            done.append((part, *smallest_documents(part, lengths[first[strings]], least_low[strings])))
-        merged = _merged(done) if len(done) > 1 else [done[0][2]]
+            windows, least, in_order = smallest_documents(part, lengths[first[strings]], least_low[strings])
+            done.append((part, windows, least, in_order))
+        if len(done) > 1:  # names of anchors that collide
+            sorted_windows = []
+            for part, windows, least, in_order in done:
+                values = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(part, LENGTH)[in_order]).view(f"S{LENGTH}").ravel()
+                head = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+                sorted_windows.append((values[head], least[np.searchsorted(windows, in_order[head])]))
+                windows_of.append((in_order, np.repeat(np.arange(len(head)), np.diff(np.append(head, len(values))))))
+            merged = []
+            for (_, windows, least, _), (in_order, window), found in zip(done, windows_of, _merged(sorted_windows)):
+                whole_least = np.empty_like(least)
+                whole_least[np.searchsorted(windows, in_order)] = found[window]
+                merged.append(whole_least)
+        else:
+            merged = [done[0][2]]
         for (lo, hi), (_, windows, _, _), least in zip(group, done, merged):
             strings = by_anchor[lo:hi]
             n = lengths[first[strings]]
@@ -432,21 +466,19 @@ def _search(table: pa.Table) -> pa.Table:
                            stop[at[lo:hi]].astype(np.uint16), least[at[lo:hi]]) for b, lo, hi in zip(ids, edges, edges[1:])])
 
 
-def _equal_windows(table: pa.Table) -> pa.Table:
-    """Pass 2, a part of an anchor: the smallest document of each window, for each batch that has it in a larger one."""
-    text, names, low, high = (_array(table, c, t) for c, t in zip("abcd", (np.uint8, np.uint32, np.int64, np.int64)))
-    high = low + high
-    values = text.view(f"S{LENGTH}")
-    order = np.argsort(values)
-    ordered = values[order]
-    starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    least = np.empty(len(order), np.int64)
-    least[order] = np.repeat(np.minimum.reduceat(low[order], starts), np.diff(np.append(starts, len(order))))
-    counts = [len(x) // LENGTH for x in table.column("a").to_pylist()]
-    edges = np.cumsum([0, *counts])
-    keep = least < high
-    return _rows([_message(-1 - b, b, WINDOW_ANSWERS, names[lo:hi][keep[lo:hi]], least[lo:hi][keep[lo:hi]])
-                  for b, lo, hi in zip(table.column("batch").to_pylist(), edges, edges[1:]) if keep[lo:hi].any()])
+def _merge_windows(table: pa.Table) -> pa.Table:
+    """Pass 2, a part of an anchor: the sorted windows of the batches' shards merged; the smallest document of each window, for
+    each batch that has it in a larger one."""
+    shards = []
+    for text, low in zip(_arrays(table, "a", np.uint8), _arrays(table, "c", np.int64)):
+        shards.append((text.view(f"S{LENGTH}"), low))
+    names, high = _arrays(table, "b", np.uint32), _arrays(table, "d", np.int64)
+    out = []
+    for b, name, (_, low), up, least in zip(table.column("batch").to_pylist(), names, shards, high, _merged(shards)):
+        keep = least < low + up
+        if keep.any():
+            out.append(_message(-1 - b, b, WINDOW_ANSWERS, name[keep], least[keep]))
+    return _rows(out)
 
 
 def _shards(size: np.ndarray, anchors: np.ndarray) -> Iterator[list[tuple[int, int]]]:
@@ -480,7 +512,7 @@ def _answered(messages: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
     if len(found):
         window, least = _array(found, "a", np.uint32), _array(found, "b", np.int64)
         number, of, place = (_array(places, c, t) for c, t in zip("abc", (np.uint32, np.uint32, np.uint16)))
-        begin = np.searchsorted(number, window)  # places are sorted by window
+        begin = np.searchsorted(number, window)  # places are sorted by the windows' numbers
         count = np.searchsorted(number, window, "right") - begin
         where, least = _ranges(begin, count), np.repeat(least, count)
         of, place = of[where].astype(np.int64), place[where].astype(np.int64)

@@ -255,6 +255,32 @@ def test_repeats_of_template_with_differing_surroundings(monkeypatch, template):
     assert max(seen) < 2 * 20000 and sum(seen) > 8 * 20000
 
 
+def test_hot_template_at_normal_settings(monkeypatch):
+    """More surroundings of one template than a shard holds: the batches' suffix arrays are merged by binary search."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("abcdefghijklmnop"))
+    words = ["".join(w) for w in letters[rng.integers(0, 16, (9000, 26))]]
+    template = '<td class="price right"> '
+    rows = [(i, words[int(a)] + template + words[int(b)]) for i, (a, b) in enumerate(rng.integers(0, 9000, (30000, 2)))]
+    merged, real = [], suffix._merged
+    monkeypatch.setattr(suffix, "_merged", lambda shards: merged.append(len(shards)) or real(shards))
+    assert passes(rows, 3, 2, []) == plain_repeats(rows)
+    assert max(merged) == 3
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.dictionaries(st.integers(0, 40), st.integers(0, 9), max_size=12), min_size=1, max_size=6))
+def test_merged_shards_know_the_smallest(shards):
+    arrays = [(np.array(sorted(s), np.int64).astype("S50"), np.array([s[k] for k in sorted(s)], np.int64)) for s in shards]
+    arrays = [(v[np.argsort(v)], low[np.argsort(v)]) for v, low in arrays]
+    least = {}
+    for s in shards:
+        for k, v in s.items():
+            least[str(k).encode()] = min(v, least.get(str(k).encode(), v))
+    for (values, _), found in zip(arrays, suffix._merged(arrays)):
+        assert found.tolist() == [least[v] for v in values.tolist()]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.binary(min_size=1, max_size=120).map(lambda b: bytes(x % 3 for x in b)))
 def test_suffix_array_and_prefixes(text):
