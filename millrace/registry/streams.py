@@ -9,7 +9,7 @@ from millrace.operators.joins import lookup
 from millrace.plans import labels
 from millrace.registry import feeds
 from millrace.registry.base import query, share
-from millrace.registry.events import CART_COLS, DUPLICATES, MOD_SQL, PAY_COLS, VISIT_COLS, in_list
+from millrace.registry.events import AS_OF, CART_COLS, DUPLICATES, MOD_SQL, PAY_COLS, VISIT_COLS, in_list
 from millrace.registry.retail import Layer
 from millrace.sinks.merge import partial_image
 from millrace.sources import cdc
@@ -386,6 +386,59 @@ def _(m):
     return scores.groupBy("user_id", "band").agg(F.sum("score").alias("score"))
 
 
+share("ch_base6", """
+SELECT u.uid, u.uname, u.age, u.zodiac_sign, u.height, u.weight, 864000 + CAST(u.uid AS BIGINT) * 60 AS et FROM lab_profile u
+WHERE u.height IS NOT NULL AND CAST(u.uid AS BIGINT) % 7 <= 5""")
+share("ch_base4", """
+SELECT CAST(o.user_id AS VARCHAR) AS uid, l.id AS line_id, s.tname, c.b1name AS b1_name, 864000 + o.user_id * 60 + o.id % 16 * 3600 AS et,
+  CASE WHEN h < 6 THEN '凌晨' WHEN h < 9 THEN '早晨' WHEN h < 12 THEN '上午' WHEN h < 14 THEN '中午' WHEN h < 18 THEN '下午' WHEN h < 22 THEN '晚上' ELSE '夜间' END AS slot,
+  CASE WHEN o.total_amount < 1000 THEN 'low' WHEN o.total_amount <= 4000 THEN 'mid' ELSE 'high' END AS spending_pow
+FROM (SELECT *, hour(make_timestamp(ts_ms * 1000)) AS h FROM f_orders) o JOIN f_lines l ON l.order_id = CAST(o.id AS VARCHAR) AND l.l_suppkey % 4 <= 2
+LEFT JOIN lb_sku s ON s.skuid = CAST(l.sku_id AS BIGINT) LEFT JOIN lb_category c ON c.id = s.c3id""")
+share("ch_pages", "SELECT *, 864000 + CAST(uid AS BIGINT) * 60 + event_id % 7 * 3600 + event_id % 100 AS et FROM page_log WHERE uid IS NOT NULL")
+share("ch_base2", """
+SELECT p.*, x.search_category FROM (SELECT uid, et // 120 * 120 AS stt, count(*) AS pv, min(split_part(os, ' ', 1)) AS judge_os,
+  arg_max(item, ts_ms) FILTER (WHERE item_type = 'keyword' AND item IS NOT NULL) AS search_item FROM ch_pages GROUP BY 1, 2) p
+LEFT JOIN lb_word c ON c.b3name = p.search_item LEFT JOIN lb_compare x ON x.category_name = c.b1name""")
+share("ch_ends", """
+SELECT least((SELECT max(et) FROM ch_pages), (SELECT 864000 + max(user_id * 60 + id % 16 * 3600) FROM f_orders),
+  (SELECT 864000 + max(CAST(l.user_id AS BIGINT) * 60 + CAST(l.order_id AS BIGINT) % 16 * 3600 + l_suppkey % 4 * 60) FROM f_lines l),
+  (SELECT 864000 + max(CAST(uid AS BIGINT)) * 60 FROM lb_user), (SELECT max(864000 + CAST(uid AS BIGINT) * 60 + CAST(uid AS BIGINT) % 7 * 60) FROM lb_body)) - 3 AS mark""")
+_BANDED = ", ".join(f"max(score) FILTER (WHERE band_no = {i}) AS s{i}" for i in range(6))
+
+
+@query("stream_label_final", "uid:s line_id:s stt:t uname:s age:i zodiac_sign:s height:i weight:i pv:i judge_os:s spending_pow:s tname:s b1_name:s "
+       + " ".join(f"s{i}:d" for i in range(6)) + " calculate_age:s max_score:d", f"""
+WITH pairs AS (
+ SELECT a.uid, b.line_id, a.stt, p.uname, p.age, p.zodiac_sign, p.height, p.weight, a.pv, a.judge_os, b.spending_pow, b.tname, b.b1_name, b.slot, a.search_category
+ FROM ch_base2 a JOIN ch_base4 b ON b.uid = a.uid AND b.et BETWEEN a.stt + 120 - 21600 AND a.stt + 119 + 21600
+ JOIN ch_base6 p ON p.uid = a.uid AND p.et BETWEEN a.stt + 120 - 21600 AND a.stt + 119 + 21600, ch_ends WHERE a.stt + 120 <= mark),
+device AS (SELECT DISTINCT judge_os, search_category, spending_pow, tname, b1_name, slot FROM pairs),
+keyed AS (
+ SELECT d.*, w.band, w.band_no, sum(w.score) AS score FROM device d JOIN lab_w w ON (w.model = 'device' AND w.k = judge_os)
+  OR (w.model = 'search' AND w.k = CASE WHEN search_category IN ({in_list('search')}) THEN search_category ELSE 'default' END)
+  OR (w.model = 'pay_time' AND w.k = slot) OR (w.model = 'amount' AND w.k = spending_pow)
+  OR (w.model = 'brand' AND w.k = CASE WHEN tname IN ({in_list('brand')}) THEN tname ELSE 'default' END)
+  OR (w.model = 'category' AND w.k = CASE WHEN b1_name IN ({in_list('category')}) THEN b1_name ELSE 'default' END) GROUP BY ALL),
+sums AS (SELECT judge_os, search_category, spending_pow, tname, b1_name, slot, {_BANDED}, arg_max(band, score * 100000 - band_no) AS calculate_age, max(score) AS max_score FROM keyed GROUP BY ALL)
+SELECT p.* EXCLUDE (stt), make_timestamp(p.stt * 1000000) AS stt, s.* EXCLUDE (judge_os, search_category, spending_pow, tname, b1_name, slot) FROM pairs p JOIN sums s
+ON p.judge_os IS NOT DISTINCT FROM s.judge_os AND p.search_category IS NOT DISTINCT FROM s.search_category AND p.spending_pow IS NOT DISTINCT FROM s.spending_pow
+ AND p.tname IS NOT DISTINCT FROM s.tname AND p.b1_name IS NOT DISTINCT FROM s.b1_name AND p.slot IS NOT DISTINCT FROM s.slot""")
+def _(m):
+    """Profile, orders, pages and their joins in one plan; windows that the watermark has not passed are still open."""
+    at = lambda uid, more=0: F.timestamp_seconds(864_000 + uid.cast("long") * 60 + more)
+    uid = F.col("uid")
+    users = m.over("lb_user", customer=feeds.table(m, "customer")).select("uid", "uname", F.date_add(
+        F.lit("1970-01-01").cast("date"), F.col("birthday").cast("int")).alias("birthday"), at(uid).alias("et"))
+    body = m.over("lb_body", customer=feeds.table(m, "customer")).withColumn("et", at(uid, uid.cast("long") % 7 * 60))
+    orders = feeds.orders(m).select(F.col("id").cast("string").alias("id"), F.col("user_id").cast("string").alias("uid"), "total_amount",
+                                    F.timestamp_millis("ts_ms").alias("pay_time"), at(F.col("user_id"), F.col("id") % 16 * 3600).alias("et"))
+    lines = feeds.lines(m).select("id", "order_id", "sku_id", at(F.col("user_id"), F.col("order_id").cast("long") % 16 * 3600 + F.col("l_suppkey") % 4 * 60).alias("et"))
+    pages = feeds.pages(m).where("uid is not null").select("uid", "ts_ms", F.split("os", " ")[0].alias("os"), F.when(
+        F.col("item_type") == "keyword", F.col("item")).alias("search_item"), at(uid, F.col("event_id") % 7 * 3600 + F.col("event_id") % 100).alias("et"))
+    return run_append(trade.label_chain(users, body, orders, lines, pages, m["lb_sku"], m["lb_category"], m["lb_word"], m["lb_compare"], AS_OF), "labels")
+
+
 @query("stream_profile_body", "uid:s height:i weight:i birthday:s", """
 SELECT uid, height, weight, DATE '1970-01-01' + CAST(birthday AS INT) AS birthday FROM lb_user JOIN lb_body USING (uid) WHERE CAST(uid AS BIGINT) % 7 <= 5""")
 def _(m):

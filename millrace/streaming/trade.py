@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.functions.bands import day_slot, spending_power
-from millrace.plans.labels import line_scores
+from millrace.functions.bands import day_slot, spending_power, zodiac
+from millrace.functions.dates import age_years
+from millrace.plans.labels import best_band, line_scores, with_scores
 from millrace.sources import cdc
 
 
@@ -153,6 +154,54 @@ def order_scores(orders: DataFrame, lines: DataFrame, sku: DataFrame, categories
     return line_scores(rows, ["user_id", "line_id"], ["pay_time", "amount", "brand", "category"])
 
 
+def marked(df: DataFrame, delay: str = "3 seconds") -> DataFrame:
+    """A stream with the watermark that all streams of a chain have."""
+    return df.withWatermark("et", delay)
+
+
+def _between(left: DataFrame, right: DataFrame, on: str, other: str, bound: str) -> DataFrame:
+    """Interval join of streams that have watermarks: times at most ``bound`` apart; columns of the right side get ``r_``."""
+    b = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
+    return left.join(b, F.expr(f"{on} = r_{other} AND r_et >= et - INTERVAL {bound} AND r_et <= et + INTERVAL {bound}"))
+
+
+def label_chain(users: DataFrame, body: DataFrame, orders: DataFrame, lines: DataFrame, pages: DataFrame, sku: DataFrame,
+                categories: DataFrame, words: DataFrame, compare: DataFrame, as_of: str) -> DataFrame:
+    """The user label as one streaming plan: five streams, two-minute windows, and four interval joins of different bounds.
+
+    Profile and body data within five minutes of each other, orders and lines within two, and a user's pages in windows of two
+    minutes; then pages and orders within six hours, and the profile within six hours of the pages. All streams have one
+    watermark, the slowest one's, and every state ends by it. Scores are arrays added up per row, so nothing is aggregated
+    after the joins.
+    """
+    base6 = _between(marked(users), marked(body), "uid", "uid", "5 MINUTES")
+    base6 = base6.select("uid", "uname", age_years(F.col("birthday"), as_of).alias("age"), zodiac(F.col("birthday")).alias("zodiac_sign"),
+                         F.col("r_height").alias("height"), F.col("r_weight").alias("weight"), "et")
+    base4 = _between(marked(orders), marked(lines), "id", "order_id", "2 MINUTES")
+    base4 = base4.select("uid", F.col("r_id").alias("line_id"), F.col("r_sku_id").cast("bigint").alias("sku_id"), "total_amount", "pay_time", "et")
+    base4 = base4.join(sku.withColumnRenamed("skuid", "sku_id"), "sku_id", "left")
+    base4 = base4.join(categories.select(F.col("id").alias("c3id"), F.col("b1name").alias("b1_name")), "c3id", "left")
+    base4 = base4.withColumn("pay_time_slot", day_slot(F.col("pay_time"))).withColumn("spending_pow", spending_power(F.col("total_amount")))
+    base4 = with_scores(base4, ["pay_time", "amount", "brand", "category"], "scores").select(
+        "uid", "line_id", "tname", "b1_name", "spending_pow", "scores", "et")
+    seen = marked(pages).groupBy(F.window("et", "2 minutes").alias("w"), "uid").agg(
+        F.count(F.lit(1)).alias("pv"), F.min("os").alias("judge_os"),
+        F.max_by("search_item", F.when(F.col("search_item").isNotNull(), F.col("ts_ms"))).alias("search_item"))
+    base2 = seen.select("uid", "pv", "judge_os", "search_item", F.col("w.start").alias("stt"), F.window_time("w").alias("et"))
+    base2 = base2.join(words.select(F.col("b3name").alias("search_item"), F.col("b1name").alias("category_name")), "search_item", "left")
+    base2 = with_scores(base2.join(compare, "category_name", "left"), ["device", "search"], "scores").select(
+        "uid", "stt", "pv", "judge_os", "search_category", "scores", "et")
+    first = _between(base2, base4, "uid", "uid", "6 HOURS")
+    total = F.zip_with("scores", "r_scores", lambda a, b: a + b)
+    first = first.select("uid", "stt", "pv", "judge_os", *[F.col(f"r_{c}").alias(c) for c in ("line_id", "tname", "b1_name", "spending_pow")],
+                         total.alias("scores"), "et")
+    whole = _between(first, base6, "uid", "uid", "6 HOURS")
+    band, score = best_band(F.col("scores"))
+    return whole.select(
+        "uid", "line_id", "stt", *[F.col(f"r_{c}").alias(c) for c in ("uname", "age", "zodiac_sign", "height", "weight")], "pv", "judge_os",
+        "spending_pow", "tname", "b1_name", *[F.col("scores")[i].alias(f"s{i}") for i in range(6)], band.alias("calculate_age"), score.alias("max_score"))
+
+
 def route_dimensions(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Rows for the configured dimension tables: sink table, hashed row key, wanted columns as a map.
 
