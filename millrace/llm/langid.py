@@ -96,7 +96,7 @@ class LanguageModels:
         sums, lengths, has = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), np.int64), np.zeros(len(texts), bool)
         for rows, parts in _parts(texts):
             grams, starts, letters = _codes(parts)
-            ends = np.append(starts[1:] - ORDER, len(grams))
+            ends = np.append(starts[1:] - (ORDER - 1), len(grams))
             running = np.concatenate((np.zeros((1, len(self.langs))), np.cumsum(self.characters(grams), axis=0, dtype=np.float64)))
             np.add.at(sums, rows, running[ends] - running[starts])
             np.add.at(lengths, rows, ends - starts)
@@ -173,7 +173,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             for lang, (_, parts) in ((x, p) for x in sorted(set(langs)) for p in _parts([t for t, y in zip(texts, langs) if y == x])):
                 grams, starts, _ = _codes(parts)
                 inside = np.ones(len(grams), bool)
-                for k in range(1, ORDER + 1):  # n-grams that reach over the end of a text
+                for k in range(1, ORDER):  # n-grams that reach over the end of a text
                     inside[np.maximum(starts[1:] - k, 0)] = False
                 codes, n = np.unique(grams[inside], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes)), pa.array(codes), pa.array(n.astype(np.int64))],
