@@ -6,8 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from millrace.llm.common import slices
-
 #: Odd multipliers of the rolling hashes and of the finishing steps.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -54,23 +52,37 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shingle_sets(texts: list[str], words: int = 5) -> Iterator[np.ndarray]:
-    """Sorted distinct shingles of each text: runs of ``words`` words, lower-cased; of a shorter text all its words; of none, none."""
-    coded = [t.lower().encode("utf-8", "surrogatepass") + b"\n" for t in texts]
+    """Sorted distinct shingles of each text: runs of ``words`` words, lower-cased; of a shorter text all its words; of none, none.
+
+    Texts are coded about PART bytes at a time, never a whole batch.
+    """
+    part: list[bytes] = []
+    size = 0
+    for text in texts:
+        part.append(text.lower().encode("utf-8", "surrogatepass") + b"\n")
+        size += len(part[-1])
+        if size >= PART:
+            yield from _part_sets(part, words)
+            part, size = [], 0
+    if part:
+        yield from _part_sets(part, words)
+
+
+def _part_sets(coded: list[bytes], words: int) -> Iterator[np.ndarray]:
     offsets = np.concatenate(([0], np.cumsum([len(c) for c in coded]))).astype(np.int64)
-    for a, b in slices(offsets, PART):
-        starts, hashes = word_hashes(np.frombuffer(b"".join(coded[a:b]), np.uint8))
-        bounds = np.searchsorted(starts, offsets[a:b + 1] - offsets[a])
-        n = len(hashes)
-        runs = np.zeros(max(0, n - words + 1), np.uint64)
-        for k in range(words):
-            runs = runs * STEP + hashes[k:n - words + 1 + k]
-        runs = mixed(runs)
-        for lo, hi in zip(bounds, bounds[1:]):
-            if hi - lo >= words:
-                yield np.unique(runs[lo:hi - words + 1])
-            else:
-                one = np.uint64(0)
-                with np.errstate(over="ignore"):
-                    for h in hashes[lo:hi]:
-                        one = one * STEP + h
-                yield mixed(np.array([one + np.uint64(hi - lo)])) if hi > lo else np.empty(0, np.uint64)
+    starts, hashes = word_hashes(np.frombuffer(b"".join(coded), np.uint8))
+    bounds = np.searchsorted(starts, offsets)
+    n = max(0, len(hashes) - words + 1)
+    runs = np.zeros(n, np.uint64)
+    for k in range(words):
+        runs = runs * STEP + hashes[k:n + k]
+    runs = mixed(runs)
+    for lo, hi in zip(bounds, bounds[1:]):
+        if hi - lo >= words:
+            yield np.unique(runs[lo:hi - words + 1])
+        else:
+            one = np.uint64(0)
+            with np.errstate(over="ignore"):
+                for h in hashes[lo:hi]:
+                    one = one * STEP + h
+            yield mixed(np.array([one + np.uint64(hi - lo)])) if hi > lo else np.empty(0, np.uint64)

@@ -16,7 +16,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, jaccard, langid, mixing, packing, pii, suffix, toxicity
+from millrace.llm import exact, jaccard, langid, mixing, packing, pii, shingles as sh, suffix, toxicity
 from millrace.llm.common import table
 from millrace.llm.queries import QUERIES, SQL
 
@@ -293,6 +293,23 @@ def test_suffix_array_and_prefixes(text):
         assert shared[b] == min(n, 50)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="ab é,", max_size=30), max_size=8), st.sampled_from([1, 20, 1 << 20]))
+def test_shingles_do_not_depend_on_parts(texts, part):
+    """A text's shingles are the same alone, in any part, and as many as its distinct runs of words."""
+    before, sh.PART = sh.PART, part
+    try:
+        sets = list(sh.shingle_sets(texts))
+        assert len(sets) == len(texts)
+        for text, found in zip(texts, sets):
+            assert found.tolist() == next(iter(sh.shingle_sets([text]))).tolist()
+            words = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.lower())
+            runs = {tuple(words[i:i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} if words else set()
+            assert len(found) == len(runs)
+    finally:
+        sh.PART = before
+
+
 # mixing
 
 def plain_targets(sizes):
