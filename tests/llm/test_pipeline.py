@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from millrace.llm.common import cut, table
-from test_documents import SMALL, no_docs, odd_docs, plain_groups, plain_targets, shingles  # noqa: F401
+from test_documents import SMALL, plain_groups, plain_targets, shingles
 
 
 def near_groups(rows):
