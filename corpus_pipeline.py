@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from millrace.llm import exact, jaccard, mixing, packing, toxicity  # noqa: E402
 from millrace.llm.common import cut, settled, table  # noqa: E402
+from millrace.sinks.workspace import passing  # noqa: E402
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,8 +63,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(settled(spark), sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = cut(docs, name)
-    return docs
+    *early, (_, last) = STAGES
+    for name, stage in early:
+        with passing(spark) as keep:  # what a stage wrote for itself goes once its result is stored
+            docs = keep(cut(stage(spark, docs, sf_dir), name))
+    return last(spark, docs, sf_dir)

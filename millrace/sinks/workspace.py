@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+#: Cuts that the open scopes have made.
+_SCOPES: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,4 +37,31 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    for scope in _SCOPES:
+        scope.append(path)
+    return out
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Cuts made inside are emptied at the end, but for those that are passed to the function this gives.
+
+    For steps whose result is written before the scope ends; frames that read emptied cuts give no rows.
+    """
+    made: list[str] = []
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df.cut_path)
+        return df
+
+    _SCOPES.append(made)
+    try:
+        yield keep
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            if path not in kept:
+                spark.range(0).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

@@ -148,3 +148,15 @@ def test_calendar_holidays(spark):
     got = {str(r.date_id): r.is_workday for r in dim_date(days, holidays=off).collect()}
     assert got == {"2023-12-30": 0, "2023-12-31": 0, "2024-01-01": 0, "2024-01-02": 1}
     assert dim_date(days.where("false")).count() == 0
+
+
+def test_cuts_of_a_scope_are_emptied(spark):
+    from millrace.sinks.workspace import cut, passing
+
+    with passing(spark) as keep:
+        inner = cut(spark.range(10).withColumnRenamed("id", "n"), "t-inner")
+        result = keep(cut(inner.selectExpr("sum(n) AS s"), "t-result"))
+        assert inner.count() == 10
+    after = cut(spark.range(3), "t-after")
+    assert result.first()["s"] == 45 and after.count() == 3
+    assert spark.read.schema("n long").parquet(inner.cut_path).count() == 0
