@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import text_bytes
+from millrace.llm.common import per_process, text_bytes
 from millrace.llm.shingles import BASE, STEP, inverse, mixed, powers
 
 LENGTH, GRAM = 50, 20
@@ -98,7 +98,9 @@ def _parts(offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
 class Stretches:
     """Runs of windows with one anchor in a batch of documents: document, first window, number of windows, anchor."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, checked: bool = True):
+        """``checked`` stretches have a second hash beside their mark, which tells them apart with it."""
+        self.checked = checked
         found = [self._part(data[lo:hi], offsets, at, to, lo) for at, to, lo, hi in _parts(offsets) if hi - lo >= LENGTH]
         joined = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64)]
         self.doc, self.start, self.count, self.anchor, self.mark, self.check = joined
@@ -121,16 +123,25 @@ class Stretches:
         last[:-1] &= (where[1:] != where[:-1]) | ~inside[1:]
         first, final = np.flatnonzero(new), np.flatnonzero(last)
         stops = final + LENGTH
-        others, back_too = _prefix(data, STEP)
         length = (stops - first).astype(np.uint64)
-        return (at + np.searchsorted(ends, first, "right"), first + lo, final - first + 1, grams[where[first]],
-                mixed((sums[stops] - sums[first]) * back[first] + length), mixed((others[stops] - others[first]) * back_too[first] + length))
+        mark = mixed((sums[stops] - sums[first]) * back[first] + length)
+        check = mark
+        if self.checked:
+            others, back = _prefix(data, STEP)
+            check = mixed((others[stops] - others[first]) * back[first] + length)
+        return at + np.searchsorted(ends, first, "right"), first + lo, final - first + 1, grams[where[first]], mark, check
 
 
 def _prefix(data: np.ndarray, base: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(len(data), base), out=sums[1:])
-    return sums, powers(len(data) + 1, inverse(base))
+    """Sums of a text's rolling hash, and the powers that shift a difference of them; powers for a part are kept in a worker."""
+    n, most = len(data), PART + LENGTH
+    if n < most:
+        there, back = per_process(f"powers {int(base)} {most}", lambda: (powers(most, base), powers(most, inverse(base))))
+    else:
+        there, back = powers(n, base), powers(n + 1, inverse(base))
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * there[:n], out=sums[1:])
+    return sums, back[:n + 1]
 
 
 def _batch(table: pa.Table) -> tuple[pa.ChunkedArray, np.ndarray, np.ndarray, np.ndarray]:
@@ -145,7 +156,7 @@ def _distinct_anchors(table: pa.Table, n_buckets: int) -> pa.Table:
     """Pass 1, a batch: its anchors by bucket, which of them are in several of its documents, and their distinct stretches."""
     batch = table.column("batch")[0].as_py()
     _, ids, data, offsets = _batch(table)
-    runs = Stretches(data, offsets)
+    runs = Stretches(data, offsets, checked=False)
     order = np.argsort(runs.anchor)
     anchors, docs = runs.anchor[order], ids[runs.doc[order]]
     if not len(anchors):
@@ -299,10 +310,7 @@ def _cut_up(data: np.ndarray, batch: int, n_buckets: int, names: np.ndarray, fir
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Starts of the suffixes in their order; one that ends comes before those that go on."""
     n = len(text)
-    padded = np.concatenate((text, np.zeros(8, np.uint8)))
-    key = np.zeros(n, np.uint64)
-    for k in range(8):
-        key = key << np.uint64(8) | padded[k:n + k]
+    key = _eights(np.concatenate((text, np.zeros(7, np.uint8))))
     order = np.argsort(key)
     ordered = key[order]
     new = np.ones(n, bool)
@@ -334,14 +342,14 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, starts: np.ndarray, len
     along all strings at once, a place at a time.
     """
     n = len(text)
-    before = np.empty(n, np.int64)
+    before = np.empty(n, np.int32)
     before[order[1:]] = order[:-1]
     before[order[0]] = -1
     out = np.zeros(n, np.int16)
     by_length = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[by_length], lengths[by_length]
+    eights = _eights(np.concatenate((text, np.zeros(most + 8, np.uint8))))
     shared = np.zeros(len(starts), np.int64)
-    padded = np.concatenate((text, [0]))
     for k in range(int(lengths[0]) if len(lengths) else 0):
         live = int(np.searchsorted(-lengths, -k, "left"))
         at = starts[:live] + k
@@ -349,16 +357,35 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, starts: np.ndarray, len
         shared = np.maximum(shared[:live] - 1, 0)
         shared[other < 0] = 0
         grow = np.flatnonzero((other >= 0) & (shared < most))
-        while len(grow):
-            a, b = at[grow] + shared[grow], other[grow] + shared[grow]
-            same = (a < n) & (b < n) & (padded[np.minimum(a, n)] == padded[np.minimum(b, n)])
-            grow = grow[same]
-            shared[grow] += 1
-            grow = grow[shared[grow] < most]
+        while len(grow):  # eight bytes at a time
+            done = shared[grow]
+            a, b = at[grow] + done, other[grow] + done
+            differ = eights[a] ^ eights[b]
+            whole = differ == 0
+            equal = np.where(whole, 8, _equal_bytes(differ))
+            shared[grow] = done = np.minimum(done + np.minimum(equal, n - np.maximum(a, b)), most)
+            grow = grow[whole & (done < most) & (np.maximum(a, b) + 8 < n)]
         out[at] = shared
     return out
 
 
+def _eights(padded: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number, the first one highest."""
+    n = len(padded) - 7
+    key = np.zeros(n, np.uint64)
+    for k in range(8):
+        key = key << np.uint64(8) | padded[k:n + k]
+    return key
+
+
+def _equal_bytes(differ: np.ndarray) -> np.ndarray:
+    """Zero bytes at the front of each number that is not zero."""
+    out = np.zeros(len(differ), np.int64)
+    for bits in (56, 48, 40, 32, 24, 16, 8):
+        out += differ < np.uint64(1 << bits)
+    return out
+
+
 def smallest_documents(text: np.ndarray, lengths: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each window of the strings in ``text``: its start, and the smallest document of an equal one; and the windows' order."""
     starts = np.cumsum(lengths) - lengths
