@@ -267,6 +267,6 @@ SELECT b.uid, b.uname, b.age, b.zodiac_sign, d.judge_os, o.spending_pow, o.tname
  SELECT uid, {', '.join(f"max(score) FILTER (WHERE band = '{b}') AS {c}" for b, c in _SUMS.items())}, arg_max(band, score * 100000 - band_no) AS calculate_age, max(score) AS max_score FROM lab_scores GROUP BY 1) w USING (uid)""")
 def _(m):
     p = Parts(m)
-    return labels.final_label(p.base, p.devices, p.orders, p.scores)
+    return labels.final_label(p.base, p.devices, p.orders)
 
 
