@@ -371,6 +371,23 @@ def _(m):
     return run_upsert(traffic.profiles(labels.page_events(once)), ["uid"], "profiles")
 
 
+@query("stream_profile_per_event", "event_id:i uid:s pv:i ch:s page_id:s item:s", """
+WITH runs AS (SELECT *, sum(CASE WHEN gap >= 172800000 THEN 1 ELSE 0 END) OVER (PARTITION BY uid ORDER BY ts_ms, event_id) AS run FROM (
+  SELECT event_id, uid, ts_ms, ch, page_id, CASE WHEN item_type = 'keyword' THEN item END AS item, ts_ms - lag(ts_ms) OVER (PARTITION BY uid ORDER BY ts_ms, event_id) AS gap
+  FROM page_log WHERE uid IS NOT NULL)),
+sofar AS (SELECT event_id, uid, row_number() OVER w AS pv, list(ch) OVER w AS ch, list(page_id) OVER w AS page_id, list(item) FILTER (WHERE item IS NOT NULL) OVER w AS item
+ FROM runs WINDOW w AS (PARTITION BY uid, run ORDER BY ts_ms, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT event_id, uid, pv, array_to_string(list_sort(list_distinct(ch)), ',') AS ch, array_to_string(list_sort(list_distinct(page_id)), ',') AS page_id,
+  coalesce(array_to_string(list_sort(list_distinct(item)), ','), '') AS item FROM sofar""")
+def _(m):
+    """The profile as of each page event; two silent days end it. Events arrive in three slices of ten days."""
+    rows = m["page_log"].where("uid is not null").select(
+        "event_id", "uid", F.timestamp_millis("ts_ms").alias("ts"), "ch", "page_id", F.when(F.col("item_type") == "keyword", F.col("item")).alias("item"))
+    arrival = F.least(F.lit(2), F.floor((F.unix_millis("ts") - 1_704_067_200_000) / 864_000_000)).cast("int")
+    return feeds.in_turn(m, rows, arrival, 3, lambda stream, job: run_append(
+        keyed.running_profile(stream, "uid", "ts", ["ch", "page_id", "item"], 172_800_000), "profile", job=job, keyed=True))
+
+
 @query("stream_order_scores", "user_id:i band:s score:d", f"""
 WITH f AS (SELECT o.user_id, l.id AS line_id, o.total_amount, make_timestamp(o.ts_ms * 1000) AS et, s.tname, c.b1name FROM f_orders o JOIN f_lines l ON l.order_id = CAST(o.id AS VARCHAR) AND abs(l.ts_ms - o.ts_ms) <= 120000
   LEFT JOIN lb_sku s ON s.skuid = CAST(l.sku_id AS BIGINT) LEFT JOIN lb_category c ON c.id = s.c3id),

@@ -124,6 +124,63 @@ def newest_wins_until(df: DataFrame, keys: list[str], time: str, version: str, t
     return out.select(F.from_json("body", df.schema, _JSON).alias("r")).select("r.*")
 
 
+class RunningProfile(StatefulProcessor):
+    """For each row of a key in the order of times: how many there were so far, and the distinct values of its fields so far.
+
+    A key that is silent for ``ttl_ms`` starts anew; a timer forgets it when the watermark is that far ahead.
+    """
+
+    def __init__(self, fields: list[str], ttl_ms: int):
+        self.fields, self.ttl_ms = fields, ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.known = handle.getValueState("known", "n long, t long, " + ", ".join(f"s{k} array<string>" for k in range(len(self.fields))))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        n, last, *held = self.known.get() if self.known.exists() else (0, None, *[[] for _ in self.fields])
+        sets = [set(h) for h in held]
+        shown = [",".join(sorted(s)) for s in sets]
+        columns = ["t", "body", *[f"f{k}" for k in range(len(self.fields))]]
+        out = []
+        for t, body, *values in sorted((r for frame in rows for r in zip(*(frame[c].tolist() for c in columns))), key=lambda r: r[:2]):
+            if last is not None and t - last >= self.ttl_ms:
+                n, sets, shown = 0, [set() for _ in self.fields], [""] * len(self.fields)
+            n, last = n + 1, t
+            for k, v in enumerate(values):
+                if v is not None and v not in sets[k]:
+                    sets[k].add(v)
+                    shown[k] = ",".join(sorted(sets[k]))
+            out.append((body, n, *shown))
+        self.known.update((n, last, *[sorted(s) for s in sets]))
+        self.handle.registerTimer(last + self.ttl_ms)
+        yield pd.DataFrame(out, columns=["body", "n", *[f"f{k}" for k in range(len(self.fields))]])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.known.exists() and self.known.get()[1] + self.ttl_ms <= timerValues.getCurrentWatermarkInMs():
+            self.known.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
+def running_profile(df: DataFrame, key: str, time: str, fields: list[str], ttl_ms: int, out: str = "pv", delay: str = "0 seconds") -> DataFrame:
+    """Each row with the number of its key's rows so far and, in place of each field, its distinct values so far, sorted and joined.
+
+    Rows of one time are ordered by their columns; rows later than the watermark (``delay``) and without a time are dropped. A
+    key's rows of one micro-batch are in one task.
+    """
+    rest = [c for c in df.columns if c not in fields]
+    packed = df.where(F.col(time).isNotNull()).select(
+        F.col(key).alias("k0"), F.col(time).alias("et"), F.unix_millis(time).alias("t"), F.to_json(F.struct(*rest), _JSON).alias("body"),
+        *[F.col(f).cast("string").alias(f"f{k}") for k, f in enumerate(fields)])
+    schema = ", ".join(["body string", "n long", *[f"f{k} string" for k in range(len(fields))]])
+    rows = packed.withWatermark("et", delay).groupBy("k0").transformWithStateInPandas(RunningProfile(fields, ttl_ms), schema, "Append", "EventTime")
+    return rows.withColumn("r", F.from_json("body", df.select(*rest).schema, _JSON)).select(
+        "r.*", F.col("n").alias(out), *[F.col(f"f{k}").alias(f) for k, f in enumerate(fields)])
+
+
 class FirstOfDay(StatefulProcessor):
     """Keeps the first time per key; an earlier one that comes later takes it back (sign -1) and stands in for it (+1)."""
 

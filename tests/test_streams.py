@@ -130,6 +130,31 @@ def test_memory_of_a_key_ends(spark, rows, ttl):
         assert kept.where("k = 'grows'").count() == kept.where("k is null").count() == 6
 
 
+def test_running_profile_over_batches(spark, rows):
+    """The profile as of each row, however the rows are cut into batches; a silent key starts anew."""
+    r = random.Random(6)
+    base, clock, data = dt.datetime(2024, 1, 1), 0, []
+    for i in range(120):
+        clock += r.choice([1, 5, 30, 400])
+        data.append((i, r.choice(["a", "b", None]), base + dt.timedelta(seconds=clock), r.choice(["x", "y", "z"]), r.choice([None, "p", "q"])))
+    df = spark.createDataFrame(data, "id long, k string, ts timestamp, c string, d string")
+    want = []
+    for k in ("a", "b", None):
+        n, last, c, d = 0, None, set(), set()
+        for i, _, ts, x, y in (row for row in data if row[1] == k):
+            if last is not None and ts - last >= dt.timedelta(seconds=600):
+                n, c, d = 0, set(), set()
+            n, last, c, d = n + 1, ts, c | {x}, d | ({y} if y else set())
+            want.append((i, k, ts, n, ",".join(sorted(c)), ",".join(sorted(d))))
+    for cuts in ((120,), (7, 50, 51, 120)):
+        path, lo = scratch(spark, "t-profile"), 0
+        for hi in cuts:
+            df.where((F.col("id") >= lo) & (F.col("id") < hi)).coalesce(1).write.mode("append").parquet(path)
+            lo = hi
+        got = run_append(keyed.running_profile(stream(spark, path), "k", "ts", ["c", "d"], 600_000), "t-profile", keyed=True)
+        assert sorted(map(tuple, got.select("id", "k", "ts", "pv", "c", "d").collect())) == sorted(want)
+
+
 def test_expired_stretches_are_dropped_and_emptied(spark, rows, monkeypatch):
     monkeypatch.setattr(KeyedTable, "EVERY", 2)
     monkeypatch.setattr(KeyedTable, "AGE", 1)
