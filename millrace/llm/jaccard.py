@@ -3,10 +3,11 @@
 Documents with the same set of shingles form a class; the join works on classes. MinHash signatures are cut into
 bands; classes that agree in a band meet in a bucket. There, signatures are compared a step at a time: a pair is
 dropped once the posterior probability (uniform prior) that its similarity reaches the threshold falls below
-``TOLERANCE``. What survives of a bucket leaves it as a spanning forest, so a group of n near copies gives n rows, not n
-squared. The connected clusters are then verified: pairs that survive the same comparison are checked exactly on
-their shingles, block against block, and each class gets the number of its links and one link towards its
-group's first class. Bands are as wide as miss a pair at the threshold with a probability of at most ``MISS``.
+``TOLERANCE``. A pair that survives counts in the first band it agrees in. What leaves a bucket is its classes with such a
+pair, not the pairs, so a group of n near copies gives some n rows, not n squared, and texts move only to the buckets where
+they are wanted: a few, one for each band at most, however large a chain of groups is. There the same pairs are checked exactly on their shingles, block against
+block, and each class gets the number of its links and one link towards its group's first class. Bands are as wide as
+miss a pair at the threshold with a probability of at most ``MISS``.
 
 Defined cases: a null text is empty; a text without words links with nothing; one of fewer than five words has one
 shingle, of all its words; a null id is the smallest; rows that repeat an id and a text are copies of each other; an
@@ -29,8 +30,8 @@ from millrace.llm.shingles import MIX_1, mixed, shingle_sets
 WORDS, THRESHOLD = 5, 0.8
 HASHES, STEP = 128, 16
 MISS, TOLERANCE = 4e-6, 1e-6
-#: Members of a bucket, and of a cluster, that one task compares with as many others.
-BUCKET_BLOCK, CLUSTER_BLOCK = 768, 384
+#: Members of a bucket that one task compares with as many others by their signatures, and by their texts.
+BUCKET_BLOCK, VERIFY_BLOCK = 768, 384
 LEAST_ID = -(2 ** 63)
 SKETCH = "doc_id long, text_hash long, n_shingles int, key1 long, key2 long, sig binary"
 
@@ -118,48 +119,61 @@ def in_blocks(rows: DataFrame, group: str, size: str, block: int) -> DataFrame:
     return dealt.withColumns({"p": F.least("at", "other"), "q": F.greatest("at", "other")}).drop("other", size)
 
 
-def candidate_links(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Edges (a, b) that connect all classes whose pairs survive in some bucket.
+def _in_first_band(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, band: int, rows: int) -> np.ndarray:
+    """Which of the index pairs of two blocks of signatures agree in the band and in none before it."""
+    out = np.ones(len(i), bool)
+    for lo in range(0, len(i), 1 << 15):
+        a, b = left[i[lo:lo + (1 << 15)]], right[j[lo:lo + (1 << 15)]]
+        for k in range(band):
+            out[lo:lo + len(a)] &= (a[:, k * rows:(k + 1) * rows] != b[:, k * rows:(k + 1) * rows]).any(axis=1)
+    return out
+
+
+def candidates(reps: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(bucket, band, row): classes with a partner that survives the comparison and that they meet in this bucket first.
 
-    Members come in the order of their numbers, so that the buckets of a group lead to the same few first members.
+    A pair counts in the first band it agrees in, so most pairs of a group count in a few buckets, and only there the
+    classes' texts are needed.
     """
     bands, rows = bands_and_rows(threshold)
     band = F.explode(F.sequence(F.lit(0), F.lit(bands - 1)))
     banded = reps.select("row", "sig", band.alias("band")).select(
-        "row", F.xxhash64("band", F.substring(F.col("sig"), F.col("band") * 4 * rows + 1, F.lit(4 * rows))).alias("bucket"))
-    # of buckets with the same members one is enough
-    members = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("first"),
-                                           F.sum(F.xxhash64("row").cast("decimal(20,0)")).alias("sum")).filter("size > 1")
-    buckets = members.groupBy("size", "first", "sum").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-    met = banded.join(buckets, "bucket").join(reps.select("row", "sig"), "row")
-    dealt = in_blocks(met, "bucket", "size", BUCKET_BLOCK).select("bucket", "p", "q", "at", "row", "sig")
+        "row", "band", F.xxhash64("band", F.substring(F.col("sig"), F.col("band") * 4 * rows + 1, F.lit(4 * rows))).alias("bucket"))
+    # of buckets with the same members that of the first band is enough: their pairs agree there
+    members = banded.groupBy("bucket", "band").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("first"),
+                                                   F.sum(F.xxhash64("row").cast("decimal(20,0)")).alias("sum")).filter("size > 1")
+    buckets = members.groupBy("size", "first", "sum").agg(F.min(F.struct("band", "bucket")).alias("b")).select("b.band", "b.bucket", "size")
+    met = banded.join(buckets, ["bucket", "band"]).join(reps.select("row", "sig"), "row")
+    dealt = in_blocks(met, "bucket", "size", BUCKET_BLOCK).select("bucket", "p", "q", "at", "row", "band", "sig")
     least = least_matches(threshold)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, edges in sorted_groups(batches, 3):
-            p, q, at, row = (table.column(k).to_numpy() for k in range(1, 5))
-            sigs = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint32).reshape(-1, HASHES)
-            a, b = [], []
+            bucket, p, q, at, row, own = (table.column(k).to_numpy() for k in range(6))
+            sigs = np.frombuffer(b"".join(table.column(6).to_pylist()), np.uint32).reshape(-1, HASHES)
+            found = []
             for lo, hi in zip(edges, edges[1:]):
                 part, same = slice(lo, hi), p[lo] == q[lo]
                 if hi - lo == 2 and same:  # the most frequent case
+                    i, j = np.array([0]), np.array([1])
                     if all((sigs[lo, :n] == sigs[lo + 1, :n]).sum() >= m for n, m in zip(range(STEP, HASHES + 1, STEP), least)):
-                        a.append(row[lo:lo + 1])
-                        b.append(row[lo + 1:hi])
+                        if _in_first_band(sigs[part], sigs[part], i, j, own[lo], rows)[0]:
+                            found.append(np.arange(lo, hi))
                     continue
                 left = np.flatnonzero(at[part] == p[lo])
                 right = left if same else np.flatnonzero(at[part] == q[lo])
                 i, j = surviving(sigs[part][left], sigs[part][right], least)
-                linked = np.zeros((hi - lo, hi - lo), bool)
-                linked[left[i], right[j]] = linked[right[j], left[i]] = True
-                roots = block_roots(linked)
-                far = np.flatnonzero(roots != np.arange(len(roots)))
-                a.append(row[part][far])
-                b.append(row[part][roots[far]])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+                if same:
+                    i, j = i[i < j], j[i < j]
+                i, j = left[i], right[j]
+                here = _in_first_band(sigs[part], sigs[part], i, j, own[lo], rows)
+                found.append(lo + np.unique(np.concatenate((i[here], j[here]))))
+            if found:
+                some = np.concatenate(found)
+                yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (bucket, own, row)], ["bucket", "band", "row"])
 
-    return dealt.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "row").mapInArrow(link, "a long, b long")
+    return dealt.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "row").mapInArrow(
+        link, "bucket long, band int, row long").distinct()
 
 
 def _overlaps(left: list[np.ndarray], right: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -182,27 +196,32 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray], i: np.ndarray, j:
     return shared[i, j].astype(np.int64)
 
 
-def verified_links(clusters: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
+def verified_links(members: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
     """Per class and block: documents of other classes it links with, and a class of its group it leads to.
 
-    ``clusters``: cluster, size of the cluster, row, documents of the class, signature, text.
+    ``members``: bucket, its band and size, row, documents of the class, signature, text.
     """
-    dealt = in_blocks(clusters, "cluster", "size", CLUSTER_BLOCK).select(
-        "cluster", "p", "q", "at", "row", "n_docs", "sig", "text")
+    _, band_rows = bands_and_rows(threshold)
+    dealt = in_blocks(members, "bucket", "size", VERIFY_BLOCK).select(
+        "bucket", "p", "q", "at", "row", "n_docs", "band", "sig", "text")
     least = least_matches(threshold)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, edges in sorted_groups(batches, 3):
-            p, q, at, row, n_docs = (table.column(k).to_numpy() for k in range(1, 6))
-            sigs = np.frombuffer(b"".join(table.column(6).to_pylist()), np.uint32).reshape(-1, HASHES)
+            p, q, at, row, n_docs, band = (table.column(k).to_numpy() for k in range(1, 7))
+            sigs = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint32).reshape(-1, HASHES)
             for lo, hi in zip(edges, edges[1:]):
                 part = slice(lo, hi)
-                sets = list(shingle_sets([t or "" for t in table.column(7).slice(lo, hi - lo).to_pylist()], words))
                 left = np.flatnonzero(at[part] == p[lo])
                 right = left if p[lo] == q[lo] else np.flatnonzero(at[part] == q[lo])
                 i, j = surviving(sigs[part][left], sigs[part][right], least)
                 if p[lo] == q[lo]:
                     i, j = i[i < j], j[i < j]
+                here = _in_first_band(sigs[part][left], sigs[part][right], i, j, band[lo], band_rows)
+                i, j = i[here], j[here]
+                if not len(i):
+                    continue
+                sets = list(shingle_sets([t or "" for t in table.column(8).slice(lo, hi - lo).to_pylist()], words))
                 counts = np.array([len(s) for s in sets])
                 shared = _overlaps([sets[x] for x in left], [sets[x] for x in right], i, j)
                 i, j = left[i], right[j]
@@ -215,7 +234,7 @@ def verified_links(clusters: DataFrame, words: int = WORDS, threshold: float = T
                     [pa.array(row[part][some]), pa.array((linked[some] @ n_docs[part]).astype(np.int64)),
                      pa.array(row[part][block_roots(linked)[some]])], ["row", "links", "towards"])
 
-    return dealt.repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q", "row").mapInArrow(
+    return dealt.repartition("bucket", "p", "q").sortWithinPartitions("bucket", "p", "q", "row").mapInArrow(
         verify, "row long, links long, towards long")
 
 
@@ -233,14 +252,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min_by("row", number).alias("rep"), F.min(number).alias("class_id"), F.count(F.lit(1)).alias("n_docs")), "classes")
     reps = cut(with_words.select("row", "text_hash", "doc_id", "sig").join(
         classes.select(F.col("rep").alias("row"), "class_id", "n_docs"), "row"), "representatives")
-    clusters = components(candidate_links(reps, threshold))
-    sized = cut(clusters.join(clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "root").select(
-        F.col("node").alias("row"), F.col("root").alias("cluster"), "size"), "clusters")
-    members = reps.join(sized, "row").withColumn("id_key", id_key("doc_id"))
+    found = cut(candidates(reps, threshold), "candidates")
+    sized = found.join(found.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket")
+    # as many buckets per class as there are bands, at most
+    buckets = sized.groupBy("row").agg(F.collect_list(F.struct("bucket", "band", "size")).alias("buckets"))
+    members = reps.join(buckets, "row").withColumn("id_key", id_key("doc_id"))
     texts = docs.select(id_key(id_col).alias("id_key"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     # rows that repeat an id and a text are one class, so one of them stands for it
     whole = texts.join(members, ["id_key", "text_hash"]).dropDuplicates(["id_key", "text_hash"])
-    links = cut(verified_links(whole, words, threshold), "links")
+    dealt = whole.select("row", "n_docs", "sig", "text", F.explode("buckets").alias("b")).select("row", "n_docs", "sig", "text", "b.*")
+    links = cut(verified_links(dealt, words, threshold), "links")
     groups = components(links.select(F.col("row").alias("a"), F.col("towards").alias("b")))
     by_class = reps.select("row", "class_id", "n_docs").join(
         links.groupBy("row").agg(F.sum("links").alias("links")), "row", "left").join(

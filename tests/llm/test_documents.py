@@ -547,5 +547,18 @@ def test_near_duplicates_in_many_blocks(spark, monkeypatch):
             words[k * 9 % 120] = f"x{i // 8}"
         rows.append((i, " ".join(words)))
     monkeypatch.setattr(jaccard, "BUCKET_BLOCK", 5)
-    monkeypatch.setattr(jaccard, "CLUSTER_BLOCK", 4)
+    monkeypatch.setattr(jaccard, "VERIFY_BLOCK", 4)
     check_near(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+
+
+def test_texts_move_to_few_buckets(spark):
+    """A group of near copies names each class a few times, not once a band and not once a pair."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(150):
+        words = [f"w{k}" for k in range(200)]
+        words[int(rng.integers(0, 200))] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    sketched = jaccard.sketches(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = jaccard.candidates(sketched.select("row", "sig")).collect()
+    assert len({r["row"] for r in found}) == 150 and len(found) < 6 * 150
