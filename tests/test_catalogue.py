@@ -17,6 +17,7 @@ SAMPLE = [
     "product360_ads_product_360", "marketing_ads_activity_ranking", "marketing_ads_segment_value", "related_ads_top_guide_product", "new_products_ads_info",
     "board_top50_visitors", "province_order_windows", "comment_moderation_long_list", "keyword_counts_documents", "vehicle_track_length", "label_final",
     "stream_log_split", "stream_dwd_payment", "stream_province_orders", "sink_append_report", "scan_tab_separated",
+    "vehicle_track_length_geodesic", "keyword_dictionary_parts", "stream_monotonous_windows", "stream_label_final",
 ]
 
 
