@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.numbers import ratio
 from millrace.operators.joins import null_safe
+from millrace.sinks.workspace import cut
 
 
 def top_per_group(df: DataFrame, group: list[str], by: list[Column], k: int, out: str = "rk",
@@ -40,7 +41,8 @@ def group_positions(df: DataFrame, group: list[str], ranked: dict[str, Column],
     ranges before it make the position; the window over a group's ranges has at most some ``pieces`` squared rows.
     """
     cuts = F.array(*[F.lit(k / pieces) for k in range(1, pieces)])
-    measured = df.withColumns({f"_m_{name}": measure for name, measure in ranked.items()})
+    # written once: the ends, the ranges' counts and the positions inside them read the same rows
+    measured = cut(df.withColumns({f"_m_{name}": measure for name, measure in ranked.items()}), "measured")
     ends = measured.groupBy(*group).agg(F.percentile_approx(tie, cuts).alias("_e_tie"), *[
         F.percentile_approx(f"_m_{name}", cuts).alias(f"_e_{name}") for name in ranked])
     out = null_safe(measured, ends, group)
@@ -50,10 +52,10 @@ def group_positions(df: DataFrame, group: list[str], ranked: dict[str, Column],
         alone = x.isNull() | F.coalesce(F.array_contains(e, x), F.lit(False))
         place = F.when(x.isNull(), 2 * pieces + 2).otherwise(2 * F.size(F.filter(e, lambda v: v > x)) + F.when(alone, 1).otherwise(0))
         out = out.withColumn(f"_c_{name}", F.struct(place.alias("c"), F.when(alone, among).otherwise(0).alias("t")))
-    out = out.drop("_e_tie", *[f"_e_{name}" for name in ranked])
+    base = out = out.drop("_e_tie", *[f"_e_{name}" for name in ranked])
     for k, name in enumerate(ranked):
         inside = Window.partitionBy(*group, f"_c_{name}").orderBy(F.col(f"_m_{name}").desc_nulls_last(), F.col(tie))
-        counts = out.groupBy(*group, f"_c_{name}").agg(F.count(F.lit(1)).alias("_k"))
+        counts = base.groupBy(*group, f"_c_{name}").agg(F.count(F.lit(1)).alias("_k"))
         over = Window.partitionBy(*group)
         before = F.sum("_k").over(over.orderBy(f"_c_{name}").rowsBetween(Window.unboundedPreceding, -1))
         sizes = {} if k else {"_n": F.sum("_k").over(over)}
