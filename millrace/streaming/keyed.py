@@ -4,25 +4,72 @@ Rules work on event times in milliseconds and on rows packed as JSON, so one pro
 depend on the order in which rows arrive, within the watermark where a rule has timers: replays, several
 micro-batches and files in any order give the same rows. Rules that many rows of one key meet in are run on keys that
 are reduced first (``login_log``), or keep only what is still open (``newest_after_hold``).
+
+A call of a processor and each of its accesses to state cost far more than a row, so all rules but the running profile are
+keyed by one of ``BUCKETS`` buckets of the keys' hash: a call takes the rows of all keys of a bucket, whose state is one packed
+value. A bucket is held in a task as a whole, and written whole by the micro-batches that touch it.
 """
 
 from __future__ import annotations
 
+import pickle
 from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.shipping import by_value
 
 #: Times keep their microseconds through JSON.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+#: Buckets of keys; part of a job's checkpoint.
+BUCKETS = 2048
+
+
+def _bucket(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("bucket")
+
+
+def _key(keys: list[str]) -> Column:
+    """Values of the keys as one string that is never null."""
+    return F.to_json(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)]), _JSON).alias("key")
+
+
+class _Packed:
+    """A Python value as the state of a bucket."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str):
+        self.state = handle.getValueState(name, "packed binary")
+
+    def get(self, default):
+        return pickle.loads(self.state.get()[0]) if self.state.exists() else default
+
+    def put(self, value) -> None:
+        self.state.update((pickle.dumps(value, 5),))
+
+
+class _Alarm:
+    """The one timer of a bucket, at the earliest time that any of its keys waits for."""
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self.handle, self.state = handle, handle.getValueState("due", "t long")
+
+    def no_later_than(self, t: int) -> None:
+        known = self.state.get()[0] if self.state.exists() else None
+        if known is None or t < known:
+            if known is not None:
+                self.handle.deleteTimer(known)
+            self.handle.registerTimer(t)
+            self.state.update((t,))
+
+    def rang(self) -> None:
+        self.state.clear()
 
 
 class NewestAfterHold(StatefulProcessor):
-    """Holds a key's rows for ``hold_ms`` from the first one on, then emits the newest of them.
+    """Holds a key's rows for ``hold_ms`` from the first one on, then emits the newest of them; for the keys of a bucket.
 
     State is the rows that are not yet emitted; a timer stands where the earliest of them is due. When the
     watermark passes it, the rows up to there have all come, so holds are cut in the order of event times.
@@ -32,32 +79,34 @@ class NewestAfterHold(StatefulProcessor):
         self.hold_ms = hold_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getListState("open", "t long, body string")
+        self.open = handle.getListState("open", "packed binary")
+        self.alarm = _Alarm(handle)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        fresh = [(int(t), body) for frame in rows for t, body in zip(frame["t"], frame["body"])]
-        self.open.appendList(fresh)
-        self.handle.registerTimer(min(fresh)[0] + self.hold_ms)
+        for frame in rows:
+            self.open.appendValue((pickle.dumps([frame[c].tolist() for c in ("key", "t", "body")], 5),))
+            self.alarm.no_later_than(int(frame["t"].min()) + self.hold_ms)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if not self.open.exists():  # an earlier timer of the same batch has emitted all
-            return
+        self.alarm.rang()
         due = timerValues.getCurrentWatermarkInMs() - self.hold_ms
-        rows = sorted((t, body) for t, body in self.open.get())
-        newest, at = [], 0
-        while at < len(rows) and rows[at][0] <= due:
-            at = bisect_left(rows, (rows[at][0] + self.hold_ms,))
-            newest.append(rows[at - 1])
-        if not newest:
-            return
-        if at < len(rows):
-            self.open.put(rows[at:])
-            self.handle.registerTimer(rows[at][0] + self.hold_ms)
+        rows = sorted(r for (packed,) in self.open.get() for r in zip(*pickle.loads(packed)))
+        times = [t for _, t, _ in rows]
+        first = [i for i, r in enumerate(rows) if not i or r[0] != rows[i - 1][0]]
+        newest, left = [], []
+        for at, end in zip(first, [*first[1:], len(rows)]):
+            while at < end and times[at] <= due:
+                at = bisect_left(times, times[at] + self.hold_ms, at, end)
+                newest.append(rows[at - 1][2])
+            left += rows[at:end]
+        if left:
+            self.open.put([(pickle.dumps([list(c) for c in zip(*left)], 5),)])
+            self.alarm.no_later_than(min(t for _, t, _ in left) + self.hold_ms)
         else:
             self.open.clear()
-        yield pd.DataFrame({"body": [body for _, body in newest]})
+        if newest:
+            yield pd.DataFrame({"body": newest})
 
     def close(self) -> None:
         pass
@@ -68,9 +117,9 @@ def newest_after_hold(df: DataFrame, keys: list[str], time: str, hold_ms: int =
 
     Rows of one time are ordered by their columns. Rows later than the watermark (``delay``) are dropped.
     """
-    packed = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(time).alias("et"),
-                       F.unix_millis(time).alias("t"), F.to_json(F.struct(*df.columns), _JSON).alias("body"))
-    out = packed.withWatermark("et", delay).groupBy(*[f"k{i}" for i in range(len(keys))]).transformWithStateInPandas(
+    packed = df.select(_bucket(*keys), _key(keys), F.col(time).alias("et"), F.unix_millis(time).alias("t"),
+                       F.to_json(F.struct(*df.columns), _JSON).alias("body"))
+    out = packed.withWatermark("et", delay).groupBy("bucket").transformWithStateInPandas(
         NewestAfterHold(hold_ms), "body string", "Append", "EventTime")
     return out.select(F.from_json("body", df.schema, _JSON).alias("r")).select("r.*")
 
@@ -78,32 +127,38 @@ def newest_after_hold(df: DataFrame, keys: list[str], time: str, hold_ms: int =
 class NewestWins(StatefulProcessor):
     """Emits a row if its version is above the one stored for the key, or if that was stored ``ttl_ms`` or longer before.
 
-    State is the last emitted version and its time; a timer forgets it when the watermark is that far ahead.
+    State is the last emitted version and its time of each key of a bucket; a timer forgets those that the watermark is that
+    far ahead of.
     """
 
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "version long, t long")
+        self.last = _Packed(handle, "last")
+        self.alarm = _Alarm(handle)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = self.last.get() if self.last.exists() else None
-        before, out = last, []
-        for t, version, body in sorted(r for frame in rows for r in zip(frame["t"].tolist(), frame["version"].tolist(), frame["body"])):
-            if last is None or version > last[0] or t - last[1] >= self.ttl_ms:
-                last = (version, t)
+        last, changed, out = self.last.get({}), [], []
+        columns = ("t", "version", "body", "key")
+        for t, version, body, k in sorted(r for frame in rows for r in zip(*(frame[c].tolist() for c in columns))):
+            known = last.get(k)
+            if known is None or version > known[0] or t - known[1] >= self.ttl_ms:
+                last[k] = (version, t)
+                changed.append(t)
                 out.append(body)
-        if last != before:
-            self.last.update(last)
-            self.handle.registerTimer(last[1] + self.ttl_ms)
         if out:
+            self.last.put(last)
+            self.alarm.no_later_than(min(changed) + self.ttl_ms)
             yield pd.DataFrame({"body": out})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.last.exists() and self.last.get()[1] + self.ttl_ms <= timerValues.getCurrentWatermarkInMs():
-            self.last.clear()
+        self.alarm.rang()
+        ended = timerValues.getCurrentWatermarkInMs() - self.ttl_ms
+        last = {k: (version, t) for k, (version, t) in self.last.get({}).items() if t > ended}
+        self.last.put(last)
+        if last:
+            self.alarm.no_later_than(min(t for _, t in last.values()) + self.ttl_ms)
         return iter(())
 
     def close(self) -> None:
@@ -116,10 +171,10 @@ def newest_wins_until(df: DataFrame, keys: list[str], time: str, version: str, t
     ``version`` is a whole number. Rows of one micro-batch are taken in the order of their times; rows later than the
     watermark (``delay``) are dropped. A key's rows of one micro-batch are in one task.
     """
-    packed = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(time).alias("et"), F.unix_millis(time).alias("t"),
+    packed = df.select(_bucket(*keys), _key(keys), F.col(time).alias("et"), F.unix_millis(time).alias("t"),
                        F.col(version).cast("bigint").alias("version"), F.to_json(F.struct(*df.columns), _JSON).alias("body"))
     packed = packed.where("t is not null and version is not null")
-    out = packed.withWatermark("et", delay).groupBy(*[f"k{i}" for i in range(len(keys))]).transformWithStateInPandas(
+    out = packed.withWatermark("et", delay).groupBy("bucket").transformWithStateInPandas(
         NewestWins(ttl_ms), "body string", "Append", "EventTime")
     return out.select(F.from_json("body", df.schema, _JSON).alias("r")).select("r.*")
 
@@ -182,54 +237,62 @@ def running_profile(df: DataFrame, key: str, time: str, fields: list[str], ttl_m
 
 
 class FirstOfDay(StatefulProcessor):
-    """Keeps the first time per key; an earlier one that comes later takes it back (sign -1) and stands in for it (+1)."""
+    """Keeps the first time per user and day of a bucket; an earlier one that comes later takes it back (sign -1) and stands in
+    for it (+1)."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", "t long")
+        self.first = _Packed(handle, "first")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        t = min(int(frame["t"].min()) for frame in rows)
-        known = self.first.get()[0] if self.first.exists() else None
-        if known is not None and known <= t:
-            return
-        self.first.update((t,))
-        out = [(t, 1)] if known is None else [(t, 1), (known, -1)]
-        yield pd.DataFrame({"user": key[0], "day": key[1], "t": [t for t, _ in out], "sign": [s for _, s in out]})
+        first, out = self.first.get({}), []
+        fresh = pd.concat(list(rows)).groupby(["user", "day"], sort=False)["t"].min()
+        for k, t in zip(fresh.index.tolist(), fresh.tolist()):
+            known = first.get(k)
+            if known is None or t < known:
+                first[k] = t
+                out += [(*k, t, 1)] if known is None else [(*k, t, 1), (*k, known, -1)]
+        if out:
+            self.first.put(first)
+            yield pd.DataFrame(out, columns=["user", "day", "t", "sign"])
 
     def close(self) -> None:
         pass
 
 
 class LoginFlags(StatefulProcessor):
-    """Flags of a user's login days: each day counts once (``uu``), and is a win-back (``back``) after ``gap`` days of absence.
+    """Flags of users' login days: each day counts once (``uu``), and is a win-back (``back``) after ``gap`` days of absence.
 
-    State is the user's days with their first times. A day that is added late, or whose first time changes, changes its own row
-    and the flag of the day that follows it: rows that no longer hold are taken back with sign -1.
+    State is the days of a bucket's users with their first times. A day that is added late, or whose first time changes, changes
+    its own row and the flag of the day that follows it: rows that no longer hold are taken back with sign -1.
     """
 
     def __init__(self, gap: int):
         self.gap = gap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.days = handle.getValueState("days", "day array<int>, t array<long>")
+        self.days = _Packed(handle, "days")
 
     def _flags(self, days: dict[int, int]) -> set[tuple[int, int, int]]:
         ordered = sorted(days)
         return {(d, days[d], int(k > 0 and d - ordered[k - 1] >= self.gap)) for k, d in enumerate(ordered)}
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known = dict(zip(*self.days.get())) if self.days.exists() else {}
-        net: dict[tuple[int, int], int] = {(d, t): 1 for d, t in known.items()}
+        held = self.days.get({})
+        net: dict[str, dict[tuple[int, int], int]] = {}
         for frame in rows:
-            for d, t, sign in zip(frame["day"].tolist(), frame["t"].tolist(), frame["sign"].tolist()):
-                net[d, t] = net.get((d, t), 0) + sign
-        now = {d: t for (d, t), n in net.items() if n > 0}
-        before, after = self._flags(known), self._flags(now)
-        self.days.update((sorted(now), [now[d] for d in sorted(now)]))
-        out = [(*r, 1) for r in sorted(after - before)] + [(*r, -1) for r in sorted(before - after)]
+            for user, d, t, sign in zip(*(frame[c].tolist() for c in ("user", "day", "t", "sign"))):
+                if user not in net:
+                    net[user] = {day: 1 for day in held.get(user, {}).items()}
+                net[user][d, t] = net[user].get((d, t), 0) + sign
+        out = []
+        for user, days in net.items():
+            now = {d: t for (d, t), n in days.items() if n > 0}
+            before, after = self._flags(held.get(user, {})), self._flags(now)
+            held[user] = now
+            out += [(user, *r, 1) for r in sorted(after - before)] + [(user, *r, -1) for r in sorted(before - after)]
+        self.days.put(held)
         if out:
-            day, t, back, sign = zip(*out)
-            yield pd.DataFrame({"user": key[0], "day": day, "t": t, "back": back, "sign": sign})
+            yield pd.DataFrame(out, columns=["user", "day", "t", "back", "sign"])
 
     def close(self) -> None:
         pass
@@ -238,14 +301,14 @@ class LoginFlags(StatefulProcessor):
 def login_log(df: DataFrame, user: str, time: str, gap: int = 8) -> DataFrame:
     """Change log of flagged login days: (user, login_date, time, uu, back, sign), for rows in any order of arrival.
 
-    Two keyed states in one plan: the first is keyed by user and day, so that the second has a row per day and user
+    Two keyed states in one plan: the first is dealt by user and day, so that the second has a row per day and user
     however often a user logs in; a user without a name is left out.
     """
     rows = df.where(F.col(user).isNotNull() & F.col(time).isNotNull()).select(
         F.col(user).cast("string").alias("user"), F.unix_date(F.to_date(time)).alias("day"), F.unix_micros(time).alias("t"))
-    firsts = rows.groupBy("user", "day").transformWithStateInPandas(
+    firsts = rows.withColumn("bucket", _bucket("user", "day")).groupBy("bucket").transformWithStateInPandas(
         FirstOfDay(), "user string, day int, t long, sign int", "Append", "None")
-    flags = firsts.groupBy("user").transformWithStateInPandas(
+    flags = firsts.withColumn("bucket", _bucket("user")).groupBy("bucket").transformWithStateInPandas(
         LoginFlags(gap), "user string, day int, t long, back int, sign int", "Append", "None")
     return flags.select(F.col("user").cast(df.schema[user].dataType).alias(user), F.date_from_unix_date("day").alias("login_date"),
                         F.timestamp_micros("t").alias(time), F.lit(1).alias("uu"), "back", "sign")
