@@ -157,5 +157,15 @@ def lines(m: Model) -> DataFrame:
     return m.apply(LINES.replace("EPOCH_MS(", "unix_millis("), lineitem=table(m, "lineitem")).withColumn("et", F.timestamp_millis("ts_ms"))
 
 
+def promotions(m: Model) -> DataFrame:
+    """Lines, and one and two seconds later their activity and coupon ids, as one feed with a ``kind``."""
+    kinds = [F.struct(F.lit("detail").alias("kind"), F.lit(0).alias("later")),
+             F.when(F.expr("l_discount >= 0.05"), F.struct(F.lit("activity").alias("kind"), F.lit(1000).alias("later"))),
+             F.when(F.expr("l_returnflag = 'R'"), F.struct(F.lit("coupon").alias("kind"), F.lit(2000).alias("later")))]
+    rows = lines(m).withColumn("c", F.explode(F.array_compact(F.array(*kinds))))
+    return rows.select("id", "order_id", "user_id", "sku_id", "province_id", "split_total_amount", (F.col("l_suppkey") % 25).alias("activity_id"),
+                       F.col("l_suppkey").alias("coupon_id"), "c.kind", (F.col("ts_ms") + F.col("c.later")).alias("ts_ms"))
+
+
 def changes(text: DataFrame) -> DataFrame:
     return cdc.decode(text)

@@ -275,10 +275,7 @@ def _(m):
 SELECT *, CASE WHEN l_discount >= 0.05 THEN l_suppkey % 25 END AS activity_id, CASE WHEN l_returnflag = 'R' THEN l_suppkey END AS coupon_id FROM f_lines""")
 def _(m):
     """Lines, activity ids and coupon ids arrive apart and meet in one partial-update target."""
-    rows = feeds.lines(m)
-    act = feeds.lines(m).where("l_discount >= 0.05").select(F.col("id").alias("order_detail_id"), (F.col("l_suppkey") % 25).alias("activity_id"), (F.col("ts_ms") + 1000).alias("ts_ms"))
-    cou = feeds.lines(m).where("l_returnflag = 'R'").select(F.col("id").alias("order_detail_id"), F.col("l_suppkey").alias("coupon_id"), (F.col("ts_ms") + 2000).alias("ts_ms"))
-    return run_upsert(trade.promotion_parts(rows, act, cou), ["id"], "promotions", version="ts_ms", mode="append", merge=partial_image)
+    return run_upsert(trade.promotion_parts(feeds.promotions(m)), ["id"], "promotions", version="ts_ms", mode="append", merge=partial_image)
 
 
 @query("stream_left_join_coupon", "id:s coupon_id:i", """
