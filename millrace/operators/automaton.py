@@ -1,6 +1,6 @@
 """Word lists as goto/fail automata: every listed word in a text, found in one pass over it.
 
-A list is dealt to automata of at most ``SHARD`` words, so neither the driver nor a task ever holds more than one of them. With a
+The words are broadcast, and a worker builds the automaton. A list is dealt to automata of at most ``SHARD`` words, so neither the driver nor a task ever holds more than one of them. With a
 single one, as for nearly all lists, matching is a column of Arrow batches and moves no row; further ones take a pass each over
 the distinct texts, and what they find is put together by text.
 """
@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.shipping import by_value
@@ -61,24 +62,32 @@ def parts(text: str, longest: list[tuple[int, int]]) -> list[str]:
     return out
 
 
-def _shards(words: DataFrame, column: str) -> Iterator[tuple[int, Callable[[], ahocorasick.Automaton | None]]]:
-    """(number of shards, broadcast automaton) of the distinct non-empty words, one after the other."""
+def built(words: Broadcast) -> ahocorasick.Automaton | None:
+    """The automaton of a broadcast list, built once in a worker and kept beside the list: it is some hundred times as large."""
+    if not hasattr(words, "machine"):
+        words.machine = build(words.value)
+    return words.machine
+
+
+def _shards(words: DataFrame, column: str) -> Iterator[tuple[int, Broadcast]]:
+    """(number of shards, broadcast words of one) of the distinct non-empty words, one after the other."""
     listed = words.select(F.col(column).alias("w")).where("w <> ''").distinct()
     context = words.sparkSession.sparkContext
     first = [r["w"] for r in listed.limit(SHARD + 1).collect()]
     if len(first) <= SHARD:
-        yield 1, context.broadcast(build(first))
+        yield 1, context.broadcast(first)
         return
     listed = cut(listed, "words")
     n = -(-listed.count() // (SHARD // 2))  # by hash, so shards differ a little
     for k in range(n):
-        yield n, context.broadcast(build([r["w"] for r in listed.where(F.pmod(F.xxhash64("w"), F.lit(n)) == k).collect()]))
+        yield n, context.broadcast([r["w"] for r in listed.where(F.pmod(F.xxhash64("w"), F.lit(n)) == k).collect()])
 
 
-def _column(find: Callable, machine, schema: str) -> Callable[[Column], Column]:
+def _column(find: Callable, words: Broadcast, schema: str) -> Callable[[Column], Column]:
     @F.pandas_udf(schema)
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([find(machine.value, t) for t in texts], dtype=object)
+        machine = built(words)
+        return pd.Series([find(machine, t) for t in texts], dtype=object)
 
     return run
 
@@ -86,13 +95,14 @@ def _column(find: Callable, machine, schema: str) -> Callable[[Column], Column]:
 def _found(df: DataFrame, text: str, words: DataFrame, column: str, find: Callable, schema: str, out: str) -> DataFrame:
     """``df`` with ``out``: what ``find`` gives for its text, over all shards of the list."""
     collected = None
-    for n, machine in _shards(words, column):
-        run = _column(find, machine, schema)
+    for n, shard in _shards(words, column):
+        run = _column(find, shard, schema)
         if n == 1:
             return df.withColumn(out, run(F.col(text)))
         if collected is None:
             distinct = cut(df.select(F.col(text).alias("_t")).where("_t is not null").distinct(), "texts")
         some = cut(distinct.withColumn("_f", run(F.col("_t"))).where(F.size("_f") > 0), "found")
+        shard.destroy()
         collected = some if collected is None else collected.unionByName(some)
     whole = collected.groupBy("_t").agg(F.flatten(F.collect_list("_f")).alias(out))
     joined = df.join(whole, F.col(text) == F.col("_t"), "left").drop("_t")
