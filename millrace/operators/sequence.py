@@ -27,6 +27,15 @@ def newest_wins(df: DataFrame, keys: list[str], arrival: str, ties: list[str], v
     return seen.where(F.col("_seen").isNull() | (F.col(version) > F.col("_seen"))).select(*df.columns)
 
 
+def _copies(df: DataFrame, keys: list[str], image: DataFrame | None) -> DataFrame:
+    """Each row once with the number of its ``copies``; rows of ``image`` whose keys occur are ``old``."""
+    rows = df.select(*df.columns, F.lit(1).cast("bigint").alias("copies"), F.lit(0).alias("old"))
+    if image is not None:
+        held = image.select(*df.columns, F.lit(0).cast("bigint").alias("copies"), F.lit(1).alias("old"))
+        rows = rows.unionByName(null_safe(held, df.select(*keys).distinct(), keys, "left_semi"))
+    return rows.groupBy(*df.columns).agg(F.sum("copies").alias("copies"), F.max("old").alias("old"))
+
+
 def retractions(df: DataFrame, keys: list[str], order: list[str], image: DataFrame | None = None) -> DataFrame:
     """Change log of a stream with repeated keys: every row once with sign +1, and every row that
     a later one replaces once more with sign -1. ``copies`` counts identical rows.
@@ -36,13 +45,10 @@ def retractions(df: DataFrame, keys: list[str], order: list[str], image: DataFra
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     ordered = [*order, *rest]
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"), F.lit(0).alias("old"))
-    if image is not None:
-        held = image.select(*df.columns, F.lit(0).cast("bigint").alias("copies"), F.lit(1).alias("old"))
-        held = null_safe(held, df.select(*keys).distinct(), keys, "left_semi")
-        rows = rows.unionByName(held).groupBy(*df.columns).agg(F.sum("copies").alias("copies"), F.max("old").alias("old"))
-    newest = rows.groupBy(*keys).agg(F.max(F.struct(*ordered)).alias("_newest"))
-    marked = null_safe(rows, newest, keys)
+    # the keys as one struct: nulls inside are equal, and what is grouped by it needs no other shuffle to be joined on it
+    rows = _copies(df, keys, image).withColumn("_of", F.struct(*keys))
+    newest = rows.groupBy("_of").agg(F.max(F.struct(*ordered)).alias("_newest"))
+    marked = rows.join(newest, "_of")
     is_newest = F.struct(*ordered).eqNullSafe(F.col("_newest"))
     taken_back = F.col("copies") + F.col("old") - F.when(is_newest, 1).otherwise(0)
     plus = F.struct(F.lit(1).alias("sign"), F.col("copies").alias("copies"))
@@ -59,12 +65,7 @@ def retractions_within(df: DataFrame, keys: list[str], order: list[str], ttl: in
     key is cut. ``image`` holds the newest row per key from before this frame.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"), F.lit(0).alias("old"))
-    if image is not None:
-        held = image.select(*df.columns, F.lit(0).cast("bigint").alias("copies"), F.lit(1).alias("old"))
-        held = null_safe(held, df.select(*keys).distinct(), keys, "left_semi")
-        rows = rows.unionByName(held).groupBy(*df.columns).agg(F.sum("copies").alias("copies"), F.max("old").alias("old"))
-    marked = with_neighbours(rows, keys, order[0], [*order[1:], *rest], [order[0]], grain)
+    marked = with_neighbours(_copies(df, keys, image), keys, order[0], [*order[1:], *rest], [order[0]], grain)
     soon = F.col("next")[order[0]] < F.col(order[0]) + F.make_interval(secs=F.lit(ttl))
     taken_back = F.col("copies") + F.col("old") - F.when(F.coalesce(soon, F.lit(False)), 0).otherwise(1)
     plus = F.struct(F.lit(1).alias("sign"), F.col("copies").alias("copies"))

@@ -22,8 +22,10 @@ def retraction_log(df: DataFrame, keys: list[str], order: list[str], label: str
     With ``ttl`` (seconds, of the first order column) a row is only taken back by one that follows it sooner than that;
     then the image forgets whole stretches of time that no later row can reach.
     """
-    def step(batch: DataFrame, image: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def step(batch: DataFrame, image: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         log = sq.retractions(batch, keys, order, image) if ttl is None else sq.retractions_within(batch, keys, order, ttl, image)
+        if image is None or len(order) == 1:  # the table itself finds the newest by one column
+            return log, sq.newest_rows(batch, keys, order)
         held = null_safe(image, batch.select(*keys).distinct(), keys, "left_semi")
         return log, sq.newest_rows(batch.unionByName(held), keys, order)
 
@@ -39,7 +41,7 @@ def retractions(*args, **kwargs) -> DataFrame:
 def newest_wins(df: DataFrame, keys: list[str], arrival: str, ties: list[str], version: str, label: str = "newest",
                 job: str | None = None) -> DataFrame:
     """Rows newer than all before; the image is the highest version per key."""
-    def step(batch: DataFrame, image: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def step(batch: DataFrame, image: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         top = batch.groupBy(*keys).agg(F.max(version).alias(version))
         return sq.newest_wins(batch, keys, arrival, ties, version, image=image), top
 
@@ -50,10 +52,13 @@ def newest_wins(df: DataFrame, keys: list[str], arrival: str, ties: list[str], v
 def repair_new_flag(df: DataFrame, device: str, flag: str, time: str, ties: list[str], label: str = "new-flag",
                     job: str | None = None) -> DataFrame:
     """New-visitor repair; the image is the date kept per device (the first one stays)."""
-    def step(batch: DataFrame, image: DataFrame) -> tuple[DataFrame, DataFrame]:
-        known = image.select(device, "first_date")
-        fresh = null_safe(sq.first_seen(batch, device, flag, time, ties), known, [device], "left_anti")
-        rows = sq.repair_new_flag(batch, device, flag, time, known.unionByName(fresh))
+    def step(batch: DataFrame, image: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        known = fresh = sq.first_seen(batch, device, flag, time, ties)
+        if image is not None:
+            before = image.select(device, "first_date")
+            fresh = null_safe(fresh, before, [device], "left_anti")
+            known = before.unionByName(fresh)
+        rows = sq.repair_new_flag(batch, device, flag, time, known)
         return rows, fresh.withColumn("v", F.lit(0))
 
     kept = T.StructType([df.schema[device], T.StructField("first_date", T.DateType()), T.StructField("v", T.IntegerType())])
@@ -69,9 +74,11 @@ def first_of_day_log(df: DataFrame, keys: list[str], time: str, label: str = "fi
     """
     day = "cur_day"
 
-    def step(batch: DataFrame, image: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def step(batch: DataFrame, image: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         cols = [c for c in batch.columns if c not in keys]
         firsts = first_per_key(batch.withColumn(day, F.to_date(time)), [*keys, day], [time])
+        if image is None:
+            return firsts.select(*batch.columns, F.lit(1).alias("sign")), firsts.select(*batch.columns, day)
         kept = image.select(*keys, day, F.struct(*cols).alias("_kept"))
         both = null_safe(firsts, kept, [*keys, day], "left")
         order = lambda get: F.struct(get(time).alias("_o"), *[get(c).alias(c) for c in cols])

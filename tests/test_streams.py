@@ -5,6 +5,7 @@ import os
 import random
 import uuid
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from millrace.sinks.merge import KeyedTable, earliest_image, latest_image, parti
 from millrace.sinks.workspace import scratch, shared_dir
 from millrace.sources import cdc
 from millrace.sources.tables import stream_table
-from millrace.streaming import images, keyed, trade, traffic
+from millrace.streaming import images, keyed, runner, trade, traffic
 from millrace.streaming.runner import appended_as_stream, run_append, run_batches, run_sums, run_upsert, split_late
 
 
@@ -445,3 +446,73 @@ def test_keyed_table_reads_a_base_and_few_deltas(spark, rows, monkeypatch, merge
     again = KeyedTable(table.path, ["k"], "v", merge=merge, schema=table.schema)
     assert rows(again.read(spark)) == rows(table.read(spark)) and rows(again.read(spark, before=4)) == rows(
         merge(spark.createDataFrame(seen[:12], schema), ["k"], "v"))
+
+
+def test_state_settings_follow_where_tasks_run():
+    """Only tasks in the driver get few state partitions; a cluster on one machine has executors like any other."""
+    assert runner.in_one_process("local") and runner.in_one_process("local[4]")
+    assert not runner.in_one_process("local-cluster[3,4,10240]") and not runner.in_one_process("spark://host:7077")
+
+
+def test_routing_shuffles_no_change(spark):
+    """All changes of a table meet one config row, so they must not be dealt by the table's name."""
+    changes = spark.createDataFrame([("u", {"table": "t"}, {"id": "1", "x": "2"}, 5)], "op string, source map<string,string>, after map<string,string>, ts_ms long")
+    config = spark.createDataFrame([("t", "c", "dim_t", "id", "x", 1)], "source_table string, op string, sink_table string, sink_row_key string, sink_columns string, ts_ms long")
+    routed = trade.route_dimensions(changes, config)
+    assert [r["cells"] for r in routed.collect()] == [{"x": "2"}]
+    assert "SortMergeJoin" not in routed._jdf.queryExecution().sparkPlan().toString()
+
+
+class _State:
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+
+class _Handle:
+    """State of one grouping key, and its timers."""
+
+    def __init__(self):
+        self.timers = set()
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+    def getValueState(self, *_):
+        return _State()
+
+
+def test_one_call_takes_all_keys_of_a_bucket():
+    """Keys of a bucket share a call, a state and a timer, and are told apart in it."""
+    rule, handle = keyed.NewestWins(10), _Handle()
+    rule.init(handle)
+    frame = pd.DataFrame({"t": [1, 2, 3, 3], "version": [5, 4, 9, 4], "body": ["a5", "a4", "a9", "b4"], "key": ["a", "a", "a", "b"]})
+    assert [b for out in rule.handleInputRows((0,), iter([frame]), None) for b in out["body"]] == ["a5", "b4", "a9"]
+    assert handle.timers == {11}
+    first = keyed.FirstOfDay()
+    first.init(_Handle())
+    days = pd.DataFrame({"user": ["u", "v", "u"], "day": [1, 1, 1], "t": [7, 8, 6]})
+    assert [r for out in first.handleInputRows((0,), iter([days]), None) for r in out.itertuples(index=False, name=None)] == [("u", 1, 6, 1), ("v", 1, 8, 1)]
+
+
+def test_first_batch_meets_no_image(spark):
+    """Nothing is joined with an image that cannot hold anything yet."""
+    seen = []
+
+    def step(batch, image):
+        seen.append(image)
+        return batch, batch
+
+    df, path = spark.range(20).selectExpr("id", "id AS v"), scratch(spark, "t-none-feed")
+    df.repartition(2).write.parquet(path)
+    runner.image_log(stream(spark, path), "t-none", step, ["id"], "v", df.schema, df.schema)
+    assert seen[0] is None and None not in seen[1:]
