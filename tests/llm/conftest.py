@@ -1,7 +1,16 @@
 """Tables of odd rows for every operator over documents."""
 
+import importlib.util
+from pathlib import Path
+
 import pytest
 
+# both folders' files are imported as "conftest"; whichever stays has the helpers of the tests above
+_spec = importlib.util.spec_from_file_location("shared_conftest", Path(__file__).parents[1] / "conftest.py")
+_shared = importlib.util.module_from_spec(_spec)
+_spec.loader.exec_module(_shared)
+SMALL, at, day = _shared.SMALL, _shared.at, _shared.day
+
 DOCS = "doc_id long, text string, lang string, source string, n_chars int, kept string, row int, size int, _key int, _copies int, text_hash int"
 
 

@@ -516,3 +516,13 @@ def test_first_batch_meets_no_image(spark):
     df.repartition(2).write.parquet(path)
     runner.image_log(stream(spark, path), "t-none", step, ["id"], "v", df.schema, df.schema)
     assert seen[0] is None and None not in seen[1:]
+
+
+def test_null_keys_are_a_key_of_their_own_in_keyed_state(spark, rows):
+    """Rows without a key are told from the others, and these keep their state when a batch has both."""
+    df = spark.createDataFrame([(k, at("2024-01-01 00:00:00") + dt.timedelta(seconds=s), v) for k, s, v in
+                                ((None, 0, 5), (None, 1, 4), (None, 2, 6), (1, 0, 3), (1, 1, 2), (1, 2, 9), (2, 0, 1))], "k long, ts timestamp, v long")
+    path = scratch(spark, "t-null-keys")
+    df.repartition(2, "v").write.parquet(path)
+    kept = run_append(keyed.newest_wins_until(stream_table(spark, path), ["k"], "ts", "v", 86_400_000), "t-null-keys", keyed=True)
+    assert rows(kept, "k", "v") == rows(df.where("v in (1, 3, 5, 6, 9)"), "k", "v")
