@@ -18,8 +18,18 @@ Day = str | dt.date
 PLACE = ["city_id", "city_name", "province_id", "province_name"]
 
 
+def _dealt(detail: DataFrame, *columns: str) -> DataFrame:
+    """Columns of the detail, dealt anew for an aggregate that has about as many groups as rows.
+
+    Its tasks are the session's shuffle partitions, which are not merged up to a size on disk, and not those
+    that hold the sorted sides of the join before.
+    """
+    parts = int(detail.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return detail.select(*columns).repartition(parts, *[c for c in columns if c != "amount"])
+
+
 def _orders(detail: DataFrame, *keys: str) -> DataFrame:
-    return detail.groupBy("order_id", *keys, "dt").agg(F.max("amount").alias("amount"))
+    return _dealt(detail, "order_id", *keys, "dt", "amount").groupBy("order_id", *keys, "dt").agg(F.max("amount").alias("amount"))
 
 
 def _station(reduced: DataFrame, organ: DataFrame, district: str) -> DataFrame:
@@ -65,7 +75,7 @@ def org_truck_type_1d(finished: DataFrame, truck: DataFrame) -> DataFrame:
 
 
 def org_deliver_1d(detail: DataFrame, organ: DataFrame, region: DataFrame) -> DataFrame:
-    orders = detail.select("order_id", "receiver_district_id", "dt").distinct()
+    orders = _dealt(detail, "order_id", "receiver_district_id", "dt").distinct()
     reduced = orders.groupBy("receiver_district_id", "dt").agg(F.count("order_id").alias("n"))
     placed = region_path(_station(reduced, organ, "receiver_district_id"), region, "_region")
     return placed.groupBy("org_id", "org_name", *PLACE, "dt").agg(F.sum("n").alias("order_count"))
@@ -123,7 +133,7 @@ def dispatch_td(daily: DataFrame) -> DataFrame:
 
 
 def bound_finish_td(detail: DataFrame) -> DataFrame:
-    orders = detail.groupBy("order_id").agg(F.max("amount").alias("amount"))
+    orders = _dealt(detail, "order_id", "amount").groupBy("order_id").agg(F.max("amount").alias("amount"))
     return orders.agg(F.count("order_id").alias("order_count"), F.sum("amount").alias("order_amount"))
 
 

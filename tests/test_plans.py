@@ -160,3 +160,24 @@ def test_cuts_of_a_scope_are_emptied(spark):
     after = cut(spark.range(3), "t-after")
     assert result.first()["s"] == 45 and after.count() == 3
     assert spark.read.schema("n long").parquet(inner.cut_path).count() == 0
+
+
+def test_orders_are_not_merged_into_few_tasks(spark, rows):
+    """Each shuffle partition has its own task, and copies and null keys are one row per group."""
+    from millrace.plans import logistics_dws
+    some = [(k % 50, "a" if k % 3 else None, float(k % 7), day("2024-01-01")) for k in range(300)] + [
+        (None, "b", None, None), (None, "b", 2.0, None), (1, "a", 9.0, None)]
+    detail = spark.createDataFrame(some, "order_id long, cargo_type string, amount double, dt date")
+    expected = {}
+    for order, kind, amount, dt in some:
+        best = expected.get((order, kind, dt))
+        expected[order, kind, dt] = amount if best is None else max(best, amount)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        out = logistics_dws._orders(detail, "cargo_type")
+        assert out.rdd.getNumPartitions() == 13
+        assert {(r["order_id"], r["cargo_type"], r["dt"]): r["amount"] for r in out.collect()} == expected
+        assert out.count() == len(expected)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
