@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.functions.bands import age_group
 from millrace.functions.numbers import money_ratio, ratio
@@ -113,21 +113,17 @@ def sku_rank(skus: DataFrame) -> DataFrame:
 def price_trend(prices: DataFrame) -> DataFrame:
     """Change against the day before and the day 365 days before.
 
-    Each day's prices stand for three days (their own, one and 365 days later); one aggregate puts the three
-    together, so the day summary is computed once and nothing is joined.
+    Both are frames of one day in the product's row of days, so the day summary is computed and moved once and nothing
+    is joined; a product has one row per day. Rows with a null day or product have no other day.
     """
-    values = ["avg_price", "min_price", "max_price"]
-    own = F.struct(F.lit(0).alias("back"), F.col("dt").alias("at"))
-    later = [F.struct(F.lit(n).alias("back"), F.date_add("dt", n).alias("at")) for n in (1, 365)]
+    days = prices.select("dt", "product_id", "avg_price", "min_price", "max_price").withColumn("_day", F.unix_date("dt"))
     known = F.col("dt").isNotNull() & F.col("product_id").isNotNull()
-    spread = prices.select("product_id", *values, F.explode(F.when(known, F.array(own, *later)).otherwise(F.array(own))).alias("d"))
-    at = lambda n, c: F.max(F.when(F.col("d.back") == n, F.col(c)))
-    out = spread.groupBy(F.col("d.at").alias("dt"), "product_id").agg(
-        F.count(F.when(F.col("d.back") == 0, 1)).alias("_own"), *[at(0, c).alias(c) for c in values],
-        at(1, "avg_price").alias("_m"), at(365, "avg_price").alias("_y")).where("_own > 0")
+    row = Window.partitionBy("product_id").orderBy("_day")
+    back = lambda n: F.when(known, F.max("avg_price").over(row.rangeBetween(-n, -n)))
+    out = days.withColumns({"_m": back(1), "_y": back(365)})
     now = F.col("avg_price")
     return out.withColumn("yoy_change", money_ratio(now - F.col("_y"), F.col("_y"), 4)).withColumn(
-        "mom_change", money_ratio(now - F.col("_m"), F.col("_m"), 4)).drop("_y", "_m", "_own")
+        "mom_change", money_ratio(now - F.col("_m"), F.col("_m"), 4)).drop("_y", "_m", "_day")
 
 
 def wide_360(days: DataFrame, prices: DataFrame, channels: DataFrame, reviews: DataFrame) -> DataFrame:

@@ -181,3 +181,20 @@ def test_orders_are_not_merged_into_few_tasks(spark, rows):
         assert out.count() == len(expected)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_price_trend_moves_each_day_once(spark):
+    """No row is repeated for the days it is compared with; null days and products have no other day."""
+    from decimal import Decimal
+    from millrace.plans import product360
+    some = [(1, "2023-01-01", "10.00"), (1, "2023-12-31", "20.00"), (1, "2024-01-01", "25.00"), (1, "2024-01-03", "5.00"),
+            (2, "2024-01-01", "8.00"), (None, "2024-01-01", "1.00"), (None, "2024-01-02", "2.00"), (3, None, "4.00")]
+    prices = spark.createDataFrame([(p, d and day(d), *[Decimal(x)] * 3) for p, d, x in some],
+                                   "product_id long, dt date, avg_price decimal(20,2), min_price decimal(16,2), max_price decimal(16,2)")
+    out = product360.price_trend(prices)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    got = {(r["product_id"], r["dt"] and str(r["dt"])): (r["yoy_change"], r["mom_change"]) for r in out.collect()}
+    assert len(got) == len(some)
+    assert got.pop((1, "2024-01-01")) == (Decimal("1.5000"), Decimal("0.2500"))
+    assert set(got.values()) == {(None, None)}
