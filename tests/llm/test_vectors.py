@@ -83,3 +83,23 @@ def test_doubles_link_like_singles(spark):
     assert sorted(map(tuple, single)) == sorted(map(tuple, double)) and {r["n_links"] for r in single} == {2}
     wide = spark.createDataFrame([(1, [1e200, 1e200], 1), (2, [2e200, 2e200], 1)], "vec_id long, embedding array<double>, label int")
     assert {r["n_links"] for r in caps.near_vectors(wide).collect()} == {1}
+
+
+@pytest.mark.parametrize("kind", ["even", "cone", "flat", "two", "one"])
+def test_no_pair_at_the_threshold_is_lost(kind):
+    """Pairs at the threshold share a filter, however the vectors lie: all over, most in a cone, in a subspace, in two dimensions or one."""
+    rng = np.random.default_rng(0)
+    dim = {"two": 2, "one": 1}.get(kind, 64)
+    x = rng.standard_normal((2000, dim))
+    if kind == "cone":
+        x[:1900] = caps._units(rng.standard_normal((1, dim))) + 0.05 * rng.standard_normal((1900, dim))
+    if kind == "flat":
+        x = rng.standard_normal((2000, 6)) @ rng.standard_normal((6, dim))
+    x = caps._units(x)
+    side = rng.standard_normal(x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    y = x if dim == 1 else 0.98 * x + np.sqrt(1 - 0.98 ** 2) * caps._units(side)
+    codes = caps.Codes(dim, 16 if dim == 1 else 60)
+    codes.set_heights(np.concatenate([x, y])[::8])
+    for codes.code in range(caps.CODES):
+        assert all(len(np.intersect1d(a, b)) for a, b in zip(codes.entered(x), codes.entered(y)))
