@@ -140,7 +140,7 @@ class KeyedTable:
         image = self._reduced(rows).withColumn("bucket", self._bucket())
         image = image.repartition("bucket", F.pmod(F.xxhash64(F.lit(0), *self.keys), F.lit(split)))
         image.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(
-            f"{self.path}-base/batch={batch_id}")
+            f"{self.path}-base/batch={batch_id}", compression="zstd")
         index.update(dict.fromkeys(fresh, batch_id))
         spark.createDataFrame(sorted(index.items(), key=str), "bucket long, wrote long").coalesce(1).write.mode("overwrite").json(
             f"{self.path}-index/batch={batch_id}")
@@ -158,12 +158,12 @@ class KeyedTable:
             self._write(nothing, path)
 
     def _write(self, rows: DataFrame, path: str) -> None:
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path, compression="zstd")
 
     # reading
 
     def read(self, spark: SparkSession, before: int | None = None, batch: DataFrame | None = None) -> DataFrame:
-        """Current image, or the image before a batch, for all keys or those that may be in ``batch``: one shuffle by key."""
+        """Current image, or the image before a batch, for all keys or those that may be in ``batch``: one shuffle by key, none of a single delta."""
         if before == 0:
             return spark.createDataFrame([], self.schema)
         end = before if before is not None or self.last is None else self.last + 1
@@ -182,7 +182,8 @@ class KeyedTable:
         held = [self._folder(w, b) for b, w in self._index(spark, base).items() if touched(b)]
         if held:
             rows = rows.unionByName(spark.read.schema(schema).parquet(*held))
-        return self._shown(self._reduced(rows))
+        alone = (end - base - 1) + bool(held) <= 1  # a delta, or a base, has a row per key as it is
+        return self._shown(rows if alone else self._reduced(rows))
 
     def _deltas(self, spark: SparkSession, schema: T.StructType, base: int, end: int) -> DataFrame:
         paths = [f"{self.path}/batch={k}" for k in range(base + 1, end)]
