@@ -46,7 +46,7 @@ def retractions(df: DataFrame, keys: list[str], order: list[str], image: DataFra
     rest = [c for c in df.columns if c not in keys and c not in order]
     ordered = [*order, *rest]
     # the keys as one struct: nulls inside are equal, and what is grouped by it needs no other shuffle to be joined on it
-    rows = _copies(df, keys, image).withColumn("_of", F.struct(*keys))
+    rows = _copies(df, keys, image).withColumn("_of", F.struct(*keys)).drop(*keys)
     newest = rows.groupBy("_of").agg(F.max(F.struct(*ordered)).alias("_newest"))
     marked = rows.join(newest, "_of")
     is_newest = F.struct(*ordered).eqNullSafe(F.col("_newest"))
@@ -54,7 +54,7 @@ def retractions(df: DataFrame, keys: list[str], order: list[str], image: DataFra
     plus = F.struct(F.lit(1).alias("sign"), F.col("copies").alias("copies"))
     minus = F.struct(F.lit(-1).alias("sign"), taken_back.alias("copies"))
     return (marked.withColumn("c", F.explode(F.array(plus, minus))).where(F.col("c.copies") > 0)
-            .select(*df.columns, "c.sign", "c.copies"))
+            .select(*[F.col("_of")[c].alias(c) if c in keys else F.col(c) for c in df.columns], "c.sign", "c.copies"))
 
 
 def retractions_within(df: DataFrame, keys: list[str], order: list[str], ttl: int, image: DataFrame | None = None,
