@@ -14,7 +14,7 @@ from millrace.registry.retail import Layer
 from millrace.sinks.merge import partial_image
 from millrace.sources import cdc
 from millrace.streaming import images, keyed, trade, traffic
-from millrace.streaming.runner import appended_as_stream, run_append, run_batches, run_sums, run_upsert, split_late
+from millrace.streaming.runner import Meeting, appended_as_stream, run_append, run_batches, run_meeting, run_sums, run_upsert, split_late
 
 share("f_orders", feeds.ORDERS_SQL)
 share("f_carts", feeds.CARTS_SQL)
@@ -268,7 +268,7 @@ def _(m):
 def _(m):
     orders = feeds.orders(m).select(F.col("id").cast("string").alias("id"), "user_id", (F.col("user_id") % 25).alias("province_id"),
                                     F.timestamp_millis("ts_ms").alias("et"))
-    return run_append(trade.order_detail(feeds.lines(m), orders), "order-detail")
+    return run_meeting(trade.order_detail(feeds.lines(m), orders), "order-detail")
 
 
 @query("stream_dwd_order_promotions", "id:s order_id:i sku_id:i split_total_amount:d activity_id:i coupon_id:i", """
@@ -286,8 +286,8 @@ def _(m):
     their bound, so the newest unmatched ones are still open at the end."""
     cou = feeds.lines(m).where("l_returnflag = 'R'").select(F.col("id").alias("order_detail_id"), F.col("l_suppkey").alias("coupon_id"),
                                                             F.expr("et + INTERVAL 2 SECONDS").alias("et"))
-    joined = trade.within(feeds.lines(m).select("id", "et"), cou, {"id": "order_detail_id"}, "0 SECONDS", "10 SECONDS", how="left")
-    return run_append(joined.select("id", F.col("r_coupon_id").alias("coupon_id")), "left-coupon")
+    pairs = Meeting(feeds.lines(m).select("id", "et"), cou, {"id": "order_detail_id"}, 0, 10_000, how="left")
+    return run_meeting(pairs.pipe(lambda joined: joined.select("id", F.col("r_coupon_id").alias("coupon_id"))), "left-coupon")
 
 
 @query("stream_dwd_order_cancel", "id:s order_id:i user_id:i sku_id:i province_id:i order_cancel_date_id:s split_total_amount:d ts_ms:i", """
@@ -396,8 +396,8 @@ SELECT k.user_id, w.band, sum(w.score) AS score FROM k JOIN lab_w w ON w.model =
 def _(m):
     orders = feeds.orders(m).withColumn("et", F.timestamp_millis("ts_ms")).select("id", "user_id", "total_amount", "et")
     orders = orders.withColumn("id", F.col("id").cast("string"))
-    scores = run_append(trade.order_scores(orders, feeds.lines(m).select("id", "order_id", "sku_id", "et"), m["lb_sku"], m["lb_category"]), "order-scores")
-    return scores.groupBy("user_id", "band").agg(F.sum("score").alias("score"))
+    pairs = trade.order_scores(orders, feeds.lines(m).select("id", "order_id", "sku_id", "et"), m["lb_sku"], m["lb_category"])
+    return trade.band_sums(run_meeting(pairs, "order-scores"))
 
 
 share("ch_base6", """

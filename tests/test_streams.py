@@ -526,3 +526,42 @@ def test_null_keys_are_a_key_of_their_own_in_keyed_state(spark, rows):
     df.repartition(2, "v").write.parquet(path)
     kept = run_append(keyed.newest_wins_until(stream_table(spark, path), ["k"], "ts", "v", 86_400_000), "t-null-keys", keyed=True)
     assert rows(kept, "k", "v") == rows(df.where("v in (1, 3, 5, 6, 9)"), "k", "v")
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_bounded_join_equals_sparks_own(spark, rows, how):
+    """Over several files, with late rows, null keys and times and rows that stay open; only open rows are stored."""
+    r = random.Random(5)
+    base = dt.datetime(2024, 1, 1)
+    order = list(range(240))
+    order[60:180] = r.sample(order[60:180], 120)  # some come late
+    data = [(None if i % 31 == 0 else f"k{i % 7}", n, None if i % 37 == 0 else base + dt.timedelta(seconds=20 * i + i % 3, microseconds=i)) for n, i in enumerate(order)]
+    df = spark.createDataFrame(data, "k string, id long, ts timestamp")
+    paths, job = [scratch(spark, "t-side") for _ in range(2)], f"t-{uuid.uuid4().hex}"
+    for parts in ((0, 1), (2, 3)):  # the second run goes on where the first one ended
+        for path, shift in zip(paths, (0, 45)):
+            for part in parts:
+                side = df.where((F.col("id") >= part * 60) & (F.col("id") < part * 60 + 60) & (F.col("id") % 5 != shift // 15))
+                side.withColumn("ts", F.expr(f"ts + INTERVAL {shift} SECONDS")).coalesce(1).write.mode("append").parquet(path)
+        left, right = (stream(spark, p).select("k", "id", F.col("ts").alias("et")) for p in paths)
+        own = run_append(trade.within(left, right, {"k": "k"}, "-30 SECONDS", "200 SECONDS", how, "5 minutes").select("k", "id", "r_id"), "t", job=f"{job}-own")
+        pairs = runner.Meeting(left, right, {"k": "k"}, -30_000, 200_000, how, 300_000).pipe(lambda joined: joined.select("k", "id", "r_id"))
+        log = runner.meeting_log(pairs, "t", job)
+        assert rows(log.read()) == rows(own) and (how == "inner" or any(x[2] is None for x in rows(own)))
+    last = max(int(name.split("=")[1]) for name in os.listdir(f"{log.path}/end") if "=" in name)
+    assert spark.read.parquet(f"{log.path}/end/batch={last}").count() < 60 and spark.read.parquet(f"{log.path}/open/batch={last}").count() == 0
+
+
+def test_one_batch_is_reduced_once(spark):
+    """What a single batch stored has a row per key, so reading it shuffles nothing; rows of a second one are put together."""
+    t = KeyedTable(scratch(spark, "t-once"), ["k"], "v", merge=partial_image, schema=spark.createDataFrame([], "k string, v int, p string, q string").schema)
+    part = lambda *rows_: spark.createDataFrame(rows_, "k string, v int, p string, q string")
+    t.upsert(part(("a", 1, "x", None), ("a", 2, None, "y"), ("a", 0, "w", "w")), 0)
+    once = t.read(spark)
+    assert "Exchange" not in once._jdf.queryExecution().sparkPlan().toString() and [tuple(r) for r in once.collect()] == [("a", 2, "x", "y")]
+    t.upsert(part(("a", 3, "z", None)), 1)
+    assert [tuple(r) for r in t.read(spark).collect()] == [("a", 3, "z", "y")]
+    path = scratch(spark, "t-sums")
+    spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, n long").coalesce(1).write.parquet(path)
+    sums = run_sums(stream(spark, path), "t-sums", lambda batch: batch.groupBy("k").agg(F.sum("n").alias("n")), ["k"])
+    assert "Aggregate" not in sums._jdf.queryExecution().sparkPlan().toString() and sorted(map(tuple, sums.collect())) == [("a", 3), ("b", 3)]
