@@ -2,7 +2,7 @@
 
 The words are broadcast, and a worker builds the automaton. A list is dealt to automata of at most ``SHARD`` words, so neither the driver nor a task ever holds more than one of them. With a
 single one, as for nearly all lists, matching is a column of Arrow batches and moves no row; further ones take a pass each over
-the distinct texts, and what they find is put together by text.
+the distinct texts, and what they find is put together by the texts' numbers: texts themselves are written once, not once a pass.
 """
 
 from __future__ import annotations
@@ -100,12 +100,13 @@ def _found(df: DataFrame, text: str, words: DataFrame, column: str, find: Callab
         if n == 1:
             return df.withColumn(out, run(F.col(text)))
         if collected is None:
-            distinct = cut(df.select(F.col(text).alias("_t")).where("_t is not null").distinct(), "texts")
-        some = cut(distinct.withColumn("_f", run(F.col("_t"))).where(F.size("_f") > 0), "found")
+            distinct = cut(df.select(F.col(text).alias("_t")).where("_t is not null").distinct().withColumn(
+                "_n", F.monotonically_increasing_id()), "texts")
+        some = cut(distinct.select("_n", run(F.col("_t")).alias("_f")).where(F.size("_f") > 0), "found")
         shard.destroy()
         collected = some if collected is None else collected.unionByName(some)
-    whole = collected.groupBy("_t").agg(F.flatten(F.collect_list("_f")).alias(out))
-    joined = df.join(whole, F.col(text) == F.col("_t"), "left").drop("_t")
+    whole = collected.groupBy("_n").agg(F.flatten(F.collect_list("_f")).alias(out))
+    joined = df.join(distinct.join(whole, "_n").drop("_n"), F.col(text) == F.col("_t"), "left").drop("_t")
     return joined.withColumn(out, F.coalesce(out, F.expr(f"cast(array() as {schema})")))
 
 

@@ -260,3 +260,21 @@ def test_automaton_reads_long_texts_once():
     start = time.perf_counter()
     assert len(automaton.parts("ab" * 100_000, automaton.longest_at(machine, "ab" * 100_000))) == -(-200_000 // 58)
     assert time.perf_counter() - start < 10
+
+
+def test_texts_are_written_once_for_a_long_list(spark, monkeypatch):
+    """Each pass of a list with several automata stores the words it found beside the text's number, not the text again."""
+    written = []
+
+    def cut(df, label):
+        written.append((label, df.columns))
+        return workspace_cut(df, label)
+
+    workspace_cut = automaton.cut
+    monkeypatch.setattr(automaton, "cut", cut)
+    monkeypatch.setattr(automaton, "SHARD", 2)
+    words = spark.createDataFrame([(w,) for w in ("ab", "bc", "cd", "de", "x")], "word string")
+    texts = spark.createDataFrame([(1, "abcd"), (2, "abcd"), (3, None), (4, "none"), (5, "xde")], "id int, t string")
+    got = automaton.with_words(texts, "t", words)
+    assert sorted((r["id"], r["found"]) for r in got.collect()) == [(1, ["ab", "bc", "cd"]), (2, ["ab", "bc", "cd"]), (3, []), (4, []), (5, ["de", "x"])]
+    assert sum(label == "found" for label, _ in written) > 1 and not any("_t" in columns for label, columns in written if label == "found")
